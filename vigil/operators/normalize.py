@@ -11,6 +11,8 @@ prefixed ``fatal:``.  ``split_rejects(strict=True)`` raises on those instead.
 """
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -277,6 +279,9 @@ OUTPUT = ["id", "threat_type", "title", "description", "severity_raw", "report_c
           "extra", "seq", "reject_reason"]
 
 
+_OBSERVATIONS = itertools.count(1)
+
+
 def _apply(raw: DataFrame, stages: list[dict[str, Column]], name: str) -> DataFrame:
     df = raw.select(F.col("seq"), V.parse(F.col("raw")).alias("_v"))
     for stage in stages[:-1]:
@@ -287,6 +292,7 @@ def _apply(raw: DataFrame, stages: list[dict[str, Column]], name: str) -> DataFr
     # CollectMetrics node is also a deliberate optimizer boundary: without it
     # a later ``reject_reason IS NULL`` filter is pushed through every staged
     # projection with all aliases inlined, growing the predicate exponentially.
+    name = f"{name}_{next(_OBSERVATIONS)}"
     return out.observe(name, F.count(F.lit(1)).alias("records"),
                        F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
 

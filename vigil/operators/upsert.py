@@ -5,7 +5,6 @@ joins on ``id``:
 
     new = (store ⋉̸ batch)                  -- untouched rows (anti join)
         ∪ (batch ⟕ store-matches)          -- inserted or updated rows
-        ∪ NULL-id rows of store and batch  -- never matched, always kept
 
 The batch is usually small next to the store.  When a count proves it fits,
 its ids are broadcast and the store is never shuffled (broadcast anti / semi
@@ -32,12 +31,11 @@ def upsert(store: DataFrame, batch: DataFrame, only_if_newer: bool = False,
     ``only_if_newer`` adds the freshness test the upstream table lacks (off by
     default to match it: an older batch overwrites newer values).
     """
-    b = batch.filter(F.col("id").isNotNull())
-    b_null = batch.filter(F.col("id").isNull())
-    s_null = store.filter(F.col("id").isNull())
-    s = store.filter(F.col("id").isNotNull())
-
-    keys = b.select("id")
+    # An equi-join never matches a NULL id: NULL-id store rows survive the
+    # anti join and NULL-id batch rows pass the left join as inserts, which is
+    # exactly the "NULL keys are always new" rule — no separate branch needed.
+    b, s = batch, store
+    keys = b.select("id").filter(F.col("id").isNotNull())
     if check_size:
         keys, _ = broadcast_if_small(keys)
     untouched = s.join(keys, "id", "left_anti")
@@ -58,10 +56,7 @@ def upsert(store: DataFrame, batch: DataFrame, only_if_newer: bool = False,
         else:
             cols.append(F.when(exists & ~take_new, F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c))
     touched = j.select(*cols)
-    return (untouched.select(*STORED_FIELDS)
-            .unionByName(touched)
-            .unionByName(s_null.select(*STORED_FIELDS))
-            .unionByName(b_null.select(*STORED_FIELDS)))
+    return untouched.select(*STORED_FIELDS).unionByName(touched)
 
 
 def write_back(store: DataFrame, updates: DataFrame, columns: list[str]) -> DataFrame:

@@ -247,3 +247,128 @@ def q_bucket(spark, sf_dir):
 @query("label_counts")
 def q_label_counts(spark, sf_dir):
     return labels.label_counts(P.fixture_labelled(spark, sf_dir))
+
+
+# -------------------------------------------------------------------- store --
+STORE_OUT = ["id", "threat_type", "title", "description", "severity_raw", "report_count",
+             "first_seen", "last_seen", "source", "source_reliability", "exploited_flag",
+             "predicted_priority", "predicted_priority_score", "heuristic_label",
+             "batch_id", "seq"]
+
+
+def _store_flat(df: DataFrame) -> DataFrame:
+    return finish(flat(df.select(*STORE_OUT, "extra")))
+
+
+def _committed_fixture(spark, sf_dir) -> str:
+    """Write the fixture snapshot into a fresh store folder under the shared
+    checkpoint directory; returns the store root."""
+    import uuid
+
+    from vigil.session import shared_path
+    from vigil.sources import store as ST
+    root = shared_path(spark, "vigil-store", uuid.uuid4().hex)
+    ST.commit(spark, root, P.fixture_snapshot(spark, sf_dir))
+    return root
+
+
+@query("scan_threats")
+def q_scan(spark, sf_dir):
+    from vigil.sources import store as ST
+    return _store_flat(ST.scan(spark, _committed_fixture(spark, sf_dir)))
+
+
+@query("count_threats")
+def q_count(spark, sf_dir):
+    from vigil.sources import store as ST
+    return ST.count(ST.scan(spark, _committed_fixture(spark, sf_dir)))
+
+
+@query("upsert_threats")
+def q_upsert(spark, sf_dir):
+    return _store_flat(P.two_batch_store(spark, sf_dir))
+
+
+@query("write_labels")
+def q_write_labels(spark, sf_dir):
+    from vigil.operators import upsert as U
+    snap = P.fixture_snapshot(spark, sf_dir)
+    lab = P.label_snapshot(snap, FX.FIXTURE_NOW).select("id", "heuristic_label")
+    return U.write_labels(snap, lab).select("id", "threat_type", "heuristic_label",
+                                            "predicted_priority")
+
+
+# ------------------------------------------------------------------ serving --
+from vigil.operators import serve as V  # noqa: E402
+
+INSPECT_ID = "CVE-2025-1"
+
+
+@query("summary")
+def q_summary(spark, sf_dir):
+    return V.summary(P.served_store(spark, sf_dir))
+
+
+@query("distinct_types")
+def q_types(spark, sf_dir):
+    return V.distinct_types(P.served_store(spark, sf_dir))
+
+
+@query("available_priorities")
+def q_avail(spark, sf_dir):
+    return V.available_priorities(P.served_store(spark, sf_dir))
+
+
+@query("filter_threats")
+def q_filter(spark, sf_dir):
+    f = V.filter_threats(P.served_store(spark, sf_dir), [C.TYPE_CVE, C.TYPE_IP],
+                         ["Critical", "High"])
+    return finish(f.select("id", "threat_type", "predicted_priority", "predicted_priority_score"))
+
+
+RANK_OUT = ["id", "threat_type", "predicted_priority", "predicted_priority_score", "position"]
+
+
+@query("rank_threats")
+def q_rank(spark, sf_dir):
+    r = V.rank_threats(V.filter_threats(P.served_store(spark, sf_dir)))
+    return finish(r.select(*RANK_OUT))
+
+
+@query("rank_threats_ascending")
+def q_rank_asc(spark, sf_dir):
+    r = V.rank_threats(V.filter_threats(P.served_store(spark, sf_dir)), desc=False)
+    return finish(r.select(*RANK_OUT))
+
+
+@query("page")
+def q_page(spark, sf_dir):
+    return finish(V.page(V.filter_threats(P.served_store(spark, sf_dir)), 3, 25).select(*RANK_OUT))
+
+
+@query("page_deep")
+def q_page_deep(spark, sf_dir):
+    return finish(V.page(V.filter_threats(P.served_store(spark, sf_dir)), 250, 50)
+                  .select(*RANK_OUT))
+
+
+@query("page_info")
+def q_page_info(spark, sf_dir):
+    return V.page_info(V.filter_threats(P.served_store(spark, sf_dir)), 3, 25)
+
+
+@query("display_projection")
+def q_display(spark, sf_dir):
+    pg = V.page(V.filter_threats(P.served_store(spark, sf_dir)), 2, 50)
+    return V.display_projection(pg)
+
+
+@query("inspect")
+def q_inspect(spark, sf_dir):
+    return V.inspect(V.filter_threats(P.served_store(spark, sf_dir)), INSPECT_ID)
+
+
+@query("entry_first_page")
+def q_entry(spark, sf_dir):
+    pg = V.page(V.filter_threats(P.served_store(spark, sf_dir)), 1, C.DEFAULT_PAGE_SIZE)
+    return V.display_projection(pg)

@@ -229,3 +229,128 @@ SELECT id, round(priority_score, 6) AS priority_score, heuristic_label FROM lab"
     "label_counts": with_ctes(*LABELLED, tail="""
 SELECT heuristic_label, count(*) AS n FROM lab GROUP BY heuristic_label"""),
 }
+
+
+# ---------------------------------------------------------------- store -----
+STORE_SEL = ("id, threat_type, title, description, round(severity_raw, 6) AS severity_raw, "
+             "report_count, first_seen, last_seen, source, "
+             "round(source_reliability, 6) AS source_reliability, "
+             "CAST(exploited_flag AS INTEGER) AS exploited_flag, "
+             "CAST(NULL AS VARCHAR) AS predicted_priority, "
+             "CAST(NULL AS DOUBLE) AS predicted_priority_score, "
+             "CAST(NULL AS VARCHAR) AS heuristic_label, CAST({b} AS BIGINT) AS batch_id, seq, "
+             "vendor, cwe, reference_count, country_code, isp")
+
+SPLIT_TS = "TIMESTAMP '2024-01-16 00:00:00'"
+TWO_BATCH = f"""
+ipl AS (SELECT ip.* FROM ip JOIN events e ON ip.seq = 1000000000 + e.event_id
+        WHERE e.ts >= {SPLIT_TS}),
+ipe AS (SELECT ip.* FROM ip JOIN events e ON ip.seq = 1000000000 + e.event_id
+        WHERE e.ts < {SPLIT_TS}),
+u1 AS (SELECT * FROM cve UNION ALL BY NAME SELECT * FROM ipl),
+r1 AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY coalesce(last_seen, '') DESC, seq) AS rn,
+              min(seq) OVER (PARTITION BY id) AS first_seq FROM u1),
+b1 AS (SELECT * EXCLUDE (rn, seq, first_seq), first_seq AS seq FROM r1 WHERE rn = 1),
+r2 AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY coalesce(last_seen, '') DESC, seq) AS rn,
+              min(seq) OVER (PARTITION BY id) AS first_seq FROM ipe),
+b2 AS (SELECT * EXCLUDE (rn, seq, first_seq), first_seq AS seq FROM r2 WHERE rn = 1),
+s1 AS (SELECT {STORE_SEL.format(b=1)} FROM b1),
+s2 AS (SELECT {STORE_SEL.format(b=2)} FROM b2),
+merged AS (
+  SELECT s1.* FROM s1 WHERE id NOT IN (SELECT id FROM s2 WHERE id IS NOT NULL) OR id IS NULL
+  UNION ALL
+  SELECT s2.id, coalesce(s1.threat_type, s2.threat_type) AS threat_type, s2.title, s2.description,
+         s2.severity_raw, s2.report_count, coalesce(s1.first_seen, s2.first_seen) AS first_seen,
+         s2.last_seen, CASE WHEN s1.id IS NULL THEN s2.source ELSE s1.source END AS source,
+         s2.source_reliability, s2.exploited_flag,
+         s1.predicted_priority, s1.predicted_priority_score, s1.heuristic_label,
+         CASE WHEN s1.id IS NULL THEN s2.batch_id ELSE s1.batch_id END AS batch_id,
+         CASE WHEN s1.id IS NULL THEN s2.seq ELSE s1.seq END AS seq,
+         s2.vendor, s2.cwe, s2.reference_count, s2.country_code, s2.isp
+  FROM s2 LEFT JOIN s1 ON s1.id = s2.id)"""
+
+SERVED = """
+srv AS (SELECT *, heuristic_label AS predicted_priority, priority_score AS predicted_priority_score,
+               0 AS batch_id FROM lab),
+flt AS (SELECT * FROM srv
+        WHERE threat_type IS NOT NULL AND predicted_priority IN ('Low', 'Medium', 'High', 'Critical'))"""
+
+RANK_EXPR = ("CASE predicted_priority WHEN 'Critical' THEN 3 WHEN 'High' THEN 2 "
+             "WHEN 'Medium' THEN 1 WHEN 'Low' THEN 0 ELSE -1 END")
+
+
+def _rank(desc: bool) -> str:
+    d = "DESC" if desc else "ASC"
+    return (f"row_number() OVER (ORDER BY {RANK_EXPR} {d}, predicted_priority_score {d} NULLS LAST, "
+            f"batch_id, seq, id)")
+
+
+RANK_SEL = ("id, threat_type, predicted_priority, round(predicted_priority_score, 6) "
+            "AS predicted_priority_score, position")
+
+
+def _ranked(desc: bool = True) -> str:
+    return f"\nrk AS (SELECT *, {_rank(desc)} AS position FROM flt)"
+
+
+def _page_filter(page_no: int, size: int) -> str:
+    return f"""
+tot AS (SELECT count(*) AS n FROM flt),
+pb AS (SELECT CASE WHEN {page_no} > greatest(1, CAST(ceil(n / {size}) AS BIGINT)) THEN 1
+                   ELSE {page_no} END AS pg FROM tot)"""
+
+
+def _page_rows(page_no: int, size: int) -> str:
+    return (f"SELECT {RANK_SEL} FROM rk, pb WHERE position > (pg - 1) * {size} "
+            f"AND position <= pg * {size}")
+
+
+SERVE_BASE = LABELLED + (SERVED,)
+DISPLAY_SEL = ('id AS "ID", threat_type AS "Type", title AS "Title", '
+               'round(severity_raw, 2) AS "Severity", predicted_priority AS "ML Priority", '
+               'round(predicted_priority_score, 4) AS "ML Rank Score", '
+               'heuristic_label AS "Heuristic Label", source AS "Source", '
+               'last_seen AS "Last Seen", position')
+
+SQL.update({
+    "scan_threats": with_ctes(*BASE, tail=f"SELECT {STORE_SEL.format(b=0)} FROM d"),
+    "count_threats": with_ctes(*BASE, tail="SELECT count(*) AS n_threats FROM d"),
+    "upsert_threats": with_ctes(CVE, IP, TWO_BATCH, tail="SELECT * FROM merged"),
+    "write_labels": with_ctes(*LABELLED, tail="""
+SELECT id, threat_type, heuristic_label, CAST(NULL AS VARCHAR) AS predicted_priority FROM lab"""),
+    "summary": with_ctes(*SERVE_BASE, tail="""
+SELECT count(*) AS total_threats, count(*) FILTER (WHERE threat_type = 'cve') AS cves,
+       count(*) FILTER (WHERE threat_type = 'malicious_ip') AS malicious_ips,
+       count(*) FILTER (WHERE predicted_priority = 'Critical') AS critical_priority FROM srv"""),
+    "distinct_types": with_ctes(*SERVE_BASE, tail="""
+SELECT DISTINCT threat_type FROM srv WHERE threat_type IS NOT NULL"""),
+    "available_priorities": with_ctes(*SERVE_BASE, tail="""
+, fixed AS (SELECT * FROM (VALUES (0, 'Critical'), (1, 'High'), (2, 'Medium'), (3, 'Low'))
+                  t(display_order, priority)),
+present AS (SELECT DISTINCT predicted_priority AS priority FROM srv)
+SELECT CAST(display_order AS INTEGER) AS display_order, priority FROM fixed
+WHERE priority IN (SELECT priority FROM present)
+   OR NOT EXISTS (SELECT 1 FROM present WHERE priority IN ('Low', 'Medium', 'High', 'Critical'))"""),
+    "filter_threats": with_ctes(*SERVE_BASE, tail="""
+SELECT id, threat_type, predicted_priority, round(predicted_priority_score, 6)
+       AS predicted_priority_score FROM srv
+WHERE threat_type IN ('cve', 'malicious_ip') AND predicted_priority IN ('Critical', 'High')"""),
+    "rank_threats": with_ctes(*SERVE_BASE, _ranked(True), tail=f"SELECT {RANK_SEL} FROM rk"),
+    "rank_threats_ascending": with_ctes(*SERVE_BASE, _ranked(False),
+                                        tail=f"SELECT {RANK_SEL} FROM rk"),
+    "page": with_ctes(*SERVE_BASE, _ranked(True), _page_filter(3, 25), tail=_page_rows(3, 25)),
+    "page_deep": with_ctes(*SERVE_BASE, _ranked(True), _page_filter(250, 50),
+                           tail=_page_rows(250, 50)),
+    "page_info": with_ctes(*SERVE_BASE, _page_filter(3, 25), tail="""
+SELECT CAST(pg AS BIGINT) AS page, CAST(25 AS BIGINT) AS page_size,
+       CAST((pg - 1) * 25 + 1 AS BIGINT) AS start_row,
+       CAST(least(pg * 25, n) AS BIGINT) AS end_row, n AS total_rows,
+       CAST(greatest(1, CAST(ceil(n / 25) AS BIGINT)) AS BIGINT) AS total_pages FROM tot, pb"""),
+    "display_projection": with_ctes(*SERVE_BASE, _ranked(True), _page_filter(2, 50), tail=f"""
+SELECT {DISPLAY_SEL} FROM rk, pb WHERE position > (pg - 1) * 50 AND position <= pg * 50"""),
+    "inspect": with_ctes(*SERVE_BASE, tail="""
+SELECT id, title, threat_type, source, round(severity_raw, 2) AS severity_raw, predicted_priority,
+       round(coalesce(predicted_priority_score, 0.0), 4) AS ml_rank_score, heuristic_label,
+       first_seen, last_seen, description, vendor, cwe, reference_count, country_code, isp
+FROM flt WHERE id = 'CVE-2025-1' LIMIT 1"""),
+})

@@ -56,3 +56,46 @@ def fixture_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_snapshot(fixture_snapshot(spark, sf_dir), FIXTURE_NOW)
+
+
+def served_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot with labels and predictions written, as the serving side reads it.
+
+    The prediction columns carry the heuristic itself (label and score), a
+    deterministic scorer, so every serving query has an exact SQL oracle.  The
+    fitted-model predictions are exercised by the ML keys.
+    """
+    lab = fixture_labelled(spark, sf_dir)
+    cols = []
+    for c in ST.STORED_FIELDS:
+        if c == "predicted_priority":
+            cols.append(F.col("heuristic_label").alias(c))
+        elif c == "predicted_priority_score":
+            cols.append(F.col("priority_score").alias(c))
+        else:
+            cols.append(F.col(c))
+    return lab.select(*cols)
+
+
+UPSERT_SPLIT_TS = "2024-01-16 00:00:00"
+
+
+def two_batch_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch 1: all vulnerability records + address reports from 16 Jan on;
+    batch 2: the *older* reports (1–15 Jan), upserted afterwards.  Exercises
+    insert, overwrite-with-older (no freshness test) and kept columns."""
+    from vigil.sources.fixtures import cve_records, ip_records
+    from vigil.sources.tables import read_table
+    configure(spark)
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice",
+                        "o_orderpriority", "o_orderstatus")
+    lineitem = read_table(spark, sf_dir, "lineitem",
+                          "l_orderkey", "l_returnflag", "l_linestatus", "l_quantity")
+    events = read_table(spark, sf_dir, "events",
+                        "event_id", "ts", "user_id", "event_type", "value", "props")
+    late = events.filter(F.col("ts") >= F.lit(UPSERT_SPLIT_TS).cast("timestamp_ntz"))
+    early = events.filter(F.col("ts") < F.lit(UPSERT_SPLIT_TS).cast("timestamp_ntz"))
+    b1, _ = ingest(cve_records(orders, lineitem), ip_records(late), batch_id=1)
+    b2 = ST.to_stored(dedup.keep_latest(N.valid(N.normalize_ip(ip_records(early)))), batch_id=2)
+    s1 = U.upsert(ST.empty_snapshot(spark), b1, check_size=False)
+    return U.upsert(s1, b2)

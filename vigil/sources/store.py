@@ -16,8 +16,13 @@ from vigil.schemas import STORED, STORED_FIELDS
 
 
 def empty_snapshot(spark: SparkSession) -> DataFrame:
-    """K1: the table definition as an empty frame with the stored schema."""
-    return spark.createDataFrame([], STORED)
+    """K1: the table definition as an empty frame with the stored schema.
+
+    Built as ``LIMIT 0`` over typed NULLs, which the optimizer folds into an
+    empty local relation, so joins against a new table are pruned at plan time.
+    """
+    return spark.range(1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in STORED.fields]).limit(0)
 
 
 def to_stored(batch: DataFrame, batch_id: int = 0) -> DataFrame:
