@@ -148,3 +148,10 @@ def inspect(df: DataFrame, threat_id: str) -> DataFrame:
         "heuristic_label", "first_seen", "last_seen", "description",
         *[F.col(f"extra.{x}").alias(x) for x in ("vendor", "cwe", "reference_count",
                                                    "country_code", "isp")])
+
+
+def metrics_summary(metrics: DataFrame) -> DataFrame:
+    """S8: model name with '_' → ' ' in title case, accuracy × 100 to one decimal."""
+    return metrics.select(
+        F.initcap(F.regexp_replace(F.col("model"), "_", " ")).alias("model_name"),
+        F.round(F.col("accuracy") * 100, 1).alias("accuracy_pct"))

@@ -372,3 +372,220 @@ def q_inspect(spark, sf_dir):
 def q_entry(spark, sf_dir):
     pg = V.page(V.filter_threats(P.served_store(spark, sf_dir)), 1, C.DEFAULT_PAGE_SIZE)
     return V.display_projection(pg)
+
+
+# ----------------------------------------------------------------------- ML --
+from pyspark import StorageLevel  # noqa: E402
+
+from vigil.operators import evaluate as EV  # noqa: E402
+from vigil.operators import ml as ML  # noqa: E402
+from vigil.operators import split as SP  # noqa: E402
+
+_ML: dict = {}
+Z = [f"{c}_z" for c in C.FEATURE_COLS]
+
+
+def _ml_data(spark, sf_dir) -> dict:
+    """Labelled rows + split, materialised once per session.
+
+    The split is cut from its lineage with a reliable ``checkpoint()`` (shared
+    checkpoint folder): model fitting makes many passes and every evaluation
+    query builds small plans on top, which would otherwise re-analyse the whole
+    ingest plan each time.
+    """
+    from vigil.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ML:
+        ensure_checkpoint_dir(spark)
+        lab = P.fixture_labelled(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        sp = SP.stratified_split(lab).checkpoint(eager=True)
+        lab.unpersist()
+        train = ML.with_label(sp.filter(~F.col("is_test")))
+        test = ML.with_label(sp.filter(F.col("is_test")))
+        weights = ML.class_weights(train)
+        stats = ML.scaler_stats(train)
+        _ML[key] = {"split": sp, "train": ML.with_weights(train, weights), "test": test,
+                    "weights": weights, "stats": stats, "models": {},
+                    "n_train": None}
+    return _ML[key]
+
+
+def _model(spark, sf_dir, name: str):
+    d = _ml_data(spark, sf_dir)
+    if name not in d["models"]:
+        train = d["train"]
+        if name == "logistic_regression":
+            if d["n_train"] is None:
+                d["n_train"] = train.count()
+            z = ML.standardize(train, d["stats"], suffix="_z")
+            d["models"][name] = ML.fit_pipeline(z, ML.logistic_regression(d["n_train"]), Z)
+        elif name == "decision_tree":
+            d["models"][name] = ML.fit_pipeline(train, ML.decision_tree())
+        else:
+            d["models"][name] = ML.fit_pipeline(train, ML.random_forest())
+    return d["models"][name]
+
+
+def _model_input(spark, sf_dir, name: str, df: DataFrame) -> DataFrame:
+    d = _ml_data(spark, sf_dir)
+    return ML.standardize(df, d["stats"], suffix="_z") if name == "logistic_regression" else df
+
+
+MODELS = ["logistic_regression", "decision_tree", "random_forest"]
+
+
+def _test_predictions(spark, sf_dir, name: str) -> DataFrame:
+    d = _ml_data(spark, sf_dir)
+    return _model(spark, sf_dir, name).transform(_model_input(spark, sf_dir, name, d["test"]))
+
+
+@query("stratified_split")
+def q_split(spark, sf_dir):
+    return _ml_data(spark, sf_dir)["split"].select("id", "heuristic_label", "is_test")
+
+
+@query("standardize")
+def q_standardize(spark, sf_dir):
+    d = _ml_data(spark, sf_dir)
+    z = ML.standardize(d["split"], d["stats"], suffix="_z")
+    return finish(z.select("id", "is_test", *Z))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    return finish(_ml_data(spark, sf_dir)["weights"])
+
+
+def _baseline_test(spark, sf_dir) -> DataFrame:
+    d = _ml_data(spark, sf_dir)
+    table = ML.fit_band_baseline(d["train"])
+    return ML.predict_band_baseline(d["test"], table)
+
+
+@query("accuracy")
+def q_accuracy(spark, sf_dir):
+    return finish(EV.accuracy(_baseline_test(spark, sf_dir)))
+
+
+@query("classification_report")
+def q_report(spark, sf_dir):
+    return finish(EV.classification_report(_baseline_test(spark, sf_dir)))
+
+
+@query("confusion_matrix")
+def q_confusion(spark, sf_dir):
+    return EV.confusion_matrix(_baseline_test(spark, sf_dir))
+
+
+@query("expected_severity")
+def q_expected(spark, sf_dir):
+    d = _ml_data(spark, sf_dir)
+    table = ML.fit_band_baseline(d["train"])
+    p = ML.predict_band_baseline(d["split"], table)
+    return finish(p.select("id", S.rank_label(F.col("prediction").cast("int")).alias("predicted_priority"),
+                           ML.expected_severity(F.col("probability")).alias("predicted_priority_score")))
+
+
+def _pred_rows(spark, sf_dir, name):
+    p = _test_predictions(spark, sf_dir, name)
+    return p.select("id", "heuristic_label",
+                    S.rank_label(F.col("prediction").cast("int")).alias("predicted_label"))
+
+
+@query("train_logreg")
+def q_train_lr(spark, sf_dir):
+    return _pred_rows(spark, sf_dir, "logistic_regression")
+
+
+@query("train_dtree")
+def q_train_dt(spark, sf_dir):
+    return _pred_rows(spark, sf_dir, "decision_tree")
+
+
+@query("train_rf")
+def q_train_rf(spark, sf_dir):
+    return _pred_rows(spark, sf_dir, "random_forest")
+
+
+@query("feature_importance")
+def q_importance(spark, sf_dir):
+    rows = []
+    for name in MODELS:
+        fi = ML.feature_importance(_model(spark, sf_dir, name), Z if name == "logistic_regression"
+                                   else C.FEATURE_COLS) or {}
+        rows += [(name, f.removesuffix("_z"), float(v)) for f, v in fi.items()]
+    return spark.createDataFrame(rows, "model string, feature string, importance double")
+
+
+def metrics_frame(spark, sf_dir) -> DataFrame:
+    """E5: one row per model — accuracy, macro/weighted F1, confusion matrix, importances."""
+    out = None
+    for name in MODELS:
+        pred = _test_predictions(spark, sf_dir, name)
+        acc = EV.accuracy(pred)
+        rep = EV.classification_report(pred)
+        f1 = rep.groupBy().pivot("class", ["macro avg", "weighted avg"]).agg(F.first("f1_score"))
+        cm = EV.confusion_matrix(pred).agg(F.collect_list(F.array(*C.PRIORITY_LABELS)).alias("cm"))
+        row = (acc.crossJoin(f1).crossJoin(cm)
+               .select(F.lit(name).alias("model"), "accuracy", "n_test",
+                       F.col("macro avg").alias("macro_f1"),
+                       F.col("weighted avg").alias("weighted_f1"),
+                       F.col("cm").alias("confusion_matrix"),
+                       F.array(*[F.lit(x) for x in C.PRIORITY_LABELS]).alias("labels_order")))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("evaluate_all")
+def q_evaluate_all(spark, sf_dir):
+    return metrics_frame(spark, sf_dir).select("model", "accuracy", "n_test", "macro_f1",
+                                               "weighted_f1")
+
+
+def _rf_scored(spark, sf_dir) -> DataFrame:
+    d = _ml_data(spark, sf_dir)
+    return ML.score_all(_model(spark, sf_dir, "random_forest"), d["split"])
+
+
+@query("predict_all")
+def q_predict_all(spark, sf_dir):
+    return finish(_rf_scored(spark, sf_dir).select("id", "predicted_priority",
+                                                   "predicted_priority_score"))
+
+
+@query("write_predictions")
+def q_write_predictions(spark, sf_dir):
+    from vigil.operators import upsert as U
+    snap = P.fixture_snapshot(spark, sf_dir)
+    preds = _rf_scored(spark, sf_dir).select("id", "predicted_priority", "predicted_priority_score")
+    return finish(U.write_predictions(snap, preds).select(
+        "id", "threat_type", "predicted_priority", "predicted_priority_score"))
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    import uuid
+
+    from pyspark.ml import PipelineModel
+
+    from vigil.session import shared_path
+    d = _ml_data(spark, sf_dir)
+    model = _model(spark, sf_dir, "random_forest")
+    path = shared_path(spark, "vigil-models", uuid.uuid4().hex, "random_forest")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    a = model.transform(d["test"]).select("id", F.col("prediction").alias("prediction"))
+    b = loaded.transform(d["test"]).select("id", F.col("prediction").alias("prediction_reloaded"))
+    return a.join(b, "id")
+
+
+@query("metrics_summary")
+def q_metrics_summary(spark, sf_dir):
+    """K5 then S8: metrics written as JSON, read back, names title-cased, accuracy in %."""
+    import uuid
+
+    from vigil.operators import serve as V2
+    from vigil.session import shared_path
+    path = shared_path(spark, "vigil-reports", uuid.uuid4().hex, "metrics")
+    metrics_frame(spark, sf_dir).coalesce(1).write.mode("overwrite").json(path)
+    return V2.metrics_summary(spark.read.json(path))

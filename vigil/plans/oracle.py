@@ -354,3 +354,100 @@ SELECT id, title, threat_type, source, round(severity_raw, 2) AS severity_raw, p
        first_seen, last_seen, description, vendor, cwe, reference_count, country_code, isp
 FROM flt WHERE id = 'CVE-2025-1' LIMIT 1"""),
 })
+
+
+# ------------------------------------------------------------------- ML -----
+SPLIT = f"""
+sc AS (SELECT heuristic_label AS lbl, count(*) AS cnt FROM lab GROUP BY heuristic_label),
+tot AS (SELECT sum(cnt) AS n, CAST(ceil({_d(C.TEST_SIZE)} * sum(cnt)) AS BIGINT) AS n_test FROM sc),
+al AS (SELECT lbl, cnt, n, n_test, ((n - n_test) * cnt) // n AS base,
+              ((n - n_test) * cnt) % n AS rem FROM sc, tot),
+al2 AS (SELECT *, row_number() OVER (ORDER BY rem DESC, lbl) AS rr,
+               (n - n_test) - sum(base) OVER () AS leftover FROM al),
+alloc AS (SELECT lbl, cnt - (base + CASE WHEN rr <= leftover THEN 1 ELSE 0 END) AS n_test_c FROM al2),
+hashed AS (SELECT lab.*, md5('{C.RANDOM_SEED}:' || coalesce(id, '')) AS hsh FROM lab),
+spl AS (SELECT hashed.*,
+               row_number() OVER (PARTITION BY heuristic_label ORDER BY hsh, seq) <= alloc.n_test_c
+                 AS is_test
+        FROM hashed JOIN alloc ON alloc.lbl = hashed.heuristic_label),
+tr AS (SELECT * FROM spl WHERE NOT is_test)"""
+
+_RANK = ("CASE heuristic_label WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2 "
+         "WHEN 'Critical' THEN 3 END")
+_BAND = (f"CASE WHEN severity_raw >= {_d(9.0)} THEN 3 WHEN severity_raw >= {_d(7.0)} THEN 2 "
+         f"WHEN severity_raw >= {_d(4.0)} THEN 1 ELSE 0 END")
+BAND = f"""
+btr AS (SELECT {_BAND} AS band, {_RANK} AS r FROM tr),
+bt AS (SELECT band, {', '.join(f'count(*) FILTER (WHERE r = {r}) / count(*) AS p{r}' for r in range(4))}
+       FROM btr GROUP BY band),
+ball AS (SELECT spl.*, {_BAND} AS band, CAST({_RANK} AS DOUBLE) AS label FROM spl),
+pr0 AS (SELECT ball.*, {', '.join(f'coalesce(bt.p{r}, {_d(0.0)}) AS q{r}' for r in range(4))}
+        FROM ball LEFT JOIN bt ON bt.band = ball.band),
+pr_all AS (SELECT *, CAST(CASE WHEN q0 >= q1 AND q0 >= q2 AND q0 >= q3 THEN 0
+                          WHEN q1 >= q2 AND q1 >= q3 THEN 1 WHEN q2 >= q3 THEN 2 ELSE 3 END
+                          AS DOUBLE) AS prediction FROM pr0),
+pr AS (SELECT * FROM pr_all WHERE is_test)"""
+
+_LABEL_OF = ("CASE {x} WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium' WHEN 2 THEN 'High' "
+             "WHEN 3 THEN 'Critical' END")
+ML_BASE = LABELLED + (SPLIT,)
+_ZCOLS = C.FEATURE_COLS
+STATS = ("\nst AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _ZCOLS)
+         + " FROM tr)")
+Z_SEL = ", ".join(
+    f"round(({c} - m_{c}) / CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN {_d(1.0)} ELSE s_{c} END, 6)"
+    f" AS {c}_z" for c in _ZCOLS)
+
+PAIRS = """
+grid AS (SELECT t.r AS t, p.r AS p FROM (VALUES (0), (1), (2), (3)) t(r),
+                                      (VALUES (0), (1), (2), (3)) p(r)),
+pc AS (SELECT CAST(label AS INTEGER) AS t, CAST(prediction AS INTEGER) AS p, count(*) AS n
+       FROM pr GROUP BY 1, 2),
+pairs AS (SELECT grid.t, grid.p, coalesce(pc.n, 0) AS n FROM grid LEFT JOIN pc
+          ON pc.t = grid.t AND pc.p = grid.p),
+per AS (SELECT t AS r, sum(CASE WHEN t = p THEN n ELSE 0 END) AS tp, sum(n) AS support
+        FROM pairs GROUP BY t),
+npred AS (SELECT p AS r, sum(n) AS n_pred FROM pairs GROUP BY p),
+m0 AS (SELECT per.r, tp, support, n_pred,
+              CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS precision,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall
+       FROM per JOIN npred ON per.r = npred.r),
+m AS (SELECT *, CASE WHEN precision + recall > 0
+                     THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1_score
+      FROM m0)"""
+
+SQL.update({
+    "stratified_split": with_ctes(*ML_BASE, tail="SELECT id, heuristic_label, is_test FROM spl"),
+    "standardize": with_ctes(*ML_BASE, STATS, tail=f"SELECT id, is_test, {Z_SEL} FROM spl, st"),
+    "class_weights": with_ctes(*ML_BASE, tail="""
+, cw AS (SELECT heuristic_label, count(*) AS n_class FROM tr GROUP BY heuristic_label)
+SELECT heuristic_label, n_class,
+       round((SELECT count(*) FROM tr) / ((SELECT count(*) FROM cw) * n_class), 6) AS weight
+FROM cw"""),
+    "accuracy": with_ctes(*ML_BASE, BAND, tail="""
+SELECT round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       count(*) AS n_test FROM pr"""),
+    "confusion_matrix": with_ctes(*ML_BASE, BAND, PAIRS, tail=f"""
+SELECT {_LABEL_OF.format(x='t')} AS true_label,
+       CAST(sum(n) FILTER (WHERE p = 0) AS BIGINT) AS "Low",
+       CAST(sum(n) FILTER (WHERE p = 1) AS BIGINT) AS "Medium",
+       CAST(sum(n) FILTER (WHERE p = 2) AS BIGINT) AS "High",
+       CAST(sum(n) FILTER (WHERE p = 3) AS BIGINT) AS "Critical"
+FROM pairs GROUP BY t"""),
+    "classification_report": with_ctes(*ML_BASE, BAND, PAIRS, tail=f"""
+SELECT {_LABEL_OF.format(x='r')} AS class, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, CAST(support AS BIGINT) AS support
+FROM m
+UNION ALL
+SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1_score), 6),
+       CAST(sum(support) AS BIGINT) FROM m
+UNION ALL
+SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+       round(sum(recall * support) / sum(support), 6),
+       round(sum(f1_score * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM m"""),
+    "expected_severity": with_ctes(*ML_BASE, BAND, tail=f"""
+SELECT id, {_LABEL_OF.format(x='CAST(prediction AS INTEGER)')} AS predicted_priority,
+       round((q0 * {_d(0.0)} + q1 * {_d(1.0)} + q2 * {_d(2.0)} + q3 * {_d(3.0)}) / {_d(3.0)}, 6)
+         AS predicted_priority_score
+FROM pr_all"""),
+})
