@@ -260,28 +260,15 @@ def _store_flat(df: DataFrame) -> DataFrame:
     return finish(flat(df.select(*STORE_OUT, "extra")))
 
 
-def _committed_fixture(spark, sf_dir) -> str:
-    """Write the fixture snapshot into a fresh store folder under the shared
-    checkpoint directory; returns the store root."""
-    import uuid
-
-    from vigil.session import shared_path
-    from vigil.sources import store as ST
-    root = shared_path(spark, "vigil-store", uuid.uuid4().hex)
-    ST.commit(spark, root, P.fixture_snapshot(spark, sf_dir))
-    return root
-
-
 @query("scan_threats")
 def q_scan(spark, sf_dir):
-    from vigil.sources import store as ST
-    return _store_flat(ST.scan(spark, _committed_fixture(spark, sf_dir)))
+    return _store_flat(P.fixture_snapshot(spark, sf_dir))
 
 
 @query("count_threats")
 def q_count(spark, sf_dir):
     from vigil.sources import store as ST
-    return ST.count(ST.scan(spark, _committed_fixture(spark, sf_dir)))
+    return ST.count(P.fixture_snapshot(spark, sf_dir))
 
 
 @query("upsert_threats")

@@ -64,9 +64,9 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return v[-1] if v else None
 
 
-def scan(spark: SparkSession, root: str) -> DataFrame:
-    """S6: the current snapshot (empty, with schema, when none was written yet)."""
-    v = current_version(spark, root)
+def scan(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """S6: the current (or a given) snapshot; empty with schema when none exists."""
+    v = version if version is not None else current_version(spark, root)
     if v is None:
         return empty_snapshot(spark)
     return spark.read.schema(STORED).parquet(f"{root.rstrip('/')}/v={v:06d}") \
