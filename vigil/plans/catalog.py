@@ -576,3 +576,51 @@ def q_metrics_summary(spark, sf_dir):
     path = shared_path(spark, "vigil-reports", uuid.uuid4().hex, "metrics")
     metrics_frame(spark, sf_dir).coalesce(1).write.mode("overwrite").json(path)
     return V2.metrics_summary(spark.read.json(path))
+
+
+# ------------------------------------------------------------------ sources --
+from vigil.sources import landed as LD  # noqa: E402
+from vigil.sources import synthetic as GEN  # noqa: E402
+from vigil.sources.tables import read_table  # noqa: E402
+
+ALL_PAGES = 10 ** 9
+
+
+@query("read_cve_pages")
+def q_read_cve_pages(spark, sf_dir):
+    """S1 over the whole table: records landed as 200-record envelopes, read back."""
+    cve, _ = _feeds(spark, sf_dir)
+    pages = LD.envelope(cve, "vulnerabilities", lambda s: F.floor(s / C.CVE_RESULTS_PER_PAGE),
+                        C.CVE_RESULTS_PER_PAGE)
+    rec = LD.cve_pages_to_records(pages, max_pages=ALL_PAGES)
+    norm = N.valid(N.normalize_cve(rec.select("seq", "raw")))
+    return finish(rec.select("seq", "page", "pos").join(norm.select("seq", "id", "severity_raw"),
+                                                        "seq"))
+
+
+@query("read_ip_min_confidence")
+def q_read_ip(spark, sf_dir):
+    """S2: report envelopes of 1,000 events; defaults floor 50, cap 500 (the cap is the feature)."""
+    _, ip = _feeds(spark, sf_dir)
+    pages = LD.envelope(ip, "data", lambda s: F.floor((s - FX.IP_SEQ_BASE) / 1000), 1000)
+    top = LD.ip_pages_to_records(pages, 0, None)
+    return finish(top.select("seq", "ip", "confidence"))
+
+
+@query("gen_cve")
+def q_gen_cve(spark, sf_dir):
+    """S3: one synthetic vulnerability record per order, normalised."""
+    configure(spark)
+    idx = read_table(spark, sf_dir, "orders", "o_orderkey").select(F.col("o_orderkey").alias("i"))
+    n = N.valid(N.normalize_cve(GEN.gen_cve(idx, FX.FIXTURE_NOW)))
+    return finish(flat(n.select("id", "severity_raw", "exploited_flag", "report_count",
+                                "last_seen", "extra")))
+
+
+@query("gen_ip")
+def q_gen_ip(spark, sf_dir):
+    """S4: one synthetic report (unique address) per event, normalised."""
+    configure(spark)
+    idx = read_table(spark, sf_dir, "events", "event_id").select(F.col("event_id").alias("i"))
+    n = N.valid(N.normalize_ip(GEN.gen_ip(idx, FX.FIXTURE_NOW)))
+    return finish(flat(n.select("id", "severity_raw", "report_count", "last_seen", "extra")))

@@ -451,3 +451,20 @@ SELECT id, {_LABEL_OF.format(x='CAST(prediction AS INTEGER)')} AS predicted_prio
          AS predicted_priority_score
 FROM pr_all"""),
 })
+
+
+# -------------------------------------------------------------- sources -----
+SQL.update({
+    "read_cve_pages": with_ctes(CVE, tail=f"""
+, pg AS (SELECT seq AS k, id, severity_raw, CAST(floor(seq / {C.CVE_RESULTS_PER_PAGE}) AS INTEGER) AS page
+         FROM cve),
+pp AS (SELECT *, CAST(row_number() OVER (PARTITION BY page ORDER BY k) - 1 AS INTEGER) AS pos FROM pg)
+SELECT CAST(page AS BIGINT) * {C.CVE_RESULTS_PER_PAGE} + pos AS seq, page, pos, id,
+       round(severity_raw, 6) AS severity_raw FROM pp"""),
+    "read_ip_min_confidence": with_ctes(IP, tail=f"""
+, pg AS (SELECT ip0.*, CAST(floor(event_id / 1000) AS INTEGER) AS page FROM ip0),
+pp AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY event_id) - 1 AS pos FROM pg)
+SELECT CAST(page AS BIGINT) * 1000000 + pos AS seq, ip, round(CAST(conf AS DOUBLE), 6) AS confidence
+FROM pp WHERE conf >= {C.IP_CONFIDENCE_MINIMUM}
+ORDER BY conf DESC, ip, seq LIMIT {C.IP_LIMIT}"""),
+})
