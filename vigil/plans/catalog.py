@@ -508,7 +508,10 @@ def metrics_frame(spark, sf_dir) -> DataFrame:
     """E5: one row per model — accuracy, macro/weighted F1, confusion matrix, importances."""
     out = None
     for name in MODELS:
-        pred = _test_predictions(spark, sf_dir, name)
+        # Test-set predictions are small (one row per test row, two columns) and
+        # feed three aggregates: persist them once per model.
+        pred = _test_predictions(spark, sf_dir, name).select("label", "prediction") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
         acc = EV.accuracy(pred)
         rep = EV.classification_report(pred)
         f1 = rep.groupBy().pivot("class", ["macro avg", "weighted avg"]).agg(F.first("f1_score"))
