@@ -20,6 +20,19 @@ from vigil.schemas import STORED_FIELDS, UPSERT_KEEP, UPSERT_OVERWRITE
 from vigil.session import broadcast_if_small
 
 
+def join_key(df: DataFrame, side: str) -> DataFrame:
+    """``_k`` = id, or for a NULL id a unique token of this side.
+
+    NULL ids never match anything, but as a shuffle key they would all land in
+    one reducer (a third of the rows may carry no id).  A per-row token keeps
+    them spread and still never equal to a real id or to the other side.
+    """
+    token = F.concat(F.lit(f"\u0000{side}:"),
+                     F.coalesce(F.col("batch_id"), F.lit(-1)).cast("string"), F.lit(":"),
+                     F.coalesce(F.col("seq"), F.lit(-1)).cast("string"))
+    return df.withColumn("_k", F.coalesce(F.col("id"), token))
+
+
 def upsert(store: DataFrame, batch: DataFrame, only_if_newer: bool = False,
            check_size: bool = True) -> DataFrame:
     """K2.  ``batch`` is in stored layout (see ``store.to_stored``), one row per id.
@@ -31,19 +44,19 @@ def upsert(store: DataFrame, batch: DataFrame, only_if_newer: bool = False,
     ``only_if_newer`` adds the freshness test the upstream table lacks (off by
     default to match it: an older batch overwrites newer values).
     """
-    # An equi-join never matches a NULL id: NULL-id store rows survive the
-    # anti join and NULL-id batch rows pass the left join as inserts, which is
-    # exactly the "NULL keys are always new" rule — no separate branch needed.
-    b, s = batch, store
-    keys = b.select("id").filter(F.col("id").isNotNull())
+    # NULL ids never match: NULL-id store rows survive the anti join and NULL-id
+    # batch rows pass the left join as inserts ("NULL keys are always new").
+    # Joins run on the salted key ``_k`` so such rows never pile up in one task.
+    b, s = join_key(batch, "b"), join_key(store, "s")
+    keys = batch.select(F.col("id").alias("_k")).filter(F.col("_k").isNotNull())
     if check_size:
         keys, _ = broadcast_if_small(keys)
-    untouched = s.join(keys, "id", "left_anti")
-    matches = s.join(keys, "id", "left_semi")
+    untouched = s.join(keys, "_k", "left_anti")
+    matches = s.join(keys, "_k", "left_semi")
 
-    old = matches.select("id", *[F.col(c).alias(f"_old_{c}") for c in
+    old = matches.select("_k", *[F.col(c).alias(f"_old_{c}") for c in
                                  set(UPSERT_KEEP) | set(UPSERT_OVERWRITE)])
-    j = b.join(old, "id", "left")
+    j = b.join(old, "_k", "left")
     exists = F.col("_old_batch_id").isNotNull()
     take_new = exists & (~F.lit(only_if_newer) | (F.coalesce(F.col("last_seen"), F.lit(""))
                                                    >= F.coalesce(F.col("_old_last_seen"), F.lit(""))))
@@ -66,9 +79,9 @@ def write_back(store: DataFrame, updates: DataFrame, columns: list[str]) -> Data
     values; a NULL id never matches.  ``updates`` must hold one row per id
     (callers dedup with ``max_by`` when a source may repeat ids).
     """
-    u = updates.select("id", *[F.col(c).alias(f"_new_{c}") for c in columns]) \
-        .filter(F.col("id").isNotNull()).withColumn("_hit", F.lit(True))
-    j = store.join(u, "id", "left")
+    u = updates.select(F.col("id").alias("_k"), *[F.col(c).alias(f"_new_{c}") for c in columns]) \
+        .filter(F.col("_k").isNotNull()).withColumn("_hit", F.lit(True))
+    j = join_key(store, "s").join(u, "_k", "left")
     out = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
            if c in columns else F.col(c) for c in STORED_FIELDS]
     return j.select(*out)
