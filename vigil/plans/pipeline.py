@@ -31,6 +31,27 @@ def label_snapshot(snapshot: DataFrame, now: dt.datetime | str) -> DataFrame:
     return labels.apply_heuristic_labels(features.with_features(snapshot, now))
 
 
+FILLED = ["report_count", "exploited_flag", "severity_raw", "source_reliability"]
+
+
+def labelled_in_place(snapshot: DataFrame, now: dt.datetime | str) -> DataFrame:
+    """Snapshot rows + features + ``priority_score`` with the *stored* values of the
+    columns feature filling overwrites kept intact, and ``heuristic_label`` set.
+
+    Equivalent to writing the labels back by id (labels come from these very
+    rows) but without a join: at table scale that saves a full shuffle of the
+    snapshot on both sides.  NULL-id rows keep a NULL label, as a keyed update
+    never matches them.
+    """
+    stash = snapshot.withColumns({f"_s_{c}": F.col(c) for c in FILLED})
+    lab = label_snapshot(stash, now)
+    return lab.withColumns({
+        **{c: F.col(f"_s_{c}") for c in FILLED},
+        "heuristic_label": F.when(F.col("id").isNotNull(), F.col("heuristic_label")),
+        "priority_score": F.when(F.col("id").isNotNull(), F.col("priority_score")),
+    }).drop(*[f"_s_{c}" for c in FILLED])
+
+
 def labelled_store(snapshot: DataFrame, now: dt.datetime | str) -> DataFrame:
     """The snapshot with ``heuristic_label`` written back by id (K3); every
     other stored column keeps its stored value."""
@@ -56,13 +77,11 @@ _STORES: dict = {}
 def with_predictions_from_heuristic(snapshot: DataFrame, now: dt.datetime | str) -> DataFrame:
     """Snapshot with labels written back and the heuristic (label, score) as the
     prediction columns — a deterministic scorer, so serving queries have exact
-    SQL oracles.  Written by id (K3 + K4 in one join); fitted-model predictions
-    are written the same way by ``run``."""
-    lab = label_snapshot(snapshot, now).select(
-        "id", "heuristic_label", F.col("heuristic_label").alias("predicted_priority"),
-        F.col("priority_score").alias("predicted_priority_score"))
-    return U.write_back(snapshot, lab, ["predicted_priority", "predicted_priority_score",
-                                        "heuristic_label"])
+    SQL oracles.  Written in place (see ``labelled_in_place``): no join back."""
+    lab = labelled_in_place(snapshot, now)
+    return lab.select(*[F.col("heuristic_label").alias(c) if c == "predicted_priority"
+                        else F.col("priority_score").alias(c) if c == "predicted_priority_score"
+                        else F.col(c) for c in ST.STORED_FIELDS])
 
 
 def fixture_store(spark: SparkSession, sf_dir: str) -> dict:
