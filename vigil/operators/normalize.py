@@ -59,6 +59,17 @@ def _c(name: str) -> Column:
 
 
 _EMPTY_VARIANTS = "cast(array() as array<variant>)"
+_LANG_VALUE = "array<struct<lang:string,value:string>>"
+_REF_TAGS = "array<struct<tags:array<string>>>"
+
+
+def _no_nulls(arr: Column) -> Column:
+    return F.size(F.array_compact(arr)) == F.size(arr)
+
+
+def _typed_ok(arr: Column) -> Column:
+    """The typed cast succeeded and has no NULL entries (every entry an object)."""
+    return arr.isNotNull() & _no_nulls(arr)
 
 
 def _cve_stages() -> list[dict[str, Column]]:
@@ -91,6 +102,8 @@ def _cve_stages() -> list[dict[str, Column]]:
         "_rc_long": V.as_long(_c("_rc")),
     }
     s3b = {
+        "_d_typed": F.try_variant_get(_c("_d"), "$", _LANG_VALUE),
+        "_r_typed": F.try_variant_get(_c("_r"), "$", _REF_TAGS),
         "_d_elems": F.coalesce(_c("_d_arr"), F.expr(_EMPTY_VARIANTS)),
         "_r_elems": F.coalesce(_c("_r_arr"), F.expr(_EMPTY_VARIANTS)),
         "_w_on": V.py_truthy(_c("_w")),
@@ -108,26 +121,43 @@ def _cve_stages() -> list[dict[str, Column]]:
                 .when(V.is_object(tags), F.map_contains_key(V.as_object(tags), "Exploit"))
                 .otherwise(F.lit(None).cast("boolean")))
 
+    # Fast path: a well-formed array casts to a typed array of structs, and the
+    # scans become code-generated array functions.  Anything else (non-object
+    # entries, NULL or missing tags, string tags …) takes the lambda path,
+    # which CASE WHEN evaluates only for those rows.
+    r_tags = _c("_r_typed").getField("tags")
+    fast_r = (_c("_r_typed").isNotNull() & _no_nulls(_c("_r_typed")) & _no_nulls(r_tags))
+    hits = F.transform(_c("_r_elems"), tag_hit)
     s4 = {
-        "_d_en": _first_en(_c("_d_elems"))[0],
-        "_d_bad": _first_en(_c("_d_elems"))[1],
+        "_d_en": F.when(_typed_ok(_c("_d_typed")),
+                        F.coalesce(F.array_position(_c("_d_typed").getField("lang"), "en"), F.lit(0)))
+                  .otherwise(_first_en(_c("_d_elems"))[0]),
+        "_d_bad": F.when(_typed_ok(_c("_d_typed")), F.lit(0).cast("bigint"))
+                   .otherwise(_first_en(_c("_d_elems"))[1]),
         "_chosen": (F.when(V.py_truthy(_c("_m31")), _c("_m31"))
                     .when(V.py_truthy(_c("_m30")), _c("_m30"))
                     .when(V.py_truthy(_c("_m2")), _c("_m2"))),
-        "_hits": F.transform(_c("_r_elems"), tag_hit),
+        "_r_hit": F.when(fast_r, F.when(F.coalesce(F.array_contains(F.flatten(r_tags), "Exploit"),
+                                                    F.lit(False)), F.lit(1)).otherwise(F.lit(0))
+                         .cast("bigint"))
+                   .otherwise(F.coalesce(F.array_position(hits, True), F.lit(0))),
+        "_r_err": F.when(fast_r, F.lit(0).cast("bigint"))
+                   .otherwise(_first_true(hits, lambda h: h.isNull())),
         "_w_desc": V.field(_c("_w0"), "$.description"),
     }
     s5 = {
         "_d_val": V.field(F.get(_c("_d_elems"), _c("_d_en") - 1), "$.value"),
         "_metric0": F.get(V.as_array(_c("_chosen")), 0),
-        "_r_hit": F.coalesce(F.array_position(_c("_hits"), True), F.lit(0)),
-        "_r_err": _first_true(_c("_hits"), lambda h: h.isNull()),
         "_w_elems": F.coalesce(V.as_array(_c("_w_desc")), F.expr(_EMPTY_VARIANTS)),
+        "_w_typed": F.try_variant_get(_c("_w_desc"), "$", _LANG_VALUE),
     }
     s6 = {
         "_cvss": V.field(_c("_metric0"), "$.cvssData"),
-        "_w_en": _first_en(_c("_w_elems"))[0],
-        "_w_bad": _first_en(_c("_w_elems"))[1],
+        "_w_en": F.when(_typed_ok(_c("_w_typed")),
+                        F.coalesce(F.array_position(_c("_w_typed").getField("lang"), "en"), F.lit(0)))
+                  .otherwise(_first_en(_c("_w_elems"))[0]),
+        "_w_bad": F.when(_typed_ok(_c("_w_typed")), F.lit(0).cast("bigint"))
+                   .otherwise(_first_en(_c("_w_elems"))[1]),
     }
     s7 = {
         "_base": V.field(_c("_cvss"), "$.baseScore"),
