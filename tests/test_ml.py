@@ -72,3 +72,10 @@ def test_expected_severity(spark):
                                 ([0.25, 0.25, 0.25, 0.25],), ([0.5, 0.5, 0.0],)], "p array<double>")
     got = [r.e for r in df.select(ML.expected_severity(F.col("p")).alias("e")).collect()]
     assert got == pytest.approx([1.0, 0.0, 0.5, 0.5 / 3])
+
+
+def test_model_roundtrip(spark):
+    import __spark_entry__ as E
+    df = E.queries()["model_roundtrip"](spark, "/root/testdata/sf0.001")
+    assert df.count() > 0
+    assert df.filter("prediction <> prediction_reloaded").count() == 0

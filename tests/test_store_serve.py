@@ -120,3 +120,39 @@ def test_counters_and_lookup(spark):
     assert V.inspect(V.filter_threats(s), "id3").count() == 0        # searches the filtered set
     cols = V.display_projection(s).columns
     assert cols[:4] == ["ID", "Type", "Title", "Severity"]
+
+
+def test_upsert_null_id_heavy_batch_without_broadcast(spark):
+    """A third of the batch has no id; joins forced to shuffle (no broadcast)."""
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    prev_aqe = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        store = spark.createDataFrame([_row(i, f"s{i}", "a") for i in range(30)]
+                                      + [_row(100 + i, None, "a") for i in range(10)], STORED)
+        batch = spark.createDataFrame(
+            [_row(200 + i, f"s{i}", "b", batch=2) for i in range(20)]
+            + [_row(300 + i, f"n{i}", "b", batch=2) for i in range(10)]
+            + [_row(400 + i, None, "b", batch=2) for i in range(15)], STORED)
+        out = U.upsert(store, batch, check_size=False)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        rows = out.collect()
+        assert len(rows) == 30 + 10 + 10 + 15
+        assert sum(1 for r in rows if r.id is None) == 25
+        upd = {r.id: r for r in rows if r.id and r.id.startswith("s")}
+        assert sum(1 for r in upd.values() if r.last_seen == "b") == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        if prev_aqe is None:
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        else:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", prev_aqe)
+
+
+def test_empty_snapshot_features_keep_schema(spark):
+    from vigil.plans.pipeline import label_snapshot
+    out = label_snapshot(ST.empty_snapshot(spark), "2024-01-31T00:00:00Z")
+    assert out.count() == 0
+    assert {"report_count_norm", "recency_score", "priority_score", "heuristic_label"} <= set(out.columns)

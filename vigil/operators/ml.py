@@ -6,7 +6,7 @@ rank order — even when a class is absent from the training rows.
 """
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
@@ -94,7 +94,17 @@ def random_forest(num_trees: int = C.RF_NUM_TREES) -> RandomForestClassifier:
 
 
 def fit_pipeline(train: DataFrame, estimator, cols: list[str] = C.FEATURE_COLS) -> PipelineModel:
-    return Pipeline(stages=[assembler(cols), estimator]).fit(train)
+    """Assemble once, persist the narrow (features, label, weight) frame for the
+    fit's many passes, and return assembler + model as one ``PipelineModel``."""
+    from pyspark import StorageLevel
+    asm = assembler(cols)
+    keep = [c for c in ("features", "label", "weight") if c in train.columns or c == "features"]
+    data = asm.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = estimator.fit(data)
+    finally:
+        data.unpersist()
+    return PipelineModel(stages=[asm, model])
 
 
 def expected_severity(prob: Column) -> Column:
