@@ -156,3 +156,19 @@ def test_empty_snapshot_features_keep_schema(spark):
     out = label_snapshot(ST.empty_snapshot(spark), "2024-01-31T00:00:00Z")
     assert out.count() == 0
     assert {"report_count_norm", "recency_score", "priority_score", "heuristic_label"} <= set(out.columns)
+
+
+def test_keyset_pages_follow_ranking(spark):
+    f = V.filter_threats(_served(spark))
+    ranked = [r.id for r in V.rank_threats(f).orderBy("position").collect()]
+    got, cursor = [], None
+    first = V.page(f, 1, 2).orderBy("position").collect()
+    got += [r.id for r in first]
+    cursor = V.cursor_of(first[-1])
+    while True:
+        nxt = V.page_after(f, cursor, 2).collect()
+        if not nxt:
+            break
+        got += [r.id for r in nxt]
+        cursor = V.cursor_of(nxt[-1])
+    assert got == ranked                     # includes crossing the NULL-score row

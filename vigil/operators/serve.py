@@ -155,3 +155,46 @@ def metrics_summary(metrics: DataFrame) -> DataFrame:
     return metrics.select(
         F.initcap(F.regexp_replace(F.col("model"), "_", " ")).alias("model_name"),
         F.round(F.col("accuracy") * 100, 1).alias("accuracy_pct"))
+
+
+# ---------------------------------------------------------------- keyset --
+def rank_key_spec(desc: bool = True, score_col: str = "predicted_priority_score"
+                  ) -> list[tuple[str, Column, bool]]:
+    """(name, expression, descending) of the ranking order; NULLs sort last in
+    every key and (batch_id, seq) identifies a stored row, so the order is total."""
+    rank = F.coalesce(S.label_rank(F.col("predicted_priority")), F.lit(-1))
+    return [("_rank", rank, desc), ("_score", F.col(score_col), desc),
+            ("batch_id", F.col("batch_id"), False), ("seq", F.col("seq"), False)]
+
+
+def cursor_of(row, desc: bool = True) -> dict:
+    """Cursor (ranking-key values) of a row from a ranked page."""
+    rank = C.SEVERITY_RANK.get(row["predicted_priority"], -1)
+    return {"_rank": rank, "_score": row["predicted_priority_score"],
+            "batch_id": row["batch_id"], "seq": row["seq"]}
+
+
+def _after(expr: Column, value, descending: bool) -> Column:
+    """``expr`` strictly after ``value`` in one key's order (NULLs last)."""
+    if value is None:
+        return F.lit(False)                       # nothing sorts after a trailing NULL
+    beyond = expr < F.lit(value) if descending else expr > F.lit(value)
+    return beyond | expr.isNull()
+
+
+def page_after(df: DataFrame, cursor: dict, size: int = C.DEFAULT_PAGE_SIZE,
+               desc: bool = True) -> DataFrame:
+    """Keyset paging: the ``size`` rows that follow ``cursor`` in the ranking.
+
+    The same rows as ``page`` for the next page number, reached by a pushed-down
+    lexicographic predicate plus a top-k — no global sort and no offset, so a
+    deep page costs one scan however far down it is.
+    """
+    score = "predicted_priority_score" if "predicted_priority_score" in df.columns else "severity_raw"
+    spec = rank_key_spec(desc, score)
+    pred, equal_prefix = None, F.lit(True)
+    for name, expr, descending in spec:
+        term = equal_prefix & _after(expr, cursor[name], descending)
+        pred = term if pred is None else pred | term
+        equal_prefix = equal_prefix & expr.eqNullSafe(F.lit(cursor[name]))
+    return df.filter(pred).orderBy(*rank_keys(desc, score)).limit(size)

@@ -627,3 +627,12 @@ def q_gen_ip(spark, sf_dir):
     idx = read_table(spark, sf_dir, "events", "event_id").select(F.col("event_id").alias("i"))
     n = N.valid(N.normalize_ip(GEN.gen_ip(idx, FX.FIXTURE_NOW)))
     return finish(flat(n.select("id", "severity_raw", "report_count", "last_seen", "extra")))
+
+
+@query("page_keyset")
+def q_page_keyset(spark, sf_dir):
+    """Page 3 reached by keyset paging from the last row of page 2 (same rows as page 3)."""
+    f = V.filter_threats(P.served_store(spark, sf_dir))
+    last = V.page(f, 2, 25).orderBy(F.col("position").desc()).first()
+    nxt = V.page_after(f, V.cursor_of(last), 25)
+    return finish(nxt.select("id", "threat_type", "predicted_priority", "predicted_priority_score"))

@@ -468,3 +468,8 @@ SELECT CAST(page AS BIGINT) * 1000000 + pos AS seq, ip, round(CAST(conf AS DOUBL
 FROM pp WHERE conf >= {C.IP_CONFIDENCE_MINIMUM}
 ORDER BY conf DESC, ip, seq LIMIT {C.IP_LIMIT}"""),
 })
+
+SQL["page_keyset"] = with_ctes(*SERVE_BASE, _ranked(True), _page_filter(3, 25), tail="""
+SELECT id, threat_type, predicted_priority, round(predicted_priority_score, 6)
+       AS predicted_priority_score
+FROM rk, pb WHERE position > (pg - 1) * 25 AND position <= pg * 25""")
