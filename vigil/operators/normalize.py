@@ -310,6 +310,17 @@ OUTPUT = ["id", "threat_type", "title", "description", "severity_raw", "report_c
 
 
 _OBSERVATIONS = itertools.count(1)
+_STAGES: dict = {}
+
+
+def _stages(name: str, builder) -> list[dict[str, Column]]:
+    """Stage expressions are unresolved Columns, reusable by any DataFrame:
+    build them once per JVM (thousands of py4j calls) instead of per query."""
+    from pyspark import SparkContext
+    key = (name, id(SparkContext._jvm))
+    if key not in _STAGES:
+        _STAGES[key] = builder()
+    return _STAGES[key]
 
 
 def _apply(raw: DataFrame, stages: list[dict[str, Column]], name: str) -> DataFrame:
@@ -329,12 +340,12 @@ def _apply(raw: DataFrame, stages: list[dict[str, Column]], name: str) -> DataFr
 
 def normalize_cve(raw: DataFrame) -> DataFrame:
     """(seq, raw) vulnerability records → common schema + seq + reject_reason."""
-    return _apply(raw, _cve_stages(), "normalize_cve")
+    return _apply(raw, _stages("cve", _cve_stages), "normalize_cve")
 
 
 def normalize_ip(raw: DataFrame) -> DataFrame:
     """(seq, raw) address reports → common schema + seq + reject_reason."""
-    return _apply(raw, _ip_stages(), "normalize_ip")
+    return _apply(raw, _stages("ip", _ip_stages), "normalize_ip")
 
 
 def normalize_batch(cve_raw: DataFrame, ip_raw: DataFrame) -> DataFrame:
