@@ -79,3 +79,13 @@ def test_model_roundtrip(spark):
     df = E.queries()["model_roundtrip"](spark, "/root/testdata/sf0.001")
     assert df.count() > 0
     assert df.filter("prediction <> prediction_reloaded").count() == 0
+
+
+def test_single_class_refused_and_absent_metrics(spark, tmpdir_path):
+    from vigil.operators import serve as V
+    one = _labelled(spark, 20).withColumn("heuristic_label", F.lit("Low"))
+    one = ML.with_label(one.select("*", *[F.lit(0.0).alias(c) for c in ML.C.FEATURE_COLS])) \
+        .withColumn("weight", F.lit(1.0))
+    with pytest.raises(ValueError):
+        ML.fit_pipeline(one, ML.decision_tree())
+    assert V.read_metrics(spark, tmpdir_path + "/nothing-here") is None

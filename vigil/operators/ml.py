@@ -95,11 +95,16 @@ def random_forest(num_trees: int = C.RF_NUM_TREES) -> RandomForestClassifier:
 
 def fit_pipeline(train: DataFrame, estimator, cols: list[str] = C.FEATURE_COLS) -> PipelineModel:
     """Assemble once, persist the narrow (features, label, weight) frame for the
-    fit's many passes, and return assembler + model as one ``PipelineModel``."""
+    fit's many passes, and return assembler + model as one ``PipelineModel``.
+    A single-class training set is refused up front with a clear error."""
     from pyspark import StorageLevel
     asm = assembler(cols)
     keep = [c for c in ("features", "label", "weight") if c in train.columns or c == "features"]
     data = asm.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    n_classes = data.select("label").distinct().limit(2).count()
+    if n_classes < 2:
+        data.unpersist()
+        raise ValueError("training rows hold fewer than two classes; a classifier cannot be fitted")
     try:
         model = estimator.fit(data)
     finally:

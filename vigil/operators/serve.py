@@ -198,3 +198,13 @@ def page_after(df: DataFrame, cursor: dict, size: int = C.DEFAULT_PAGE_SIZE,
         pred = term if pred is None else pred | term
         equal_prefix = equal_prefix & expr.eqNullSafe(F.lit(cursor[name]))
     return df.filter(pred).orderBy(*rank_keys(desc, score)).limit(size)
+
+
+def read_metrics(spark, path: str) -> DataFrame | None:
+    """S8 read: the metrics document, or None (with a message) when none was written."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        print("No evaluation metrics found yet — run the training/evaluation step first.")
+        return None
+    return metrics_summary(spark.read.json(path))

@@ -578,7 +578,7 @@ def q_metrics_summary(spark, sf_dir):
     from vigil.session import shared_path
     path = shared_path(spark, "vigil-reports", uuid.uuid4().hex, "metrics")
     metrics_frame(spark, sf_dir).coalesce(1).write.mode("overwrite").json(path)
-    return V2.metrics_summary(spark.read.json(path))
+    return V2.read_metrics(spark, path)
 
 
 # ------------------------------------------------------------------ sources --
