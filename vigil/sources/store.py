@@ -27,10 +27,15 @@ def empty_snapshot(spark: SparkSession) -> DataFrame:
 
 def to_stored(batch: DataFrame, batch_id: int = 0) -> DataFrame:
     """Common-schema rows (+ seq) → stored layout, write-back columns NULL."""
+    def no_nan(c: str):
+        # A NaN binds as NULL in a keyed SQL table; keep the same rule here.
+        return F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c)
+
     return batch.select(
-        *[F.col(c) for c in ("id", "threat_type", "title", "description", "severity_raw",
-                             "report_count", "first_seen", "last_seen", "source",
-                             "source_reliability")],
+        *[F.col(c) for c in ("id", "threat_type", "title", "description")],
+        no_nan("severity_raw"),
+        *[F.col(c) for c in ("report_count", "first_seen", "last_seen", "source")],
+        no_nan("source_reliability"),
         F.col("exploited_flag").cast("int").alias("exploited_flag"),
         F.col("extra"),
         F.lit(None).cast("string").alias("predicted_priority"),
