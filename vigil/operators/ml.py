@@ -93,22 +93,32 @@ def random_forest(num_trees: int = C.RF_NUM_TREES) -> RandomForestClassifier:
                                   seed=C.RANDOM_SEED)
 
 
-def fit_pipeline(train: DataFrame, estimator, cols: list[str] = C.FEATURE_COLS) -> PipelineModel:
-    """Assemble once, persist the narrow (features, label, weight) frame for the
-    fit's many passes, and return assembler + model as one ``PipelineModel``.
-    A single-class training set is refused up front with a clear error."""
+def require_classes(weights: DataFrame, minimum: int = 2) -> None:
+    """Refuse to fit on fewer than two classes (checked on the per-class weight
+    table: one row per class, so the check is free)."""
+    k = weights.count()
+    if k < minimum:
+        raise ValueError(f"training rows hold {k} class(es); a classifier needs at least {minimum}")
+
+
+def fit_pipeline(train: DataFrame, estimator, cols: list[str] = C.FEATURE_COLS,
+                 persist: bool = False) -> PipelineModel:
+    """Assemble, fit, and return assembler + model as one ``PipelineModel``.
+
+    ``persist`` keeps the narrow (features, label, weight) frame cached for an
+    iterative optimiser's many passes (logistic regression).  Tree learners
+    cache their own binned input, so they skip it."""
     from pyspark import StorageLevel
     asm = assembler(cols)
-    keep = [c for c in ("features", "label", "weight") if c in train.columns or c == "features"]
-    data = asm.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-    n_classes = data.select("label").distinct().limit(2).count()
-    if n_classes < 2:
-        data.unpersist()
-        raise ValueError("training rows hold fewer than two classes; a classifier cannot be fitted")
+    keep = ["features"] + [c for c in ("label", "weight") if c in train.columns]
+    data = asm.transform(train).select(*keep)
+    if persist:
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = estimator.fit(data)
     finally:
-        data.unpersist()
+        if persist:
+            data.unpersist()
     return PipelineModel(stages=[asm, model])
 
 

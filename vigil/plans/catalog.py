@@ -390,6 +390,7 @@ def _ml_data(spark, sf_dir) -> dict:
         train = ML.with_label(sp.filter(~F.col("is_test")))
         test = ML.with_label(sp.filter(F.col("is_test")))
         weights = ML.class_weights(train)
+        ML.require_classes(weights)
         stats = ML.scaler_stats(train)
         _ML[key] = {"split": sp, "train": ML.with_weights(train, weights), "test": test,
                     "weights": weights, "stats": stats, "models": {},
@@ -405,7 +406,8 @@ def _model(spark, sf_dir, name: str):
             if d["n_train"] is None:
                 d["n_train"] = train.count()
             z = ML.standardize(train, d["stats"], suffix="_z")
-            d["models"][name] = ML.fit_pipeline(z, ML.logistic_regression(d["n_train"]), Z)
+            d["models"][name] = ML.fit_pipeline(z, ML.logistic_regression(d["n_train"]), Z,
+                                                persist=True)
         elif name == "decision_tree":
             d["models"][name] = ML.fit_pipeline(train, ML.decision_tree())
         else:
