@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 
 def raw_frame(spark, docs, start=0):
     """(seq, raw) from Python objects (dumped) or raw strings."""
@@ -33,5 +31,3 @@ def rows_by_id(df):
 def col_values(df, c):
     return [r[c] for r in df.orderBy("seq").select(c, "seq").collect()]
 
-
-F = F

@@ -147,10 +147,14 @@ def _cve_stages() -> list[dict[str, Column]]:
     }
     s5 = {
         "_d_val": V.field(F.get(_c("_d_elems"), _c("_d_en") - 1), "$.value"),
-        "_metric0": F.get(V.as_array(_c("_chosen")), 0),
-        "_w_elems": F.coalesce(V.as_array(_c("_w_desc")), F.expr(_EMPTY_VARIANTS)),
+        "_chosen_arr": V.as_array(_c("_chosen")),
+        "_w_desc_arr": V.as_array(_c("_w_desc")),
         "_w_typed": F.try_variant_get(_c("_w_desc"), "$", _LANG_VALUE),
     }
+    s5b = {
+        "_metric0": F.get(_c("_chosen_arr"), 0),
+        "_w_elems": F.coalesce(_c("_w_desc_arr"), F.expr(_EMPTY_VARIANTS)),
+    }
     s6 = {
         "_cvss": V.field(_c("_metric0"), "$.cvssData"),
         "_w_en": F.when(_typed_ok(_c("_w_typed")),
@@ -178,7 +182,7 @@ def _cve_stages() -> list[dict[str, Column]]:
     m_reject = _first_reason(
         (V.json_null(m), "bad_metrics"),
         (V.present(m) & ~V.is_object(m) & ~V.is_array(m) & ~V.is_string(m), "bad_metrics"),
-        (on & ~V.is_array(chosen), "bad_metrics"),
+        (on & _c("_chosen_arr").isNull(), "bad_metrics"),
         (on & ~V.is_object(_c("_metric0")), "bad_metrics"),
         (on & V.missing(cvss), "bad_metrics"),
         (on & ~V.is_object(cvss), FATAL + "bad_cvss_data"),
@@ -206,7 +210,7 @@ def _cve_stages() -> list[dict[str, Column]]:
         (w_on & _c("_w_arr").isNull(), "bad_weaknesses"),
         (w_on & ~V.is_object(_c("_w0")), FATAL + "bad_weakness_entry"),
         (w_on & V.json_null(w_desc), "bad_weakness_description"),
-        (w_on & V.present(w_desc) & ~V.is_array(w_desc), "bad_weakness_description"),
+        (w_on & V.present(w_desc) & _c("_w_desc_arr").isNull(), "bad_weakness_description"),
         (w_on & _stops_before(_c("_w_bad"), _c("_w_en")), FATAL + "bad_weakness_description"),
     )
     reject = F.coalesce(
@@ -245,7 +249,7 @@ def _cve_stages() -> list[dict[str, Column]]:
                           F.lit(None).cast("string").alias("isp")),
         "reject_reason": reject,
     }
-    return [s1, s2, s3, s3b, s4, s5, s6, s7, s8, final]
+    return [s1, s2, s3, s3b, s4, s5, s5b, s6, s7, s8, final]
 
 
 def _py_str(v: Column) -> Column:
