@@ -23,7 +23,7 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
-                  app: str = "vigil") -> SparkSession:
+                  app: str = "vigil", extra_conf: dict | None = None) -> SparkSession:
     """Local session for tests and the benchmark (never used on a cluster)."""
     parts = shuffle_partitions or cores
     builder = (
@@ -35,7 +35,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in ENGINE_CONF.items():
+    for k, v in {**ENGINE_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
