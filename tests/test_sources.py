@@ -56,3 +56,17 @@ def test_generators(spark):
     again = N.normalize_cve(GEN.gen_cve(idx.repartition(7), "2024-01-31T00:00:00Z"))
     assert sorted(map(tuple, again.select("id", "severity_raw").collect())) == \
         sorted(map(tuple, cves.select("id", "severity_raw").collect()))  # partition-independent
+
+
+def test_read_pages_from_flat_file_names(spark, tmpdir_path):
+    import os
+    d = tmpdir_path + "/flat"
+    os.makedirs(d)
+    for n, ids in ((0, ["a", "b"]), (1, ["c"]), (3, ["d"])):
+        with open(f"{d}/page-{n:05d}.json", "w") as f:
+            json.dump({"vulnerabilities": [cve(id=i) for i in ids]}, f)
+    pages = LD.read_pages(spark, d)
+    assert sorted(r.page for r in pages.collect()) == [0, 1, 3]
+    recs = LD.cve_pages_to_records(pages, max_pages=10, page_size=2)
+    # page 2 is absent (not empty), so all landed pages are read, offsets by page number
+    assert sorted(r.seq for r in recs.collect()) == [0, 1, 2, 6]
