@@ -26,3 +26,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of ``spark`` (once per context)."""
+    import os
+    import tempfile
+    import zipfile
+
+    import vigil
+
+    sc = spark.sparkContext
+    if getattr(sc, "_vigil_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(vigil.__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="vigil-ship-"), "vigil_pkg.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "vigil")):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._vigil_shipped = True

@@ -1,13 +1,14 @@
 """The registered queries of the training-data operators (contract digests)."""
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import sharding
-from vigil.llm.common import table
+from vigil.llm import sharding, simhash
+from vigil.llm.common import ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -15,8 +16,12 @@ SQL: dict[str, str] = {}
 
 def register(name: str):
     def keep(fn):
-        REGISTRY[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+        REGISTRY[name] = query
+        return query
     return keep
 
 
@@ -25,3 +30,10 @@ def op8_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 24 shards under the ``key`` law."""
     out = sharding.assign(table(spark, sf_dir, "documents"), n_shards=24)
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@register("op6_simhash_tiles")
+def op6_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their components at 3 bits or fewer."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
