@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import sharding, simhash
+from vigil.llm import langid, sharding, simhash
 from vigil.llm.common import ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,12 @@ def op6_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and their components at 3 bits or fewer."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op4_langid_ppm")
+def op4_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.is_held_out("doc_id")))
+    out = langid.predict(docs, model)
+    return out.select("doc_id", langid.is_held_out("doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte")
