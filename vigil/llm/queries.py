@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import langid, sharding, simhash
+from vigil.llm import decontam, langid, sharding, simhash
 from vigil.llm.common import ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,37 @@ def op4_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(~langid.is_held_out("doc_id")))
     out = langid.predict(docs, model)
     return out.select("doc_id", langid.is_held_out("doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+@register("op5_decontam_wumanber")
+def op5_decontam_wumanber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in all documents."""
+    out = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
+SQL["op5_decontam_wumanber"] = r"""
+WITH low AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS t
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT m FROM win),
+pos AS (
+  SELECT doc_id, m, i, array_to_string(list_slice(w, i, i + m - 1), ' ') AS t
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM low, lens WHERE len(w) >= m)),
+hit AS (SELECT doc_id, pos.m, i, item_id FROM pos JOIN win ON pos.t = win.t AND pos.m = win.m),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT doc_id, m, i FROM hit)) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT low.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM low LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
