@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontam, langid, sharding, simhash
+from vigil.llm import decontam, langid, pii, sharding, simhash
 from vigil.llm.common import ship, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,10 @@ SELECT low.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM low LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+
+@register("op10_pii_surrogates")
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates in place of the personal data found."""
+    out = pii.anonymise(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.size("entities").cast("long").alias("n_entities"), "entities", "text")
