@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontam, langid, pii, sharding, simhash
+from vigil.llm import decontam, langid, packing, pii, sharding, simhash
 from vigil.llm.common import ship, table
 
+#: Vocabulary of the packing query.
+TOKENIZER = "byte_bpe_50k.json"
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -87,3 +90,11 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with surrogates in place of the personal data found."""
     out = pii.anonymise(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.size("entities").cast("long").alias("n_entities"), "entities", "text")
+
+
+@register("op2_pack_swap")
+def op2_pack_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
