@@ -249,15 +249,20 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, n_hit, items) of every document; items are the ids found, sorted as strings."""
+    """(id_col, n_words, n_hit, items) of every document; items are the ids found, sorted as strings.
+
+    ``id_col`` may be of any type (a struct carries whole rows).
+    """
     sc = docs.sparkSession.sparkContext
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    id_type = rows.schema["doc_id"].dataType.simpleString()
     parts = []
     for n, ids, texts in _blocks(benchmark, item_col, item_text_col, block_bytes):
         shared = sc.broadcast((ids, texts))
         if n == 1:
             return rows.mapInArrow(_scan(shared, window, False),
-                                   "doc_id long, n_words long, n_hit long, items array<string>")
+                                   f"doc_id {id_type}, n_words long, n_hit long, items array<string>") \
+                .withColumnRenamed("doc_id", id_col)
         if not parts:      # several blocks: a stable row number brings the hits of one document together
             rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "decontam-docs")
         parts.append(rows.select("row", "text").mapInArrow(
@@ -283,4 +288,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     count = F.pandas_udf(covered, "long")
     return (rows.select("row", "doc_id").join(one.withColumn("n_hit", count("spans")), "row")
-            .select("doc_id", "n_words", "n_hit", "items"))
+            .select(F.col("doc_id").alias(id_col), "n_words", "n_hit", "items"))

@@ -222,10 +222,13 @@ def _predict(model):
 
 
 def predict(docs: DataFrame, model: dict[str, list[dict]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score, bits_per_byte) of every row; only the text decides.
+    """(id_col, lang_pred, score, bits_per_byte) of every row; only the text decides.
 
-    The frozen tables are broadcast: their size is bounded by the fitting sample.
+    ``id_col`` may be of any type (a struct carries whole rows).  The frozen
+    tables are broadcast: their size is bounded by the fitting sample.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double, bits_per_byte double")
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(_predict(shared), f"doc_id {id_type}, lang_pred string, score double, bits_per_byte double") \
+        .withColumnRenamed("doc_id", id_col)
