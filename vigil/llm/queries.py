@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontam, langid, packing, pii, sharding, simhash
+from vigil.llm import decontam, embeddup, langid, packing, pii, sharding, simhash
 from vigil.llm.common import ship, table
 
 #: Vocabulary of the packing query.
@@ -98,3 +98,27 @@ def op2_pack_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@register("op9_embed_covertree")
+def op9_embed_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.9 or more."""
+    out = embeddup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
+SQL["op9_embed_covertree"] = """
+WITH RECURSIVE ok AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+walk AS (
+  SELECT u, v FROM link UNION SELECT w.u, l.v FROM walk w JOIN link l ON w.v = l.u)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(m, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(m, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN (SELECT u, count(*) AS n FROM link GROUP BY u) d ON d.u = e.vec_id
+LEFT JOIN (SELECT u, min(v) AS m FROM walk GROUP BY u) c ON c.u = e.vec_id
+"""
