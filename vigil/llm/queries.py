@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontam, embeddup, langid, packing, pii, sharding, simhash
+from vigil.llm import decontam, embeddup, langid, packing, pii, sharding, simhash, warc
 from vigil.llm.common import ship, table
 
 #: Vocabulary of the packing query.
@@ -122,3 +122,20 @@ SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(m, e.vec_id
 FROM embeddings e LEFT JOIN (SELECT u, count(*) AS n FROM link GROUP BY u) d ON d.u = e.vec_id
 LEFT JOIN (SELECT u, min(v) AS m FROM walk GROUP BY u) c ON c.u = e.vec_id
 """
+
+
+@register("op7_warc_index")
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, read back through the two-level index."""
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
+SQL["op7_warc_index"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+             max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM q
+"""
