@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontam, embeddup, langid, packing, pii, sharding, simhash, warc
+from vigil.llm import decontam, embeddup, htmlmain, langid, packing, pii, sharding, simhash, warc
 from vigil.llm.common import ship, table
 
 #: Vocabulary of the packing query.
@@ -139,3 +139,9 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
 FROM q
 """
+
+
+@register("op3_html_template")
+def op3_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return htmlmain.main_text(table(spark, sf_dir, "pages"))
