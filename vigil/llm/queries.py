@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontam, embeddup, htmlmain, langid, packing, pii, sharding, simhash, warc
+from vigil.llm import decontam, embeddup, htmlmain, langid, licenses, packing, pii, sharding, simhash, warc
 from vigil.llm.common import ship, table
 
 #: Vocabulary of the packing query.
@@ -145,3 +145,11 @@ FROM q
 def op3_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return htmlmain.main_text(table(spark, sf_dir, "pages"))
+
+
+@register("op1_license_zstd")
+def op1_license_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses stated in all documents."""
+    out = licenses.scan(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_candidates", F.array_join(F.array_sort(F.array_distinct("matches.license")), ",").alias("licenses"),
+                      "matches")
