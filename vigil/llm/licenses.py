@@ -4,12 +4,13 @@ A text is cut into blocks (paragraphs at blank lines, and single lines); blocks
 that hold a license word are candidates.  Every candidate is compressed with
 zstandard alone and with each template as a raw-content dictionary; the size
 reduction ranks the templates.  The winner is confirmed by its exact wording:
-words are compared one by one (longest common subsequence blocks), the words of
+words are compared one by one (matching runs of words), the words of
 the block that the template lacks and the template words that the matched
 stretch lacks are counted, and the match holds when both are few and every
 word that tells the license (name, number, or key phrase) is there.
 
-A candidate that recurs is scored once per task batch.  Null and empty texts
+A block that is not confirmed as a whole is tried by its sentences.  A
+candidate that recurs in a task is scored once.  Null and empty texts
 have no blocks, equal blocks of a text are reported each with its place, ties
 of the size reduction go to the exact wording and then to the template's name,
 an empty table gives an empty result.  Extra columns are ignored.
@@ -217,26 +218,65 @@ def classify(block: str, level: int = LEVEL, min_reduction: float = MIN_REDUCTIO
     return best[1] if best else None
 
 
+_SENTENCE = re.compile(r"(?<=[.!?;:])\s+")
+
+
+def sentences(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """(start, end) of the sentences with a license word in a block, and of the runs that they form."""
+    cuts = [start] + [m.end() for m in _SENTENCE.finditer(text, start, end)] + [end]
+    spans = [(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
+    hits = [k for k, (a, b) in enumerate(spans) if _HINT.search(text, a, b)]
+    out, run = [], []
+    for k in hits + [10 ** 9]:
+        if run and k - run[-1] > 3:
+            if len(run) > 1:
+                out.append((spans[run[0]][0], spans[run[-1]][1]))
+            out += [spans[i] for i in run]
+            run = []
+        run.append(k)
+    return out
+
+
+def find(text: str | None, judge) -> tuple[int, list[dict]]:
+    """(number of candidates, confirmed matches) of a text; a block that is not confirmed as a whole is tried by
+    runs of sentences, then by single sentences, so that a notice inside a long line is found."""
+    n, found = 0, []
+    for s, e in blocks(text):
+        n += 1
+        whole = judge(text[s:e])
+        if whole:
+            found.append({"start": s, "end": e, **whole})
+            continue
+        taken: list[tuple[int, int]] = []
+        for a, b in sentences(text, s, e):
+            if (a, b) != (s, e) and all(b <= x or a >= y for x, y in taken):
+                n += 1
+                own = judge(text[a:b])
+                if own:
+                    taken.append((a, b))
+                    found.append({"start": a, "end": b, **own})
+    return n, found
+
+
 def _scan(level: int, min_reduction: float, max_difference: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("license", pa.string()), ("variant", pa.int32()),
                                    ("reduction", pa.float64()), ("added", pa.int32()), ("missing", pa.int32())]))
         known: dict[str, dict | None] = {}
+
+        def judge(block: str) -> dict | None:
+            if block not in known:
+                if len(known) > 20_000:
+                    known.clear()
+                known[block] = classify(block, level, min_reduction, max_difference)
+            return known[block]
+
         for b in batches:
             rows, candidates = [], []
             for t in b.column(1):
-                text, found = t.as_py(), []
-                spans = blocks(text)
-                for s, e in spans:
-                    block = text[s:e]
-                    if block not in known:
-                        if len(known) > 20_000:
-                            known.clear()
-                        known[block] = classify(block, level, min_reduction, max_difference)
-                    if known[block]:
-                        found.append({"start": s, "end": e, **known[block]})
+                n, found = find(t.as_py(), judge)
                 rows.append(found)
-                candidates.append(len(spans))
+                candidates.append(n)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(candidates, pa.int32()), pa.array(rows, kind)],
                                              names=["doc_id", "n_candidates", "matches"])
     return run
