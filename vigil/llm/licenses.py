@@ -196,11 +196,13 @@ def _compressor(level: int) -> Compressor:
 
 def classify(block: str, level: int = LEVEL, min_reduction: float = MIN_REDUCTION,
              max_difference: float = MAX_DIFFERENCE) -> dict | None:
-    """The license that a block's wording confirms, or None."""
+    """The license that a block's wording confirms, with the stretch that states it, or None."""
     spdx = _SPDX.search(block)
     if spdx:
-        return {"license": spdx.group(1), "variant": -1, "reduction": 1.0, "added": 0, "missing": 0}
-    own, best = words(block), None
+        return {"start": spdx.start(), "end": spdx.end(), "license": spdx.group(1), "variant": -1, "reduction": 1.0,
+                "added": 0, "missing": 0}
+    places = [m.span() for m in _WORD.finditer(block)]
+    own, best = [block[a:b].lower() for a, b in places], None
     tool = _compressor(level)
     ranked = [r for r in tool.ranked(block) if r[0] >= min_reduction]
     # equal reductions are compared as one rank
@@ -213,7 +215,7 @@ def classify(block: str, level: int = LEVEL, min_reduction: float = MIN_REDUCTIO
         lost = len(telling - set(own[first:end]))
         if added + missing <= max_difference * len(template) and lost <= (max_difference * len(telling) if len(telling) > 6 else 0):
             found = ((added + missing, -reduction, name, variant),
-                     {"license": name, "variant": variant, "reduction": float(reduction), "added": added, "missing": missing})
+                     {"start": places[first][0], "end": places[end - 1][1], "license": name, "variant": variant, "reduction": float(reduction), "added": added, "missing": missing})
             best = min(best, found, key=lambda x: x[0]) if best else found
     return best[1] if best else None
 
@@ -241,11 +243,19 @@ def find(text: str | None, judge) -> tuple[int, list[dict]]:
     """(number of candidates, confirmed matches) of a text; a block that is not confirmed as a whole is tried by
     runs of sentences, then by single sentences, so that a notice inside a long line is found."""
     n, found = 0, []
-    for s, e in blocks(text):
+
+    def take(s: int, own: dict) -> tuple[int, int]:
+        found.append({**own, "start": s + own["start"], "end": s + own["end"]})
+        return found[-1]["start"], found[-1]["end"]
+
+    todo = blocks(text)
+    while todo:
+        s, e = todo.pop()
         n += 1
         whole = judge(text[s:e])
         if whole:
-            found.append({"start": s, "end": e, **whole})
+            a, b = take(s, whole)               # what is left on both sides may state another license
+            todo += [(x, y) for x, y in ((s, a), (b, e)) if _HINT.search(text, x, y)]
             continue
         taken: list[tuple[int, int]] = []
         for a, b in sentences(text, s, e):
@@ -254,8 +264,8 @@ def find(text: str | None, judge) -> tuple[int, list[dict]]:
                 own = judge(text[a:b])
                 if own:
                     taken.append((a, b))
-                    found.append({"start": a, "end": b, **own})
-    return n, found
+                    take(a, own)
+    return n, sorted(found, key=lambda m: m["start"])
 
 
 def _scan(level: int, min_reduction: float, max_difference: float):
