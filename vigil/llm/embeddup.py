@@ -265,11 +265,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     v = F.col("embedding")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))) | (F.size(v) == 0) \
         | ~F.exists(v, lambda x: x != 0)
-    rows = staged(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
+    # rows are numbered, so that repeated and null ids stay separate rows
+    rows = staged(vectors.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"),
+                                 F.col(vector_col).alias("embedding"))
                   .withColumn("usable", F.coalesce(~bad, F.lit(False))), "vectors")
-    usable = rows.where("usable").select("vec_id", "embedding")
-    reps = staged(usable.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("mult"))
-                  .select("rep", "embedding", "mult"), "vector-reps")
+    reps = staged(rows.where("usable").groupBy("embedding")
+                  .agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("mult"), F.min("vec_id").alias("least"))
+                  .select("rep", "embedding", "mult", "least"), "vector-reps")
 
     # pivots: a bounded number per vector length
     sizes = {r["dim"]: r["n"] for r in reps.groupBy(F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -279,10 +281,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         k = max(1, min(MAX_PIVOTS, n // per_block[dim]))
         got = reps.where(F.size("embedding") == dim).orderBy(F.xxhash64("rep"), "rep").limit(k).select("embedding").collect()
         pivots[dim] = unit(np.asarray([r[0] for r in got]))
-    links = counts = None
+    counts = None
     if sizes:
         kind = reps.schema["embedding"].dataType.simpleString()
-        cells = staged(reps.mapInArrow(_nearest(spark.sparkContext.broadcast(pivots)),
+        cells = staged(reps.select("rep", "embedding", "mult").mapInArrow(_nearest(spark.sparkContext.broadcast(pivots)),
                                        f"rep long, embedding {kind}, mult long, dim int, cell int"), "vector-cells")
         limit = F.create_map(*[F.lit(x) for d, n in per_block.items() for x in (d, n)])
         subs = cells.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n")).select(
@@ -306,15 +308,20 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                .repartition(tasks, "left", "right").sortWithinPartitions("left"))
         out = staged(met.mapInArrow(_compare(threshold), "kind int, a long, b long"), "vector-links")
         member = connected_components(out.where("kind = 0").select(F.col("a").alias("u"), F.col("b").alias("v")))
-        counts = staged(out.where("kind = 1").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("linked"))
-                        .join(member.withColumnRenamed("node", "rep"), "rep", "full"), "vector-classes")
+        # per representative: links to others, and the least id of its component
+        rooted = (reps.select("rep", "least").join(staged(member.withColumnRenamed("node", "rep"), "vector-member"), "rep", "left")
+                  .select("rep", "least", F.coalesce("component", "rep").alias("root")))
+        rooted = staged(rooted, "vector-rooted")
+        least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+        linked = staged(out.where("kind = 1").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("linked")), "vector-linked")
+        counts = staged(rooted.join(staged(least, "vector-least"), "root").select("rep", "component_id")
+                        .join(linked, "rep", "left"), "vector-counts")
     if counts is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     copies = staged(reps.where("mult > 1").select("embedding", "rep", "mult"), "vector-copies")
     named = staged(rows.join(copies, (rows["embedding"] == copies["embedding"]) & rows["usable"], "left")
-                   .select(rows["vec_id"], F.coalesce("rep", "vec_id").alias("rep"), F.coalesce("mult", F.lit(1)).alias("mult"),
-                           rows["usable"]), "vector-named")
-    keyed = named.withColumn("key", F.when(F.col("usable"), F.col("rep")))
-    return keyed.join(counts.withColumnRenamed("rep", "key"), "key", "left").select(
+                   .select(rows["vec_id"], rows["usable"], F.coalesce("mult", F.lit(1)).alias("mult"),
+                           F.when(rows["usable"], F.coalesce("rep", "row")).alias("rep")), "vector-named")
+    return named.join(counts, "rep", "left").select(
         "vec_id", (F.coalesce("linked", F.lit(0)) + F.col("mult") - 1).cast("long").alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"))
+        F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("vec_id")).alias("component_id"))
