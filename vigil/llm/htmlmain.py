@@ -223,9 +223,10 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN
     # exact copies of a page count once: all but one row of a repeated page go
     copies = staged(pages.groupBy("host", "page_hash").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"))
                     .where("n > 1").select("host", "page_hash", "first"), "html-copies")
-    distinct = pages.join(copies, ["host", "page_hash"], "left").where("first IS NULL OR row = first") \
-        .select("host", "page_hash", "html", "row")
-    counted = (distinct.select("host", "page_hash", "html")
+    marked = pages.join(copies, ["host", "page_hash"], "left")
+    distinct = (marked.where("first IS NULL").select("host", "page_hash", "html")
+                .union(marked.where("row = first").select("host", "page_hash", "html").dropDuplicates(["host", "page_hash"])))
+    counted = (distinct
                .mapInArrow(_occurrences, "host string, token long, markup boolean, vec long")
                .groupBy("host", "token").agg(F.bit_xor("vec").alias("vec"), F.count(F.lit(1)).alias("n_pages"),
                                              F.max("markup").alias("markup"))
