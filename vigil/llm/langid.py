@@ -174,7 +174,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
               .where(F.col("used") < bound)
               .select("lang", "text"))
 
-    def count(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def count(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for order, t in enumerate(train([fold(x) for x in pdf["text"]])):
             out.append({"lang": key[0], "ord": order, **{k: v.astype("<u8" if v.dtype == np.uint64 else "<f8").tobytes()

@@ -110,8 +110,8 @@ def op9_embed_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op9_embed_covertree"] = """
 WITH RECURSIVE ok AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 link AS (
   SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
