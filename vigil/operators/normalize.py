@@ -321,14 +321,17 @@ def _stages(name: str, builder) -> list[dict[str, Column]]:
     """Stage expressions are unresolved Columns, reusable by any DataFrame:
     build them once per JVM (thousands of py4j calls) instead of per query."""
     from pyspark import SparkContext
-    key = (name, id(SparkContext._jvm))
-    if key not in _STAGES:
-        _STAGES[key] = builder()
-    return _STAGES[key]
+    # keyed by the gateway itself: a restarted one can't be taken for an old one
+    held = _STAGES.get(name)
+    if held is None or held[0] is not SparkContext._gateway:
+        held = _STAGES[name] = (SparkContext._gateway, builder())
+    return held[1]
 
 
 def _apply(raw: DataFrame, stages: list[dict[str, Column]], name: str) -> DataFrame:
-    df = raw.select(F.col("seq"), V.parse(F.col("raw")).alias("_v"))
+    # landed readers hand on a VARIANT, everything else JSON text
+    doc = F.col("raw") if raw.schema["raw"].dataType.typeName() == "variant" else V.parse(F.col("raw"))
+    df = raw.select(F.col("seq"), doc.alias("_v"))
     for stage in stages[:-1]:
         df = df.withColumns(stage)
     final = stages[-1]

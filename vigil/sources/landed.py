@@ -4,75 +4,120 @@ The collectors of the original design fetch pages over HTTP.  Here the pages
 are *landed* files (one JSON envelope per file) and readers are DataFrame
 jobs: ``{"vulnerabilities": [...]}`` for vulnerability pages,
 ``{"data": [...]}`` for address reports.  Output is ``(seq, raw)`` — the
-shape ``normalize`` consumes — with ``seq`` = page offset + position.
+shape ``normalize`` consumes, with ``raw`` handed on as VARIANT — and ``seq``
+unique whatever the page sizes: feed, page order and position have 1, 30 and
+32 bits of it.
+
+Nothing landed is lost silently: there is no default bound, and a page that is
+no JSON goes to ``corrupt_pages`` (or raises with ``strict=True``) instead of
+counting as the end of the feed.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil import constants as C
 from vigil.functions import variant as V
 
+#: The one number of a page file's base name: page-3.json, 0003.txt, nvd_12.json.
+PAGE_NAME = r"^\D*(\d+)\D*$"
+POSITION_BITS = 32
+FEED_BIT = 62
+
+
+def position(feed: int, order: Column, pos: Column) -> Column:
+    """Unique input position of a record: feed, page order, position in the page."""
+    return (F.lit(feed << FEED_BIT) + order.cast("bigint") * F.lit(1 << POSITION_BITS) + pos).cast("bigint")
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed page files → (page, body); each file is read whole (one page).
 
-    The page index comes from a ``page=<n>`` folder (as ``write_pages``
-    lands them) or else from the last number in the file name."""
+def read_pages(spark: SparkSession, path: str, pattern: str = PAGE_NAME) -> DataFrame:
+    """Landed page files → (page, order, body); each file is read whole (one page).
+
+    The page number comes from a ``page=<n>`` folder (as ``write_pages`` lands
+    them) or else from the file's base name, which must match ``pattern``; a
+    file without one raises.  ``order`` numbers the files by (page, folder,
+    file), so equal page numbers in two folders stay apart.
+    """
     df = spark.read.text(path, wholetext=True)
+    file = F.col("_metadata.file_path")
     if "page" in df.columns:
-        return df.select(F.col("page").cast("int"), F.col("value").alias("body"))
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"(\d+)\D*$", 1)
-    return df.select(name.cast("int").alias("page"), F.col("value").alias("body"))
+        number = F.col("page").cast("int")
+    else:
+        found = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
+        number = F.when(found == "", F.raise_error(F.concat(F.lit("no page number in the file name: "), file))) \
+            .otherwise(found).cast("int")
+    pages = df.select(number.alias("page"), file.alias("file"), F.col("value").alias("body"))
+    # one short row per file: the window never sees a page's body
+    order = pages.select("page", "file").distinct().select(
+        "file", (F.row_number().over(Window.orderBy("page", "file")) - 1).alias("order"))
+    return pages.join(order, "file").select("page", "order", "body")
+
+
+def _ordered(pages: DataFrame) -> DataFrame:
+    """Pages without an ``order`` column are ordered by their page number."""
+    return pages if "order" in pages.columns else pages.withColumn("order", F.col("page"))
+
+
+def corrupt_pages(pages: DataFrame) -> DataFrame:
+    """(page, order, reject_reason) of the pages that are no JSON."""
+    return (_ordered(pages).filter(V.parse(F.col("body")).isNull())
+            .select("page", "order", F.lit("corrupt_page").alias("reject_reason")))
+
+
+def _refuse_corrupt(pages: DataFrame, strict: bool) -> None:
+    if strict:
+        bad = corrupt_pages(pages).orderBy("order").limit(1).collect()
+        if bad:
+            raise ValueError(f"page {bad[0]['page']} is no JSON")
 
 
-def cve_pages_to_records(pages: DataFrame, max_pages: int | None = None,
-                         page_size: int | None = None) -> DataFrame:
+def cve_pages_to_records(pages: DataFrame, max_pages: int | None = None, strict: bool = False) -> DataFrame:
     """S1: explode ``vulnerabilities``; a page without the key is empty; reading
-    stops at the first empty page and after ``max_pages`` (0/None = default 2)."""
-    max_pages = max_pages or C.CVE_PAGES_TO_FETCH
-    page_size = page_size or C.CVE_RESULTS_PER_PAGE
-    env = pages.select("page", V.as_array(V.field(V.parse(F.col("body")), "$.vulnerabilities"))
-                       .alias("items"))
-    sized = env.withColumn("_n", F.coalesce(F.size("items"), F.lit(0)))
+    stops at the first empty page.  ``max_pages`` bounds the page numbers only
+    when given, before anything is parsed."""
+    pages = _ordered(pages)
+    if max_pages is not None:
+        pages = pages.filter(F.col("page") < F.lit(max_pages))
+    _refuse_corrupt(pages, strict)
+    doc = V.parse(F.col("body"))
+    env = pages.select("page", "order", doc.isNull().alias("_corrupt"),
+                       V.as_array(V.field(doc, "$.vulnerabilities")).alias("items"))
     # First empty page: one tiny aggregate (a scalar), broadcast to every row.
-    stop = sized.agg(F.min(F.when(F.col("_n") == 0, F.col("page"))).alias("_stop"))
-    kept = (sized.crossJoin(F.broadcast(stop))
-            .filter((F.col("page") < F.lit(max_pages))
-                    & (F.col("_stop").isNull() | (F.col("page") < F.col("_stop")))))
-    rec = kept.select("page", F.posexplode("items").alias("pos", "item"))
-    return rec.select((F.col("page").cast("bigint") * page_size + F.col("pos")).alias("seq"),
-                      F.to_json(F.col("item")).alias("raw"), "page", "pos")
+    empty = ~F.col("_corrupt") & (F.coalesce(F.size("items"), F.lit(0)) <= 0)
+    stop = env.agg(F.min(F.when(empty, F.col("order"))).alias("_stop"))
+    kept = (env.crossJoin(F.broadcast(stop))
+            .filter(F.col("_stop").isNull() | (F.col("order") < F.col("_stop"))))
+    rec = kept.select("page", "order", F.posexplode("items").alias("pos", "raw"))
+    return rec.select(position(0, F.col("order"), F.col("pos")).alias("seq"), "raw", "page", "pos")
 
 
 def ip_pages_to_records(pages: DataFrame, confidence_minimum: int | None = None,
-                        limit: int | None = None) -> DataFrame:
-    """S2: explode ``data``, keep confidence ≥ floor, cap at ``limit`` rows.
+                        limit: int | None = None, strict: bool = False) -> DataFrame:
+    """S2: explode ``data``, keep confidence ≥ floor (default 50; 0 keeps all).
 
-    0/None mean the defaults (50, 500).  The cap is the feature (the source
-    returns at most ``limit`` reports); highest confidence first, then
-    address, then input position, so the cut is deterministic.  ``orderBy``
-    + ``limit`` plans as a top-k: each task keeps ``limit`` rows.
+    ``limit`` caps the reports only when given (the remote service returns at
+    most 500): highest confidence first, then address, then input position, so
+    the cut is deterministic; ``orderBy`` + ``limit`` plans as a top-k.
     """
-    floor = confidence_minimum or C.IP_CONFIDENCE_MINIMUM
-    cap = limit or C.IP_LIMIT
-    env = pages.select("page", F.posexplode(
-        V.as_array(V.field(V.parse(F.col("body")), "$.data"))).alias("pos", "item"))
-    conf = V.as_double(V.field(F.col("item"), "$.abuseConfidenceScore"))
-    ip = V.as_string(V.field(F.col("item"), "$.ipAddress"))
-    seq = (F.col("page").cast("bigint") * F.lit(1_000_000) + F.col("pos"))
-    top = (env.select(seq.alias("seq"), F.to_json(F.col("item")).alias("raw"),
+    floor = C.IP_CONFIDENCE_MINIMUM if confidence_minimum is None else confidence_minimum
+    pages = _ordered(pages)
+    _refuse_corrupt(pages, strict)
+    env = pages.select("order", F.posexplode(
+        V.as_array(V.field(V.parse(F.col("body")), "$.data"))).alias("pos", "raw"))
+    conf = V.as_double(V.field(F.col("raw"), "$.abuseConfidenceScore"))
+    ip = V.as_string(V.field(F.col("raw"), "$.ipAddress"))
+    top = (env.select(position(1, F.col("order"), F.col("pos")).alias("seq"), "raw",
                       conf.alias("confidence"), ip.alias("ip"))
-           .filter(F.col("confidence") >= floor)
-           .orderBy(F.col("confidence").desc(), F.col("ip").asc_nulls_last(), F.col("seq"))
-           .limit(cap))
-    return top
+           .filter(F.col("confidence") >= floor))
+    if limit is None:
+        return top
+    return top.orderBy(F.col("confidence").desc(), F.col("ip").asc_nulls_last(), F.col("seq")).limit(limit)
 
 
-def envelope(records: DataFrame, key: str, page_of, page_size: int) -> DataFrame:
-    """(seq, raw) records → landed page envelopes (page, body), ``page_size``
-    records per page in ``seq`` order (groups are bounded by the page size)."""
+def envelope(records: DataFrame, key: str, page_of) -> DataFrame:
+    """(seq, raw) records → landed page envelopes (page, body) in ``seq`` order
+    (a group holds one page)."""
     r = records.withColumn("page", page_of(F.col("seq")).cast("int"))
     g = r.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("seq", "raw"))).alias("_r"))
     return g.select("page", F.concat(F.lit('{"' + key + '":['),
