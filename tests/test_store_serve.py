@@ -96,12 +96,49 @@ def test_rank_and_pages(spark):
     assert (empty.start_row, empty.end_row, empty.total_rows, empty.total_pages) == (1, 0, 0, 1)
 
 
-def test_deep_page_path_matches_topk(spark, monkeypatch):
-    f = V.filter_threats(_served(spark))
-    top = [r.id for r in V.page(f, 2, 3).orderBy("position").collect()]
-    monkeypatch.setattr(V, "TOPK_MAX_ROWS", 0)
-    deep = [r.id for r in V.page(f, 2, 3).orderBy("position").collect()]
-    assert top == deep
+def test_pages_of_any_size_and_ties_concatenate_to_the_ranking(spark):
+    rows = [_row(i, f"t{i:03d}", "a", batch=1 + i % 2, seq=i // 4, predicted_priority=["High", "Low", None][i % 3],
+                 predicted_priority_score=[0.5, 0.5, None, 0.501][i % 4]) for i in range(120)]
+    s = spark.createDataFrame(rows, STORED)
+    for desc in (True, False):
+        ranked = [r.id for r in V.rank_threats(s, desc).orderBy("position").collect()]
+        for size in (7, 50):
+            got = [r.id for p in range(1, -(-120 // size) + 1) for r in V.page(s, p, size, desc).orderBy("position").collect()]
+            assert got == ranked
+
+
+def test_without_prediction_columns_severity_ranks(spark):
+    s = _served(spark).drop("predicted_priority", "predicted_priority_score")
+    f = V.filter_threats(s, priorities=["High"])
+    assert f.count() == s.count()
+    ranked = [r.severity_raw for r in V.rank_threats(f, columns=["severity_raw"]).orderBy("position").collect()]
+    assert ranked == sorted(ranked, reverse=True)
+    first = V.page(f, 1, 3).orderBy("position").collect()
+    assert [r.severity_raw for r in first + V.page_after(f, V.cursor_of(first[-1]), 100).collect()] == ranked
+
+
+def test_keyset_walks_over_rows_that_differ_in_id_only(spark):
+    s = spark.createDataFrame([_row(0, i, "a", seq=1, predicted_priority="High", predicted_priority_score=0.5)
+                               for i in "ABC"], STORED)
+    got, last = [], V.page(s, 1, 1).collect()
+    while last:
+        got.append(last[0].id)
+        last = V.page_after(s, V.cursor_of(last[0]), 1).collect()
+    assert got == ["A", "B", "C"]
+
+
+def test_repeated_ids_keep_one_row_per_key(spark):
+    store = spark.createDataFrame([_row(0, "a", "x"), _row(1, "b", "x")], STORED)
+    batch = spark.createDataFrame([_row(5, "a", "y", batch=2, seq=9), _row(4, "a", "z", batch=2, seq=3),
+                                   _row(6, "n", "y", batch=2, seq=1), _row(7, "n", "z", batch=2, seq=2)], STORED)
+    got = {r.id: r for r in U.upsert(store, batch).collect()}
+    assert sorted(got) == ["a", "b", "n"] and got["a"].title == "t5" and got["n"].title == "t7"
+    up = spark.createDataFrame([("a", "Low", 1), ("a", "High", 7), ("a", "Medium", 3), ("zz", "Low", 1), (None, "Low", 1)],
+                               "id string, heuristic_label string, at int")
+    got = {r.id: r.heuristic_label for r in U.write_labels(store, up, "at").collect()}
+    assert got == {"a": "High", "b": None}
+    plan = U.upsert(store, batch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 2              # either side once
 
 
 def test_counters_and_lookup(spark):
@@ -135,7 +172,7 @@ def test_upsert_null_id_heavy_batch_without_broadcast(spark):
             [_row(200 + i, f"s{i}", "b", batch=2) for i in range(20)]
             + [_row(300 + i, f"n{i}", "b", batch=2) for i in range(10)]
             + [_row(400 + i, None, "b", batch=2) for i in range(15)], STORED)
-        out = U.upsert(store, batch, check_size=False)
+        out = U.upsert(store, batch)
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan
         rows = out.collect()

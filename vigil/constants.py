@@ -89,7 +89,6 @@ RF_NUM_TREES = 200
 RF_MAX_DEPTH = 10
 
 # --- fixed values: serving -----------------------------------------------------
-PAGE_SIZES = [10, 20, 25, 50]
 DEFAULT_PAGE_SIZE = 25
 DISPLAY_COLUMNS = [
     ("id", "ID"),
@@ -108,17 +107,3 @@ TYPE_CVE = "cve"
 TYPE_IP = "malicious_ip"
 SOURCE_CVE = "nvd"
 SOURCE_IP = "abuseipdb"
-
-# --- fixed values: synthetic generator pools ----------------------------------
-GEN_CWE_POOL = ["CWE-79", "CWE-89", "CWE-120", "CWE-200", "CWE-287", "CWE-352", "CWE-416", "CWE-787"]
-GEN_VENDOR_POOL = ["Apache", "Microsoft", "Cisco", "Oracle", "Adobe", "Linux Kernel", "OpenSSL",
-                   "Fortinet"]
-GEN_COUNTRY_POOL = ["US", "CN", "RU", "BR", "IN", "NL", "DE", "VN", "KR", "FR"]
-GEN_ISP_POOL = ["DigitalOcean LLC", "Amazon.com Inc.", "OVH SAS", "Alibaba Cloud",
-                "Hetzner Online GmbH", "China Telecom", "Comcast Cable", "Choopa LLC"]
-GEN_EXPLOIT_PROBABILITY = 0.18
-GEN_CVE_ID_OFFSET = 10000
-GEN_CVE_DAYS_BACK = 365
-GEN_IP_DAYS_BACK = 60
-GEN_REPORT_COUNT_MAX = 40
-GEN_IP_REPORTS_MEAN = 15.0

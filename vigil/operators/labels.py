@@ -27,7 +27,3 @@ def label_counts(labeled: DataFrame) -> DataFrame:
     """Label distribution, most frequent first (a partial aggregate, four output rows)."""
     return (labeled.groupBy("heuristic_label").agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.col("n").desc(), F.col("heuristic_label")))
-
-
-def label_order() -> list[str]:
-    return list(C.PRIORITY_LABELS)

@@ -3,16 +3,16 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil import constants as C
 from vigil.functions import scoring as S
 from vigil.operators.ranking import with_position
 
-# Early pages (offset + size up to this) use a top-k (TakeOrderedAndProject,
-# no full sort); deeper pages use the scalable global position.
-TOPK_MAX_ROWS = 10_000
+# Score buckets a page is located by: width 1/1000, scores outside 0..10 share the outer ones.
+SCORE_STEPS = 1000
+SCORE_TOP = 10
 
 
 def summary(store: DataFrame) -> DataFrame:
@@ -52,29 +52,47 @@ def available_priorities(store: DataFrame) -> DataFrame:
 def filter_threats(store: DataFrame, types: list[str] | None = None,
                    priorities: list[str] | None = None) -> DataFrame:
     """V4: IN-list filters.  Defaults select every type and every label, so a
-    row without a prediction never passes."""
+    row without a prediction never passes.  A table without the prediction
+    column is filtered by type only."""
     t = F.col("threat_type").isin(*types) if types is not None else F.col("threat_type").isNotNull()
+    if "predicted_priority" not in store.columns:
+        return store.filter(t)
     p = F.col("predicted_priority").isin(*(priorities if priorities is not None
                                            else C.PRIORITY_LABELS))
     return store.filter(t & p)
 
 
-def rank_keys(desc: bool = True, score_col: str = "predicted_priority_score") -> list[Column]:
-    """V5 order: label rank (3..0, else -1) then score, same direction; NULL scores
-    last either way; ties keep table order (batch_id, seq)."""
-    rank = F.coalesce(S.label_rank(F.col("predicted_priority")), F.lit(-1))
-    if desc:
-        keys = [rank.desc(), F.col(score_col).desc_nulls_last()]
-    else:
-        keys = [rank.asc(), F.col(score_col).asc_nulls_last()]
-    return keys + [F.col("batch_id").asc_nulls_last(), F.col("seq").asc_nulls_last(),
-                   F.col("id").asc_nulls_last()]
+def rank_key_spec(df: DataFrame, desc: bool = True) -> list[tuple[str, Column, bool]]:
+    """V5 order as (name, expression, descending): label rank (3..0, else -1), score,
+    then table order (batch_id, seq) and id.  NULLs sort last in every key.
 
+    Without a score column severity takes its place; without a label column
+    severity alone ranks.
+    """
+    labelled = "predicted_priority" in df.columns
+    score = "predicted_priority_score" if labelled and "predicted_priority_score" in df.columns else "severity_raw"
+    rank = F.coalesce(S.label_rank(F.col("predicted_priority")), F.lit(-1)) if labelled \
+        else F.coalesce(F.lit(None).cast("int"), F.lit(-1))       # a bare number would be read as a column position
+    return [("_rank", rank, desc), ("_score", F.col(score), desc), ("batch_id", F.col("batch_id"), False),
+            ("seq", F.col("seq"), False), ("id", F.col("id"), False)]
+
+
+def rank_keys(df: DataFrame, desc: bool = True) -> list[Column]:
+    return [e.desc_nulls_last() if d else e.asc_nulls_last() for _, e, d in rank_key_spec(df, desc)]
+
+
+def rank_threats(df: DataFrame, desc: bool = True, columns: list[str] | None = None) -> DataFrame:
+    """V5: the filtered set with its 1-based ``position`` in the ranking.
 
-def rank_threats(df: DataFrame, desc: bool = True) -> DataFrame:
-    """V5: the filtered set with its 1-based ``position`` in the ranking."""
-    score = "predicted_priority_score" if "predicted_priority_score" in df.columns else "severity_raw"
-    return with_position(df, rank_keys(desc, score))
+    Only the ranking keys and ``columns`` (default: id, type, prediction) travel
+    through the range shuffle.
+    """
+    names = columns or [c for c in ("id", "threat_type", "predicted_priority", "predicted_priority_score")
+                        if c in df.columns]
+    keys = [c for c in ("predicted_priority", "predicted_priority_score", "severity_raw", "batch_id", "seq", "id")
+            if c in df.columns]
+    narrow = df.select(*dict.fromkeys([*names, *keys]))
+    return with_position(narrow, rank_keys(narrow, desc)).select(*names, "position")
 
 
 def page_bounds(total: int, page: int, size: int) -> dict[str, int]:
@@ -88,23 +106,33 @@ def page_bounds(total: int, page: int, size: int) -> dict[str, int]:
             "total_rows": total, "total_pages": pages}
 
 
-def page(df: DataFrame, page_no: int, size: int = C.DEFAULT_PAGE_SIZE, desc: bool = True,
-         total: int | None = None) -> DataFrame:
-    """V6: rows of one page with their position.  One count (a scalar) decides the
-    bounds; shallow pages are a top-k, deep pages filter the global position."""
-    if total is None:
-        total = df.count()
-    b = page_bounds(total, page_no, size)
+def page(df: DataFrame, page_no: int, size: int = C.DEFAULT_PAGE_SIZE, desc: bool = True) -> DataFrame:
+    """V6: rows of one page with their position, at any depth.
+
+    The rows are counted by (label rank, score bucket), a table of bounded
+    size; it gives the total and the buckets that the page touches, and only
+    the rows of these buckets are sorted.
+    """
+    rank, score = (e for _, e, _ in rank_key_spec(df, desc)[:2])
+    # greatest() and least() skip NULLs, so a missing score is kept apart first
+    step = F.when(score.isNotNull(), F.floor(F.least(F.greatest(score, F.lit(0.0)), F.lit(float(SCORE_TOP))) * SCORE_STEPS))
+    code = rank.cast("bigint") * F.lit(1 << 32) + F.coalesce(step, F.lit(-1))
+    seen = df.groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n"), F.max(rank).alias("r"),
+                                              F.max(step).alias("s")).collect()
+    b = page_bounds(sum(r["n"] for r in seen), page_no, size)
     start, end = b["start_row"] - 1, b["end_row"]
-    score = "predicted_priority_score" if "predicted_priority_score" in df.columns else "severity_raw"
-    keys = rank_keys(desc, score)
-    if end <= TOPK_MAX_ROWS:
-        top = df.orderBy(*keys).limit(end).offset(start)
-        # At most ``size`` rows here; a keyless window over them is trivially small.
-        from pyspark.sql import Window
-        return top.withColumn("position", F.row_number().over(Window.orderBy(*keys)) + start)
-    ranked = with_position(df, keys)
-    return ranked.filter((F.col("position") > start) & (F.col("position") <= end))
+    sign = -1 if desc else 1
+    before, skipped, touched = 0, 0, []
+    for r in sorted(seen, key=lambda r: (sign * r["r"], r["s"] is None, sign * (r["s"] or 0))):
+        if before + r["n"] <= start:
+            skipped += r["n"]
+        elif before < end:
+            touched.append(r["code"])
+        before += r["n"]
+    keys = rank_keys(df, desc)
+    top = df.filter(code.isin(touched)).orderBy(*keys).limit(end - skipped).offset(start - skipped)
+    # At most ``size`` rows here; a keyless window over them is trivially small.
+    return top.withColumn("position", F.row_number().over(Window.orderBy(*keys)) + start)
 
 
 def page_info(df: DataFrame, page_no: int, size: int = C.DEFAULT_PAGE_SIZE) -> DataFrame:
@@ -142,8 +170,7 @@ def inspect(df: DataFrame, threat_id: str) -> DataFrame:
     """V9: point lookup in the *filtered* set; score NULL or 0 → 0 (4 decimals)."""
     hit = df.filter(F.col("id") == threat_id).limit(1)
     return hit.select(
-        "id", "title", "threat_type", "source", F.round("severity_raw", 2).alias("severity_raw"),
-        "predicted_priority",
+        "id", "title", "threat_type", "source", "severity_raw", "report_count", "predicted_priority",
         F.round(F.coalesce(F.col("predicted_priority_score"), F.lit(0.0)), 4).alias("ml_rank_score"),
         "heuristic_label", "first_seen", "last_seen", "description",
         *[F.col(f"extra.{x}").alias(x) for x in ("vendor", "cwe", "reference_count",
@@ -158,20 +185,12 @@ def metrics_summary(metrics: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- keyset --
-def rank_key_spec(desc: bool = True, score_col: str = "predicted_priority_score"
-                  ) -> list[tuple[str, Column, bool]]:
-    """(name, expression, descending) of the ranking order; NULLs sort last in
-    every key and (batch_id, seq) identifies a stored row, so the order is total."""
-    rank = F.coalesce(S.label_rank(F.col("predicted_priority")), F.lit(-1))
-    return [("_rank", rank, desc), ("_score", F.col(score_col), desc),
-            ("batch_id", F.col("batch_id"), False), ("seq", F.col("seq"), False)]
-
-
-def cursor_of(row, desc: bool = True) -> dict:
+def cursor_of(row) -> dict:
     """Cursor (ranking-key values) of a row from a ranked page."""
-    rank = C.SEVERITY_RANK.get(row["predicted_priority"], -1)
-    return {"_rank": rank, "_score": row["predicted_priority_score"],
-            "batch_id": row["batch_id"], "seq": row["seq"]}
+    names = row.asDict()
+    rank = C.SEVERITY_RANK.get(names.get("predicted_priority"), -1)
+    score = "predicted_priority_score" if {"predicted_priority", "predicted_priority_score"} <= set(names) else "severity_raw"
+    return {"_rank": rank, "_score": row[score], "batch_id": row["batch_id"], "seq": row["seq"], "id": row["id"]}
 
 
 def _after(expr: Column, value, descending: bool) -> Column:
@@ -190,14 +209,13 @@ def page_after(df: DataFrame, cursor: dict, size: int = C.DEFAULT_PAGE_SIZE,
     lexicographic predicate plus a top-k — no global sort and no offset, so a
     deep page costs one scan however far down it is.
     """
-    score = "predicted_priority_score" if "predicted_priority_score" in df.columns else "severity_raw"
-    spec = rank_key_spec(desc, score)
+    spec = rank_key_spec(df, desc)
     pred, equal_prefix = None, F.lit(True)
     for name, expr, descending in spec:
         term = equal_prefix & _after(expr, cursor[name], descending)
         pred = term if pred is None else pred | term
         equal_prefix = equal_prefix & expr.eqNullSafe(F.lit(cursor[name]))
-    return df.filter(pred).orderBy(*rank_keys(desc, score)).limit(size)
+    return df.filter(pred).orderBy(*rank_keys(df, desc)).limit(size)
 
 
 def read_metrics(spark, path: str) -> DataFrame | None:
@@ -205,6 +223,6 @@ def read_metrics(spark, path: str) -> DataFrame | None:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-        print("No evaluation metrics found yet — run the training/evaluation step first.")
+        print(f"no metrics have been written to {path}")
         return None
     return metrics_summary(spark.read.json(path))

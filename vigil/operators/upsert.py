@@ -1,23 +1,20 @@
 """Keyed upsert and write-back into the snapshot.
 
-No ``MERGE INTO`` on plain Parquet, so an upsert is a rewrite expressed as
-joins on ``id``:
+No ``MERGE INTO`` on plain Parquet, so an upsert is one full outer join of the
+snapshot and the batch on the key, with a pick per column:
 
-    new = (store ⋉̸ batch)                  -- untouched rows (anti join)
-        ∪ (batch ⟕ store-matches)          -- inserted or updated rows
+    only stored  -> the stored row            only in the batch -> the batch row
+    both         -> kept columns from the stored row, the others from the batch
 
-The batch is usually small next to the store.  When a count proves it fits,
-its ids are broadcast and the store is never shuffled (broadcast anti / semi
-joins).  Otherwise both sides shuffle on ``id`` and AQE may still demote the
-join to a broadcast from real shuffle sizes.
+Either side is read once.  A key that repeats in the batch or in an update is
+settled first, the last position winning, so the snapshot keeps one row per id.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.schemas import STORED_FIELDS, UPSERT_KEEP, UPSERT_OVERWRITE
-from vigil.session import broadcast_if_small
+from vigil.schemas import STORED_FIELDS, UPSERT_KEEP
 
 
 def join_key(df: DataFrame, side: str) -> DataFrame:
@@ -33,65 +30,55 @@ def join_key(df: DataFrame, side: str) -> DataFrame:
     return df.withColumn("_k", F.coalesce(F.col("id"), token))
 
 
-def upsert(store: DataFrame, batch: DataFrame, only_if_newer: bool = False,
-           check_size: bool = True) -> DataFrame:
-    """K2.  ``batch`` is in stored layout (see ``store.to_stored``), one row per id.
+def upsert(store: DataFrame, batch: DataFrame, only_if_newer: bool = False) -> DataFrame:
+    """K2.  ``batch`` is in stored layout (see ``store.to_stored``); of rows that repeat
+    an id the last by (batch_id, seq) counts.
 
     New id → inserted with NULL write-back columns.  Existing id → the
     overwrite columns (title, description, severity, report_count, last_seen,
     reliability, exploited, extra) come from the batch; threat_type,
     first_seen, source, predictions, label and insertion order are kept.
     ``only_if_newer`` adds the freshness test the upstream table lacks (off by
-    default to match it: an older batch overwrites newer values).
+    default to match it: an older batch overwrites newer values).  NULL keys
+    are always new.
     """
-    # NULL ids never match: NULL-id store rows survive the anti join and NULL-id
-    # batch rows pass the left join as inserts ("NULL keys are always new").
-    # Joins run on the salted key ``_k`` so such rows never pile up in one task.
-    b, s = join_key(batch, "b"), join_key(store, "s")
-    keys = batch.select(F.col("id").alias("_k")).filter(F.col("_k").isNotNull())
-    if check_size:
-        keys, _ = broadcast_if_small(keys)
-    untouched = s.join(keys, "_k", "left_anti")
-    matches = s.join(keys, "_k", "left_semi")
-
-    old = matches.select("_k", *[F.col(c).alias(f"_old_{c}") for c in
-                                 set(UPSERT_KEEP) | set(UPSERT_OVERWRITE)])
-    j = b.join(old, "_k", "left")
-    exists = F.col("_old_batch_id").isNotNull()
-    take_new = exists & (~F.lit(only_if_newer) | (F.coalesce(F.col("last_seen"), F.lit(""))
-                                                   >= F.coalesce(F.col("_old_last_seen"), F.lit(""))))
+    row = F.struct(*STORED_FIELDS)
+    new = join_key(batch, "b").groupBy("_k").agg(F.max_by(row, F.struct("batch_id", "seq")).alias("_new"))
+    old = join_key(store, "s").select("_k", row.alias("_old"))
+    stored, incoming = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    fresh = ~F.lit(only_if_newer) | (F.coalesce("_new.last_seen", F.lit(""))
+                                     >= F.coalesce("_old.last_seen", F.lit("")))
     cols = []
     for c in STORED_FIELDS:
-        if c == "id":
-            cols.append(F.col("id"))
-        elif c in UPSERT_KEEP:
-            cols.append(F.when(exists, F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c))
-        else:
-            cols.append(F.when(exists & ~take_new, F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c))
-    touched = j.select(*cols)
-    return untouched.select(*STORED_FIELDS).unionByName(touched)
+        a, b = F.col(f"_old.{c}"), F.col(f"_new.{c}")
+        take_new = ~stored if c in UPSERT_KEEP or c == "id" else ~stored | (incoming & fresh)
+        cols.append(F.when(take_new, b).otherwise(a).alias(c))
+    return old.join(new, "_k", "full_outer").select(*cols)
 
 
-def write_back(store: DataFrame, updates: DataFrame, columns: list[str]) -> DataFrame:
+def write_back(store: DataFrame, updates: DataFrame, columns: list[str],
+               position: str | None = None) -> DataFrame:
     """K3/K4: set ``columns`` from ``updates`` (id + columns) for matching ids only.
 
     Unmatched update ids are ignored; rows without an update keep their
-    values; a NULL id never matches.  ``updates`` must hold one row per id
-    (callers dedup with ``max_by`` when a source may repeat ids).
+    values; a NULL id never matches.  Of updates that repeat an id the last
+    counts, by the column ``position`` or else in input order.
     """
-    u = updates.select(F.col("id").alias("_k"), *[F.col(c).alias(f"_new_{c}") for c in columns]) \
-        .filter(F.col("_k").isNotNull()).withColumn("_hit", F.lit(True))
+    place = F.col(position) if position else F.monotonically_increasing_id()
+    u = (updates.filter(F.col("id").isNotNull())
+         .select(F.col("id").alias("_k"), F.struct(*columns).alias("_new"), place.alias("_at"))
+         .groupBy("_k").agg(F.max_by("_new", "_at").alias("_new")))
     j = join_key(store, "s").join(u, "_k", "left")
-    out = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+    out = [F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
            if c in columns else F.col(c) for c in STORED_FIELDS]
     return j.select(*out)
 
 
-def write_labels(store: DataFrame, labels: DataFrame) -> DataFrame:
+def write_labels(store: DataFrame, labels: DataFrame, position: str | None = None) -> DataFrame:
     """K3: ``labels`` has (id, heuristic_label)."""
-    return write_back(store, labels, ["heuristic_label"])
+    return write_back(store, labels, ["heuristic_label"], position)
 
 
-def write_predictions(store: DataFrame, predictions: DataFrame) -> DataFrame:
+def write_predictions(store: DataFrame, predictions: DataFrame, position: str | None = None) -> DataFrame:
     """K4: ``predictions`` has (id, predicted_priority, predicted_priority_score)."""
-    return write_back(store, predictions, ["predicted_priority", "predicted_priority_score"])
+    return write_back(store, predictions, ["predicted_priority", "predicted_priority_score"], position)

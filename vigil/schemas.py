@@ -9,12 +9,6 @@ EXTRA = T.StructType([
     T.StructField("isp", T.StringType()),
 ])
 
-# The 12 common fields, in order.
-COMMON_FIELDS = [
-    "id", "threat_type", "title", "description", "severity_raw", "report_count",
-    "first_seen", "last_seen", "source", "source_reliability", "exploited_flag", "extra",
-]
-
 COMMON = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("threat_type", T.StringType(), False),
@@ -63,9 +57,3 @@ UPSERT_OVERWRITE = [
 ]
 UPSERT_KEEP = ["threat_type", "first_seen", "source", "predicted_priority",
                "predicted_priority_score", "heuristic_label", "batch_id", "seq"]
-
-# Raw landed input: one JSON document per row plus its reproducible position.
-RAW = T.StructType([
-    T.StructField("seq", T.LongType()),
-    T.StructField("raw", T.StringType()),
-])

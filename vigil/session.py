@@ -1,11 +1,10 @@
-"""Session helpers: configuration, shared checkpoint folder, bounded broadcast."""
+"""Session helpers: configuration and the shared checkpoint folder."""
 from __future__ import annotations
 
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Settings the engine relies on.  Applied only where the session leaves them
 # unset, so a cluster's own choices win.
@@ -16,11 +15,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# Largest row count we broadcast after an explicit count.  Rows here are
-# narrow (an id plus a few columns), so this stays well under the default
-# 8 GB broadcast limit.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
                   app: str = "vigil", extra_conf: dict | None = None) -> SparkSession:
@@ -32,7 +26,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.default.parallelism", str(parts))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("VIGIL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in {**ENGINE_CONF, **(extra_conf or {})}.items():
@@ -56,8 +50,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
-    when neither is set — local tests — a fresh temporary folder is created.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  When
+    neither is set, a fresh temporary folder is made on a ``local`` master only;
+    on a cluster every executor would write to its own disk, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="vigil-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -75,30 +72,3 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (visible to all executors)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only after counting it; otherwise leave it to a shuffle join.
-
-    Counting is one cheap pass over a side that is about to be scanned anyway
-    (callers persist it first).  Above the bound the plain frame is returned
-    and the join falls back to sort-merge / shuffled-hash, with AQE free to
-    demote it to a broadcast at run time from real shuffle statistics.
-    """
-    n = df.count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread an under-partitioned input over all cores.
-
-    A cluster input made of many files already has more splits than cores and
-    is returned untouched (no shuffle).  Only a tiny single-split input — the
-    local fixtures — is redistributed, by a deterministic key hash.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
