@@ -44,25 +44,25 @@ def test_models_and_reports(spark):
     test = ML.with_label(sp.filter("is_test"))
     w = ML.class_weights(train)
     assert sum(r.weight * r.n_class for r in w.collect()) == pytest.approx(train.count())
-    train = ML.with_weights(train, w).cache()
+    train = ML.with_weights(train, ML.weight_table(train)).cache()
     rf = ML.fit_pipeline(train, ML.random_forest(num_trees=10))
     scored = ML.score_all(rf, test)
     from pyspark.ml.functions import vector_to_array
     p = scored.select(F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, b: a + b)
                       .alias("s"), "predicted_priority_score").collect()
     assert all(abs(r.s - 1) < 1e-9 and 0 <= r.predicted_priority_score <= 1 for r in p)
-    pred = rf.transform(test)
+    pred = EV.contingency(rf.transform(test))
     cm = EV.confusion_matrix(pred).collect()
     assert len(cm) == 4 and sum(sum(r[1:]) for r in cm) == test.count()
     rep = {r["class"]: r for r in EV.classification_report(pred).collect()}
-    assert set(rep) == {"Low", "Medium", "High", "Critical", "macro avg", "weighted avg"}
+    assert set(rep) == {"Low", "Medium", "High", "Critical", "accuracy", "macro avg", "weighted avg"}
     acc = EV.accuracy(pred).first().accuracy
+    assert rep["accuracy"].f1_score == acc and rep["accuracy"].support == test.count()
     majority = max(r.n_class for r in ML.class_weights(test).collect()) / test.count()
     assert acc > majority
     fi = ML.feature_importance(rf)
     assert set(fi) == set(ML.C.FEATURE_COLS) and sum(fi.values()) == pytest.approx(1.0)
-    stats = ML.scaler_stats(train)
-    z = ML.standardize(train, stats, suffix="_z").agg(F.avg("severity_raw_z"),
+    z = ML.standardize(train, ML.scaler_values(train)).agg(F.avg("severity_raw_z"),
                                                       F.stddev_pop("severity_raw_z")).first()
     assert abs(z[0]) < 1e-9 and z[1] == pytest.approx(1.0)
 
@@ -77,7 +77,7 @@ def test_expected_severity(spark):
 def test_model_roundtrip(spark):
     import __spark_entry__ as E
     df = E.queries()["model_roundtrip"](spark, "/root/testdata/sf0.001")
-    assert df.count() > 0
+    assert {r.model for r in df.select("model").distinct().collect()} == set(ML.MODELS)
     assert df.filter("prediction <> prediction_reloaded").count() == 0
 
 
@@ -87,5 +87,5 @@ def test_single_class_refused_and_absent_metrics(spark, tmpdir_path):
     one = ML.with_label(one.select("*", *[F.lit(0.0).alias(c) for c in ML.C.FEATURE_COLS])) \
         .withColumn("weight", F.lit(1.0))
     with pytest.raises(ValueError):
-        ML.require_classes(ML.class_weights(one))
+        ML.require_classes(ML.weight_table(one))
     assert V.read_metrics(spark, tmpdir_path + "/nothing-here") is None

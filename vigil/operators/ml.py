@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +35,12 @@ def class_weights(train: DataFrame, label_col: str = "heuristic_label") -> DataF
                     (F.col("_n") / (F.col("_k") * F.col("n_class"))).alias("weight")))
 
 
-def with_weights(df: DataFrame, weights: DataFrame, label_col: str = "heuristic_label") -> DataFrame:
-    # One row per class: a broadcast bounded by the number of labels.
-    return df.join(F.broadcast(weights.select(label_col, "weight")), label_col, "left") \
-             .withColumn("weight", F.coalesce(F.col("weight"), F.lit(1.0)))
+def with_weights(df: DataFrame, weights: dict[str, float], label_col: str = "heuristic_label") -> DataFrame:
+    """The class weights (one per label) written into the plan as literals."""
+    w = F.lit(None).cast("double")
+    for name, value in weights.items():
+        w = F.when(F.col(label_col) == name, F.lit(value)).otherwise(w)
+    return df.withColumn("weight", F.coalesce(w, F.lit(1.0)))
 
 
 def scaler_stats(train: DataFrame, cols: list[str] = C.FEATURE_COLS) -> DataFrame:
@@ -49,16 +51,22 @@ def scaler_stats(train: DataFrame, cols: list[str] = C.FEATURE_COLS) -> DataFram
     return train.agg(*aggs)
 
 
-def standardize(df: DataFrame, stats: DataFrame, cols: list[str] = C.FEATURE_COLS,
-                suffix: str = "") -> DataFrame:
-    """M3 transform: (x − mean) / std with std = 0 replaced by 1 (population std)."""
-    j = df.crossJoin(F.broadcast(stats))
-    out = {}
-    for c in cols:
-        std = F.col(f"{c}__std")
-        scale = F.when(std.isNull() | (std == 0), F.lit(1.0)).otherwise(std)
-        out[f"{c}{suffix}"] = (F.col(c) - F.col(f"{c}__mean")) / scale
-    return j.withColumns(out).drop(*[x for c in cols for x in (f"{c}__mean", f"{c}__std")])
+def scaler(stats: dict[str, float], cols: list[str] = C.FEATURE_COLS, suffix: str = "_z") -> SQLTransformer:
+    """M3 as a pipeline stage: (x − mean) / std with std = 0 replaced by 1 (population
+    std).  The statistics are literals of the stage, so they are saved with the model."""
+    exprs = [f"(`{c}` - {_double(stats[f'{c}__mean'] or 0.0)}) / {_double(stats[f'{c}__std'] or 1.0)} AS `{c}{suffix}`"
+             for c in cols]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
+
+
+def _double(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def standardize(df: DataFrame, stats: dict[str, float], cols: list[str] = C.FEATURE_COLS,
+                suffix: str = "_z") -> DataFrame:
+    """M3 transform: adds the standardised columns."""
+    return scaler(stats, cols, suffix).transform(df)
 
 
 def assembler(cols: list[str] = C.FEATURE_COLS, out: str = "features") -> VectorAssembler:
@@ -93,17 +101,43 @@ def random_forest(num_trees: int = C.RF_NUM_TREES) -> RandomForestClassifier:
                                   seed=C.RANDOM_SEED)
 
 
-def require_classes(weights: DataFrame, minimum: int = 2) -> None:
-    """Refuse to fit on fewer than two classes (checked on the per-class weight
-    table: one row per class, so the check is free)."""
-    k = weights.count()
+def require_classes(weights: dict[str, float], minimum: int = 2) -> None:
+    """Refuse to fit on fewer than two classes."""
+    k = len(weights)
     if k < minimum:
         raise ValueError(f"training rows hold {k} class(es); a classifier needs at least {minimum}")
 
 
+MODELS = ["logistic_regression", "decision_tree", "random_forest"]
+Z_COLS = [f"{c}_z" for c in C.FEATURE_COLS]
+
+
+def weight_table(train: DataFrame, label_col: str = "heuristic_label") -> dict[str, float]:
+    """M7 as values (one per class)."""
+    return {r[label_col]: r["weight"] for r in class_weights(train, label_col).collect()}
+
+
+def scaler_values(train: DataFrame) -> dict[str, float]:
+    """M3's statistics as values (two per feature)."""
+    return scaler_stats(train).first().asDict()
+
+
+def fit_model(name: str, train: DataFrame, stats: dict[str, float], n_train: int,
+              num_trees: int = C.RF_NUM_TREES) -> PipelineModel:
+    """One of ``MODELS`` on weighted training rows."""
+    if name == "logistic_regression":
+        return fit_pipeline(train, logistic_regression(n_train), Z_COLS, persist=True, before=[scaler(stats)])
+    return fit_pipeline(train, decision_tree() if name == "decision_tree" else random_forest(num_trees))
+
+
+def model_columns(name: str) -> list[str]:
+    return Z_COLS if name == "logistic_regression" else C.FEATURE_COLS
+
+
 def fit_pipeline(train: DataFrame, estimator, cols: list[str] = C.FEATURE_COLS,
-                 persist: bool = False) -> PipelineModel:
-    """Assemble, fit, and return assembler + model as one ``PipelineModel``.
+                 persist: bool = False, before: list | None = None) -> PipelineModel:
+    """Assemble, fit, and return the stages ``before`` (scaling), the assembler and
+    the model as one ``PipelineModel``, which scores rows of the plain features.
 
     ``persist`` keeps the narrow (features, label, weight) frame cached for an
     iterative optimiser's many passes (logistic regression).  Tree learners
@@ -111,6 +145,8 @@ def fit_pipeline(train: DataFrame, estimator, cols: list[str] = C.FEATURE_COLS,
     from pyspark import StorageLevel
     asm = assembler(cols)
     keep = ["features"] + [c for c in ("label", "weight") if c in train.columns]
+    for stage in before or []:
+        train = stage.transform(train)
     data = asm.transform(train).select(*keep)
     if persist:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
@@ -119,7 +155,7 @@ def fit_pipeline(train: DataFrame, estimator, cols: list[str] = C.FEATURE_COLS,
     finally:
         if persist:
             data.unpersist()
-    return PipelineModel(stages=[asm, model])
+    return PipelineModel(stages=[*(before or []), asm, model])
 
 
 def expected_severity(prob: Column) -> Column:

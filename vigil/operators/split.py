@@ -50,8 +50,7 @@ def allocation(counts: dict[str, int], test_size: float = C.TEST_SIZE) -> tuple[
         return {"*": n_test}, False
     k = len(counts)
     if n_test < k or n_train < k:
-        raise ValueError(f"test ({n_test}) and train ({n_train}) sizes must be >= the "
-                         f"number of classes ({k})")
+        raise ValueError(f"{k} classes do not fit into {n_train} training and {n_test} test rows")
     train = apportion(counts, n_train)
     return {c: counts[c] - train[c] for c in counts}, True
 

@@ -34,17 +34,21 @@ def label_snapshot(snapshot: DataFrame, now: dt.datetime | str) -> DataFrame:
 FILLED = ["report_count", "exploited_flag", "severity_raw", "source_reliability"]
 
 
-def labelled_in_place(snapshot: DataFrame, now: dt.datetime | str) -> DataFrame:
+def labelled_in_place(snapshot: DataFrame, now: dt.datetime | str, keep_features: bool = False) -> DataFrame:
     """Snapshot rows + features + ``priority_score`` with the *stored* values of the
     columns feature filling overwrites kept intact, and ``heuristic_label`` set.
 
     Equivalent to writing the labels back by id (labels come from these very
     rows) but without a join: at table scale that saves a full shuffle of the
     snapshot on both sides.  NULL-id rows keep a NULL label, as a keyed update
-    never matches them.
+    never matches them.  ``keep_features`` leaves the filled columns filled (for
+    training), the stored values in ``_s_*`` and every row's label in ``any_label``.
     """
     stash = snapshot.withColumns({f"_s_{c}": F.col(c) for c in FILLED})
     lab = label_snapshot(stash, now)
+    if keep_features:
+        return lab.withColumns({"any_label": F.col("heuristic_label"),
+                                "heuristic_label": F.when(F.col("id").isNotNull(), F.col("heuristic_label"))})
     return lab.withColumns({
         **{c: F.col(f"_s_{c}") for c in FILLED},
         "heuristic_label": F.when(F.col("id").isNotNull(), F.col("heuristic_label")),
@@ -52,13 +56,6 @@ def labelled_in_place(snapshot: DataFrame, now: dt.datetime | str) -> DataFrame:
     }).drop(*[f"_s_{c}" for c in FILLED])
 
 
-def labelled_store(snapshot: DataFrame, now: dt.datetime | str) -> DataFrame:
-    """The snapshot with ``heuristic_label`` written back by id (K3); every
-    other stored column keeps its stored value."""
-    lab = label_snapshot(snapshot, now).select("id", "heuristic_label")
-    return U.write_labels(snapshot, lab)
-
-
 def fixture_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver tables mapped to raw feeds and ingested as batch 0."""
     configure(spark)
@@ -68,7 +65,7 @@ def fixture_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch 0 upserted into an empty store (lazy: no write)."""
-    return U.upsert(ST.empty_snapshot(spark), fixture_batch(spark, sf_dir), check_size=False)
+    return U.upsert(ST.empty_snapshot(spark), fixture_batch(spark, sf_dir))
 
 
 _STORES: dict = {}
@@ -122,6 +119,7 @@ def served_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 UPSERT_SPLIT_TS = "2024-01-16 00:00:00"
+REPEAT_SEQ = 1 << 40
 
 
 def two_batch_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,8 +142,11 @@ def two_batch_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vigil.session import shared_path
     b1, _ = ingest(cve_records(orders, lineitem), ip_records(late), batch_id=1)
     b2 = ST.to_stored(dedup.keep_latest(N.valid(N.normalize_ip(ip_records(early)))), batch_id=2)
+    # every third id comes again, later in the batch: the last one counts
+    again = b2.filter(F.col("seq") % 3 == 0).withColumns({"severity_raw": F.lit(1.5), "seq": F.col("seq") + REPEAT_SEQ})
+    b2 = b2.unionByName(again)
     # Batch 1 lands in a table first (as a job run would), so the second upsert
     # reads the stored side with two column-pruned scans, not two re-ingests.
     root = shared_path(spark, "vigil-store", uuid.uuid4().hex)
-    v1 = ST.commit(spark, root, U.upsert(ST.empty_snapshot(spark), b1, check_size=False))
+    v1 = ST.commit(spark, root, U.upsert(ST.empty_snapshot(spark), b1))
     return U.upsert(ST.scan(spark, root, v1), b2)

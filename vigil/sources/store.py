@@ -69,6 +69,12 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return v[-1] if v else None
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a work folder that the caller made."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def scan(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """S6: the current (or a given) snapshot; empty with schema when none exists."""
     v = version if version is not None else current_version(spark, root)
@@ -85,8 +91,13 @@ def count(snapshot: DataFrame) -> DataFrame:
 
 def commit(spark: SparkSession, root: str, snapshot: DataFrame) -> int:
     """Write ``snapshot`` as the next version; returns the version number."""
-    v = (current_version(spark, root) or 0) + 1
+    # past every folder that exists: an uncommitted one is never written over
+    fs, p = _fs(spark, root)
+    taken = [int(s.getPath().getName()[2:]) for s in fs.listStatus(p) if s.getPath().getName().startswith("v=")] \
+        if fs.exists(p) else []
+    v = max(taken, default=0) + 1
     (snapshot.select(*STORED_FIELDS)
-     .write.mode("overwrite").partitionBy("threat_type")
+     .write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+     .partitionBy("threat_type")
      .parquet(f"{root.rstrip('/')}/v={v:06d}"))
     return v

@@ -4,8 +4,11 @@
 records exploded and normalised with the same column expressions as the
 batch path; each micro-batch is deduplicated (keep-latest) and upserted into
 the snapshot table inside ``foreachBatch``.  The stream's checkpoint makes a
-restarted query resume after the last committed micro-batch; a replayed
-micro-batch upserts the same rows again, which leaves the table unchanged.
+restarted query resume after the last committed micro-batch.  A replayed
+micro-batch is skipped when the table already holds rows that it inserted
+(records without an id are always inserted, so they never come twice); a batch
+that only updated rows writes the same values again.  Rejects, corrupt pages
+among them, are kept beside the table, one folder per micro-batch.
 """
 from __future__ import annotations
 
@@ -18,20 +21,18 @@ from vigil.operators import dedup
 from vigil.operators import normalize as N
 from vigil.operators import upsert as U
 from vigil.sources import store as ST
+from vigil.sources.landed import position
 
 
 def _records(pages: DataFrame, key: str, source_rank: int) -> DataFrame:
     """(file, body) → (seq, raw).  seq orders records by (feed, file, position)."""
-    items = pages.select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.posexplode(V.as_array(V.field(V.parse(F.col("value")), f"$.{key}"))).alias("pos", "item"))
-    # seq = feed (1 bit) | file-name hash (41 bits) | position in the file (20 bits):
-    # reproducible on replay, and two files of one micro-batch collide with
-    # probability ~ files² / 2⁴² (≈ 2·10⁻⁷ for a thousand files).
-    file_key = F.pmod(F.xxhash64("_file"), F.lit(1 << 41))
-    seq = (F.lit(source_rank).cast("bigint") * F.lit(1 << 61) + file_key * F.lit(1 << 20)
-           + F.col("pos"))
-    return items.select(seq.alias("seq"), F.to_json("item").alias("raw"))
+    doc = V.parse(F.col("value"))
+    # a page that is no JSON becomes one record of an undecodable text
+    items = F.when(doc.isNull(), F.array(F.lit(None).cast("variant"))).otherwise(V.as_array(V.field(doc, f"$.{key}")))
+    rows = pages.select(F.col("_metadata.file_path").alias("_file"), F.posexplode(items).alias("pos", "raw"))
+    # feed (1 bit) | file-name hash (30 bits) | position in the file (32 bits): reproducible on replay
+    order = F.pmod(F.xxhash64("_file"), F.lit(1 << 30))
+    return rows.select(position(source_rank, order, F.col("pos")).alias("seq"), "raw")
 
 
 def start(spark: SparkSession, cve_dir: str, ip_dir: str, root: str, checkpoint: str,
@@ -43,10 +44,23 @@ def start(spark: SparkSession, cve_dir: str, ip_dir: str, root: str, checkpoint:
     norm = N.normalize_cve(cve).unionByName(N.normalize_ip(ip))
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        good = N.valid(batch)
-        rows = ST.to_stored(dedup.keep_latest(good), batch_id + 1)
-        ST.commit(spark, root, U.upsert(ST.scan(spark, root), rows))
+        store_batch(spark, root, batch, batch_id + 1)
 
     w = norm.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def store_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int) -> bool:
+    """Keep the rejects of a normalised micro-batch and upsert its rows; False if it is stored already."""
+    stored = ST.scan(spark, root)
+    if not stored.filter(F.col("batch_id") == batch_id).isEmpty():
+        return False
+    batch.persist()
+    try:
+        N.quarantine(batch).write.mode("overwrite").parquet(f"{root.rstrip('/')}-rejects/batch_id={batch_id}")
+        rows = ST.to_stored(dedup.keep_latest(N.valid(batch)), batch_id)
+        ST.commit(spark, root, U.upsert(stored, rows))
+    finally:
+        batch.unpersist()
+    return True
