@@ -12,7 +12,9 @@ KEYS = ["normalize_union", "quarantine", "dedup_latest", "feature_matrix", "labe
         "upsert_threats", "write_labels", "summary", "available_priorities", "rank_threats",
         "page", "page_deep", "page_info", "display_projection", "inspect", "stratified_split",
         "standardize", "classification_report", "confusion_matrix", "expected_severity",
-        "read_cve_pages", "read_ip_min_confidence"]
+        "read_cve_pages", "read_ip_min_confidence", "date_fallback", "report_count_fallback", "fill_defaults",
+        "parse_date", "parse_extra", "recency_score", "write_labels_partial", "write_predictions", "rank_fallback",
+        "page_keyset", "metrics_summary"]
 
 
 @pytest.fixture(scope="module")

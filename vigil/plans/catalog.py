@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,7 +150,10 @@ def _feat(spark, sf_dir):
 
 @query("fill_defaults")
 def q_fill(spark, sf_dir):
-    f = features.fill_defaults(P.fixture_snapshot(spark, sf_dir))
+    # every filled column has gaps, by rules on the position
+    gaps = {"report_count": 5, "exploited_flag": 7, "severity_raw": 3, "source_reliability": 4}
+    s = P.fixture_snapshot(spark, sf_dir)
+    f = features.fill_defaults(s.withColumns({c: F.when(F.col("seq") % m != 0, F.col(c)) for c, m in gaps.items()}))
     return finish(f.select("id", "report_count", "exploited_flag", "severity_raw",
                            "source_reliability"))
 
@@ -180,7 +183,10 @@ def q_recency(spark, sf_dir):
 @query("parse_extra")
 def q_parse_extra(spark, sf_dir):
     s = P.fixture_snapshot(spark, sf_dir)
-    parsed = features.parse_extra(F.to_json(F.col("extra")))
+    # one text in six is empty, cut off or absent
+    m, text = F.col("seq") % 6, F.to_json(F.col("extra"))
+    parsed = features.parse_extra(F.when(m == 0, F.lit("")).when(m == 1, F.substring(text, F.lit(1), F.length(text) - 1))
+                                  .when(m == 2, F.lit(None).cast("string")).otherwise(text))
     return s.select("id", *[parsed[x].alias(x) for x in features.EXTRA_FIELDS])
 
 
@@ -318,14 +324,12 @@ RANK_OUT = ["id", "threat_type", "predicted_priority", "predicted_priority_score
 
 @query("rank_threats")
 def q_rank(spark, sf_dir):
-    r = V.rank_threats(V.filter_threats(P.served_store(spark, sf_dir)))
-    return finish(r.select(*RANK_OUT))
+    return finish(V.rank_threats(V.filter_threats(P.served_store(spark, sf_dir))))
 
 
 @query("rank_threats_ascending")
 def q_rank_asc(spark, sf_dir):
-    r = V.rank_threats(V.filter_threats(P.served_store(spark, sf_dir)), desc=False)
-    return finish(r.select(*RANK_OUT))
+    return finish(V.rank_threats(V.filter_threats(P.served_store(spark, sf_dir)), desc=False))
 
 
 @query("page")
@@ -362,70 +366,43 @@ def q_entry(spark, sf_dir):
 
 
 # ----------------------------------------------------------------------- ML --
-from pyspark import StorageLevel  # noqa: E402
-
 from vigil.operators import evaluate as EV  # noqa: E402
 from vigil.operators import ml as ML  # noqa: E402
 from vigil.operators import split as SP  # noqa: E402
 
 _ML: dict = {}
-Z = [f"{c}_z" for c in C.FEATURE_COLS]
+Z = ML.Z_COLS
 
 
 def _ml_data(spark, sf_dir) -> dict:
-    """Labelled rows + split, materialised once per session.
-
-    The split is cut from its lineage with a reliable ``checkpoint()`` (shared
-    checkpoint folder): model fitting makes many passes and every evaluation
-    query builds small plans on top, which would otherwise re-analyse the whole
-    ingest plan each time.
-    """
-    from vigil.session import ensure_checkpoint_dir
+    """Labelled rows + split as a table, once per session: model fitting makes many
+    passes and every evaluation query builds small plans on top."""
+    import uuid
+
+    from vigil.session import shared_path
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _ML:
-        ensure_checkpoint_dir(spark)
-        lab = P.fixture_labelled(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-        sp = SP.stratified_split(lab).checkpoint(eager=True)
-        lab.unpersist()
+        path = shared_path(spark, f"vigil-split-{uuid.uuid4().hex}")
+        SP.stratified_split(P.fixture_labelled(spark, sf_dir)).write.parquet(path)
+        sp = spark.read.parquet(path)
         train = ML.with_label(sp.filter(~F.col("is_test")))
-        test = ML.with_label(sp.filter(F.col("is_test")))
-        weights = ML.class_weights(train)
+        weights = ML.weight_table(train)
         ML.require_classes(weights)
-        stats = ML.scaler_stats(train)
-        _ML[key] = {"split": sp, "train": ML.with_weights(train, weights), "test": test,
-                    "weights": weights, "stats": stats, "models": {},
-                    "n_train": None}
+        _ML[key] = {"split": sp, "train": ML.with_weights(train, weights), "plain_train": train,
+                    "test": ML.with_label(sp.filter(F.col("is_test"))), "stats": ML.scaler_values(train),
+                    "models": {}, "n_train": train.count()}
     return _ML[key]
 
 
 def _model(spark, sf_dir, name: str):
     d = _ml_data(spark, sf_dir)
     if name not in d["models"]:
-        train = d["train"]
-        if name == "logistic_regression":
-            if d["n_train"] is None:
-                d["n_train"] = train.count()
-            z = ML.standardize(train, d["stats"], suffix="_z")
-            d["models"][name] = ML.fit_pipeline(z, ML.logistic_regression(d["n_train"]), Z,
-                                                persist=True)
-        elif name == "decision_tree":
-            d["models"][name] = ML.fit_pipeline(train, ML.decision_tree())
-        else:
-            d["models"][name] = ML.fit_pipeline(train, ML.random_forest())
+        d["models"][name] = ML.fit_model(name, d["train"], d["stats"], d["n_train"])
     return d["models"][name]
 
 
-def _model_input(spark, sf_dir, name: str, df: DataFrame) -> DataFrame:
-    d = _ml_data(spark, sf_dir)
-    return ML.standardize(df, d["stats"], suffix="_z") if name == "logistic_regression" else df
-
-
-MODELS = ["logistic_regression", "decision_tree", "random_forest"]
-
-
 def _test_predictions(spark, sf_dir, name: str) -> DataFrame:
-    d = _ml_data(spark, sf_dir)
-    return _model(spark, sf_dir, name).transform(_model_input(spark, sf_dir, name, d["test"]))
+    return _model(spark, sf_dir, name).transform(_ml_data(spark, sf_dir)["test"])
 
 
 @query("stratified_split")
@@ -436,13 +413,13 @@ def q_split(spark, sf_dir):
 @query("standardize")
 def q_standardize(spark, sf_dir):
     d = _ml_data(spark, sf_dir)
-    z = ML.standardize(d["split"], d["stats"], suffix="_z")
+    z = ML.standardize(d["split"], d["stats"])
     return finish(z.select("id", "is_test", *Z))
 
 
 @query("class_weights")
 def q_class_weights(spark, sf_dir):
-    return finish(_ml_data(spark, sf_dir)["weights"])
+    return finish(ML.class_weights(_ml_data(spark, sf_dir)["plain_train"]))
 
 
 def _baseline_test(spark, sf_dir) -> DataFrame:
@@ -453,17 +430,17 @@ def _baseline_test(spark, sf_dir) -> DataFrame:
 
 @query("accuracy")
 def q_accuracy(spark, sf_dir):
-    return finish(EV.accuracy(_baseline_test(spark, sf_dir)))
+    return finish(EV.accuracy(EV.contingency(_baseline_test(spark, sf_dir))))
 
 
 @query("classification_report")
 def q_report(spark, sf_dir):
-    return finish(EV.classification_report(_baseline_test(spark, sf_dir)))
+    return finish(EV.classification_report(EV.contingency(_baseline_test(spark, sf_dir))))
 
 
 @query("confusion_matrix")
 def q_confusion(spark, sf_dir):
-    return EV.confusion_matrix(_baseline_test(spark, sf_dir))
+    return EV.confusion_matrix(EV.contingency(_baseline_test(spark, sf_dir)))
 
 
 @query("expected_severity")
@@ -499,39 +476,20 @@ def q_train_rf(spark, sf_dir):
 @query("feature_importance")
 def q_importance(spark, sf_dir):
     rows = []
-    for name in MODELS:
-        fi = ML.feature_importance(_model(spark, sf_dir, name), Z if name == "logistic_regression"
-                                   else C.FEATURE_COLS) or {}
+    for name in ML.MODELS:
+        fi = ML.feature_importance(_model(spark, sf_dir, name), ML.model_columns(name)) or {}
         rows += [(name, f.removesuffix("_z"), float(v)) for f, v in fi.items()]
     return spark.createDataFrame(rows, "model string, feature string, importance double")
 
 
-def metrics_frame(spark, sf_dir) -> DataFrame:
-    """E5: one row per model — accuracy, macro/weighted F1, confusion matrix, importances."""
-    out = None
-    for name in MODELS:
-        # Test-set predictions are small (one row per test row, two columns) and
-        # feed three aggregates: persist them once per model.
-        pred = _test_predictions(spark, sf_dir, name).select("label", "prediction") \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        acc = EV.accuracy(pred)
-        rep = EV.classification_report(pred)
-        f1 = rep.groupBy().pivot("class", ["macro avg", "weighted avg"]).agg(F.first("f1_score"))
-        cm = EV.confusion_matrix(pred).agg(F.collect_list(F.array(*C.PRIORITY_LABELS)).alias("cm"))
-        row = (acc.crossJoin(f1).crossJoin(cm)
-               .select(F.lit(name).alias("model"), "accuracy", "n_test",
-                       F.col("macro avg").alias("macro_f1"),
-                       F.col("weighted avg").alias("weighted_f1"),
-                       F.col("cm").alias("confusion_matrix"),
-                       F.array(*[F.lit(x) for x in C.PRIORITY_LABELS]).alias("labels_order")))
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
 @query("evaluate_all")
 def q_evaluate_all(spark, sf_dir):
-    return metrics_frame(spark, sf_dir).select("model", "accuracy", "n_test", "macro_f1",
-                                               "weighted_f1")
+    """E5: the whole document, one row per model: accuracy, per-class report, confusion
+    matrix with its label order, importances.  Each model scores the test rows once."""
+    from vigil.plans import job
+    docs = {name: job.model_document(_model(spark, sf_dir, name), name, EV.contingency(_test_predictions(spark, sf_dir, name)))
+            for name in ML.MODELS}
+    return job.metrics_frame(spark, docs)
 
 
 def _rf_scored(spark, sf_dir) -> DataFrame:
@@ -545,90 +503,115 @@ def q_predict_all(spark, sf_dir):
                                                    "predicted_priority_score"))
 
 
+def _updates(rows: DataFrame, columns: list[str], other: dict[str, Column]) -> DataFrame:
+    """Updates with a position: three rows in four, every fifth again with the values
+    ``other`` (which must win), and one unknown id for every seventh."""
+    first = rows.filter(F.col("seq") % 4 != 0).select("id", *columns, F.col("seq").alias("at"))
+    again = rows.filter(F.col("seq") % 5 == 0).select(
+        "id", *[other[c].alias(c) for c in columns], (F.col("seq") + F.lit(1 << 40)).alias("at"))
+    unknown = rows.filter(F.col("seq") % 7 == 0).select(
+        F.concat(F.lit("unknown-"), F.col("id")).alias("id"), *columns, F.col("seq").alias("at"))
+    return first.unionByName(again).unionByName(unknown)
+
+
+@query("write_labels_partial")
+def q_write_labels_partial(spark, sf_dir):
+    """K3 with missing, repeated and unmatched update ids."""
+    from vigil.operators import upsert as U
+    snap = P.fixture_snapshot(spark, sf_dir)
+    lab = P.label_snapshot(snap, FX.FIXTURE_NOW).select("id", "heuristic_label", "seq")
+    up = _updates(lab, ["heuristic_label"], {"heuristic_label": F.lit("Critical")})
+    return U.write_labels(snap, up, "at").select("id", "threat_type", "heuristic_label")
+
+
 @query("write_predictions")
 def q_write_predictions(spark, sf_dir):
+    """K4 with the band baseline's predictions; missing, repeated and unmatched update ids."""
     from vigil.operators import upsert as U
-    snap = P.fixture_snapshot(spark, sf_dir)
-    preds = _rf_scored(spark, sf_dir).select("id", "predicted_priority", "predicted_priority_score")
-    return finish(U.write_predictions(snap, preds).select(
+    d = _ml_data(spark, sf_dir)
+    p = ML.predict_band_baseline(d["split"], ML.fit_band_baseline(d["train"]))
+    rows = p.select("id", "seq", S.rank_label(F.col("prediction").cast("int")).alias("predicted_priority"),
+                    ML.expected_severity(F.col("probability")).alias("predicted_priority_score"))
+    up = _updates(rows, ["predicted_priority", "predicted_priority_score"],
+                  {"predicted_priority": F.lit("Low"), "predicted_priority_score": F.lit(0.125)})
+    return finish(U.write_predictions(P.fixture_snapshot(spark, sf_dir), up, "at").select(
         "id", "threat_type", "predicted_priority", "predicted_priority_score"))
 
 
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
+    """K6: all three models saved with their scaling and reloaded; both predictions per test row."""
     import uuid
 
     from pyspark.ml import PipelineModel
 
     from vigil.session import shared_path
-    d = _ml_data(spark, sf_dir)
-    model = _model(spark, sf_dir, "random_forest")
-    path = shared_path(spark, "vigil-models", uuid.uuid4().hex, "random_forest")
-    model.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    a = model.transform(d["test"]).select("id", F.col("prediction").alias("prediction"))
-    b = loaded.transform(d["test"]).select("id", F.col("prediction").alias("prediction_reloaded"))
-    return a.join(b, "id")
+    root, out = shared_path(spark, "vigil-models", uuid.uuid4().hex), None
+    for name in ML.MODELS:
+        model = _model(spark, sf_dir, name)
+        model.write().overwrite().save(f"{root}/{name}")
+        test = _ml_data(spark, sf_dir)["test"]
+        a = model.transform(test).select(F.lit(name).alias("model"), "id", "seq", F.col("prediction"))
+        b = PipelineModel.load(f"{root}/{name}").transform(test).select("seq", F.col("prediction").alias("prediction_reloaded"))
+        both = a.join(b, "seq").drop("seq")
+        out = both if out is None else out.unionByName(both)
+    return out
 
 
 @query("metrics_summary")
 def q_metrics_summary(spark, sf_dir):
-    """K5 then S8: metrics written as JSON, read back, names title-cased, accuracy in %."""
+    """K5 then S8 for the band baseline: the document written as JSON, read back, names
+    title-cased, accuracy in %."""
     import uuid
 
-    from vigil.operators import serve as V2
+    from vigil.plans import job
     from vigil.session import shared_path
     path = shared_path(spark, "vigil-reports", uuid.uuid4().hex, "metrics")
-    metrics_frame(spark, sf_dir).coalesce(1).write.mode("overwrite").json(path)
-    return V2.read_metrics(spark, path)
+    doc = job.model_document(None, "band_baseline", EV.contingency(_baseline_test(spark, sf_dir)))
+    job.write_metrics(spark, {"band_baseline": doc}, path)
+    return V.read_metrics(spark, path)
 
 
 # ------------------------------------------------------------------ sources --
 from vigil.sources import landed as LD  # noqa: E402
-from vigil.sources import synthetic as GEN  # noqa: E402
-from vigil.sources.tables import read_table  # noqa: E402
 
-ALL_PAGES = 10 ** 9
+# Landed vulnerability pages alternate between 300 and 200 keys.
+PAGE_KEYS, PAGE_CUT = 500, 300
 
 
 @query("read_cve_pages")
 def q_read_cve_pages(spark, sf_dir):
-    """S1 over the whole table: records landed as 200-record envelopes, read back."""
+    """S1 over the whole table: records landed as page files of mixed size, read back.
+    ``seq`` holds page order and position, so neither needs a join."""
+    import uuid
+
+    from vigil.session import shared_path
     cve, _ = _feeds(spark, sf_dir)
-    pages = LD.envelope(cve, "vulnerabilities", lambda s: F.floor(s / C.CVE_RESULTS_PER_PAGE),
-                        C.CVE_RESULTS_PER_PAGE)
-    rec = LD.cve_pages_to_records(pages, max_pages=ALL_PAGES)
+    path = shared_path(spark, "vigil-landed", uuid.uuid4().hex)
+    LD.write_pages(LD.envelope(cve, "vulnerabilities", lambda s: (
+        F.floor(s / PAGE_KEYS) * 2 + F.when(s % PAGE_KEYS >= PAGE_CUT, 1).otherwise(0))), path)
+    rec = LD.cve_pages_to_records(LD.read_pages(spark, path))
     norm = N.valid(N.normalize_cve(rec.select("seq", "raw")))
-    return finish(rec.select("seq", "page", "pos").join(norm.select("seq", "id", "severity_raw"),
-                                                        "seq"))
+    return finish(norm.select("seq", F.shiftright("seq", LD.POSITION_BITS).alias("page_order"),
+                              F.col("seq").bitwiseAND(F.lit((1 << LD.POSITION_BITS) - 1)).alias("pos"),
+                              "id", "severity_raw"))
 
 
 @query("read_ip_min_confidence")
 def q_read_ip(spark, sf_dir):
-    """S2: report envelopes of 1,000 events; defaults floor 50, cap 500 (the cap is the feature)."""
+    """S2: report envelopes of 1,000 events; floor 50, cap 500 (the cap is the feature)."""
     _, ip = _feeds(spark, sf_dir)
-    pages = LD.envelope(ip, "data", lambda s: F.floor((s - FX.IP_SEQ_BASE) / 1000), 1000)
-    top = LD.ip_pages_to_records(pages, 0, None)
+    pages = LD.envelope(ip, "data", lambda s: F.floor((s - FX.IP_SEQ_BASE) / 1000))
+    top = LD.ip_pages_to_records(pages, limit=C.IP_LIMIT)
     return finish(top.select("seq", "ip", "confidence"))
 
 
-@query("gen_cve")
-def q_gen_cve(spark, sf_dir):
-    """S3: one synthetic vulnerability record per order, normalised."""
-    configure(spark)
-    idx = read_table(spark, sf_dir, "orders", "o_orderkey").select(F.col("o_orderkey").alias("i"))
-    n = N.valid(N.normalize_cve(GEN.gen_cve(idx, FX.FIXTURE_NOW)))
-    return finish(flat(n.select("id", "severity_raw", "exploited_flag", "report_count",
-                                "last_seen", "extra")))
-
-
-@query("gen_ip")
-def q_gen_ip(spark, sf_dir):
-    """S4: one synthetic report (unique address) per event, normalised."""
-    configure(spark)
-    idx = read_table(spark, sf_dir, "events", "event_id").select(F.col("event_id").alias("i"))
-    n = N.valid(N.normalize_ip(GEN.gen_ip(idx, FX.FIXTURE_NOW)))
-    return finish(flat(n.select("id", "severity_raw", "report_count", "last_seen", "extra")))
+@query("rank_fallback")
+def q_rank_fallback(spark, sf_dir):
+    """V4/V5 on a table without prediction columns: type filter only, severity ranks."""
+    plain = P.fixture_snapshot(spark, sf_dir).drop("predicted_priority", "predicted_priority_score")
+    r = V.rank_threats(V.filter_threats(plain, [C.TYPE_CVE, C.TYPE_IP], ["High"]), columns=["id", "severity_raw"])
+    return finish(r)
 
 
 @query("page_keyset")

@@ -7,7 +7,16 @@ Float literals are cast to DOUBLE so DuckDB never does DECIMAL arithmetic.
 """
 from __future__ import annotations
 
-from vigil import constants as C
+# The values below are written out, not taken from vigil.constants, so that a wrong constant shows as a mismatch.
+HIGH_RISK = ["CN", "RU", "BR", "IN", "VN", "KR", "UA", "TR", "IR", "PK", "ID", "TH", "NG", "BD", "PH"]
+CWE_HIGH = ["CWE-78", "CWE-89", "CWE-94", "CWE-77", "CWE-502", "CWE-434", "CWE-611", "CWE-918"]
+CWE_MEDIUM = ["CWE-79", "CWE-352", "CWE-287", "CWE-200", "CWE-22", "CWE-416", "CWE-787", "CWE-120", "CWE-125"]
+CWE_UNNAMED = ["unknown", "NVD-CWE-Other", "NVD-CWE-noinfo"]
+WEIGHT = {"severity": 0.35, "exploited_flag": 0.18, "report_count_norm": 0.10, "recency_score": 0.08,
+          "source_reliability": 0.07, "cwe_risk": 0.12, "reference_bonus": 0.10}
+BUCKETS = [("Critical", 0.72), ("High", 0.52), ("Medium", 0.38)]
+FEATURE_ORDER = ["severity_raw", "report_count_norm", "recency_score", "source_reliability", "exploited_flag",
+                 "reference_count_norm", "high_risk_country", "is_cve", "is_malicious_ip"]
 
 
 def _d(x: float) -> str:
@@ -37,13 +46,22 @@ cve AS (
            AS description,
          CAST(CAST(round(o.o_totalprice * 100) AS BIGINT) % 101 AS DOUBLE) / {_d(10.0)}
            AS severity_raw,
-         CAST(coalesce(li.n_refs, 0) AS BIGINT) AS report_count,
+         CASE WHEN o.o_orderkey % 13 = 0 THEN CAST(o.o_orderkey % 50 AS BIGINT)
+              WHEN o.o_orderkey % 13 = 1 THEN CAST(o.o_orderkey % 40 AS BIGINT)
+              ELSE CAST(coalesce(li.n_refs, 0) AS BIGINT) END AS report_count,
          strftime(CAST(DATE '2024-01-30' - CAST(o.o_orderkey % 365 AS INTEGER) AS TIMESTAMP), {ISO})
            AS first_seen,
-         strftime(CAST(DATE '2024-01-30' - CAST(o.o_orderkey % 365 AS INTEGER) AS TIMESTAMP), {ISO})
+         CASE o.o_orderkey % 11
+           WHEN 0 THEN strftime(CAST(DATE '2024-01-30' - CAST(o.o_orderkey % 365 AS INTEGER) AS TIMESTAMP), {ISO})
+           WHEN 3 THEN strftime(CAST(DATE '2024-01-30' - CAST(o.o_orderkey % 365 AS INTEGER) AS TIMESTAMP), {ISO}) || 'Z'
+           WHEN 4 THEN strftime(CAST(DATE '2024-01-30' - CAST(o.o_orderkey % 365 AS INTEGER) AS TIMESTAMP), {ISO}) || '+02:00'
+           WHEN 5 THEN '2024-03-01T00:00:00.000'
+           WHEN 6 THEN strftime(CAST(DATE '2024-01-30' - CAST(o.o_orderkey % 365 AS INTEGER) AS TIMESTAMP), '%Y%m%dT%H%M%S')
+           WHEN 7 THEN 'not-a-date' WHEN 8 THEN ''
+           ELSE strftime(CAST(DATE '2024-01-31' - CAST(o.o_orderkey % 365 AS INTEGER) AS TIMESTAMP), {ISO}) END
            AS last_seen,
          'nvd' AS source,
-         {_d(C.SOURCE_RELIABILITY['nvd'])} AS source_reliability,
+         {_d(0.9)} AS source_reliability,
          coalesce(li.n_exploit, 0) > 0 AS exploited_flag,
          CASE WHEN o.o_orderkey % 7 <> 0 THEN 'vendor-' || CAST(o.o_custkey % 8 AS VARCHAR)
               ELSE 'unknown' END AS vendor,
@@ -58,11 +76,12 @@ IP = f"""
 ip0 AS (
   SELECT *, CAST(floor(value) AS BIGINT) % 101 AS conf,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-         '10.' || CAST(user_id % 7 AS VARCHAR) || '.' || CAST(user_id // 256 AS VARCHAR) || '.'
+         CAST(10 + user_id // 65536 AS VARCHAR) || '.' || CAST(user_id % 7 AS VARCHAR) || '.'
+           || CAST(user_id // 256 % 256 AS VARCHAR) || '.'
            || CAST(user_id % 256 AS VARCHAR) AS ip
   FROM events),
 ip AS (
-  SELECT CAST(1000000000 + event_id AS BIGINT) AS seq,
+  SELECT CAST(4611686018427387904 + event_id AS BIGINT) AS seq,
          ip AS id,
          'malicious_ip' AS threat_type,
          'Malicious IP ' || ip AS title,
@@ -73,7 +92,7 @@ ip AS (
          strftime(ts, {ISO}) AS first_seen,
          strftime(ts, {ISO}) AS last_seen,
          'abuseipdb' AS source,
-         {_d(C.SOURCE_RELIABILITY['abuseipdb'])} AS source_reliability,
+         {_d(0.6)} AS source_reliability,
          false AS exploited_flag,
          CAST(NULL AS VARCHAR) AS vendor,
          CAST(NULL AS VARCHAR) AS cwe,
@@ -93,17 +112,21 @@ ranked AS (
   FROM u),
 d AS (SELECT * EXCLUDE (rn, seq, first_seq), first_seq AS seq FROM ranked WHERE rn = 1)"""
 
-HR = _in(C.HIGH_RISK_COUNTRIES)
-CWE_RISK = (f"CASE WHEN cwe IN {_in(C.CWE_HIGH_RISK)} THEN {_d(1.0)} "
-            f"WHEN cwe IN {_in(C.CWE_MEDIUM_RISK)} THEN {_d(0.6)} "
-            f"WHEN cwe IS NOT NULL AND cwe <> '' AND cwe NOT IN {_in(C.CWE_GENERIC)} THEN {_d(0.4)} "
+HR = _in(HIGH_RISK)
+CWE_RISK = (f"CASE WHEN cwe IN {_in(CWE_HIGH)} THEN {_d(1.0)} "
+            f"WHEN cwe IN {_in(CWE_MEDIUM)} THEN {_d(0.6)} "
+            f"WHEN cwe IS NOT NULL AND cwe <> '' AND cwe NOT IN {_in(CWE_UNNAMED)} THEN {_d(0.4)} "
             f"ELSE {_d(0.2)} END")
 REF_BONUS = (f"least({_d(1.0)}, ln({_d(1.0)} + CAST(coalesce(reference_count, 0) AS DOUBLE))"
              f" / ln({_d(21.0)}))")
 GEO = (f"CASE WHEN country_code IN {HR} AND severity_raw >= {_d(4.0)} THEN {_d(0.05)} "
        f"ELSE {_d(0.0)} END")
-RECENCY = (f"CASE WHEN TRY_CAST(last_seen AS TIMESTAMP) IS NULL THEN {_d(0.3)} ELSE "
-           f"exp(-greatest({_d(0.0)}, ((epoch_us({NOW}) - epoch_us(TRY_CAST(last_seen AS TIMESTAMP)))"
+INSTANT = ("CASE WHEN regexp_matches(last_seen, '^[0-9]{8}T[0-9]{6}$') THEN strptime(last_seen, '%Y%m%dT%H%M%S') "
+           "WHEN last_seen LIKE '%Z' THEN TRY_CAST(replace(last_seen, 'Z', '') AS TIMESTAMP) "
+           "WHEN last_seen LIKE '%+02:00' THEN TRY_CAST(replace(last_seen, '+02:00', '') AS TIMESTAMP) - INTERVAL 2 HOUR "
+           "ELSE TRY_CAST(last_seen AS TIMESTAMP) END")
+RECENCY = (f"CASE WHEN ({INSTANT}) IS NULL THEN {_d(0.3)} ELSE "
+           f"exp(-greatest({_d(0.0)}, ((epoch_us({NOW}) - epoch_us({INSTANT}))"
            f" / {_d(1e6)}) / {_d(86400.0)}) / {_d(30.0)}) END")
 
 FEATURES = f"""
@@ -126,7 +149,7 @@ feat AS (
          CASE WHEN threat_type = 'malicious_ip' THEN 1 ELSE 0 END AS is_malicious_ip
   FROM f0 CROSS JOIN mm)"""
 
-_W = dict(C.WEIGHTS)
+_W = WEIGHT
 SCORE = (f"least({_d(1.0)}, greatest({_d(0.0)}, "
          f"{_d(_W['severity'])} * (severity_raw / {_d(10.0)})"
          f" + {_d(_W['exploited_flag'])} * CAST(exploited_flag AS DOUBLE)"
@@ -137,7 +160,7 @@ SCORE = (f"least({_d(1.0)}, greatest({_d(0.0)}, "
          f" + {_d(_W['reference_bonus'])} * {REF_BONUS}"
          f" + {GEO}))")
 BUCKET = ("CASE " + " ".join(f"WHEN priority_score >= {_d(t)} THEN '{lab}'"
-                             for lab, t in C.THRESHOLDS) + f" ELSE '{C.FALLBACK_LABEL}' END")
+                             for lab, t in BUCKETS) + f" ELSE 'Low' END")
 
 LABELS = f"""
 lab0 AS (SELECT *, {SCORE} AS priority_score FROM feat),
@@ -171,13 +194,23 @@ SQL: dict[str, str] = {
     "normalize_ip": with_ctes(IP, tail=f"SELECT {COMMON_SEL} FROM ip"),
     "normalize_union": with_ctes(CVE, IP, UNION, tail=f"SELECT {COMMON_SEL} FROM u"),
     "quarantine": with_ctes(IP, tail="""
-SELECT o_orderkey AS seq, 'nvd' AS source, 'CVE-2025-' || CAST(o_orderkey AS VARCHAR) AS id,
-       'fatal:bad_report_count' AS reject_reason
-FROM orders WHERE o_orderstatus = 'P'
+SELECT * FROM (
+  SELECT o_orderkey AS seq, 'nvd' AS source,
+         CASE WHEN o_orderkey % 17 NOT IN (3, 5, 7) THEN 'CVE-2025-' || CAST(o_orderkey AS VARCHAR) END AS id,
+         CASE WHEN o_orderkey % 17 = 3 THEN 'unparsable_json' WHEN o_orderkey % 17 = 5 THEN 'missing_cve'
+              WHEN o_orderkey % 17 = 7 THEN 'missing_id' WHEN o_orderkey % 17 = 9 THEN 'bad_descriptions'
+              WHEN o_orderkey % 17 = 11 THEN 'bad_metrics' WHEN o_orderkey % 17 = 13 THEN 'bad_references'
+              WHEN o_orderstatus = 'P' THEN 'fatal:bad_report_count'
+              WHEN o_orderkey % 17 = 15 THEN 'fatal:bad_weaknesses' END AS reject_reason FROM orders)
+WHERE reject_reason IS NOT NULL
 UNION ALL
-SELECT CAST(1000000000 + event_id AS BIGINT) AS seq, 'abuseipdb' AS source, ip AS id,
-       'bad_confidence' AS reject_reason
-FROM ip0 WHERE event_type = 'error'"""),
+SELECT * FROM (
+  SELECT CAST(4611686018427387904 + event_id AS BIGINT) AS seq, 'abuseipdb' AS source,
+         CASE WHEN event_id % 17 NOT IN (3, 6, 8) THEN ip END AS id,
+         CASE WHEN event_id % 17 = 3 THEN 'unparsable_json' WHEN event_id % 17 = 8 THEN 'bad_record'
+              WHEN event_id % 17 = 6 THEN 'missing_id' WHEN event_type = 'error' THEN 'bad_confidence'
+              WHEN event_id % 17 = 4 THEN 'bad_total_reports' END AS reject_reason FROM ip0)
+WHERE reject_reason IS NOT NULL"""),
     "first_en_description": with_ctes(CVE, tail="SELECT id, description FROM cve"),
     "cvss_cascade": with_ctes(CVE, tail="SELECT id, round(severity_raw, 6) AS severity_raw FROM cve"),
     "exploited_flag": with_ctes(CVE, tail="SELECT id, exploited_flag FROM cve"),
@@ -191,22 +224,24 @@ FROM ip0 WHERE event_type = 'error'"""),
                              " count(*) AS n FROM u GROUP BY source"),
     "dedup_latest": with_ctes(*BASE, tail=f"SELECT {COMMON_SEL} FROM d"),
     "fill_defaults": with_ctes(*BASE, tail=f"""
-SELECT id, round(CAST(coalesce(report_count, 0) AS DOUBLE), 6) AS report_count,
-       coalesce(CAST(exploited_flag AS INTEGER), 0) AS exploited_flag,
-       round(coalesce(severity_raw, {_d(0.0)}), 6) AS severity_raw,
-       round(coalesce(source_reliability, {_d(0.5)}), 6) AS source_reliability
+SELECT id, round(CASE WHEN seq % 5 = 0 THEN {_d(0.0)} ELSE CAST(report_count AS DOUBLE) END, 6) AS report_count,
+       CASE WHEN seq % 7 = 0 THEN 0 ELSE CAST(exploited_flag AS INTEGER) END AS exploited_flag,
+       round(CASE WHEN seq % 3 = 0 THEN {_d(0.0)} ELSE severity_raw END, 6) AS severity_raw,
+       round(CASE WHEN seq % 4 = 0 THEN {_d(0.5)} ELSE source_reliability END, 6) AS source_reliability
 FROM d"""),
     "report_count_norm": with_ctes(*BASE, FEATURES, tail="""
 SELECT id, round(CAST(coalesce(report_count, 0) AS DOUBLE), 6) AS report_count,
        round(report_count_norm, 6) AS report_count_norm FROM feat"""),
     "reference_count_norm": with_ctes(*BASE, FEATURES, tail="""
 SELECT id, reference_count, round(reference_count_norm, 6) AS reference_count_norm FROM feat"""),
-    "parse_date": with_ctes(*BASE, tail="""
-SELECT id, last_seen, epoch_us(TRY_CAST(last_seen AS TIMESTAMP)) AS last_seen_us FROM d"""),
+    "parse_date": with_ctes(*BASE, tail=f"""
+SELECT id, last_seen, epoch_us({INSTANT}) AS last_seen_us FROM d"""),
     "recency_score": with_ctes(*BASE, FEATURES, tail="""
 SELECT id, last_seen, round(recency_score, 6) AS recency_score FROM feat"""),
     "parse_extra": with_ctes(*BASE, tail="""
-SELECT id, vendor, cwe, reference_count, country_code, isp FROM d"""),
+SELECT id, CASE WHEN seq % 6 > 2 THEN vendor END AS vendor, CASE WHEN seq % 6 > 2 THEN cwe END AS cwe,
+       CASE WHEN seq % 6 > 2 THEN reference_count END AS reference_count,
+       CASE WHEN seq % 6 > 2 THEN country_code END AS country_code, CASE WHEN seq % 6 > 2 THEN isp END AS isp FROM d"""),
     "high_risk_country": with_ctes(*BASE, FEATURES, tail="""
 SELECT id, country_code, high_risk_country FROM feat"""),
     "type_onehot": with_ctes(*BASE, FEATURES, tail="""
@@ -243,9 +278,9 @@ STORE_SEL = ("id, threat_type, title, description, round(severity_raw, 6) AS sev
 
 SPLIT_TS = "TIMESTAMP '2024-01-16 00:00:00'"
 TWO_BATCH = f"""
-ipl AS (SELECT ip.* FROM ip JOIN events e ON ip.seq = 1000000000 + e.event_id
+ipl AS (SELECT ip.* FROM ip JOIN events e ON ip.seq = 4611686018427387904 + e.event_id
         WHERE e.ts >= {SPLIT_TS}),
-ipe AS (SELECT ip.* FROM ip JOIN events e ON ip.seq = 1000000000 + e.event_id
+ipe AS (SELECT ip.* FROM ip JOIN events e ON ip.seq = 4611686018427387904 + e.event_id
         WHERE e.ts < {SPLIT_TS}),
 u1 AS (SELECT * FROM cve UNION ALL BY NAME SELECT * FROM ipl),
 r1 AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY coalesce(last_seen, '') DESC, seq) AS rn,
@@ -255,7 +290,9 @@ r2 AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY coalesce(last_seen,
               min(seq) OVER (PARTITION BY id) AS first_seq FROM ipe),
 b2 AS (SELECT * EXCLUDE (rn, seq, first_seq), first_seq AS seq FROM r2 WHERE rn = 1),
 s1 AS (SELECT {STORE_SEL.format(b=1)} FROM b1),
-s2 AS (SELECT {STORE_SEL.format(b=2)} FROM b2),
+b2r AS (SELECT * EXCLUDE (severity_raw, seq), CASE WHEN seq % 3 = 0 THEN {_d(1.5)} ELSE severity_raw END AS severity_raw,
+               CASE WHEN seq % 3 = 0 THEN seq + 1099511627776 ELSE seq END AS seq FROM b2),
+s2 AS (SELECT {STORE_SEL.format(b=2)} FROM b2r),
 merged AS (
   SELECT s1.* FROM s1 WHERE id NOT IN (SELECT id FROM s2 WHERE id IS NOT NULL) OR id IS NULL
   UNION ALL
@@ -349,7 +386,7 @@ SELECT CAST(pg AS BIGINT) AS page, CAST(25 AS BIGINT) AS page_size,
     "display_projection": with_ctes(*SERVE_BASE, _ranked(True), _page_filter(2, 50), tail=f"""
 SELECT {DISPLAY_SEL} FROM rk, pb WHERE position > (pg - 1) * 50 AND position <= pg * 50"""),
     "inspect": with_ctes(*SERVE_BASE, tail="""
-SELECT id, title, threat_type, source, round(severity_raw, 2) AS severity_raw, predicted_priority,
+SELECT id, title, threat_type, source, round(severity_raw, 6) AS severity_raw, report_count, predicted_priority,
        round(coalesce(predicted_priority_score, 0.0), 4) AS ml_rank_score, heuristic_label,
        first_seen, last_seen, description, vendor, cwe, reference_count, country_code, isp
 FROM flt WHERE id = 'CVE-2025-1' LIMIT 1"""),
@@ -359,13 +396,13 @@ FROM flt WHERE id = 'CVE-2025-1' LIMIT 1"""),
 # ------------------------------------------------------------------- ML -----
 SPLIT = f"""
 sc AS (SELECT heuristic_label AS lbl, count(*) AS cnt FROM lab GROUP BY heuristic_label),
-tot AS (SELECT sum(cnt) AS n, CAST(ceil({_d(C.TEST_SIZE)} * sum(cnt)) AS BIGINT) AS n_test FROM sc),
+tot AS (SELECT sum(cnt) AS n, CAST(ceil({_d(0.25)} * sum(cnt)) AS BIGINT) AS n_test FROM sc),
 al AS (SELECT lbl, cnt, n, n_test, ((n - n_test) * cnt) // n AS base,
               ((n - n_test) * cnt) % n AS rem FROM sc, tot),
 al2 AS (SELECT *, row_number() OVER (ORDER BY rem DESC, lbl) AS rr,
                (n - n_test) - sum(base) OVER () AS leftover FROM al),
 alloc AS (SELECT lbl, cnt - (base + CASE WHEN rr <= leftover THEN 1 ELSE 0 END) AS n_test_c FROM al2),
-hashed AS (SELECT lab.*, md5('{C.RANDOM_SEED}:' || coalesce(id, '')) AS hsh FROM lab),
+hashed AS (SELECT lab.*, md5('42:' || coalesce(id, '')) AS hsh FROM lab),
 spl AS (SELECT hashed.*,
                row_number() OVER (PARTITION BY heuristic_label ORDER BY hsh, seq) <= alloc.n_test_c
                  AS is_test
@@ -391,7 +428,7 @@ pr AS (SELECT * FROM pr_all WHERE is_test)"""
 _LABEL_OF = ("CASE {x} WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium' WHEN 2 THEN 'High' "
              "WHEN 3 THEN 'Critical' END")
 ML_BASE = LABELLED + (SPLIT,)
-_ZCOLS = C.FEATURE_COLS
+_ZCOLS = FEATURE_ORDER
 STATS = ("\nst AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _ZCOLS)
          + " FROM tr)")
 Z_SEL = ", ".join(
@@ -439,6 +476,9 @@ SELECT {_LABEL_OF.format(x='r')} AS class, round(precision, 6) AS precision,
        round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, CAST(support AS BIGINT) AS support
 FROM m
 UNION ALL
+SELECT 'accuracy', round(sum(tp) / sum(support), 6), round(sum(tp) / sum(support), 6),
+       round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM m
+UNION ALL
 SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1_score), 6),
        CAST(sum(support) AS BIGINT) FROM m
 UNION ALL
@@ -455,18 +495,35 @@ FROM pr_all"""),
 
 # -------------------------------------------------------------- sources -----
 SQL.update({
-    "read_cve_pages": with_ctes(CVE, tail=f"""
-, pg AS (SELECT seq AS k, id, severity_raw, CAST(floor(seq / {C.CVE_RESULTS_PER_PAGE}) AS INTEGER) AS page
+    "read_cve_pages": with_ctes(CVE, tail="""
+, pg AS (SELECT seq AS k, id, severity_raw, (seq // 500) * 2 + CASE WHEN seq % 500 >= 300 THEN 1 ELSE 0 END AS page
          FROM cve),
-pp AS (SELECT *, CAST(row_number() OVER (PARTITION BY page ORDER BY k) - 1 AS INTEGER) AS pos FROM pg)
-SELECT CAST(page AS BIGINT) * {C.CVE_RESULTS_PER_PAGE} + pos AS seq, page, pos, id,
-       round(severity_raw, 6) AS severity_raw FROM pp"""),
-    "read_ip_min_confidence": with_ctes(IP, tail=f"""
-, pg AS (SELECT ip0.*, CAST(floor(event_id / 1000) AS INTEGER) AS page FROM ip0),
+pp AS (SELECT *, dense_rank() OVER (ORDER BY page) - 1 AS page_order,
+              row_number() OVER (PARTITION BY page ORDER BY k) - 1 AS pos FROM pg)
+SELECT page_order * 4294967296 + pos AS seq, page_order, pos, id, round(severity_raw, 6) AS severity_raw FROM pp"""),
+    "read_ip_min_confidence": with_ctes(IP, tail="""
+, pg AS (SELECT ip0.*, CAST(floor(event_id / 1000) AS BIGINT) AS page FROM ip0),
 pp AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY event_id) - 1 AS pos FROM pg)
-SELECT CAST(page AS BIGINT) * 1000000 + pos AS seq, ip, round(CAST(conf AS DOUBLE), 6) AS confidence
-FROM pp WHERE conf >= {C.IP_CONFIDENCE_MINIMUM}
-ORDER BY conf DESC, ip, seq LIMIT {C.IP_LIMIT}"""),
+SELECT CAST(4611686018427387904 + page * 4294967296 + pos AS BIGINT) AS seq, ip, round(CAST(conf AS DOUBLE), 6) AS confidence
+FROM pp WHERE conf >= 50
+ORDER BY conf DESC, ip, seq LIMIT 500"""),
+    "rank_fallback": with_ctes(*BASE, tail="""
+SELECT id, round(severity_raw, 6) AS severity_raw,
+       row_number() OVER (ORDER BY severity_raw DESC NULLS LAST, seq, id) AS position FROM d"""),
+    "write_labels_partial": with_ctes(*LABELLED, tail="""
+SELECT id, threat_type, CASE WHEN seq % 5 = 0 THEN 'Critical' WHEN seq % 4 <> 0 THEN heuristic_label END AS heuristic_label
+FROM lab"""),
+    "write_predictions": with_ctes(*ML_BASE, BAND, tail=f"""
+SELECT id, threat_type,
+       CASE WHEN seq % 5 = 0 THEN 'Low' WHEN seq % 4 <> 0 THEN {_LABEL_OF.format(x='CAST(prediction AS INTEGER)')} END
+         AS predicted_priority,
+       CASE WHEN seq % 5 = 0 THEN {_d(0.125)} WHEN seq % 4 <> 0 THEN
+         round((q0 * {_d(0.0)} + q1 * {_d(1.0)} + q2 * {_d(2.0)} + q3 * {_d(3.0)}) / {_d(3.0)}, 6) END
+         AS predicted_priority_score
+FROM pr_all"""),
+    "metrics_summary": with_ctes(*ML_BASE, BAND, tail="""
+SELECT 'Band Baseline' AS model_name,
+       round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END) * 100, 1) AS accuracy_pct FROM pr"""),
 })
 
 SQL["page_keyset"] = with_ctes(*SERVE_BASE, _ranked(True), _page_filter(3, 25), tail="""

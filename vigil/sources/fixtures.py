@@ -11,7 +11,8 @@ Records are emitted as JSON *text* (``to_json`` drops NULL fields, which is
 how optional keys are left out), so ingestion pays the same parse cost as
 landed feed files.  Each record carries ``seq``, its reproducible input
 position: vulnerability rows first (``o_orderkey``), then address reports
-(``1e9 + event_id``).
+(``2^62 + event_id``).  Dates, report counts and weaknesses come in every
+shape that a branch of the normaliser looks for, by rules on the key.
 """
 from __future__ import annotations
 
@@ -19,10 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.dates import iso_text_ms
-from vigil.session import spread
 from vigil.sources.tables import read_table
 
-IP_SEQ_BASE = 1_000_000_000
+IP_SEQ_BASE = 1 << 62
 
 # Fixed mapping values (FIXTURES.md §3).
 FIXTURE_CVE_PREFIX = "CVE-2025-"
@@ -59,11 +59,12 @@ def cve_records(orders: DataFrame, lineitem: DataFrame, defects: bool = False) -
     """(seq, raw) — one raw vulnerability record per order.
 
     ``defects``: orders with status 'P' carry a non-numeric ``reportCount``
-    text (a record the upstream pipeline would abort on).
+    text (a record the upstream pipeline would abort on), and ``CVE_DAMAGE``
+    breaks other records.
     """
     refs = reference_counts(lineitem)
-    o = spread(orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
-                             "o_orderstatus"), "o_orderkey")
+    o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
+                      "o_orderstatus").repartition("o_orderkey")
     j = o.join(refs, o.o_orderkey == refs.l_orderkey, "left")
     k = F.col("o_orderkey")
     cve_id = F.concat(F.lit(FIXTURE_CVE_PREFIX), k.cast("string"))
@@ -87,8 +88,24 @@ def cve_records(orders: DataFrame, lineitem: DataFrame, defects: bool = False) -
     patch_ref = F.struct(url.alias("url"), F.array(F.lit("Patch")).alias("tags"))
     references = F.concat(F.array_repeat(exploit_ref, n_exploit.cast("int")),
                           F.array_repeat(patch_ref, (n_refs - n_exploit).cast("int")))
-    date = iso_text_ms(F.date_sub(F.to_date(F.lit(FIXTURE_ANCHOR_DATE)),
-                                  (k % 365).cast("int")).cast("timestamp_ntz"))
+    day = F.date_sub(F.to_date(F.lit(FIXTURE_ANCHOR_DATE)), (k % 365).cast("int")).cast("timestamp_ntz")
+    date = iso_text_ms(day)
+    # last change: absent, zoned, offset, in the future, compact, no date, empty, else a day after publication
+    m11 = k % 11
+    changed = (F.when(m11 == 0, F.lit(None).cast("string"))
+               .when(m11 == 3, F.concat(date, F.lit("Z")))
+               .when(m11 == 4, F.concat(date, F.lit("+02:00")))
+               .when(m11 == 5, F.lit("2024-03-01T00:00:00.000"))
+               .when(m11 == 6, F.date_format(day, "yyyyMMdd'T'HHmmss"))
+               .when(m11 == 7, F.lit("not-a-date"))
+               .when(m11 == 8, F.lit(""))
+               .otherwise(iso_text_ms(day + F.expr("INTERVAL 1 DAY"))))
+    # report count: absent, a number, or the text of one
+    m13 = k % 13
+    reports = (F.when(m13 == 0, (k % 50).cast("string"))
+               .when(m13 == 1, F.concat(F.lit('"'), (k % 40).cast("string"), F.lit('"'))))
+    if defects:
+        reports = F.when(F.col("o_orderstatus") == "P", F.lit('"n/a"')).otherwise(reports)
     descriptions = F.array(
         F.struct(F.lit("es").alias("lang"),
                  F.concat(F.lit("Pedido "), k.cast("string")).alias("value")),
@@ -98,25 +115,45 @@ def cve_records(orders: DataFrame, lineitem: DataFrame, defects: bool = False) -
                           F.repeat(F.lit("lorem ipsum "), (F.lit(30) + k % 20).cast("int"))
                           ).alias("value")))
     cwe = _pick(k % 5, FIXTURE_CWE_BY_KEY_MOD5)
-    weakness = F.array(F.struct(F.array(F.struct(F.lit("en").alias("lang"),
-                                                 cwe.alias("value"))).alias("description")))
+    english = F.struct(F.lit("en").alias("lang"), cwe.alias("value"))
+    spanish = F.struct(F.lit("es").alias("lang"), F.lit("CWE-000").alias("value"))
+    weakness = F.array(F.struct(F.when(k % 10 < 5, F.array(spanish, english)).otherwise(F.array(english))
+                                .alias("description")))
     weaknesses = F.when(k % 5 == 4, F.expr(
         "cast(array() as array<struct<description:array<struct<lang:string,value:string>>>>)")
     ).otherwise(weakness)
     vendor = F.when(k % 7 != 0, F.concat(F.lit("vendor-"), (F.col("o_custkey") % 8).cast("string")))
     cve = F.struct(
-        cve_id.alias("id"), date.alias("published"), date.alias("lastModified"),
+        cve_id.alias("id"), date.alias("published"), changed.alias("lastModified"),
         descriptions.alias("descriptions"), metrics.alias("metrics"),
         weaknesses.alias("weaknesses"), references.alias("references"),
-        vendor.alias("vendor"),
-        *([F.when(F.col("o_orderstatus") == "P", F.parse_json(F.lit('"n/a"')))
-           .alias("reportCount")] if defects else []))
-    return j.select(k.alias("seq"), F.to_json(F.struct(cve.alias("cve"))).alias("raw"))
+        vendor.alias("vendor"), F.parse_json(reports).alias("reportCount"))
+    raw = F.to_json(F.struct(cve.alias("cve")))
+    return j.select(k.alias("seq"), (_damaged(raw, k, CVE_DAMAGE) if defects else raw).alias("raw"))
+
+
+#: key modulo 17 -> (text in the record, text put in its place); None cuts the record's last character
+CVE_DAMAGE = {3: None, 5: ('"cve":{', '"cvx":{'), 7: ('"id":"', '"idx":"'),
+              9: ('"descriptions":[', '"descriptions":null,"x":['), 11: ('"metrics":{', '"metrics":5,"x":{'),
+              13: ('"references":[', '"references":"none","x":['), 15: ('"weaknesses":[', '"weaknesses":"CWE-79","x":[')}
+IP_DAMAGE = {3: None, 4: ('"totalReports":', '"totalReports":null,"x":'), 6: ('"ipAddress":', '"addr":'),
+             8: ('{"', '[{"')}
+
+
+def _damaged(raw: Column, key: Column, rules: dict) -> Column:
+    out = raw
+    for m, change in rules.items():
+        bad = F.substring(raw, F.lit(1), F.length(raw) - 1) if change is None else F.replace(
+            raw, F.lit(change[0]), F.lit(change[1]))
+        if change is not None and change[1].startswith("["):
+            bad = F.concat(bad, F.lit("]"))
+        out = F.when(key % 17 == m, bad).otherwise(out)
+    return out
 
 
 def ip_address(user_id: Column) -> Column:
-    return F.concat(F.lit("10."), (user_id % 7).cast("string"), F.lit("."),
-                    F.floor(user_id / 256).cast("string"), F.lit("."),
+    return F.concat((F.lit(10) + F.floor(user_id / 65536)).cast("string"), F.lit("."), (user_id % 7).cast("string"),
+                    F.lit("."), (F.floor(user_id / 256) % 256).cast("string"), F.lit("."),
                     (user_id % 256).cast("string"))
 
 
@@ -141,8 +178,8 @@ def ip_records(events: DataFrame, defects: bool = False) -> DataFrame:
         F.col("event_type").alias("isp"),
         F.lit(False).alias("isWhitelisted"),
     )
-    return spread(events, "event_id").select((F.lit(IP_SEQ_BASE) + F.col("event_id")).alias("seq"),
-                         F.to_json(rec).alias("raw"))
+    return events.repartition("event_id").select((F.lit(IP_SEQ_BASE) + F.col("event_id")).alias("seq"),
+                         (_damaged(F.to_json(rec), F.col("event_id"), IP_DAMAGE) if defects else F.to_json(rec)).alias("raw"))
 
 
 def raw_feeds(spark: SparkSession, sf_dir: str, defects: bool = False
