@@ -18,7 +18,6 @@ from vigil.functions import scoring as S
 from vigil.operators import dedup, features, labels
 from vigil.operators import normalize as N
 from vigil.plans import pipeline as P
-from vigil.session import configure
 from vigil.sources import fixtures as FX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,8 +47,7 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def _feeds(spark: SparkSession, sf_dir: str):
-    configure(spark)
-    return FX.raw_feeds(spark, sf_dir)
+    return P.landed_feeds(spark, sf_dir)
 
 
 def _norm_cve(spark, sf_dir):
@@ -87,9 +85,7 @@ def q_normalize_union(spark, sf_dir):
 
 @query("quarantine")
 def q_quarantine(spark, sf_dir):
-    configure(spark)
-    cve, ip = FX.raw_feeds_with_defects(spark, sf_dir)
-    return N.quarantine(N.normalize_batch(cve, ip))
+    return N.quarantine(N.normalize_batch(*P.landed_feeds(spark, sf_dir, defects=True)))
 
 
 @query("first_en_description")

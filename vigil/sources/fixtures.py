@@ -192,8 +192,3 @@ def raw_feeds(spark: SparkSession, sf_dir: str, defects: bool = False
     events = read_table(spark, sf_dir, "events",
                         "event_id", "ts", "user_id", "event_type", "value", "props")
     return cve_records(orders, lineitem, defects), ip_records(events, defects)
-
-
-def raw_feeds_with_defects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """As ``raw_feeds`` with rule-based malformed records (for the quarantine)."""
-    return raw_feeds(spark, sf_dir, defects=True)
