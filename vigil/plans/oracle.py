@@ -307,7 +307,7 @@ merged AS (
   FROM s2 LEFT JOIN s1 ON s1.id = s2.id)"""
 
 SERVED = """
-srv AS (SELECT *, heuristic_label AS predicted_priority, priority_score AS predicted_priority_score,
+srv AS (SELECT *, heuristic_label AS predicted_priority, round(priority_score, 6) AS predicted_priority_score,
                0 AS batch_id FROM lab),
 flt AS (SELECT * FROM srv
         WHERE threat_type IS NOT NULL AND predicted_priority IN ('Low', 'Medium', 'High', 'Critical'))"""

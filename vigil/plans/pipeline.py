@@ -94,10 +94,11 @@ _STORES: dict = {}
 def with_predictions_from_heuristic(snapshot: DataFrame, now: dt.datetime | str) -> DataFrame:
     """Snapshot with labels written back and the heuristic (label, score) as the
     prediction columns — a deterministic scorer, so serving queries have exact
-    SQL oracles.  Written in place (see ``labelled_in_place``): no join back."""
+    SQL oracles (scores at 6 decimals: exp() differs in the last bit between engines,
+    and ranking must not depend on it).  Written in place (see ``labelled_in_place``): no join back."""
     lab = labelled_in_place(snapshot, now)
     return lab.select(*[F.col("heuristic_label").alias(c) if c == "predicted_priority"
-                        else F.col("priority_score").alias(c) if c == "predicted_priority_score"
+                        else F.round("priority_score", 6).alias(c) if c == "predicted_priority_score"
                         else F.col(c) for c in ST.STORED_FIELDS])
 
 
