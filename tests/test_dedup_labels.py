@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from vigil.operators import dedup, features, labels
 from vigil.plans.pipeline import label_snapshot
-from vigil.schemas import EXTRA
 from vigil.sources import store as ST
 
 NOW = "2024-01-31T00:00:00Z"

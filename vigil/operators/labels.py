@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil import constants as C
 from vigil.functions import scoring as S
 
 
