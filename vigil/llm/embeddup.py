@@ -10,7 +10,9 @@ radii halve, every node with its exact covering radius.
 Two trees are traversed together.  A pair of nodes is pruned when the distance
 of their centres exceeds the threshold distance by more than both covering
 radii, accepted as a whole when the distance and both radii fit in the
-threshold, and opened otherwise; below that vectors are compared exactly.
+threshold, and opened otherwise; below that vectors are compared exactly.  A
+node also keeps the mean of its members and the radius about it: a tight group
+of near copies is accepted by this smaller ball without looking at its pairs.
 Per vector only its number of links leaves a task, and links that span the
 same components, never all pairs of a group.
 
@@ -69,6 +71,21 @@ class Tree:
         self.radius = np.asarray(self.radius)
         self.lo, self.hi = np.asarray(self.lo), np.asarray(self.hi)
         self.children = [np.asarray(c, np.int64) for c in self.children]
+        # ball about the mean, of the nodes that hold more than one vector
+        self.ball = {}
+        for i in np.flatnonzero(self.hi - self.lo > 1).tolist():
+            own = self.vectors[self.lo[i]:self.hi[i]]
+            mean = own.mean(axis=0)
+            self.ball[i] = (mean, float(np.sqrt(((own - mean) ** 2).sum(axis=1).max())))
+
+    def parts(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """What node i is made of: single vectors (the members of leaves), and inner nodes."""
+        kids = self.children[i]
+        if not len(kids):
+            return np.arange(self.lo[i], self.hi[i]), kids
+        inner = np.asarray([k for k in kids.tolist() if len(self.children[k])], np.int64)
+        leaves = [np.arange(self.lo[k], self.hi[k]) for k in kids.tolist() if not len(self.children[k])]
+        return np.concatenate(leaves) if leaves else np.empty(0, np.int64), inner
 
     def _grow(self, v: np.ndarray, members: np.ndarray, cover: float) -> int:
         """Node over ``members``; members[0] is its centre, all within ``cover``."""
@@ -113,6 +130,26 @@ def _distance(dot: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * dot))
 
 
+def _spanning(hit: np.ndarray, x0: np.ndarray, y0: np.ndarray, tag: int):
+    """Spanning links of a comparison's hits, (x, y) as indices: the first hit of every row and column, then
+    whatever hit still joins two parts.  ``tag`` keeps the nodes of both sides apart (0: one side)."""
+    rows, cols = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+    xs, ys = [x0[rows], x0[hit[:, cols].argmax(axis=0)]], [y0[hit[rows].argmax(axis=1)], y0[cols]]
+    while len(rows):
+        x, y = np.concatenate(xs), np.concatenate(ys)
+        node, root = spanning_links(x, y + tag)
+        label = dict(zip(node.tolist(), root.tolist()))
+        la = np.asarray([label.get(v, v) for v in x0[rows].tolist()])
+        lb = np.asarray([label.get(v, v) for v in (y0[cols] + tag).tolist()])
+        p, q = np.nonzero(hit[np.ix_(rows, cols)] & (la[:, None] != lb[None, :]))
+        if not len(p):
+            break
+        _, first = np.unique(np.minimum(la[p], lb[q]) * (1 << 32) + np.maximum(la[p], lb[q]), return_index=True)
+        xs.append(x0[rows[p[first]]])
+        ys.append(y0[cols[q[first]]])
+    return np.concatenate(xs), np.concatenate(ys)
+
+
 def dual(a: Tree, b: Tree, weight_a: np.ndarray, weight_b: np.ndarray, threshold: float):
     """(links per vector of a, of b, x, y): weighted link counts and spanning links between the trees.
 
@@ -123,61 +160,67 @@ def dual(a: Tree, b: Tree, weight_a: np.ndarray, weight_b: np.ndarray, threshold
     count_a, count_b = np.zeros(len(a.vectors), np.int64), np.zeros(len(b.vectors), np.int64)
     xs, ys = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     sum_a, sum_b = np.concatenate([[0], np.cumsum(weight_a)]), np.concatenate([[0], np.cumsum(weight_b)])
+    tag = 0 if same else len(a.vectors)
+
+    def accept(i, j):
+        """Every pair of nodes i and j links."""
+        x0, x1, y0, y1 = a.lo[i], a.hi[i], b.lo[j], b.hi[j]
+        if same and i == j:
+            count_a[x0:x1] += sum_a[x1] - sum_a[x0] - weight_a[x0:x1]
+            xs.append(np.arange(x0 + 1, x1))
+            ys.append(np.full(x1 - x0 - 1, x0))
+            return
+        count_a[x0:x1] += sum_b[y1] - sum_b[y0]
+        count_b[y0:y1] += sum_a[x1] - sum_a[x0]
+        xs.extend([np.full(y1 - y0, x0), np.arange(x0, x1)])
+        ys.extend([np.arange(y0, y1), np.full(x1 - x0, y0)])
+
+    def compare(x, y, one):
+        """Vectors x against vectors y, exactly, in blocks."""
+        for k in range(0, len(x) if len(y) else 0, 512):
+            rows = x[k:k + 512]
+            hit = a.vectors[rows] @ b.vectors[y].T >= threshold
+            if one:
+                hit[np.arange(len(rows)), k + np.arange(len(rows))] = False
+            if hit.any():
+                count_a[rows] += hit @ weight_b[y]
+                if not one:
+                    count_b[y] += weight_a[rows] @ hit
+                u, v = _spanning(hit, rows, y, tag)
+                xs.append(u)
+                ys.append(v)
+
     todo = [(0, 0)]
     while todo:
         i, j = todo.pop()
         if same and i > j:
             i, j = j, i
-        kids_a, kids_b = a.children[i], b.children[j]
-        if not len(kids_a) and not len(kids_b):                      # two leaves: exact comparison
-            x0, x1, y0, y1 = a.lo[i], a.hi[i], b.lo[j], b.hi[j]
-            hit = a.vectors[x0:x1] @ b.vectors[y0:y1].T >= threshold
-            if same and i == j:
-                np.fill_diagonal(hit, False)
-                count_a[x0:x1] += hit @ weight_b[y0:y1]
-            else:
-                count_a[x0:x1] += hit @ weight_b[y0:y1]
-                count_b[y0:y1] += weight_a[x0:x1] @ hit
-            p, q = np.nonzero(hit)
-            if len(p):
-                xs.append(p + x0)
-                ys.append(q + y0)
-            continue
-        left = kids_a if len(kids_a) else np.asarray([i])
-        right = kids_b if len(kids_b) else np.asarray([j])
+        if i in a.ball and j in b.ball:
+            (m1, r1), (m2, r2) = a.ball[i], b.ball[j]
+            d = float(np.sqrt(((m1 - m2) ** 2).sum()))
+            if d - r1 - r2 > reach + MARGIN:
+                continue
+            if d + r1 + r2 <= reach - MARGIN:
+                accept(i, j)
+                continue
         one = same and i == j
-        for k in range(0, len(left), 512):
-            part = left[k:k + 512]
-            d = _distance(a.vectors[a.centre[part]] @ b.vectors[b.centre[right]].T)
-            spread = a.radius[part][:, None] + b.radius[right][None, :]
-            live = d <= reach + spread + MARGIN
+        loose_a, inner_a = a.parts(i)
+        loose_b, inner_b = b.parts(j)
+        compare(loose_a, loose_b, one)
+        # inner nodes against single vectors: by the node's covering radius, then exactly
+        for n in inner_a:
+            d = _distance(b.vectors[loose_b] @ a.vectors[a.centre[n]])
+            compare(np.arange(a.lo[n], a.hi[n]), loose_b[d <= reach + a.radius[n] + MARGIN], False)
+        for n in [] if one else inner_b:
+            d = _distance(a.vectors[loose_a] @ b.vectors[b.centre[n]])
+            compare(loose_a[d <= reach + b.radius[n] + MARGIN], np.arange(b.lo[n], b.hi[n]), False)
+        if len(inner_a) and len(inner_b):
+            d = _distance(a.vectors[a.centre[inner_a]] @ b.vectors[b.centre[inner_b]].T)
+            live = d <= reach + a.radius[inner_a][:, None] + b.radius[inner_b][None, :] + MARGIN
             if one:
-                live &= part[:, None] <= right[None, :]
+                live &= inner_a[:, None] <= inner_b[None, :]
             p, q = np.nonzero(live)
-            if not len(p):
-                continue
-            single = (a.hi[part[p]] - a.lo[part[p]] == 1) & (b.hi[right[q]] - b.lo[right[q]] == 1)
-            if single.any():                                          # single vectors: exact here and now
-                x, y = a.lo[part[p[single]]], b.lo[right[q[single]]]
-                ok = np.einsum("ij,ij->i", a.vectors[x], b.vectors[y]) >= threshold
-                if one:
-                    ok &= x != y
-                x, y = x[ok], y[ok]
-                np.add.at(count_a, x, weight_b[y])
-                np.add.at(count_b, y, weight_a[x])
-                xs.append(x)
-                ys.append(y)
-                p, q = p[~single], q[~single]
-            whole = d[p, q] + spread[p, q] <= reach - MARGIN
-            for u, w, all_in in zip(part[p].tolist(), right[q].tolist(), whole.tolist()):
-                if not all_in or one and u == w:
-                    todo.append((u, w))
-                    continue
-                x0, x1, y0, y1 = a.lo[u], a.hi[u], b.lo[w], b.hi[w]     # every pair links
-                count_a[x0:x1] += sum_b[y1] - sum_b[y0]
-                count_b[y0:y1] += sum_a[x1] - sum_a[x0]
-                xs += [np.full(y1 - y0, x0), np.arange(x0, x1)]
-                ys += [np.arange(y0, y1), np.full(x1 - x0, y0)]
+            todo += zip(inner_a[p].tolist(), inner_b[q].tolist())
     return count_a, count_b, np.concatenate(xs), np.concatenate(ys)
 
 
