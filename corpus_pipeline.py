@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import decontam, langid, packing, pii, simhash
-from vigil.llm.common import ship, staged, table
+from vigil.llm.common import made, release, ship, staged, table
 from vigil.llm.queries import TOKENIZER
 
 
@@ -92,7 +92,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, mark = table(spark, sf_dir, "documents"), made()
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-").lower())
+        release(spark, mark)      # the stage's scratch tables and its predecessor's result
     return docs

@@ -6,6 +6,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.session import shared_path
+from vigil.sources.store import remove
+
+#: Paths of the tables written by ``staged``, in order.
+_MADE: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +28,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     gives the next join fresh exchanges, which AQE can split when a key is hot.
     """
     path = scratch(df.sparkSession, name)
+    _MADE.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def made() -> int:
+    """How many tables ``staged`` has written; a mark for ``release``."""
+    return len(_MADE)
+
+
+def release(spark: SparkSession, since: int, keep: int = 1) -> None:
+    """Delete the tables staged after the mark ``since``, but for the last ``keep``.
+
+    For a caller that has written an operator's result: the scratch tables that
+    the operator left (its result read them) are no longer needed.
+    """
+    gone = _MADE[since:len(_MADE) - keep]
+    for path in gone:
+        remove(spark, path)
+    del _MADE[since:len(_MADE) - keep]
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of ``spark`` (once per context)."""
     import os
