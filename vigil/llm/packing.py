@@ -33,36 +33,46 @@ CAPACITY = 1024
 END_ID = 2
 GROUP_ITEMS = 16_384
 OPEN_FILL = 0.98          # bins filled less go to the next level
-_CACHE = 400_000          # distinct words whose ids are kept
 
 # ------------------------------------------------------------------ tokens
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Ids of a ``tokenizers`` file; every distinct word (pre-token) is encoded once and remembered."""
+    """Ids of a byte-level BPE file of ``tokenizers``.
+
+    ``tiktoken`` merges by the same ranks several times faster, so it does the
+    bulk, with the ranks taken from the file itself; the first text of every
+    batch is encoded by ``tokenizers`` too and must give the same ids.
+    """
 
     def __init__(self, path: str):
         import public_tokenizers
-        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.known: dict[str, bytes] = {}
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        byte_of = _byte_alphabet()
+        ranks = {bytes(byte_of[c] for c in w): i for w, i in self.tokenizer.get_vocab().items() if w not in special}
+        self.fast = tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        words = self.split(text)
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            if len(self.known) + len(new) > _CACHE:
-                self.known, new = {}, list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                self.known[w] = np.asarray(e.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, words))
+        return np.asarray(self.fast.encode_ordinary(text), "<u4").tobytes()
+
+    def check(self, text: str) -> None:
+        if self.tokenizer.encode(text, add_special_tokens=False).ids != self.fast.encode_ordinary(text):
+            raise ValueError("the merge ranks do not reproduce the tokenizer file")
+
+
+def _byte_alphabet() -> dict[str, int]:
+    """The printable stand-ins that byte-level vocabularies write for bytes."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -80,6 +90,8 @@ def _tokenise(path: str, capacity: int, end_id: int):
         encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, Encoder(path))
         for b in batches:
             ids, rows = [], []
+            if b.num_rows:
+                encoder.check(b.column(1)[0].as_py() or "")
             for d, t in zip(b.column(0), b.column(1)):
                 data = encoder.ids(t.as_py() or "") + tail
                 for k, (s, n) in enumerate(cut(len(data) // 4, capacity)):
