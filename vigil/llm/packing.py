@@ -161,6 +161,11 @@ class _Index:
                 left = np.flatnonzero(self.count[:gap, s])
                 self.best[s] = left[-1] if len(left) else -1
 
+    def tightest(self, size: int) -> int | None:
+        """The fullest bin with room for a document of this size (for the index of plain moves)."""
+        gaps = np.flatnonzero(self.count[size:, 0])
+        return next(iter(self.bins[size + int(gaps[0]), 0])) if len(gaps) else None
+
     def find(self, total: int) -> tuple[int, int] | None:
         """(bin, size s) with s < total and total - s <= gap: an exact fit, else the largest shift."""
         s = np.arange(total)
@@ -178,9 +183,10 @@ class _Index:
 def improve(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
     """Local search over the underfull bins; returns the bins that are left.
 
-    The donor is the emptiest bin, so every step (donor unit larger than the
-    receiver's unit, difference within the receiver's gap) raises the summed
-    squared fill; a donor without a step stays as it is.
+    Donors are taken emptiest first.  A step gives a larger unit for a smaller
+    one (or none) of a receiver with room for the difference, and only if the
+    receiver ends fuller than the donor was, so the summed squared fill rises
+    with every step and the search ends; it ends when no donor has a step left.
     """
     fill = [sum(sizes[i] for i in b) for b in bins]
     zero, single, pair = _Index(capacity), _Index(capacity), _Index(capacity)
@@ -232,9 +238,9 @@ def improve(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list
     def step(donor):
         one, two = units(donor)
         for total in reversed(one):
-            hit = zero.find(total)
-            if hit:
-                exchange(donor, (total, 1), hit[0], (0, 0))
+            b = zero.tightest(total)
+            if b is not None and fill[b] + total > fill[donor]:
+                exchange(donor, (total, 1), b, (0, 0))
                 return True
         for total in reversed(one):
             for index, n in ((single, 1), (pair, 2)):
@@ -252,20 +258,18 @@ def improve(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list
 
     for b in range(len(bins)):
         enter(b)
-    removed = True
-    while removed:
-        removed = False
+    moved = True
+    while moved:
+        moved = False
         order = sorted((b for b in range(len(bins)) if bins[b] and fill[b] < capacity), key=lambda b: fill[b])
         for donor in order:
             if not bins[donor] or fill[donor] >= capacity:
                 continue
             leave(donor)
             while bins[donor] and step(donor):
-                pass
+                moved = True
             if bins[donor]:
                 enter(donor)
-            else:
-                removed = True
     return [b for b in bins if b]
 
 
