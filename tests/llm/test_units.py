@@ -1,4 +1,6 @@
 """Parts of the operators against brute force, without or with little Spark."""
+import hashlib
+
 import numpy as np
 import pytest
 
@@ -74,3 +76,19 @@ def test_surt_and_record_round_trip():
     assert payload == data and headers["warc-type"] == "response" and warc._page(headers["warc-record-id"]) == 4
     headers, payload = warc.parse(warc.record(4, None, data, digest, 9, "http://h/", True))
     assert payload == b"" and warc._page(headers["warc-refers-to"]) == 9
+
+
+def test_revisits_of_urls_with_percent_escapes(spark):
+    from vigil.llm.common import ship
+
+    ship(spark)
+    rows = [(1, "http://b.com/", "y" * 2000), (2, "http://a.com/caf%C3%A9?q=%25%2F", "y" * 2000), (3, "http://É.com/é%zz", "k" * 1500),
+            (4, "http://É.com/é%zz#%41", "k" * 1500), (5, "http://a.com/%C3%A9", "m" * 1000), (6, "http://a.com/é", "m" * 1000),
+            (6, "http://a.com/%C3%A9", "n" * 1000), (5, "http://a.com/é", "n" * 1000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in warc.archive_and_read(df).collect())
+    top = {"y" * 2000: 2, "k" * 1500: 4, "m" * 1000: 6, "n" * 1000: 6}
+    assert got == sorted((i, hashlib.sha1(h.encode()).hexdigest(), "response" if i == top[h] else "revisit", None if i == top[h] else top[h])
+                         for i, _, h in rows)
+    headers, _ = warc.parse(warc.record(1, rows[0][1], b"", "00" * 20, 2, rows[1][1], True))
+    assert headers["warc-refers-to-target-uri"] == rows[1][1]              # as the response's own header has it

@@ -46,6 +46,8 @@ FILE_BYTES = 1 << 30
 INDEX_ROWS = 200_000       # index lines per index file, about
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: characters of a url that stay as they are in a header; "%" is one, so that quoting twice is quoting once
+_PLAIN = ":/?#[]@!$&'()*+,;=%-._~"
 _URL = re.compile(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::(\d*))?([^#]*)")
 
 
@@ -57,14 +59,18 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def surt(url: str | None) -> str:
-    """Reversed-host key: ``http://a.b.com:80/x?y#z`` -> ``com,b,a)/x?y``."""
-    m = _URL.match(url or "")
+    """Reversed-host key: ``http://a.b.com:80/x?y#z`` -> ``com,b,a)/x?y``.
+
+    The key is made from the url as headers write it, so a url and its header give the same key.
+    """
+    url = quote(url or "", safe=_PLAIN)
+    m = _URL.match(url)
     if m:
         port = f":{m.group(2)}" if m.group(2) not in (None, "", "80", "443") else ""
         key = ",".join(reversed(m.group(1).lower().split("."))) + port + ")" + (m.group(3) or "/")
     else:
-        key = ")" + (url or "")
-    return re.sub(r"[\x00-\x20\x7f]", lambda c: f"%{ord(c.group()):02X}", key)
+        key = ")" + url
+    return key
 
 
 def _b32(hex_digest: str) -> str:
@@ -85,12 +91,12 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, or
     """One WARC record, uncompressed."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     body = http if is_revisit else http + payload
-    target = quote(url or "", safe=":/?#[]@!$&'()*+,;=%-._~")
+    target = quote(url or "", safe=_PLAIN)
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if is_revisit else 'response'}", f"WARC-Record-ID: {_uri(page_id)}",
              f"WARC-Date: {DATE}", f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{_b32(digest)}"]
     if is_revisit:
         lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_uri(original)}",
-                  f"WARC-Refers-To-Target-URI: {quote(original_url or '', safe=':/?#[]@!$&()*+,;=%-._~' + chr(39))}",
+                  f"WARC-Refers-To-Target-URI: {quote(original_url or '', safe=_PLAIN)}",
                   f"WARC-Refers-To-Date: {DATE}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
@@ -276,13 +282,14 @@ class Reader:
     def payload(self, headers: dict[str, str], payload: bytes) -> tuple[int, str]:
         """(bytes, SHA-1) of the full payload, checked against the record's digest."""
         if headers["warc-type"] == "revisit":
-            what = (headers["warc-refers-to-target-uri"], headers["warc-refers-to"])
+            what = (headers["warc-refers-to-target-uri"], headers["warc-refers-to"], headers["warc-payload-digest"])
             if what not in self.payloads:
-                from urllib.parse import unquote
-                own = self.locate(surt(unquote(what[0])), _page(what[1]))
+                # spellings of one url share a key: of the records found, the one with this payload
+                own = [r for r in map(self.fetch, self.locate(surt(what[0]), _page(what[1])))
+                       if r[0]["warc-type"] == "response" and r[0]["warc-payload-digest"] == what[2]]
                 if not own:
                     raise ValueError(f"{headers['warc-record-id']} refers to {what}, which the index does not hold")
-                self.payloads[what] = self.payload(*self.fetch(own[0]))
+                self.payloads[what] = self.payload(*own[0])
                 if len(self.payloads) > 1000:
                     self.payloads.popitem(last=False)
             n, digest = self.payloads[what]
