@@ -92,3 +92,30 @@ def test_revisits_of_urls_with_percent_escapes(spark):
                          for i, _, h in rows)
     headers, _ = warc.parse(warc.record(1, rows[0][1], b"", "00" * 20, 2, rows[1][1], True))
     assert headers["warc-refers-to-target-uri"] == rows[1][1]              # as the response's own header has it
+
+
+def packed(spark, sizes, group_items):
+    """(sequence_id, offset, length) of the pieces, their sequences checked."""
+    from vigil.llm.common import ship
+
+    ship(spark)
+    parts = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, length long").repartition(3)
+    got = packing.pack(parts, 1024, group_items).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(sizes)))
+    seqs = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == seqs.get(r.sequence_id, 0)
+        seqs[r.sequence_id] = r.offset + r.length
+    assert max(seqs.values()) <= 1024
+    return seqs
+
+
+def test_packing_ends_when_no_pieces_fit_together(spark):
+    assert len(packed(spark, [600] * 60, 16)) == 60
+    rng = np.random.default_rng(2)
+    sizes = [700] * 60 + rng.integers(1, 1024, 60).tolist()
+    assert len(packed(spark, sizes, 16)) <= len(packing.best_fit(sizes, 1024)) * 1.1 + 1
+
+
+def test_packing_levels_pair_a_hot_size(spark):
+    assert len(packed(spark, [700] * 100 + [324] * 100, 16)) <= 105

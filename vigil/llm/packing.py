@@ -8,8 +8,12 @@ local search: a document of the emptiest underfull bin moves into another
 underfull bin, or is exchanged one-for-one, one-for-two or two-for-one, whenever
 that raises the summed squared fill, until the emptiest bin is empty and goes.
 Bins that stay clearly underfull meet those of other groups on the next level,
-where the search goes on, until one group is left: no task holds more than one
-group, and what goes up a level is a small part of what came in.
+where the search goes on, until one group is left or a level neither fills nor
+empties ``MIN_GAIN`` of the bins that came in: what is left then has no partners
+(say, only documents of more than half a sequence) and its bins stay as they
+are.  So the number of open bins falls by that share with every level, and no
+task holds more than one group.  Rows are dealt by number, not by length: a
+length that a third of the rows share is spread over all groups alike.
 
 Null text counts as empty (its one id is the end mark); equal rows are packed
 one by one; an empty table gives an empty result.  Extra columns are ignored.
@@ -33,6 +37,7 @@ CAPACITY = 1024
 END_ID = 2
 GROUP_ITEMS = 16_384
 OPEN_FILL = 0.98          # bins filled less go to the next level
+MIN_GAIN = 0.01           # share of the open bins that a level must fill or empty for another one to follow
 
 # ------------------------------------------------------------------ tokens
 _ENCODERS: dict[str, "Encoder"] = {}
@@ -283,7 +288,7 @@ def _pack_group(level: int, capacity: int):
             bins = [list(g) for g in pdf.groupby("seq").indices.values()]
         bins = improve(bins, sizes, capacity)
         seq, offset, fill = (np.zeros(len(pdf), np.int64) for _ in range(3))
-        base = (level << 58) + (int(pdf["grp"].iloc[0]) << 24)
+        base = (level << 50) + (int(pdf["grp"].iloc[0]) << 24)      # 2^13 levels, 2^26 groups, 2^24 bins
         for k, b in enumerate(bins):
             at = 0
             for i in b:
@@ -303,22 +308,21 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_IT
         *cols, (-F.col("rid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     out, todo, level = [full], rows.where(F.col("length") < capacity).withColumn("seq", F.lit(0).cast("long")), 0
     schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in rows.schema)}, grp long, seq long, offset long, fill long"
-    while True:
-        n = todo.count()
-        if not n:
-            break
+    n = bins = todo.count()                                             # pieces, and the open bins that they are in
+    while n:
         groups = -(-n // group_items)
         key = F.col("rid") if level == 0 else F.col("seq")              # later levels keep a bin together
         dealt = todo.withColumn("grp", F.pmod(F.xxhash64(key, F.lit(level)), F.lit(groups)))
         packed = staged(dealt.select(*rows.columns, "grp", "seq").groupBy("grp")
                         .applyInPandas(_typed(_pack_group(level, capacity)), schema), "packing-level")
-        last = groups == 1
+        still = packed.where(F.col("fill") < open_fill * capacity)
+        n, left = still.agg(F.count(F.lit(1)), F.count_if(F.col("offset") == 0)).first()
+        last = groups == 1 or left > (1 - MIN_GAIN) * bins
         done = packed if last else packed.where(F.col("fill") >= open_fill * capacity)
         out.append(done.select(*cols, F.col("seq").alias("sequence_id"), "offset"))
         if last:
             break
-        todo = packed.where(F.col("fill") < open_fill * capacity).select(*rows.columns, "seq")
-        level += 1
+        todo, bins, level = still.select(*rows.columns, "seq"), left, level + 1
     result = out[0]
     for o in out[1:]:
         result = result.unionByName(o)
