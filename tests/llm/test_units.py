@@ -119,3 +119,15 @@ def test_packing_ends_when_no_pieces_fit_together(spark):
 
 def test_packing_levels_pair_a_hot_size(spark):
     assert len(packed(spark, [700] * 100 + [324] * 100, 16)) <= 105
+
+
+def test_added_tokens_get_their_own_id():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, plain = packing.Encoder(path), Tokenizer.from_file(path)
+    for text in ["one<|endoftext|>two <|endoftext|>", "<|endoftext|>", "<|endoftext|", "plain words", ""]:
+        encoder.check(text)
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert 50256 in np.frombuffer(encoder.ids("a<|endoftext|>b"), "<u4")
