@@ -4,7 +4,7 @@ import hashlib
 import numpy as np
 import pytest
 
-from vigil.llm import components, embeddup, packing, warc
+from vigil.llm import components, embeddup, packing, pii, warc
 
 
 def labels(n, u, v):
@@ -131,3 +131,23 @@ def test_added_tokens_get_their_own_id():
         encoder.check(text)
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
     assert 50256 in np.frombuffer(encoder.ids("a<|endoftext|>b"), "<u4")
+
+
+@pytest.mark.parametrize("text", [          # hand-marked: what stands in braces is personal
+    "My name is {Anna} {Lopez}. I write. {Anna} said; {Lopez} left. {LOPEZ}'s car, the {Lopez}-led team, a lopez.",
+    "Mr. {McDonald} and Mr. {O'Brien} met Mrs. {Łukasik}. {O’Brien}'s hat, said {Łukasik} to {McDonald}.",
+    "{Maria} wrote. My name is {Anna} {Maria} {Lopez}, not Anna2 or Annabel.",
+    "Herr Dr. {Müller} sah Frau von {Trapp}. {Trapp} und {Müller} gingen.",
+    "Prof. T. S. {Eliot-Jones} read it. {Eliot-Jones}! Dr. J. {Smith}'s dog, '{Smith}' said.",
+    "господин {Иванов} и {Иванов}", "No title: Anna Lopez stays."])
+def test_names_and_all_their_mentions(text):
+    plain, want, at = text.replace("{", "").replace("}", ""), [], 0
+    for k, part in enumerate(text.replace("}", "{").split("{")):
+        if k % 2:
+            want.append((at, at + len(part)))
+        at += len(part)
+    got = pii.detect(plain)
+    assert [(s, e) for s, e, *_ in got] == want
+    kinds = {}
+    for _, _, kind, value in got:
+        assert kinds.setdefault(value, kind) == kind

@@ -137,8 +137,9 @@ class Search:
             size = right - left
             some = size > 0
             ends, left, size = ends[some], left[some], size[some]
-            cut = np.searchsorted(np.cumsum(size), np.arange(0, size.sum() + (1 << 18), 1 << 18))   # bounded slices
-            for i, j in zip(cut[:-1], np.maximum(cut[1:], cut[:-1] + 1)):
+            cut = np.searchsorted(np.cumsum(size), np.arange(0, size.sum(), 1 << 18))   # bounded slices
+            cut = np.unique(np.append(cut, len(size)))
+            for i, j in zip(cut[:-1], cut[1:]):
                 n = size[i:j]
                 k = np.repeat(left[i:j] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 first = np.repeat(ends[i:j], n) - self.m + 1
@@ -238,6 +239,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int
     """The items, collected one bounded block after the other."""
     rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
                             F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    rows = staged(rows.distinct(), "decontam-items")       # a repeated row would fall into one block with all its copies
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
     for k in range(n):

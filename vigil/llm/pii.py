@@ -3,7 +3,8 @@
 An entity is (kind, canonical value): the canonical value ignores case and
 separators, so that all spellings of one entity share a surrogate (coreference;
 given names and surnames are entities of their own, so "John Smith" and
-"Mr. Smith" stay one person).  A surrogate is drawn from an HMAC of the key,
+"Mr. Smith" stay one person; once a title or an introduction tells a name, every
+whole-word mention of it in the text is replaced).  A surrogate is drawn from an HMAC of the key,
 the kind, the canonical value and an attempt number, and written in the format
 of each occurrence.
 
@@ -19,9 +20,11 @@ result.  Extra columns are ignored.
 """
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -72,10 +75,24 @@ _PHONE = re.compile(r"(?<![\w.])(?:(?:\+?1[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4
 _IP = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)")
 _SSN = re.compile(r"(?<![\w-])(?!000|666|9\d\d)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])")
-_CAP = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+"
-_PERSON = re.compile(r"(?<![^\W\d_])(?:(?P<title>" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True))
-                     + r")|(?:" + "|".join(map(re.escape, INTRODUCTIONS)) + r"))[  ]+"
-                     + rf"(?P<first>{_CAP})(?:[  ](?P<last>{_CAP}))?")
+_MARK = r"[\u0300-\u036f]"
+_SMALL = "[" + "".join(re.escape(chr(c)) for c in range(0x10000) if chr(c).islower()) + "]"
+_LETTER = rf"[^\W\d_]{_MARK}*"
+#: a whole name: no small first letter (but d'Angelo), inner capitals, hyphens and apostrophes; no possessive or contracted ending
+_NAME = re.compile(rf"(?<![\w\u0300-\u036f])(?:(?:[dl]|[Dd]ell)['’](?!{_SMALL}))?(?!{_SMALL}){_LETTER}"
+                   rf"(?:{_LETTER}|['’](?=[^\W\d_])(?!(?:s|d|t|m|ll|re|ve)(?!\w))|[-‐‑](?=[^\W\d_])(?!{_SMALL}))*(?![\w\u0300-\u036f])")
+_ALL_TITLES = "(?:" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True)) + r")(?![^\W\d_])"
+_GAP = "[  ]+"
+_INITIAL = rf"(?!{_SMALL})[^\W\d_]\.(?={_GAP}?[^\W\d_])"
+_PARTICLE = "(?:van|von|vom|zu|zur|der|den|de|del|della|di|da|das|do|dos|du|la|las|le|los|ter|ten|af|av|al|el|bin|ibn|bint)"
+_PART = rf"(?:{_PARTICLE}{_GAP}){{0,3}}(?!{_ALL_TITLES}){_NAME.pattern}"
+_PERSON = re.compile(rf"(?<![^\W\d_])(?:(?P<title>{_ALL_TITLES})|(?:{'|'.join(map(re.escape, INTRODUCTIONS))})(?![^\W\d_]))"
+                     rf"(?:{_GAP}(?P<more>{_ALL_TITLES}))*{_GAP}(?P<lead>(?:{_INITIAL}{_GAP[:-1]}*)*)"
+                     rf"(?P<names>{_PART}(?:{_GAP}(?:{_INITIAL}{_GAP[:-1]}*)*{_PART}){{0,3}})")
+#: a word with its inner apostrophes and hyphens, and the pieces between them
+_WORD = re.compile(rf"(?<![\w\u0300-\u036f])(?:{_LETTER})+(?:['’\-‐‑](?:{_LETTER})+)*(?![\w\u0300-\u036f])")
+_PIECE = re.compile(rf"(?:{_LETTER})+")
+_POSSESSIVE = re.compile(r"['’](?:s|S|d|ll|re|ve|m|t)$")
 _HAS_DIGIT = re.compile(r"[0-9]")
 _HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _KEY_PREFIX = re.compile(r"AKIA|gh[pousr]_|sk-|xox[abprs]-")
@@ -130,23 +147,52 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
             if 15 <= len(v) <= 34 and _iban_rest(v) == 1:
                 found.append((m.start(), m.end(), "iban", v))
     if any(t in text for t in TITLES) or any(t in text for t in INTRODUCTIONS):
-        for m in _PERSON.finditer(text):
-            first, last = m.group("first"), m.group("last")
-            gender = TITLES.get(m.group("title") or "", "")
-            if m.group("title") and not last:
-                found.append((m.start("first"), m.end("first"), "surname", first.lower()))
-                continue
-            low = first.lower()
-            gender = gender or ("m" if low in GIVEN_M else "f" if low in GIVEN_F else "")
-            found.append((m.start("first"), m.end("first"), "given" + gender, low))
-            if last:
-                found.append((m.start("last"), m.end("last"), "surname", last.lower()))
+        found += _people(text)
     order = {k: i for i, k in enumerate(["secret", "email", "iban", "card", "phone", "ip", "ssn"])}
     taken: list[tuple[int, int, str, str]] = []
     for f in sorted(found, key=lambda f: (order.get(f[2], 9), f[0])):
-        if all(f[1] <= t[0] or f[0] >= t[1] for t in taken):
-            taken.append(f)
-    return sorted(taken)
+        at = bisect.bisect_left(taken, f)
+        if (at == 0 or taken[at - 1][1] <= f[0]) and (at == len(taken) or f[1] <= taken[at][0]):
+            taken.insert(at, f)
+    return taken
+
+
+def _people(text: str) -> list[tuple[int, int, str, str]]:
+    """The names after titles and introductions, and all other whole-word mentions of these names in the text."""
+    found, known = {}, {}
+    for m in _PERSON.finditer(text):
+        own = [n for n in _NAME.finditer(text, m.start("names"), m.end("names")) if len(n.group()) > 1 or not n.group().isupper()]
+        gender = TITLES.get(m.group("title") or "", "") or TITLES.get(m.group("more") or "", "")
+        for k, n in enumerate(own):
+            low = _canonical(n.group())
+            if k == len(own) - 1 and (k or m.group("title") or m.group("more") or m.group("lead")):
+                kind = "surname"
+            else:
+                kind = "given" + (gender or ("m" if low in GIVEN_M else "f" if low in GIVEN_F else ""))
+                gender = gender or kind[5:]
+                if kind == "given" and known.get(low, "").startswith("given"):
+                    kind = known[low]
+            found[n.span()] = (kind, low)
+            known.setdefault(low, kind)
+    for m in _WORD.finditer(text) if known else ():
+        if m.span() in found:
+            continue
+        spans = [m.span()]
+        if _canonical(m.group()) not in known:            # "Lopez's", "Anna-Lopez", "Lopez-led"
+            ending = _POSSESSIVE.search(m.group())
+            if ending and _canonical(m.group()[:ending.start()]) in known:
+                spans = [(m.start(), m.start() + ending.start())]
+            else:
+                spans = [x.span() for x in _PIECE.finditer(text, *m.span())]
+        for s, e in spans:
+            low = _canonical(text[s:e])
+            if low in known and (not text[s].islower() or "'" in low):
+                found.setdefault((s, e), (known[low], low))
+    return [(s, e, kind, low) for (s, e), (kind, low) in found.items()]
+
+
+def _canonical(name: str) -> str:
+    return unicodedata.normalize("NFC", name.lower()).replace("’", "'").replace("‐", "-").replace("‑", "-")
 
 
 class _Draws:
