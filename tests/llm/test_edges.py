@@ -191,3 +191,27 @@ def test_embeddings(sp):
         want.append((i, len(near.get(k, [])), min(ids) if ids else None))
     assert got == sorted(want, key=lambda r: (r[0] is None, r))
     assert embeddup.near_duplicates(df.limit(0)).count() == 0
+
+
+def story(i):
+    return f"Story {i} has <b>{i * 7}</b> parts and <i>much</i> to tell."
+
+
+def words(i):
+    return f"Story {i} has {i * 7} parts and much to tell."
+
+
+def main_texts(sp, pages):
+    rows = [(i, f"http://{h}/{i}", p) for i, (h, p) in enumerate(pages)]
+    return [r.text for r in sorted(htmlmain.main_text(sp.createDataFrame(rows, "page_id long, url string, html string")).collect(),
+                                   key=lambda r: r.page_id)]
+
+
+def test_html_template_decides_inside_the_article(sp):
+    box = "<div class='x7'>Get our daily letter</div>"
+    pages = [("a.org", f"<body><article><h1>Title {i}</h1><p>{story(i)}</p>{box}<p>{'More on it. ' * (i + 1)}"
+              f"<span class='q2'>Read on</span></p></article><div>All rights</div></body>") for i in range(6)]
+    pages += [("b.org", f"<body><div>Day {i}</div><main><p>The same text.</p>{box}</main></body>") for i in range(5)]
+    got = main_texts(sp, pages)
+    assert got[:6] == [f"Title {i}\n{words(i)}\n{('More on it. ' * (i + 1)).strip()}" for i in range(6)]
+    assert got[6:] == ["The same text.\nGet our daily letter"] * 5          # nothing varies: the article stays whole

@@ -7,10 +7,13 @@ form an equivalence class.  Large and frequent classes that hold markup are
 kept; a class is valid if its tokens come in the same cyclic order on all pages
 and its spans nest with those of the other classes.  The valid, nested classes
 are the host's template: their text nodes are the template's own words, and
-what stands between their tokens are slots.  From the slots the article's are
-taken: those inside ``article`` or ``main``, else those under the element that
-holds most text outside links; slots under menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are left out.
+what stands between their tokens are slots.  The template's words are left out
+where a whole block, or a whole inline element with a class, has no others, so
+that a sentence keeps an "and" that happens to stand on every page; an
+``article`` or ``main`` without a word of its own is kept.  From the slots the article's are taken: those inside ``article`` or
+``main``, else those under the element that holds most text outside links.  Slots under menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles and reader comments are left
+out.
 
 Occurrence vectors are compared by a 64-bit exclusive-or of (page, count)
 hashes, so they are aggregated like sums: no page list is gathered, and a host
@@ -78,7 +81,7 @@ _INTO = xxhash.xxh3_64_intdigest
 
 
 class Element:
-    __slots__ = ("tag", "path", "out", "article", "link", "parent", "block")
+    __slots__ = ("tag", "path", "out", "article", "link", "parent", "block", "whole", "varies")
 
     def __init__(self, tag: str, marks: str, parent: "Element | None", hidden: bool):
         self.tag, self.parent = tag, parent
@@ -99,6 +102,9 @@ class Element:
             or not main and tag not in ("html", "body") and bool(words & (NOT_ARTICLE - ARTICLE_PARTS if inside else NOT_ARTICLE))
         self.link = (parent.link if parent else False) or tag == "a"
         self.block = tag in BLOCK
+        #: the inline element with a class that this one is, or is part of
+        self.whole: "Element | None" = None if self.block or parent is None else self if names else parent.whole
+        self.varies = False          # holds text that is not the template's
 
 
 def tokens(page: str) -> Iterator[tuple[int, str, Element | None, str]]:
@@ -252,7 +258,7 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN
 # ------------------------------------------------------------------ extraction
 def extract(page: str | None, template: dict[int, int]) -> tuple[str, int]:
     """(main text, number of slots with text) of a page under its host's template (token -> class)."""
-    blocks: list[list] = []                 # [text parts, container chain, in article, link chars, slot]
+    blocks: list[list] = []                 # [parts (text, element of template words), container, in article, link chars, slot]
     slot, slots_used = 0, set()
     open_block: list | None = None
 
@@ -267,8 +273,6 @@ def extract(page: str | None, template: dict[int, int]) -> tuple[str, int]:
         if own is not None:
             slot += 1                       # a template token ends a slot
         if kind == "t":
-            if own is not None and not e.article and not text.isspace():
-                continue                    # the template's own words
             if e.out:
                 if not text.isspace():
                     open_block = None if e.block else open_block
@@ -276,16 +280,29 @@ def extract(page: str | None, template: dict[int, int]) -> tuple[str, int]:
             if open_block is None:
                 open_block = [[], container(e), e.article, 0, slot]
                 blocks.append(open_block)
-            open_block[0].append(text)
+            if own is None and not text.isspace():
+                up = e
+                while up is not None and not up.varies:
+                    up.varies, up = True, up.parent
+            open_block[0].append((text, e if own is not None and not text.isspace() else None))
             if e.link:
                 open_block[3] += len(text)
         elif kind == "b" or e.block:
             open_block = None
         elif e.tag in ("br", "wbr") and open_block is not None:
-            open_block[0].append(" " if e.tag == "br" else "")
+            open_block[0].append((" " if e.tag == "br" else "", None))
+
+    def joined(parts: list, template_too: bool) -> str:
+        if not template_too and all(e is not None or text.isspace() for text, e in parts):
+            return ""                       # the template's own words
+        return _SPACE.sub(" ", htmllib.unescape("".join(
+            text for text, e in parts if e is None or template_too or e.whole is None or e.whole.varies))).strip()
+
+    # an article without a varying word (say, one text on all pages of a host) is kept as it is
+    alike = not any(joined(parts, False) for parts, _, article, _, _ in blocks if article)
     cleaned = []
     for parts, box, article, link, s in blocks:
-        text = _SPACE.sub(" ", htmllib.unescape("".join(parts))).strip()
+        text = joined(parts, article and alike)
         if text:
             cleaned.append((text, box, article, link, s))
     if any(c[2] for c in cleaned):
