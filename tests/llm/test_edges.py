@@ -215,3 +215,15 @@ def test_html_template_decides_inside_the_article(sp):
     got = main_texts(sp, pages)
     assert got[:6] == [f"Title {i}\n{words(i)}\n{('More on it. ' * (i + 1)).strip()}" for i in range(6)]
     assert got[6:] == ["The same text.\nGet our daily letter"] * 5          # nothing varies: the article stays whole
+
+
+def test_html_keeps_all_sections_without_an_article(sp):
+    two = "<body><div><section><p>{a}</p></section><section><p>{b}</p><p><a href=x>Source of it all, a link</a></p></section></div></body>"
+    pages = [("a.org", two.format(a=story(i), b=f"Second part {i * 3}, longer than the first, to be kept beside it.")
+              .replace("Source", f"Source {i}")) for i in range(6)]
+    pages += [("c.org", "<body><ul><li><a href=/>Home</a><li><a href=/n>News of the day</a></ul><div><div><h1>A title</h1></div>"
+               "<div><p>The body of the text, <a href=x>with a link</a>.</p><ul><li><a href=y>One reference</a></ul></div></div></body>")]
+    got = main_texts(sp, pages)
+    assert got[:6] == [f"{words(i)}\nSecond part {i * 3}, longer than the first, to be kept beside it.\nSource {i} of it all, a link"
+                       for i in range(6)]
+    assert got[6] == "A title\nThe body of the text, with a link.\nOne reference"

@@ -11,14 +11,15 @@ what stands between their tokens are slots.  The template's words are left out
 where a whole block, or a whole inline element with a class, has no others, so
 that a sentence keeps an "and" that happens to stand on every page; an
 ``article`` or ``main`` without a word of its own is kept.  From the slots the article's are taken: those inside ``article`` or
-``main``, else those under the element that holds most text outside links.  Slots under menus, headers, footers,
+``main`` if a page has them, else all.  Slots under menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments are left
 out.
 
 Occurrence vectors are compared by a 64-bit exclusive-or of (page, count)
 hashes, so they are aggregated like sums: no page list is gathered, and a host
 with a third of all pages is pre-aggregated in every task.  A host with fewer
-than ``MIN_PAGES`` distinct pages has no template; its slots are its text nodes.
+than ``MIN_PAGES`` distinct pages has no template; its slots are its text nodes, and
+without ``article`` or ``main`` those in containers that are mostly links go.
 
 Null or empty html gives an empty text; repeated pages give repeated rows and
 count once in a template; urls without a host share one host; an empty table
@@ -307,19 +308,21 @@ def extract(page: str | None, template: dict[int, int]) -> tuple[str, int]:
             cleaned.append((text, box, article, link, s))
     if any(c[2] for c in cleaned):
         kept = [c for c in cleaned if c[2]]
+    elif template:
+        kept = cleaned
     else:
+        # no template tells menus from text: a container counts if its own text, or that of one around it, is not mostly links
         weight: Counter = Counter()
         for text, box, _, link, _ in cleaned:
-            weight[box] += max(0, len(text) - 2 * link)
-        if not weight:
-            return "", 0
-        best = max(weight, key=lambda b: weight[b])
+            weight[box] += len(text) - 2 * link
 
-        def under(e):
-            while e is not None and e is not best:
+        def rich(e: Element) -> bool:
+            while e is not None and e.parent is not None and e.tag not in ("body", "html"):
+                if weight.get(e, -1) >= 0:
+                    return True
                 e = e.parent
-            return e is best
-        kept = [c for c in cleaned if under(c[1]) and 2 * c[3] <= len(c[0])]
+            return False
+        kept = [c for c in cleaned if weight[c[1]] >= 0 or rich(c[1])]
     slots_used = {c[4] for c in kept}
     return "\n".join(c[0] for c in kept), len(slots_used)
 
