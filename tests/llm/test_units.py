@@ -4,7 +4,7 @@ import hashlib
 import numpy as np
 import pytest
 
-from vigil.llm import components, embeddup, packing, pii, warc
+from vigil.llm import components, decontam, embeddup, packing, pii, warc
 
 
 def labels(n, u, v):
@@ -151,3 +151,15 @@ def test_names_and_all_their_mentions(text):
     kinds = {}
     for _, _, kind, value in got:
         assert kinds.setdefault(value, kind) == kind
+
+
+def test_decontam_compares_the_last_candidate_of_a_full_slice():
+    search, = decontam.build([b"x"])
+    at, item = search.occurrences(decontam.Words([b"x " * (1 << 18)]))
+    assert len(at) == len(item) == 1 << 18 and sorted(at.tolist()) == list(range(1 << 18))
+
+
+def test_decontam_blocks_hold_each_item_once(spark):
+    rows = [("a", "one two three four")] * 50 + [("b", "five six"), ("c", "five six")]
+    got = list(decontam._blocks(spark.createDataFrame(rows, "item string, text string"), "item", "text", 40))
+    assert len(got) == 1 and got[0][1] == ["a", "b", "c"]
