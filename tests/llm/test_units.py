@@ -1,10 +1,12 @@
 """Parts of the operators against brute force, without or with little Spark."""
 import hashlib
+import re
+import textwrap
 
 import numpy as np
 import pytest
 
-from vigil.llm import components, decontam, embeddup, packing, pii, warc
+from vigil.llm import components, decontam, embeddup, licenses, packing, pii, warc
 
 
 def labels(n, u, v):
@@ -163,3 +165,16 @@ def test_decontam_blocks_hold_each_item_once(spark):
     rows = [("a", "one two three four")] * 50 + [("b", "five six"), ("c", "five six")]
     got = list(decontam._blocks(spark.createDataFrame(rows, "item string, text string"), "item", "text", 40))
     assert len(got) == 1 and got[0][1] == ["a", "b", "c"]
+
+
+LAYOUT = re.compile(r"(?<=[.:;]) (?=The above|THE SOFTWARE|This program is distributed|See the GNU|You may|Unless|[123]\. |If a copy)")
+
+
+@pytest.mark.parametrize("name, long", [(name, t) for name, own in licenses.TEMPLATES.items() for t in own if len(t.split()) > 20])
+@pytest.mark.parametrize("around", ["{}", "A tool.\n\nCopyright (c) 2020 Someone\n\n{}\n\nProse follows that says copyright is a right.\n\nEnd."])
+def test_licenses_in_their_usual_layout(name, long, around):
+    text = around.format("\n\n".join(textwrap.fill(p, 70) for p in LAYOUT.split(long)))
+    m, = licenses.find(text, licenses.classify)[1]
+    assert m["license"] == name and m["added"] + m["missing"] <= 1
+    stated = licenses.words(text[m["start"]:m["end"]])
+    assert abs(len(stated) - len(licenses.words(long))) <= 1

@@ -9,8 +9,10 @@ the block that the template lacks and the template words that the matched
 stretch lacks are counted, and the match holds when both are few and every
 word that tells the license (name, number, or key phrase) is there.
 
-A block that is not confirmed as a whole is tried by its sentences.  A
-candidate that recurs in a task is scored once.  Null and empty texts
+A block that is not confirmed as a whole is tried by its sentences.  Then
+neighbouring paragraphs are tried together, up to ``WINDOW_WORDS`` words from
+every paragraph with a license word on, so that a notice in its usual layout,
+with blank lines, is found.  A candidate that recurs in a task is scored once.  Null and empty texts
 have no blocks, equal blocks of a text are reported each with its place, ties
 of the size reduction go to the exact wording and then to the template's name,
 an empty table gives an empty result.  Extra columns are ignored.
@@ -30,7 +32,6 @@ from pyspark.sql import functions as F
 LEVEL = 3
 MIN_REDUCTION = 0.35       # share of the stand-alone size that the dictionary must save
 MAX_DIFFERENCE = 0.15      # wording differences by words of the matched stretch
-RANKED = 3                 # templates whose wording is compared, in order of size reduction
 
 # --- fixed values: public license texts and customary notices ------------------
 TEMPLATES = {
@@ -108,6 +109,9 @@ COMMON = {"licensed", "released", "under", "the", "license", "licence", "this",
           "library", "version", "public", "general", "international", "v", "to", "dedicated", "domain", "universal"}
 # -------------------------------------------------------------------------------
 
+#: words of paragraphs that are tried together: the longest template and as many again
+WINDOW_WORDS = 2 * max(len(t.split()) for own in TEMPLATES.values() for t in own)
+
 _WORD = re.compile(r"[0-9a-z]+(?:[.\-][0-9a-z]+)*", re.I)
 _HINT = re.compile("|".join(map(re.escape, HINTS)), re.I)
 _SPDX = re.compile(r"SPDX-License-Identifier:\s*([A-Za-z0-9.+\-]+)")
@@ -183,10 +187,20 @@ def wording(block: list[str], template: list[str]) -> tuple[int, int, int, int]:
         return 0, 0, 0, len(template)
     first, end = m[0].a, m[-1].a + m[-1].size
     common = sum(x.size for x in m)
-    if end - first > 2 * len(template):      # scattered words: keep the densest aligned run
-        x = max(m, key=lambda x: x.size)
-        first, end, common = x.a, x.a + x.size, x.size
-    return first, end, end - first - common, len(template) - common
+    whole = first, end, end - first - common, len(template) - common
+    # scattered words: the run of matches with most words in common over words between them
+    best, score, run = (0, 0, 0, 0), 0, m[0].a
+    for k, x in enumerate(m):
+        between = x.a - (m[k - 1].a + m[k - 1].size) if k else 0
+        if score <= between:
+            score, run, common = 0, x.a, 0
+        else:
+            score -= between
+        score, common = score + x.size, common + x.size if run != x.a else x.size
+        best = max(best, (score, common, run, x.a + x.size), key=lambda b: b[0])
+    _, common, first, end = best
+    dense = first, end, end - first - common, len(template) - common
+    return min(whole, dense, key=lambda w: w[2] + w[3])
 
 
 @lru_cache(maxsize=4)
@@ -205,11 +219,7 @@ def classify(block: str, level: int = LEVEL, min_reduction: float = MIN_REDUCTIO
     own, best = [block[a:b].lower() for a, b in places], None
     tool = _compressor(level)
     ranked = [r for r in tool.ranked(block) if r[0] >= min_reduction]
-    # equal reductions are compared as one rank
-    cut = ranked[RANKED - 1][0] if len(ranked) >= RANKED else -1.0
     for reduction, name, variant, template in ranked:
-        if reduction < cut:
-            break
         first, end, added, missing = wording(own, template)
         telling = tool.telling[name, variant]
         lost = len(telling - set(own[first:end]))
@@ -239,6 +249,30 @@ def sentences(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return out
 
 
+def windows(text: str, start: int, end: int) -> Iterator[list[tuple[int, int]]]:
+    """For every paragraph with a license word: the (start, end) of the longest stretches of whole paragraphs from it on of at
+    most ``WINDOW_WORDS`` words, half of them, and so on down to the paragraph alone (however long)."""
+    paras, at = [], start
+    for m in [*re.finditer(r"\n[ \t\r]*(?:\n[ \t\r]*)+", text[start:end]), None]:
+        to = start + m.start() if m else end
+        if text[at:to].strip():
+            paras.append((at, to, len(_WORD.findall(text, at, to)), bool(_HINT.search(text, at, to))))
+        at = start + m.end() if m else end
+    for i, (a, b, n, hint) in enumerate(paras):
+        if hint:
+            reach = [(n, b)]
+            for _, to, more, _ in paras[i + 1:]:
+                n += more
+                if n > WINDOW_WORDS:
+                    break
+                reach.append((n, to))
+            most, out = WINDOW_WORDS, []
+            while reach[0][0] < most:
+                out.append((a, max(to for n, to in reach if n <= most)))
+                most //= 2
+            yield list(dict.fromkeys([*out, (a, b)]))
+
+
 def find(text: str | None, judge) -> tuple[int, list[dict]]:
     """(number of candidates, confirmed matches) of a text; a block that is not confirmed as a whole is tried by
     runs of sentences, then by single sentences, so that a notice inside a long line is found."""
@@ -265,6 +299,32 @@ def find(text: str | None, judge) -> tuple[int, list[dict]]:
                 if own:
                     taken.append((a, b))
                     take(a, own)
+    # what no block confirmed, by whole paragraphs together
+    edges = [0, *(x for m in sorted(found, key=lambda m: m["start"]) for x in (m["start"], m["end"])), len(text or "")]
+    tried = set()
+    for s, e in zip(edges[0::2], edges[1::2]):
+        if e <= s or not _HINT.search(text, s, e):
+            continue
+        done = s
+        for spans in windows(text, s, e):
+            for a, b in spans:
+                if a < done or (a, b) in tried:
+                    continue
+                tried.add((a, b))
+                n += 1
+                own = judge(text[a:b])
+                if own:
+                    done = take(a, own)[1]
+                    # the short form that a long notice began with was taken for itself: both are one notice
+                    head = [m for m in found if m["end"] == s and m["license"] == own["license"]]
+                    if head and not _WORD.search(text, s, found[-1]["start"]):
+                        both = judge(text[head[0]["start"]:b])
+                        if both and both["start"] == 0 and both["license"] == own["license"] \
+                                and head[0]["start"] + both["end"] >= done:
+                            found.remove(head[0])
+                            found.pop()
+                            done = take(head[0]["start"], both)[1]
+                    break
     return n, sorted(found, key=lambda m: m["start"])
 
 
