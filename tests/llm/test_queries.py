@@ -37,7 +37,7 @@ def documents(db):
 def test_every_query_is_registered():
     names = entry.queries()
     assert set(REGISTRY) <= set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
     assert set(SQL) <= set(entry.oracle_sql())
 
 

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontam, embeddup, htmlmain, langid, licenses, packing, pii, sharding, simhash, warc
+from vigil.llm import (bpe, decontam, embeddup, hardneg, htmlmain, langid, licenses, packing, pii, sharding, simhash, warc,
+                       whitening)
 from vigil.llm.common import ship, table
 
-#: Vocabulary of the packing query.
+#: Vocabularies of the packing and of the encoding query.
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -153,3 +155,51 @@ def op1_license_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = licenses.scan(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_candidates", F.array_join(F.array_sort(F.array_distinct("matches.license")), ",").alias("licenses"),
                       "matches")
+
+
+@register("op11_bpe_prefix")
+def op11_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, and the bytes that they decode to."""
+    import public_tokenizers
+
+    vocabulary = bpe.share(spark, public_tokenizers.path(RANKS))
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN), vocabulary)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op12_hardneg_lemp")
+def op12_hardneg_lemp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the first positives of every 50th embedding."""
+    label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings"), is_anchor=F.col("id") % 50 == 0, label=label)
+
+
+SQL["op12_hardneg_lemp"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(CASE WHEN len(a.e) = 0 THEN 0 ELSE list_inner_product(a.e, b.e) END AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS place
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score
+                   AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE place <= 3
+"""
+
+
+@register("op13_whiten_dqds")
+def op13_whiten_dqds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of all embeddings."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
