@@ -42,7 +42,7 @@ MAX_STRIP_ROWS = 65_536
 BLOCK_ANCHORS = 16_384     # anchors that meet a strip in one task, about
 BUCKET_ROWS = 2048
 FOCUS = 4                  # focus coordinates of an anchor
-DENSE = 0.3                # a range with more of the bucket prunes too little to pay
+DENSE = 0.7                # a narrowest range with more of the bucket prunes too little to pay
 MARGIN = 1e-9              # ranges and bounds are this much wider, so that rounding never decides them
 
 NULL_ID = np.iinfo(np.int64).max
