@@ -7,12 +7,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil import constants as C
+from vigil.functions import rounding as R
 from vigil.functions import scoring as S
 from vigil.operators.ranking import with_position
 
 # Score buckets a page is located by: width 1/1000, scores outside 0..10 share the outer ones.
 SCORE_STEPS = 1000
 SCORE_TOP = 10
+PAGE_SORT_ROWS = 100_000   # rows before a page, in the score bucket where it starts, that are sorted at most
+REFINE_BINS = 4096         # parts that a range of a ranking key is cut into
 
 
 def summary(store: DataFrame) -> DataFrame:
@@ -106,14 +109,19 @@ def page_bounds(total: int, page: int, size: int) -> dict[str, int]:
             "total_rows": total, "total_pages": pages}
 
 
-def page(df: DataFrame, page_no: int, size: int = C.DEFAULT_PAGE_SIZE, desc: bool = True) -> DataFrame:
+def page(df: DataFrame, page_no: int, size: int = C.DEFAULT_PAGE_SIZE, desc: bool = True,
+         sort_rows: int = PAGE_SORT_ROWS) -> DataFrame:
     """V6: rows of one page with their position, at any depth.
 
     The rows are counted by (label rank, score bucket), a table of bounded
     size; it gives the total and the buckets that the page touches, and only
-    the rows of these buckets are sorted.
+    the rows of these buckets are sorted.  Where more than ``sort_rows`` of them
+    lie before the page (mass ties, as few features give them), the row that the
+    page starts with is found by counting (``kth_row``) and the page is the top
+    rows from there on, so that no task sorts or keeps more than ``sort_rows`` + a page.
     """
-    rank, score = (e for _, e, _ in rank_key_spec(df, desc)[:2])
+    spec = rank_key_spec(df, desc)
+    rank, score = (e for _, e, _ in spec[:2])
     # greatest() and least() skip NULLs, so a missing score is kept apart first
     step = F.when(score.isNotNull(), F.floor(F.least(F.greatest(score, F.lit(0.0)), F.lit(float(SCORE_TOP))) * SCORE_STEPS))
     code = rank.cast("bigint") * F.lit(1 << 32) + F.coalesce(step, F.lit(-1))
@@ -127,14 +135,56 @@ def page(df: DataFrame, page_no: int, size: int = C.DEFAULT_PAGE_SIZE, desc: boo
         if before + r["n"] <= start:
             skipped += r["n"]
         elif before < end:
-            touched.append(r["code"])
+            touched.append((r["code"], r["n"]))
         before += r["n"]
-    keys = rank_keys(df, desc)
-    top = df.filter(code.isin(touched)).orderBy(*keys).limit(end - skipped).offset(start - skipped)
+    keys, part = rank_keys(df, desc), df.filter(code.isin([c for c, _ in touched]))
+    offset = start - skipped
+    if touched and offset > sort_rows:
+        # the first bucket holds the page's first row
+        cursor = kth_row(df.filter(code == F.lit(touched[0][0])), spec, offset, touched[0][1], sort_rows)
+        part, offset = part.filter(_beyond(spec, cursor, itself=True)), 0
+    top = part.orderBy(*keys).limit(offset + end - start).offset(offset)
     # At most ``size`` rows here; a keyless window over them is trivially small.
     return top.withColumn("position", F.row_number().over(Window.orderBy(*keys)) + start)
 
 
+def kth_row(df: DataFrame, spec: list[tuple[str, Column, bool]], k: int, n: int, sort_rows: int) -> dict:
+    """Ranking keys of the row with ``k`` rows before it, of the ``n`` rows of ``df``.
+
+    Key by key, the range that holds the row is cut into ``REFINE_BINS`` counted parts and narrowed to one of them,
+    down to a single value; the next key then splits those ties.  As soon as the range holds at most ``sort_rows``
+    rows, these are sorted.  The counts are at most ``REFINE_BINS`` rows a round.
+    """
+    for name, key, descending in spec:
+        if n <= sort_rows or name == "id":
+            break
+        ends = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(key).alias("n")).first()
+        if k >= ends["n"]:                                    # among the NULLs, which come last
+            df, k, n = df.filter(key.isNull()), k - ends["n"], n - ends["n"]
+            continue
+        lo, hi, n = ends["lo"], ends["hi"], ends["n"]
+        df = df.filter(key.isNotNull())
+        while n > sort_rows and lo < hi:
+            width = (hi - lo) // REFINE_BINS + 1 if isinstance(lo, int) else (hi - lo) / REFINE_BINS
+            # not exact for wide ranges, but never out of order, and lo and hi always part
+            part = F.least(F.floor((key - F.lit(lo)) / F.lit(width)), F.lit(REFINE_BINS))
+            parts = df.groupBy(part.alias("b")).agg(
+                F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).collect()
+            if len(parts) == 1:                               # a range beyond double precision
+                break
+            for r in sorted(parts, key=lambda r: -r["b"] if descending else r["b"]):
+                if k < r["n"]:
+                    break
+                k -= r["n"]
+            lo, hi, n = r["lo"], r["hi"], r["n"]
+            df = df.filter((key >= F.lit(lo)) & (key <= F.lit(hi)))
+    names = [f"_{i}" for i in range(len(spec))]
+    keys = df.select(*[e.alias(n) for n, (_, e, _) in zip(names, spec)])
+    order = [F.col(n).desc_nulls_last() if d else F.col(n).asc_nulls_last() for n, (_, _, d) in zip(names, spec)]
+    row = keys.orderBy(*order).limit(k + 1).offset(k).first()
+    return {c: v for (c, _, _), v in zip(spec, row)}
+
+
 def page_info(df: DataFrame, page_no: int, size: int = C.DEFAULT_PAGE_SIZE) -> DataFrame:
     """V7: start, end, total, pages as one row (computed from one count)."""
     total_df = df.agg(F.count(F.lit(1)).alias("total_rows"))
@@ -150,16 +200,16 @@ def page_info(df: DataFrame, page_no: int, size: int = C.DEFAULT_PAGE_SIZE) -> D
 
 
 def display_projection(df: DataFrame) -> DataFrame:
-    """V8: the nine display columns, renamed; Severity 2 and ML Rank Score 4 decimals."""
+    """V8: the nine display columns, renamed; Severity 2 and ML Rank Score 4 decimals (the rule of array libraries)."""
     out = []
     for src, label in C.DISPLAY_COLUMNS:
         if src not in df.columns:
             continue
         c = F.col(src)
         if src == "severity_raw":
-            c = F.round(c, 2)
+            c = R.scaled(c, 2)
         elif src == "predicted_priority_score":
-            c = F.round(c, 4)
+            c = R.scaled(c, 4)
         out.append(c.alias(label))
     if "position" in df.columns:
         out.append(F.col("position"))
@@ -167,11 +217,14 @@ def display_projection(df: DataFrame) -> DataFrame:
 
 
 def inspect(df: DataFrame, threat_id: str) -> DataFrame:
-    """V9: point lookup in the *filtered* set; score NULL or 0 → 0 (4 decimals)."""
+    """V9: point lookup in the *filtered* set; score NULL or 0 → 0 (4 decimals of the exact value).
+
+    Over ``store.lookup`` it reads the id's bucket alone.
+    """
     hit = df.filter(F.col("id") == threat_id).limit(1)
     return hit.select(
         "id", "title", "threat_type", "source", "severity_raw", "report_count", "predicted_priority",
-        F.round(F.coalesce(F.col("predicted_priority_score"), F.lit(0.0)), 4).alias("ml_rank_score"),
+        R.exact(F.coalesce(F.col("predicted_priority_score"), F.lit(0.0)), 4).alias("ml_rank_score"),
         "heuristic_label", "first_seen", "last_seen", "description",
         *[F.col(f"extra.{x}").alias(x) for x in ("vendor", "cwe", "reference_count",
                                                    "country_code", "isp")])
@@ -210,12 +263,17 @@ def page_after(df: DataFrame, cursor: dict, size: int = C.DEFAULT_PAGE_SIZE,
     deep page costs one scan however far down it is.
     """
     spec = rank_key_spec(df, desc)
-    pred, equal_prefix = None, F.lit(True)
+    return df.filter(_beyond(spec, cursor)).orderBy(*rank_keys(df, desc)).limit(size)
+
+
+def _beyond(spec: list[tuple[str, Column, bool]], cursor: dict, itself: bool = False) -> Column:
+    """Rows after the cursor in the ranking, and with ``itself`` those level with it."""
+    pred, level = None, F.lit(True)
     for name, expr, descending in spec:
-        term = equal_prefix & _after(expr, cursor[name], descending)
+        term = level & _after(expr, cursor[name], descending)
         pred = term if pred is None else pred | term
-        equal_prefix = equal_prefix & expr.eqNullSafe(F.lit(cursor[name]))
-    return df.filter(pred).orderBy(*rank_keys(df, desc)).limit(size)
+        level = level & expr.eqNullSafe(F.lit(cursor[name]))
+    return pred | level if itself else pred
 
 
 def read_metrics(spark, path: str) -> DataFrame | None:

@@ -1,5 +1,9 @@
 """Keyed upsert and write-back into the snapshot.
 
+``upsert`` and ``write_back`` are plans over frames; ``upsert_into`` and
+``write_back_into`` apply them to the stored table, reading and writing only the
+buckets that the batch's ids fall into (see ``sources.store``).
+
 No ``MERGE INTO`` on plain Parquet, so an upsert is one full outer join of the
 snapshot and the batch on the key, with a pick per column:
 
@@ -11,10 +15,14 @@ settled first, the last position winning, so the snapshot keeps one row per id.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.schemas import STORED_FIELDS, UPSERT_KEEP
+from vigil.session import shared_path
+from vigil.sources import store as ST
 
 
 def join_key(df: DataFrame, side: str) -> DataFrame:
@@ -62,9 +70,10 @@ def write_back(store: DataFrame, updates: DataFrame, columns: list[str],
 
     Unmatched update ids are ignored; rows without an update keep their
     values; a NULL id never matches.  Of updates that repeat an id the last
-    counts, by the column ``position`` or else in input order.
+    counts, by the column ``position``.  A frame has no order of its own, so without a position
+    the greatest values win: the same ones in every run and on every layout.
     """
-    place = F.col(position) if position else F.monotonically_increasing_id()
+    place = F.col(position) if position else F.struct(*columns)
     u = (updates.filter(F.col("id").isNotNull())
          .select(F.col("id").alias("_k"), F.struct(*columns).alias("_new"), place.alias("_at"))
          .groupBy("_k").agg(F.max_by("_new", "_at").alias("_new")))
@@ -82,3 +91,56 @@ def write_labels(store: DataFrame, labels: DataFrame, position: str | None = Non
 def write_predictions(store: DataFrame, predictions: DataFrame, position: str | None = None) -> DataFrame:
     """K4: ``predictions`` has (id, predicted_priority, predicted_priority_score)."""
     return write_back(store, predictions, ["predicted_priority", "predicted_priority_score"], position)
+
+
+# ------------------------------------------------------------- stored table --
+def _landed(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The batch as a table: its buckets and its rows are read from the same copy, whatever happens to an executor."""
+    path = shared_path(df.sparkSession, f"vigil-{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def touched(keys: DataFrame, n_buckets: int) -> list[int]:
+    """The buckets of these rows (id, batch_id, seq); at most ``n_buckets`` numbers."""
+    return sorted(r["b"] for r in keys.select(ST.bucket_of(n_buckets).alias("b")).distinct().collect())
+
+
+def upsert_into(spark: SparkSession, root: str, batch: DataFrame, only_if_newer: bool = False, n_buckets: int | None = None,
+                source: str | None = None, batch_no: int | None = None) -> int:
+    """K2 on the stored table: the buckets of the batch's ids are merged and written as the next version.
+
+    A batch that the ledger holds for its source is not applied again; the current version is returned.
+    """
+    base = ST.record(spark, root)
+    if base is None:
+        return ST.commit(spark, root, upsert(ST.empty_snapshot(spark), batch, only_if_newer), n_buckets, source, batch_no)
+    if base.holds(source, batch_no):
+        return base.version
+    batch, path = _landed(batch, "batch")
+    buckets = touched(batch, base.n_buckets)
+    held = [b for b in buckets if b in base.buckets]
+    part, obs = ST.observed_rows(ST.scan(spark, root, base.version, held), f"held-{uuid.uuid4().hex}")
+    merged = upsert(part, batch, only_if_newer) if held else upsert(ST.empty_snapshot(spark), batch, only_if_newer)
+    v = ST.commit_buckets(spark, root, base, merged, buckets, obs if held else 0, source, batch_no)
+    ST.remove(spark, path)
+    return v
+
+
+def write_back_into(spark: SparkSession, root: str, updates: DataFrame, columns: list[str], position: str | None = None,
+                    source: str | None = None, batch_no: int | None = None) -> int:
+    """K3/K4 on the stored table: only the buckets that hold ids of the updates are written."""
+    base = ST.record(spark, root)
+    if base is None:
+        raise RuntimeError("nothing is stored yet")
+    if base.holds(source, batch_no):
+        return base.version
+    updates, path = _landed(updates.filter(F.col("id").isNotNull()), "updates")
+    none = F.lit(None).cast("bigint")
+    buckets = [b for b in touched(updates.select("id", none.alias("batch_id"), none.alias("seq")), base.n_buckets)
+               if b in base.buckets]
+    changed = write_back(ST.scan(spark, root, base.version, buckets), updates, columns, position) if buckets \
+        else ST.empty_snapshot(spark)
+    v = ST.commit_buckets(spark, root, base, changed, buckets, None, source, batch_no)
+    ST.remove(spark, path)
+    return v

@@ -19,6 +19,7 @@ from vigil.operators import dedup, features, labels
 from vigil.operators import normalize as N
 from vigil.plans import pipeline as P
 from vigil.sources import fixtures as FX
+from vigil.sources import store as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -269,7 +270,6 @@ def q_scan(spark, sf_dir):
 
 @query("count_threats")
 def q_count(spark, sf_dir):
-    from vigil.sources import store as ST
     return ST.count(P.fixture_snapshot(spark, sf_dir))
 
 
@@ -278,13 +278,27 @@ def q_upsert(spark, sf_dir):
     return _store_flat(P.two_batch_store(spark, sf_dir))
 
 
+@query("upsert_delta")
+def q_upsert_delta(spark, sf_dir):
+    """K2 on the stored table: one id in a hundred comes again with new values, and as many new ids; the buckets of these
+    ids are rewritten, the others keep their files."""
+    from vigil.operators import upsert as U
+    root = P.write_copy(spark, sf_dir)
+    old = P.fixture_snapshot(spark, sf_dir).filter(F.col("seq") % 100 == 7)
+    changed = old.withColumns({"severity_raw": F.lit(9.75), "first_seen": F.lit("never"), "batch_id": F.lit(2).cast("bigint")})
+    new = old.withColumns({"id": F.concat(F.lit("new-"), "id"), "batch_id": F.lit(2).cast("bigint")})
+    U.upsert_into(spark, root, changed.unionByName(new), source="delta", batch_no=1)
+    U.upsert_into(spark, root, changed.unionByName(new).withColumn("severity_raw", F.lit(0.0)), source="delta", batch_no=1)
+    return finish(ST.scan(spark, root).select("id", "severity_raw", "first_seen", "batch_id", "seq"))
+
+
 @query("write_labels")
 def q_write_labels(spark, sf_dir):
     from vigil.operators import upsert as U
-    snap = P.fixture_snapshot(spark, sf_dir)
-    lab = P.label_snapshot(snap, FX.FIXTURE_NOW).select("id", "heuristic_label")
-    return U.write_labels(snap, lab).select("id", "threat_type", "heuristic_label",
-                                            "predicted_priority")
+    root = P.write_copy(spark, sf_dir)
+    lab = P.label_snapshot(ST.scan(spark, root), FX.FIXTURE_NOW).select("id", "heuristic_label")
+    U.write_back_into(spark, root, lab, ["heuristic_label"])
+    return ST.scan(spark, root).select("id", "threat_type", "heuristic_label", "predicted_priority")
 
 
 # ------------------------------------------------------------------ serving --
@@ -339,6 +353,15 @@ def q_page_deep(spark, sf_dir):
                   .select(*RANK_OUT))
 
 
+@query("page_hot")
+def q_page_hot(spark, sf_dir):
+    """V6 deep in a table where nine rows in ten have one score and label: found by counting, 400 rows sorted at most."""
+    hot = V.filter_threats(P.served_store(spark, sf_dir)).withColumns({
+        "predicted_priority": F.when(F.col("seq") % 10 != 0, F.lit("High")).otherwise(F.col("predicted_priority")),
+        "predicted_priority_score": F.when(F.col("seq") % 10 != 0, F.lit(0.5)).otherwise(F.col("predicted_priority_score"))})
+    return finish(V.page(hot, 40, 50, sort_rows=400).select(*RANK_OUT))
+
+
 @query("page_info")
 def q_page_info(spark, sf_dir):
     return V.page_info(V.filter_threats(P.served_store(spark, sf_dir)), 3, 25)
@@ -352,7 +375,7 @@ def q_display(spark, sf_dir):
 
 @query("inspect")
 def q_inspect(spark, sf_dir):
-    return V.inspect(V.filter_threats(P.served_store(spark, sf_dir)), INSPECT_ID)
+    return V.inspect(V.filter_threats(P.served_lookup(spark, sf_dir, INSPECT_ID)), INSPECT_ID)
 
 
 @query("entry_first_page")
@@ -514,10 +537,11 @@ def _updates(rows: DataFrame, columns: list[str], other: dict[str, Column]) -> D
 def q_write_labels_partial(spark, sf_dir):
     """K3 with missing, repeated and unmatched update ids."""
     from vigil.operators import upsert as U
-    snap = P.fixture_snapshot(spark, sf_dir)
-    lab = P.label_snapshot(snap, FX.FIXTURE_NOW).select("id", "heuristic_label", "seq")
+    root = P.write_copy(spark, sf_dir)
+    lab = P.label_snapshot(ST.scan(spark, root), FX.FIXTURE_NOW).select("id", "heuristic_label", "seq")
     up = _updates(lab, ["heuristic_label"], {"heuristic_label": F.lit("Critical")})
-    return U.write_labels(snap, up, "at").select("id", "threat_type", "heuristic_label")
+    U.write_back_into(spark, root, up, ["heuristic_label"], "at")
+    return ST.scan(spark, root).select("id", "threat_type", "heuristic_label")
 
 
 @query("write_predictions")
@@ -530,8 +554,9 @@ def q_write_predictions(spark, sf_dir):
                     ML.expected_severity(F.col("probability")).alias("predicted_priority_score"))
     up = _updates(rows, ["predicted_priority", "predicted_priority_score"],
                   {"predicted_priority": F.lit("Low"), "predicted_priority_score": F.lit(0.125)})
-    return finish(U.write_predictions(P.fixture_snapshot(spark, sf_dir), up, "at").select(
-        "id", "threat_type", "predicted_priority", "predicted_priority_score"))
+    root = P.write_copy(spark, sf_dir)
+    U.write_back_into(spark, root, up, ["predicted_priority", "predicted_priority_score"], "at")
+    return finish(ST.scan(spark, root).select("id", "threat_type", "predicted_priority", "predicted_priority_score"))
 
 
 @query("model_roundtrip")

@@ -307,7 +307,7 @@ merged AS (
   FROM s2 LEFT JOIN s1 ON s1.id = s2.id)"""
 
 SERVED = """
-srv AS (SELECT *, heuristic_label AS predicted_priority, round(priority_score, 6) AS predicted_priority_score,
+srv AS (SELECT *, heuristic_label AS predicted_priority, round_even(priority_score * 1e6, 0) / 1e6 AS predicted_priority_score,
                0 AS batch_id FROM lab),
 flt AS (SELECT * FROM srv
         WHERE threat_type IS NOT NULL AND predicted_priority IN ('Low', 'Medium', 'High', 'Critical'))"""
@@ -344,8 +344,8 @@ def _page_rows(page_no: int, size: int) -> str:
 
 SERVE_BASE = LABELLED + (SERVED,)
 DISPLAY_SEL = ('id AS "ID", threat_type AS "Type", title AS "Title", '
-               'round(severity_raw, 2) AS "Severity", predicted_priority AS "ML Priority", '
-               'round(predicted_priority_score, 4) AS "ML Rank Score", '
+               'round_even(severity_raw * 1e2, 0) / 1e2 AS "Severity", predicted_priority AS "ML Priority", '
+               'round_even(predicted_priority_score * 1e4, 0) / 1e4 AS "ML Rank Score", '
                'heuristic_label AS "Heuristic Label", source AS "Source", '
                'last_seen AS "Last Seen", position')
 
@@ -378,6 +378,17 @@ WHERE threat_type IN ('cve', 'malicious_ip') AND predicted_priority IN ('Critica
     "page": with_ctes(*SERVE_BASE, _ranked(True), _page_filter(3, 25), tail=_page_rows(3, 25)),
     "page_deep": with_ctes(*SERVE_BASE, _ranked(True), _page_filter(250, 50),
                            tail=_page_rows(250, 50)),
+    "page_hot": with_ctes(*LABELLED, f"""
+srv AS (SELECT *, CASE WHEN seq % 10 <> 0 THEN 'High' ELSE heuristic_label END AS predicted_priority,
+               CASE WHEN seq % 10 <> 0 THEN {_d(0.5)} ELSE round_even(priority_score * 1e6, 0) / 1e6 END AS predicted_priority_score,
+               0 AS batch_id FROM lab),
+flt AS (SELECT * FROM srv WHERE threat_type IS NOT NULL AND heuristic_label IN ('Low', 'Medium', 'High', 'Critical'))""",
+                          _ranked(True), _page_filter(40, 50), tail=_page_rows(40, 50)),
+    "upsert_delta": with_ctes(*BASE, tail=f"""
+SELECT id, CASE WHEN seq % 100 = 7 THEN {_d(9.75)} ELSE round(severity_raw, 6) END AS severity_raw, first_seen,
+       CAST(0 AS BIGINT) AS batch_id, seq FROM d
+UNION ALL
+SELECT 'new-' || id, round(severity_raw, 6), first_seen, CAST(2 AS BIGINT), seq FROM d WHERE seq % 100 = 7"""),
     "page_info": with_ctes(*SERVE_BASE, _page_filter(3, 25), tail="""
 SELECT CAST(pg AS BIGINT) AS page, CAST(25 AS BIGINT) AS page_size,
        CAST((pg - 1) * 25 + 1 AS BIGINT) AS start_row,
@@ -387,7 +398,7 @@ SELECT CAST(pg AS BIGINT) AS page, CAST(25 AS BIGINT) AS page_size,
 SELECT {DISPLAY_SEL} FROM rk, pb WHERE position > (pg - 1) * 50 AND position <= pg * 50"""),
     "inspect": with_ctes(*SERVE_BASE, tail="""
 SELECT id, title, threat_type, source, round(severity_raw, 6) AS severity_raw, report_count, predicted_priority,
-       round(coalesce(predicted_priority_score, 0.0), 4) AS ml_rank_score, heuristic_label,
+       CAST(printf('%.4f', coalesce(predicted_priority_score, 0.0)) AS DOUBLE) AS ml_rank_score, heuristic_label,
        first_seen, last_seen, description, vendor, cwe, reference_count, country_code, isp
 FROM flt WHERE id = 'CVE-2025-1' LIMIT 1"""),
 })

@@ -10,6 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.functions import rounding as R
 from vigil.operators import dedup, features, labels
 from vigil.operators import normalize as N
 from vigil.operators import upsert as U
@@ -98,7 +99,7 @@ def with_predictions_from_heuristic(snapshot: DataFrame, now: dt.datetime | str)
     and ranking must not depend on it).  Written in place (see ``labelled_in_place``): no join back."""
     lab = labelled_in_place(snapshot, now)
     return lab.select(*[F.col("heuristic_label").alias(c) if c == "predicted_priority"
-                        else F.round("priority_score", 6).alias(c) if c == "predicted_priority_score"
+                        else R.scaled(F.col("priority_score"), 6).alias(c) if c == "predicted_priority_score"
                         else F.col(c) for c in ST.STORED_FIELDS])
 
 
@@ -139,6 +140,22 @@ def served_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.scan(spark, st["root"], st["served"])
 
 
+def served_lookup(spark: SparkSession, sf_dir: str, threat_id: str) -> DataFrame:
+    """The served rows of one id, read from its bucket."""
+    st = fixture_store(spark, sf_dir)
+    return ST.lookup(spark, st["root"], threat_id, st["served"])
+
+
+def write_copy(spark: SparkSession, sf_dir: str) -> str:
+    """A store of its own with the ingest snapshot, for a query that writes."""
+    import uuid
+
+    from vigil.session import shared_path
+    root = shared_path(spark, "vigil-store", uuid.uuid4().hex)
+    ST.commit(spark, root, fixture_snapshot(spark, sf_dir))
+    return root
+
+
 UPSERT_SPLIT_TS = "2024-01-16 00:00:00"
 REPEAT_SEQ = 1 << 40
 
@@ -166,8 +183,7 @@ def two_batch_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     # every third id comes again, later in the batch: the last one counts
     again = b2.filter(F.col("seq") % 3 == 0).withColumns({"severity_raw": F.lit(1.5), "seq": F.col("seq") + REPEAT_SEQ})
     b2 = b2.unionByName(again)
-    # Batch 1 lands in a table first (as a job run would), so the second upsert
-    # reads the stored side with two column-pruned scans, not two re-ingests.
     root = shared_path(spark, "vigil-store", uuid.uuid4().hex)
-    v1 = ST.commit(spark, root, U.upsert(ST.empty_snapshot(spark), b1))
-    return U.upsert(ST.scan(spark, root, v1), b2)
+    U.upsert_into(spark, root, b1)
+    U.upsert_into(spark, root, b2)
+    return ST.scan(spark, root)

@@ -4,11 +4,12 @@
 records exploded and normalised with the same column expressions as the
 batch path; each micro-batch is deduplicated (keep-latest) and upserted into
 the snapshot table inside ``foreachBatch``.  The stream's checkpoint makes a
-restarted query resume after the last committed micro-batch.  A replayed
-micro-batch is skipped when the table already holds rows that it inserted
-(records without an id are always inserted, so they never come twice); a batch
-that only updated rows writes the same values again.  Rejects, corrupt pages
-among them, are kept beside the table, one folder per micro-batch.
+restarted query resume after the last committed micro-batch.  The table's ledger
+holds the last micro-batch of every stream, written with the batch in one commit:
+a replayed one is skipped, whatever it had changed, and a stream with a new
+checkpoint, or a job, has numbers of its own.  Only the buckets that a micro-batch
+touches are rewritten.  Rejects, corrupt pages among them, are kept beside the
+table, one folder per stream and micro-batch.
 """
 from __future__ import annotations
 
@@ -20,6 +21,7 @@ from vigil.functions import variant as V
 from vigil.operators import dedup
 from vigil.operators import normalize as N
 from vigil.operators import upsert as U
+from vigil.plans.job import write_rejects
 from vigil.sources import store as ST
 from vigil.sources.landed import position
 
@@ -44,23 +46,26 @@ def start(spark: SparkSession, cve_dir: str, ip_dir: str, root: str, checkpoint:
     norm = N.normalize_cve(cve).unionByName(N.normalize_ip(ip))
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        store_batch(spark, root, batch, batch_id + 1)
+        # the id that a stream keeps in its checkpoint, whatever folder that is
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        store_batch(spark, root, batch, batch_id, f"stream-{stream or checkpoint.rstrip('/').replace('/', '_')}")
 
     w = norm.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def store_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int) -> bool:
-    """Keep the rejects of a normalised micro-batch and upsert its rows; False if it is stored already."""
-    stored = ST.scan(spark, root)
-    if not stored.filter(F.col("batch_id") == batch_id).isEmpty():
+def store_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, source: str = "stream") -> bool:
+    """Keep the rejects of a normalised micro-batch and upsert its rows; False if the ledger holds the batch already."""
+    rec = ST.record(spark, root)
+    if rec is not None and rec.holds(source, batch_id):
         return False
     batch.persist()
     try:
-        N.quarantine(batch).write.mode("overwrite").parquet(f"{root.rstrip('/')}-rejects/batch_id={batch_id}")
-        rows = ST.to_stored(dedup.keep_latest(N.valid(batch)), batch_id)
-        ST.commit(spark, root, U.upsert(stored, rows))
+        write_rejects(N.quarantine(batch), root, source, batch_id)
+        rows = ST.to_stored(dedup.keep_latest(N.valid(batch)), ST.next_version(spark, root))
+        U.upsert_into(spark, root, rows, source=source, batch_no=batch_id)
+        ST.vacuum(spark, root)
     finally:
         batch.unpersist()
     return True
