@@ -10,16 +10,15 @@ Range bounds are sampled when the exchange runs, so two evaluations of the
 same plan may partition differently.  The tagged rows are therefore written
 once as a table under the cluster's checkpoint folder: counts and rows are both
 read from it (columns that are not asked for are never read back), and a lost
-executor re-reads it instead of recomputing a different layout.
+executor re-reads it instead of recomputing a different layout.  Inside a
+``scratch_scope`` the table goes with the scope.
 """
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.session import shared_path
+from vigil.session import scratch_table
 
 
 def with_position(df: DataFrame, order: list[Column], name: str = "position",
@@ -28,10 +27,8 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position",
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    path = shared_path(spark, f"vigil-ranked-{uuid.uuid4().hex}")
-    ranged.withColumns({"_pid": F.spark_partition_id(),
-                        "_mid": F.monotonically_increasing_id()}).write.parquet(path)
-    tagged = spark.read.parquet(path)
+    tagged = scratch_table(ranged.withColumns({"_pid": F.spark_partition_id(),
+                                               "_mid": F.monotonically_increasing_id()}), "ranked")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a keyless window over it is tiny by construction.
     offsets = counts.select(

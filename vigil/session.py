@@ -1,10 +1,14 @@
 """Session helpers: configuration and the shared checkpoint folder."""
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on.  Applied only where the session leaves them
 # unset, so a cluster's own choices win.
@@ -72,3 +76,34 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (visible to all executors)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+#: Tables made inside the innermost ``scratch_scope`` of this thread of work (None: outside of any).
+_SCOPE: ContextVar[list[str] | None] = ContextVar("vigil_scratch", default=None)
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared folder and read it back: lineage is cut, and a later pass reads only its columns.
+
+    Inside a ``scratch_scope`` the table goes when the scope ends; outside, the caller's session keeps it.
+    """
+    path = shared_path(df.sparkSession, f"vigil-{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    made = _SCOPE.get()
+    if made is not None:
+        made.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``scratch_table`` makes inside are removed at the end; scopes of other threads are not touched."""
+    made: list[str] = []
+    token = _SCOPE.set(made)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in made:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -9,21 +9,29 @@ unique whatever the page sizes: feed, page order and position have 1, 30 and
 32 bits of it.
 
 Nothing landed is lost silently: there is no default bound, and a page that is
-no JSON goes to ``corrupt_pages`` (or raises with ``strict=True``) instead of
-counting as the end of the feed.
+no JSON does not count as the end of the feed: with ``keep_corrupt`` it becomes a
+record without content, which ends in the quarantine; it raises with
+``strict=True``; and ``corrupt_pages`` lists such pages.
+
+Every body is read once.  The order of the files comes from a listing of their
+names, ranked in parallel; what a later step needs of all pages (where the feed
+ends) is read from the parsed pages' own table, without their content.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil import constants as C
 from vigil.functions import variant as V
+from vigil.operators.ranking import with_position
+from vigil.session import scratch_table
 
 #: The one number of a page file's base name: page-3.json, 0003.txt, nvd_12.json.
 PAGE_NAME = r"^\D*(\d+)\D*$"
 POSITION_BITS = 32
 FEED_BIT = 62
+BROADCAST_FILES = 200_000    # file names with their order, about 30 MB, that are broadcast at most
 
 
 def position(feed: int, order: Column, pos: Column) -> Column:
@@ -31,15 +39,13 @@ def position(feed: int, order: Column, pos: Column) -> Column:
     return (F.lit(feed << FEED_BIT) + order.cast("bigint") * F.lit(1 << POSITION_BITS) + pos).cast("bigint")
 
 
-def read_pages(spark: SparkSession, path: str, pattern: str = PAGE_NAME) -> DataFrame:
-    """Landed page files → (page, order, body); each file is read whole (one page).
+def list_pages(spark: SparkSession, path: str, pattern: str = PAGE_NAME) -> DataFrame:
+    """(page, file, order) of the landed files, from their names alone: no body is opened.
 
-    The page number comes from a ``page=<n>`` folder (as ``write_pages`` lands
-    them) or else from the file's base name, which must match ``pattern``; a
-    file without one raises.  ``order`` numbers the files by (page, folder,
-    file), so equal page numbers in two folders stay apart.
+    ``order`` numbers the files by (page, folder, file) from 0, so equal page numbers in two folders stay apart.  The
+    names are ranked by range partitions and one offset per partition.
     """
-    df = spark.read.text(path, wholetext=True)
+    df = spark.read.format("binaryFile").load(path)
     file = F.col("_metadata.file_path")
     if "page" in df.columns:
         number = F.col("page").cast("int")
@@ -47,11 +53,22 @@ def read_pages(spark: SparkSession, path: str, pattern: str = PAGE_NAME) -> Data
         found = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
         number = F.when(found == "", F.raise_error(F.concat(F.lit("no page number in the file name: "), file))) \
             .otherwise(found).cast("int")
-    pages = df.select(number.alias("page"), file.alias("file"), F.col("value").alias("body"))
-    # one short row per file: the window never sees a page's body
-    order = pages.select("page", "file").distinct().select(
-        "file", (F.row_number().over(Window.orderBy("page", "file")) - 1).alias("order"))
-    return pages.join(order, "file").select("page", "order", "body")
+    names = df.select(number.alias("page"), file.alias("file"))
+    ranked = with_position(names, [F.col("page").asc_nulls_first(), F.col("file").asc()], "order")
+    return scratch_table(ranked.select("page", "file", (F.col("order") - 1).alias("order")), "page-order")
+
+
+def read_pages(spark: SparkSession, path: str, pattern: str = PAGE_NAME) -> DataFrame:
+    """Landed page files → (page, order, body); each file is read whole (one page), once.
+
+    The page number comes from a ``page=<n>`` folder (as ``write_pages`` lands
+    them) or else from the file's base name, which must match ``pattern``; a
+    file without one raises.  Bodies are not shuffled while the names fit a broadcast of known size.
+    """
+    names = list_pages(spark, path, pattern)
+    bodies = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("body"))
+    small = names.count() <= BROADCAST_FILES
+    return bodies.join(F.broadcast(names) if small else names, "file").select("page", "order", "body")
 
 
 def _ordered(pages: DataFrame) -> DataFrame:
@@ -72,7 +89,17 @@ def _refuse_corrupt(pages: DataFrame, strict: bool) -> None:
             raise ValueError(f"page {bad[0]['page']} is no JSON")
 
 
-def cve_pages_to_records(pages: DataFrame, max_pages: int | None = None, strict: bool = False) -> DataFrame:
+def _items(pages: DataFrame, key: str, keep_corrupt: bool) -> DataFrame:
+    """(page, order, _corrupt, items); a corrupt page has no items, or with ``keep_corrupt`` one without content."""
+    doc = V.parse(F.col("body"))
+    items = V.as_array(V.field(doc, f"$.{key}"))
+    if keep_corrupt:
+        items = F.when(doc.isNull(), F.array(F.lit(None).cast("variant"))).otherwise(items)
+    return pages.select("page", "order", doc.isNull().alias("_corrupt"), items.alias("items"))
+
+
+def cve_pages_to_records(pages: DataFrame, max_pages: int | None = None, strict: bool = False,
+                         keep_corrupt: bool = False) -> DataFrame:
     """S1: explode ``vulnerabilities``; a page without the key is empty; reading
     stops at the first empty page.  ``max_pages`` bounds the page numbers only
     when given, before anything is parsed."""
@@ -80,39 +107,40 @@ def cve_pages_to_records(pages: DataFrame, max_pages: int | None = None, strict:
     if max_pages is not None:
         pages = pages.filter(F.col("page") < F.lit(max_pages))
     _refuse_corrupt(pages, strict)
-    doc = V.parse(F.col("body"))
-    env = pages.select("page", "order", doc.isNull().alias("_corrupt"),
-                       V.as_array(V.field(doc, "$.vulnerabilities")).alias("items"))
-    # First empty page: one tiny aggregate (a scalar), broadcast to every row.
-    empty = ~F.col("_corrupt") & (F.coalesce(F.size("items"), F.lit(0)) <= 0)
-    stop = env.agg(F.min(F.when(empty, F.col("order"))).alias("_stop"))
-    kept = (env.crossJoin(F.broadcast(stop))
-            .filter(F.col("_stop").isNull() | (F.col("order") < F.col("_stop"))))
+    # parsed once: the end of the feed is found in the order column, the records in the items
+    env = scratch_table(_items(pages, "vulnerabilities", keep_corrupt)
+                        .withColumn("_empty", ~F.col("_corrupt") & (F.coalesce(F.size("items"), F.lit(0)) <= 0)), "pages")
+    stop = env.agg(F.min(F.when(F.col("_empty"), F.col("order"))).alias("stop")).first()["stop"]
+    kept = env if stop is None else env.filter(F.col("order") < F.lit(stop))
     rec = kept.select("page", "order", F.posexplode("items").alias("pos", "raw"))
     return rec.select(position(0, F.col("order"), F.col("pos")).alias("seq"), "raw", "page", "pos")
 
 
 def ip_pages_to_records(pages: DataFrame, confidence_minimum: int | None = None,
-                        limit: int | None = None, strict: bool = False) -> DataFrame:
+                        limit: int | None = None, strict: bool = False, keep_corrupt: bool = False) -> DataFrame:
     """S2: explode ``data``, keep confidence ≥ floor (default 50; 0 keeps all).
 
     ``limit`` caps the reports only when given (the remote service returns at
     most 500): highest confidence first, then address, then input position, so
-    the cut is deterministic; ``orderBy`` + ``limit`` plans as a top-k.
+    the cut is deterministic; ``orderBy`` + ``limit`` plans as a top-k.  Corrupt pages don't count for it.
     """
     floor = C.IP_CONFIDENCE_MINIMUM if confidence_minimum is None else confidence_minimum
     pages = _ordered(pages)
     _refuse_corrupt(pages, strict)
-    env = pages.select("order", F.posexplode(
-        V.as_array(V.field(V.parse(F.col("body")), "$.data"))).alias("pos", "raw"))
+    env = _items(pages, "data", keep_corrupt).select("order", "_corrupt", F.posexplode("items").alias("pos", "raw"))
     conf = V.as_double(V.field(F.col("raw"), "$.abuseConfidenceScore"))
     ip = V.as_string(V.field(F.col("raw"), "$.ipAddress"))
-    top = (env.select(position(1, F.col("order"), F.col("pos")).alias("seq"), "raw",
+    top = (env.select("_corrupt", position(1, F.col("order"), F.col("pos")).alias("seq"), "raw",
                       conf.alias("confidence"), ip.alias("ip"))
-           .filter(F.col("confidence") >= floor))
+           .filter(F.col("_corrupt") | (F.col("confidence") >= floor)))
     if limit is None:
-        return top
-    return top.orderBy(F.col("confidence").desc(), F.col("ip").asc_nulls_last(), F.col("seq")).limit(limit)
+        return top.drop("_corrupt")
+    order = [F.col("confidence").desc(), F.col("ip").asc_nulls_last(), F.col("seq")]
+    if not keep_corrupt:
+        return top.drop("_corrupt").orderBy(*order).limit(limit)
+    top = scratch_table(top, "reports")
+    best = top.filter(~F.col("_corrupt")).orderBy(*order).limit(limit)
+    return best.unionByName(top.filter("_corrupt")).drop("_corrupt")
 
 
 def envelope(records: DataFrame, key: str, page_of) -> DataFrame:
