@@ -73,6 +73,20 @@ def test_every_kind_of_code_point_splits_as_tiktoken_does(vocabulary, reference)
         assert e.ids(text) == reference.encode_ordinary(text), hex(c)
 
 
+def test_both_patterns_split_alike():
+    import regex
+
+    plain, full, rnd = bpe.plain_pattern(PATTERN), regex.compile(PATTERN), random.Random(9)
+    points = [c for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    for c in points:
+        text = f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}2 '{chr(c)}s  {chr(c)}"
+        assert plain.findall(text) == full.findall(text), hex(c)
+    for _ in range(300):
+        text = "".join(chr(rnd.choice(points)) for _ in range(200))
+        assert plain.findall(text) == full.findall(text)
+    assert bpe.plain_pattern(r"\p{Lu}+") is None and bpe.plain_pattern(r"\w+") is None
+
+
 @pytest.mark.parametrize("text,n", [(" " * 1_000_000, None), ("\n" * 1_000_000 + "x", None), ("a" * 400_000, None), ("日本" * 150_000, None)])
 def test_very_long_matches(vocabulary, text, n):
     ids = bpe.Encoder(vocabulary, PATTERN).ids(text)

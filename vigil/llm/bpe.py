@@ -22,7 +22,9 @@ Extra columns are ignored.
 from __future__ import annotations
 
 import base64
+from collections import defaultdict
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 1 << 16            # bytes of a long match that are appended at a time
-KEPT_MATCHES = 400_000     # encodings of short matches that a task keeps
-KEPT_PAIRS = 2_000_000     # token pairs whose verdict a task keeps
+KEPT_MATCHES = 300_000     # encodings of short matches in each of the two generations that a task keeps
+KEPT_PAIRS = 500_000       # token pairs whose verdict a task keeps
 SHORT = 64                 # matches of more characters are not kept
-OUT_IDS = 1 << 21          # ids of an output batch
+OUT_IDS = 1 << 20          # ids of an output batch
 
 _NEVER = 1 << 62
 
@@ -74,11 +76,23 @@ class Vocabulary:
                 parts = merge_by_rank(token, ranks, below=i)
                 if len(parts) == 2:
                     self.halves[i] = (ranks[parts[0]], ranks[parts[1]])
+        #: tokens that merges reach; of each its length and the longest shorter one that it starts with (-1: none)
+        self.whole = {t: i for t, i in ranks.items() if len(t) == 1 or i in self.halves}
+        self.size, self.shorter = [0] * (max(self.bytes_of) + 1), [-1] * (max(self.bytes_of) + 1)
+        #: the length of the longest one that starts with given four bytes
+        self.reach: dict[bytes, int] = {}
+        for t, i in self.whole.items():
+            self.size[i] = len(t)
+            self.shorter[i] = next((self.whole[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in self.whole), -1)
+            if len(t) > 3:
+                self.reach[t[:4]] = max(len(t), self.reach.get(t[:4], 0))
         self._automaton = None
-        self.verdicts: dict[tuple[int, int], bool] = {}
+        #: per left token, the right tokens judged so far
+        self.verdicts: dict[int, dict[int, bool]] = defaultdict(dict)
+        self._known = 0
 
     def __getstate__(self):
-        return {**self.__dict__, "_automaton": None, "verdicts": {}}
+        return {**self.__dict__, "_automaton": None, "verdicts": defaultdict(dict), "_known": 0}
 
     @property
     def automaton(self):
@@ -87,21 +101,63 @@ class Vocabulary:
             import ahocorasick
 
             self._automaton = ahocorasick.Automaton()
-            for token, i in self.ranks.items():
-                if len(token) == 1 or i in self.halves:
-                    self._automaton.add_word(token.decode("latin-1"), (i, len(token)))
+            for token, i in self.whole.items():
+                self._automaton.add_word(token.decode("latin-1"), (i, len(token)))
             self._automaton.make_automaton()
         return self._automaton
 
     def beside(self, a: int, b: int) -> bool:
         """Do the merges of the bytes of a and b end in just these two tokens?"""
-        known = self.verdicts.get((a, b))
+        row = self.verdicts[a]
+        known = row.get(b)
         if known is None:
-            if len(self.verdicts) >= KEPT_PAIRS:
+            self._known += 1
+            if self._known > KEPT_PAIRS:
                 self.verdicts.clear()
-            known = self.verdicts[a, b] = self._stay(a, b)
+                self._known = 1
+                row = self.verdicts[a]
+            known = row[b] = self._stay(a, b)
         return known
 
+    def short(self, data: bytes) -> list[int]:
+        """The encoding of a short string, through the entries of its prefix table that lie on the way.
+
+        A prefix's last token is known as soon as one token behind an encoded prefix stays beside that prefix's last
+        token.  So the table is filled in from the left, the longest token first; an entry from which no token leads on
+        is kept as such and not entered again.
+        """
+        n, whole, reach, size, shorter, verdicts = len(data), self.whole, self.reach, self.size, self.shorter, self.verdicts
+        table: list[int] = [-1] * (n + 1)
+        out, at, left, token = [], 0, -1, -2
+        while at < n:
+            if token == -2:                               # the longest token from here on
+                k = reach.get(data[at:at + 4], 3)
+                if k > n - at:
+                    k = n - at
+                token = whole.get(data[at:at + k])
+                while token is None:
+                    k -= 1
+                    token = whole.get(data[at:at + k])
+            while token >= 0:
+                if table[at + size[token]] < 0:
+                    if left < 0:
+                        break
+                    stay = verdicts[left].get(token)
+                    if stay or (stay is None and self.beside(left, token)):
+                        break
+                token = shorter[token]
+            if token >= 0:
+                at += size[token]
+                table[at] = left = token
+                out.append(token)
+                token = -2
+            else:
+                token = out.pop()
+                at -= size[token]
+                left = out[-1] if out else -1
+                token = shorter[token]
+        return out
+
     def _stay(self, a: int, b: int) -> bool:
         halves, ranks, text = self.halves, self.ranks, self.bytes_of
         ends_a = ends_b = _NEVER                     # ranks of the merges that use up the parts at the border
@@ -139,7 +195,7 @@ class PrefixTable:
 
     def _fill(self, start: int, stop: int) -> None:
         """The last tokens of the prefixes that end at start .. stop - 1."""
-        last, beside, verdict = self.last, self.vocabulary.beside, self.vocabulary.verdicts.get
+        last, beside = self.last, self.vocabulary.beside
         begin = max(0, start - self.vocabulary.longest + 1)
         done = start - 1
         for end, (token, n) in self.vocabulary.automaton.iter(self.data[begin:stop].decode("latin-1")):
@@ -150,8 +206,7 @@ class PrefixTable:
             if before < 0:                           # the token is the whole prefix
                 last[end], done = token, end
                 continue
-            known = verdict((last[before], token))
-            if known or (known is None and beside(last[before], token)):
+            if beside(last[before], token):
                 last[end], done = token, end
 
     def replace(self, start: int, stop: int, data: bytes) -> int:
@@ -187,6 +242,68 @@ class PrefixTable:
         return out[::-1]
 
 
+class _Kept(dict):
+    """Ids of matches as little-endian 32-bit numbers; a missing one is encoded, a short one kept.
+
+    Kept in two generations: when the young one is full it becomes the old one, and what is asked for again moves over.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, match: str) -> bytes:
+        out = self.old.get(match)
+        if out is None:
+            data = match.encode("utf-8")
+            whole = self.vocabulary.ranks.get(data)
+            if whole is not None:
+                ids = [whole]
+            elif len(data) <= 4 * SHORT:
+                ids = self.vocabulary.short(data)
+            else:
+                ids = PrefixTable(self.vocabulary, data).ids()
+            out = pack(f"<{len(ids)}i", *ids)
+        if len(match) <= SHORT:
+            if len(self) >= KEPT_MATCHES:
+                self.old = dict(self)
+                self.clear()
+            self[match] = out
+        return out
+
+
+def plain_pattern(pattern: str):
+    """The pattern for the standard ``re``, with its Unicode classes written out for the code points below 65536.
+
+    ``re`` is the faster one on such texts; None where the pattern holds a class that is not written out.
+    """
+    import re
+
+    import regex
+
+    every = "".join(chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000)
+    classes = {}
+    for name in (r"\p{L}", r"\p{N}", r"\s", r"\S"):
+        runs = regex.finditer(f"{name}+", every, regex.V0)
+        classes[name] = "".join(f"\\u{ord(m.group()[0]):04x}-\\u{ord(m.group()[-1]):04x}" for m in runs)
+    out, at, inside = [], 0, False
+    while at < len(pattern):
+        name = next((n for n in classes if pattern.startswith(n, at)), None)
+        if name:
+            out.append(classes[name] if inside else f"[{classes[name]}]")
+            at += len(name)
+        elif pattern[at] == "\\":
+            if pattern[at + 1:at + 2].isalnum():
+                return None
+            out.append(pattern[at:at + 2])
+            at += 2
+        else:
+            inside = pattern[at] == "[" or (inside and pattern[at] != "]")
+            out.append(pattern[at])
+            at += 1
+    return re.compile("".join(out))
+
+
 class Encoder:
     """Texts to ids: split by the pattern, each match by the table; short matches are kept."""
 
@@ -195,25 +312,19 @@ class Encoder:
 
         self.vocabulary = vocabulary
         self.pattern = regex.compile(pattern)
-        self.kept: dict[str, list[int]] = {}
+        self.plain = plain_pattern(pattern)
+        self.kept = _Kept(vocabulary)
 
     def match_ids(self, match: str) -> list[int]:
-        data = match.encode("utf-8")
-        whole = self.vocabulary.ranks.get(data)
-        return [whole] if whole is not None else PrefixTable(self.vocabulary, data).ids()
+        return np.frombuffer(self.kept[match], "<i4").tolist()
+
+    def packed(self, text: str) -> bytes:
+        plain = self.plain is not None and (text.isascii() or len(text.encode("utf-16-le")) == 2 * len(text))
+        split = self.plain if plain else self.pattern
+        return b"".join(map(self.kept.__getitem__, split.findall(text)))
 
     def ids(self, text: str) -> list[int]:
-        kept, out = self.kept, []
-        for match in self.pattern.findall(text):
-            got = kept.get(match)
-            if got is None:
-                got = self.match_ids(match)
-                if len(match) <= SHORT:
-                    if len(kept) >= KEPT_MATCHES:
-                        kept.clear()
-                    kept[match] = got
-            out += got
-        return out
+        return np.frombuffer(self.packed(text), "<i4").tolist()
 
 
 class EditableText:
@@ -273,14 +384,14 @@ def _encoder(shared, pattern: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def _batches(rows: Iterator[tuple[int | None, list[int]]]) -> Iterator[pa.RecordBatch]:
-    """(id, ids) as record batches of about ``OUT_IDS`` ids."""
+def _batches(rows: Iterator[tuple[int | None, bytes]]) -> Iterator[pa.RecordBatch]:
+    """(id, packed ids) as record batches of about ``OUT_IDS`` ids."""
     keys, sizes, arrays, held = [], [0], [], 0
     for key, ids in rows:
         keys.append(key)
-        arrays.append(np.asarray(ids, np.int32))
-        sizes.append(len(ids))
-        held += len(ids)
+        arrays.append(ids)
+        sizes.append(len(ids) // 4)
+        held += len(ids) // 4
         if held >= OUT_IDS or len(keys) >= 10_000:
             yield _batch(keys, sizes, arrays)
             keys, sizes, arrays, held = [], [0], [], 0
@@ -289,14 +400,14 @@ def _batches(rows: Iterator[tuple[int | None, list[int]]]) -> Iterator[pa.Record
 
 
 def _batch(keys, sizes, arrays) -> pa.RecordBatch:
-    ids = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(np.concatenate(arrays)))
+    ids = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(np.frombuffer(b"".join(arrays), "<i4")))
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), ids], names=["doc_id", "ids"])
 
 
 def _encode(shared, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared, pattern)
-        yield from _batches((d.as_py(), encoder.ids(t.as_py() or "")) for b in batches
+        yield from _batches((d.as_py(), encoder.packed(t.as_py() or "")) for b in batches
                             for d, t in zip(b.column(0), b.column(1)))
     return run
 
@@ -311,19 +422,18 @@ def _reencode(shared, pattern: str):
                     text = EditableText(encoder, r["text"] or "")
                     for e in r["edits"] or []:
                         text.replace(e["start"], e["stop"], e["text"] or "")
-                    yield r["doc_id"], text.ids()
+                    yield r["doc_id"], np.asarray(text.ids(), "<i4").tobytes()
         yield from _batches(rows())
     return run
 
 
 def _decode(tokens):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = tokens.value.bytes_of
+        known = tokens.value.bytes_of
+        text = [known.get(i, b"") for i in range(max(known) + 1)]
         for b in batches:
-            data = []
-            offsets, values = b.column(1).offsets.to_numpy(), b.column(1).values
-            for i in range(b.num_rows):
-                data.append(b"".join(map(text.__getitem__, values[offsets[i]:offsets[i + 1]].to_pylist())))
+            offsets, values = b.column(1).offsets.to_numpy(), b.column(1).values.to_numpy()
+            data = [b"".join(map(text.__getitem__, values[i:j].tolist())) for i, j in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(data, pa.large_binary()).cast(pa.binary())],
                                              names=["doc_id", "ids", "decoded"])
     return run
