@@ -40,6 +40,9 @@ GROUP_ITEMS = 16_384
 OPEN_FILL = 0.98          # bins filled less go to the next level
 MIN_GAIN = 0.01           # share of the open bins that a level must fill or empty for another one to follow
 
+LONG_RUN = 50_000         # characters of a run that only ``tokenizers`` encodes
+_RUNS = re.compile(r"\s+|\S+")
+
 # ------------------------------------------------------------------ tokens
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -50,7 +53,8 @@ class Encoder:
     ``tiktoken`` merges by the same ranks several times faster, so it does the
     bulk, with the ranks taken from the file itself; the first text of every
     batch is encoded by ``tokenizers`` too and must give the same ids.  A text
-    that holds an added token of the file is encoded by ``tokenizers`` alone.
+    that holds an added token of the file, or a run of white space or of other characters of at least ``LONG_RUN``
+    (too long for the other library's pattern matcher), is encoded by ``tokenizers`` alone.
     """
 
     def __init__(self, path: str):
@@ -68,7 +72,7 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if self.added.search(text):
+        if self.added.search(text) or _has_long_run(text):
             return np.asarray(self._slow(text), "<u4").tobytes()
         return np.asarray(self.fast.encode_ordinary(text), "<u4").tobytes()
 
@@ -80,6 +84,12 @@ class Encoder:
             raise ValueError("the merge ranks do not reproduce the tokenizer file")
 
 
+def _has_long_run(text: str) -> bool:
+    if len(text) < LONG_RUN:
+        return False
+    return any(m.end() - m.start() >= LONG_RUN for m in _RUNS.finditer(text))
+
+
 def _byte_alphabet() -> dict[str, int]:
     """The printable stand-ins that byte-level vocabularies write for bytes."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
