@@ -10,9 +10,12 @@ language with the shortest exact code length of the whole text.
 
 Texts are folded first: lower case, every run of non-letters one space.
 
-Fitting sample (documented bound): per language at most ``SAMPLE_BYTES`` UTF-8
-bytes and ``SAMPLE_TOTAL`` over all languages, taken in hash order of the id,
-so that the frozen tables have a size that does not grow with the corpus.
+Fitting sample (documented bound): per language ``SAMPLE_BYTES`` UTF-8 bytes, and
+``SAMPLE_TOTAL`` over all languages, taken in the order of a hash of id and text
+until the bound is reached (the last text may pass it by its own length, itself
+cut to the bound), so that the frozen tables have a size that does not grow with
+the corpus.  Every language with a labelled text is in the sample, whatever the
+number and length of its texts; equal rows count once.
 
 Null text, empty text and text without a letter give ``und`` with score 0; so
 does everything when no labelled text exists.  Ties go to the first language in
@@ -98,7 +101,7 @@ class Scorer:
         self.model = model
         self.langs = sorted(model)
         self.keys = np.unique(np.concatenate([model[g][ORDER]["keys"] for g in self.langs]))
-        self.costs = np.stack([code_lengths(model[g], self.keys) for g in self.langs], axis=1).astype(np.float32)
+        self.costs = np.stack([code_lengths(model[g], self.keys) for g in self.langs], axis=1)
         self.slots = np.zeros(1 << _SLOT_BITS, np.int32)
         self.slots[self._slot(self.keys)] = np.arange(len(self.keys), dtype=np.int32)
 
@@ -154,23 +157,29 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         sample_bytes: int = SAMPLE_BYTES, sample_total: int = SAMPLE_TOTAL) -> dict[str, list[dict]]:
     """Frozen tables per language, counted on a bounded sample of the rows given.
 
-    Each language is counted in one task of at most ``sample_bytes`` of text.
+    Each language is counted in one task of at most twice ``sample_bytes`` of text.
     """
     rows = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-            .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
-                    F.octet_length(text_col).cast("long").alias("n"),
-                    F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")).alias("h")))
-    sizes = rows.groupBy("lang").agg(F.sum("n").alias("total"))
-    n_langs = sizes.count()
+            .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
+                    F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.lit("sample")).alias("h")))
+    n_langs = rows.select("lang").distinct().count()
     if not n_langs:
         return {}
-    bound = min(sample_bytes, sample_total // n_langs)
-    # twice the bound by expectation, then cut exactly in hash order
-    share = (F.col("h").bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40)))
-    before = Window.partitionBy("lang").orderBy("h", "n").rowsBetween(Window.unboundedPreceding, -1)
-    sample = (rows.join(F.broadcast(sizes), "lang").where(share * F.col("total") <= F.lit(2.0 * bound + 1e6))
-              .withColumn("text", F.substring("text", 1, bound)).withColumn("n", F.octet_length("text"))
-              .withColumn("used", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    bound = max(1, min(sample_bytes, sample_total // n_langs))
+    # a hash below 2^-k of the range is on level k: half of the rows of the levels from k on are above k, and so on.
+    # The sample is looked for on the highest levels that hold the bound together: about twice the bound, in one task a language
+    cut = F.least(F.octet_length("text"), F.lit(bound)).cast("long")
+    share = (F.col("h").bitwiseAND(F.lit((1 << 52) - 1)) + F.lit(1)) / F.lit(float(1 << 52))
+    level = F.floor(-F.log2(share)).cast("int")
+    held = rows.groupBy("lang", level.alias("level")).agg(F.sum(cut).alias("n"))               # at most 53 rows a language
+    above = Window.partitionBy("lang").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, -1)
+    needed = (held.withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0))).where(F.col("above") < bound)
+              .groupBy("lang").agg(F.min("level").alias("lowest")))
+    before = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    sample = (rows.join(F.broadcast(needed), "lang").where(level >= F.col("lowest"))
+              .select("lang", share.alias("h"), F.substring("text", 1, bound).alias("text"))
+              .groupBy("lang", "h").agg(F.min("text").alias("text"))
+              .withColumn("used", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))
               .where(F.col("used") < bound)
               .select("lang", "text"))
 
