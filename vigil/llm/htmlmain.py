@@ -4,7 +4,9 @@ A page is a sequence of tokens (start tags, end tags, text nodes), each told
 apart by its path of tags and class names.  Over the distinct pages of a host,
 tokens with the same occurrence vector (how often they occur on every page)
 form an equivalence class.  Large and frequent classes that hold markup are
-kept; a class is valid if its tokens come in the same cyclic order on all pages
+kept: on ``SUPPORT`` of the host's pages, and spanning the page, which is to say not
+within one child of its body (an article that some pages share is no template);
+a class is valid if its tokens come in the same cyclic order on all pages
 and its spans nest with those of the other classes.  The valid, nested classes
 are the host's template: their text nodes are the template's own words, and
 what stands between their tokens are slots.  The template's words are left out
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 from vigil.llm.common import staged
 
 MIN_PAGES = 4          # distinct pages of a host that a template needs
+SUPPORT = 0.3          # share of a host's distinct pages that a class must occur on
 MIN_CLASS = 3          # tokens of a class
 
 # --- fixed values -----------------------------------------------------------
@@ -54,6 +57,8 @@ ENDS_P = BLOCK - {"option", "select", "caption", "legend", "summary", "body", "h
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
+#: blocks whose text belongs to the block around them
+TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote", "dd", "dt", "td", "th", "tr"}
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "xmp")
 NOT_TEXT = {"nav", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe", "button", "select",
             "option", "textarea", "label", "input", "svg", "head", "title", "menu", "dialog", "object", "canvas", "xmp"}
@@ -69,11 +74,13 @@ NOT_ARTICLE = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advert
 ARTICLE_PARTS = {"copyright", "disclaimer", "header"}
 # ---------------------------------------------------------------------------
 
+#: attributes up to the end of the tag; a quote that is never closed is a character like others.  Possessive: read once
+_ATTR = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s>/])(?P<rawattr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>(?P<rawtext>.*?)(?:</(?P=raw)\s*>|$)"
-    r"|<(?P<close>/)?(?P<tag>[A-Za-z][^\s>/]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)"
-    r"|<[!?/][^>]*(?:>|$)"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s>/])(?P<rawattr>" + _ATTR + r")(?:>(?P<rawtext>.*?)(?:</(?P=raw)\s*+>|$)|$)"
+    r"|<(?P<close>/)?(?P<tag>[A-Za-z][^\s>/]*+)(?P<attr>" + _ATTR + r")(?:>|$)"
+    r"|<[!?/][^>]*+(?:>|$)"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
 _MARKS = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPACE = re.compile(r"\s+")
@@ -82,7 +89,7 @@ _INTO = xxhash.xxh3_64_intdigest
 
 
 class Element:
-    __slots__ = ("tag", "path", "out", "article", "link", "parent", "block", "whole", "varies")
+    __slots__ = ("tag", "path", "out", "article", "link", "parent", "block", "whole", "varies", "box", "top")
 
     def __init__(self, tag: str, marks: str, parent: "Element | None", hidden: bool):
         self.tag, self.parent = tag, parent
@@ -106,22 +113,28 @@ class Element:
         #: the inline element with a class that this one is, or is part of
         self.whole: "Element | None" = None if self.block or parent is None else self if names else parent.whole
         self.varies = False          # holds text that is not the template's
+        #: the container of its text: the nearest block that holds blocks
+        self.box: "Element" = self if parent is None or self.block and tag not in TEXT_BLOCKS else parent.box
+        #: the child of the page's body that it is in (its path); 0 for the body itself and what is around it
+        self.top: int = 0 if parent is None or tag in ("html", "body", "head") else parent.top or self.path
 
 
 def tokens(page: str) -> Iterator[tuple[int, str, Element | None, str]]:
     """(token, kind, element, text) of a page in order; kind is ``<`` (start), ``/`` (end), ``t`` (text) or ``b`` (break)."""
     stack = [Element("#", "", None, False)]
+    places: dict[str, list[int]] = defaultdict(list)         # of the open elements, by name
 
     def close(at: int) -> None:
+        for e in stack[at:]:
+            places[e.tag].pop()
         del stack[at:]
 
+    def last(tags: set[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     def ended(tags: set[str], bounds: set[str]) -> int | None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                return i
-            if stack[i].tag in bounds:
-                return None
-        return None
+        at = last(tags)
+        return at if at and at > last(bounds) else None
 
     for m in _TOKEN.finditer(page):
         if m.group("text") is not None:
@@ -153,6 +166,7 @@ def tokens(page: str) -> Iterator[tuple[int, str, Element | None, str]]:
             e = Element(tag, attr, stack[-1], bool(attr) and bool(_HIDDEN.search(attr)))
             yield _INTO(f"{e.path}<"), "<", e, ""
             if tag not in VOID and not attr.endswith("/") or tag in ("p", "div", "li", "article"):
+                places[tag].append(len(stack))
                 stack.append(e)
 
 
@@ -162,23 +176,25 @@ def _long(x: int) -> int:
 
 # ------------------------------------------------------------------ learning
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, token, markup, vec): one row per distinct token of a page; vec hashes (page, count)."""
+    """(host, token, markup, vec, top): one row per distinct token of a page; vec hashes (page, count)."""
     for b in batches:
-        host, tok, markup, vec = [], [], [], []
+        host, tok, markup, vec, top = [], [], [], [], []
         for h, page_hash, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
             count: Counter = Counter()
-            kinds = {}
-            for t, kind, _, text in tokens(page.as_py() or ""):
+            kinds, tops = {}, {}
+            for t, kind, e, text in tokens(page.as_py() or ""):
                 if kind in "</" or kind == "t" and not text.isspace():
                     count[t] += 1
-                    kinds[t] = kind != "t"
+                    kinds[t], tops[t] = kind != "t", e.top
             for t, n in count.items():
                 host.append(h)
                 tok.append(_long(t))
                 markup.append(kinds[t])
                 vec.append(_long(_INTO(f"{page_hash}:{n}")))
+                top.append(_long(tops[t]))
         yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(tok, pa.int64()), pa.array(markup, pa.bool_()),
-                                          pa.array(vec, pa.int64())], names=["host", "token", "markup", "vec"])
+                                          pa.array(vec, pa.int64()), pa.array(top, pa.int64())],
+                                         names=["host", "token", "markup", "vec", "top"])
 
 
 def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +238,7 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN_CLASS) -> DataFrame:
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN_CLASS, support: float = SUPPORT) -> DataFrame:
     """(host, tokens, classes) of every host with a template: token hashes and the valid class of each.
 
     ``pages`` has host, page hash and html.
@@ -234,13 +250,18 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN
     distinct = (marked.where("first IS NULL").select("host", "page_hash", "html")
                 .union(marked.where("row = first").select("host", "page_hash", "html").dropDuplicates(["host", "page_hash"])))
     counted = (distinct
-               .mapInArrow(_occurrences, "host string, token long, markup boolean, vec long")
+               .mapInArrow(_occurrences, "host string, token long, markup boolean, vec long, top long")
                .groupBy("host", "token").agg(F.bit_xor("vec").alias("vec"), F.count(F.lit(1)).alias("n_pages"),
-                                             F.max("markup").alias("markup"))
+                                             F.max("markup").alias("markup"), F.min("top").alias("top"))
                .where(F.col("n_pages") >= min_pages))
     counted = staged(counted, "html-tokens")
-    large = (counted.groupBy("host", "vec", "n_pages").agg(F.count(F.lit(1)).alias("size"), F.max("markup").alias("anchored"))
-             .where((F.col("size") >= min_class) & F.col("anchored")).select("host", "vec", "n_pages"))
+    per_host_pages = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    large = (counted.groupBy("host", "vec", "n_pages")
+             .agg(F.count(F.lit(1)).alias("size"), F.max("markup").alias("anchored"),
+                  F.min("top").alias("a"), F.max("top").alias("b"), F.max(F.col("top") == 0).alias("around"))
+             .where((F.col("size") >= min_class) & F.col("anchored") & (F.col("around") | (F.col("a") != F.col("b"))))
+             .join(staged(per_host_pages, "html-hosts"), "host").where(F.col("n_pages") >= F.lit(support) * F.col("pages"))
+             .select("host", "vec", "n_pages"))
     classes = counted.join(large, ["host", "vec", "n_pages"]).select("host", "token", F.xxhash64("vec", "n_pages").alias("cls"))
 
     def per_host(rows: DataFrame, name: str) -> DataFrame:
@@ -263,12 +284,6 @@ def extract(page: str | None, template: dict[int, int]) -> tuple[str, int]:
     slot, slots_used = 0, set()
     open_block: list | None = None
 
-    def container(e: Element) -> Element:
-        while e.parent is not None and not (e.block and e.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre",
-                                                                     "blockquote", "dd", "dt", "td", "th", "tr")):
-            e = e.parent
-        return e
-
     for t, kind, e, text in tokens(page or ""):
         own = template.get(_long(t)) if kind != "b" else None
         if own is not None:
@@ -279,7 +294,7 @@ def extract(page: str | None, template: dict[int, int]) -> tuple[str, int]:
                     open_block = None if e.block else open_block
                 continue
             if open_block is None:
-                open_block = [[], container(e), e.article, 0, slot]
+                open_block = [[], e.box, e.article, 0, slot]
                 blocks.append(open_block)
             if own is None and not text.isspace():
                 up = e
@@ -316,12 +331,19 @@ def extract(page: str | None, template: dict[int, int]) -> tuple[str, int]:
         for text, box, _, link, _ in cleaned:
             weight[box] += len(text) - 2 * link
 
+        known: dict[Element, bool] = {}
+
         def rich(e: Element) -> bool:
-            while e is not None and e.parent is not None and e.tag not in ("body", "html"):
+            way = []
+            while e is not None and e.parent is not None and e.tag not in ("body", "html") and e not in known:
+                way.append(e)
                 if weight.get(e, -1) >= 0:
-                    return True
+                    known[e] = True
+                    break
                 e = e.parent
-            return False
+            found = known.get(e, False) if e is not None else False
+            known.update((x, found) for x in way)
+            return found
         kept = [c for c in cleaned if weight[c[1]] >= 0 or rich(c[1])]
     slots_used = {c[4] for c in kept}
     return "\n".join(c[0] for c in kept), len(slots_used)
