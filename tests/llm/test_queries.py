@@ -50,7 +50,6 @@ def test_sql(spark, db, name):
 
 def tokenised(text):
     t = tokenised.__dict__.setdefault("t", Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
-    t.encode_special_tokens = True
     return np.asarray(t.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
 
 
@@ -178,7 +177,7 @@ def test_pii_collisions_are_resolved(spark, monkeypatch):
     tried = {(r.kind, r.value): r.attempt for r in again.collect()}
     drawn = {}
     for r in pii.entities(df).collect():
-        drawn.setdefault((r.kind[:5], pii.surrogate(r.kind, r.value, tried.get((r.kind, r.value), 0), pii.DEFAULT_KEY)), []).append(r.value)
+        drawn.setdefault((r.kind[:5], pii.surrogate(r.kind, r.value, tried.get((r.kind, r.value), 0), pii.session_key(spark))), []).append(r.value)
     assert tried and all(len(v) == 1 for v in drawn.values())
     one = sorted(map(tuple, pii.anonymise(df).select("doc_id", "text").collect()))
     assert one == sorted(map(tuple, pii.anonymise(df, broadcast_rows=0).select("doc_id", "text").collect()))

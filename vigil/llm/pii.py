@@ -6,13 +6,18 @@ given names and surnames are entities of their own, so "John Smith" and
 "Mr. Smith" stay one person; once a title or an introduction tells a name, every
 whole-word mention of it in the text is replaced).  A surrogate is drawn from an HMAC of the key,
 the kind, the canonical value and an attempt number, and written in the format
-of each occurrence.
+of each occurrence; a name is drawn in the script that it is written in.
+
+The key is the caller's; ``session_key`` takes it from ``spark.vigil.pii.key`` and
+otherwise draws one for the application, which nobody can recompute (surrogates
+then differ from one application to the next).
 
 Collision check: the distinct entities of the corpus are a Spark table.  Where
 two entities of a kind draw the same surrogate, or a surrogate equals a real
-value of the kind, all but the first draw again, until none collide; only these
-rare overrides travel to the rewriting pass (broadcast below a checked count,
-joined per document above it).
+value of the kind, all but the first draw again, until none collide; they alone
+are drawn anew and compared with the table of the others.  Only these rare
+overrides travel to the rewriting pass (broadcast below a checked count, joined
+per document above it).
 
 Null texts stay null, empty texts stay empty, texts without entities are kept
 byte for byte.  Repeated rows give repeated rows, an empty table an empty
@@ -23,18 +28,20 @@ from __future__ import annotations
 import bisect
 import hashlib
 import hmac
+import ipaddress
 import re
+import secrets
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm.common import staged
 
-DEFAULT_KEY = "surrogate-key"
+KEY_SETTING = "spark.vigil.pii.key"
 BROADCAST_OVERRIDES = 100_000
 MAX_ROUNDS = 40
 
@@ -57,11 +64,28 @@ GIVEN_F = ["alice", "ana", "anna", "carmen", "charlotte", "claire", "elena", "el
 SYLLABLES = {"latin": ["bar", "bel", "cor", "dan", "del", "el", "far", "gar", "hal", "jan", "kel", "lan", "lor", "mar",
                        "mel", "nor", "or", "per", "ral", "ran", "ser", "sol", "tan", "tor", "val", "ver", "wil", "yar"],
              "cyrillic": ["бар", "вал", "вер", "гар", "дан", "ер", "кор", "лан", "мар", "мел", "нор", "пер", "рад",
-                          "сол", "тан", "тор", "яр"]}
+                          "сол", "тан", "тор", "яр"],
+             "greek": ["βαλ", "γαρ", "δαν", "ερ", "καλ", "λαν", "μαρ", "νικ", "παρ", "ραν", "σολ", "ταν", "φιλ", "χαρ"],
+             "hebrew": ["בר", "גל", "דן", "טל", "יר", "כר", "לב", "מר", "נר", "סל", "רון", "שר", "תמ"],
+             "arabic": ["بر", "جم", "دل", "رم", "سل", "شر", "عم", "فر", "كر", "لم", "مر", "نور", "حس"],
+             "devanagari": ["अन", "बल", "चर", "दल", "गौ", "हर", "जय", "कम", "मन", "नर", "पर", "रव", "सर"],
+             "han": ["安", "北", "成", "德", "东", "光", "国", "海", "华", "江", "康", "林", "明", "南", "平", "清", "山", "文"],
+             "kana": ["あき", "いず", "かず", "きみ", "さと", "しの", "たか", "なお", "はる", "ひろ", "まさ", "みつ", "ゆき"],
+             "hangul": ["가", "나", "도", "라", "민", "서", "수", "영", "우", "은", "재", "준", "지", "진", "하", "현"]}
 ENDINGS = {"latin": {"m": ["o", "us", "ek", "is"], "f": ["a", "ia", "ina", "elle"], "": ["y", "e", "i", "en"],
                      "s": ["son", "er", "ski", "ley", "man", "ez", "ton", "ard"]},
            "cyrillic": {"m": ["ий", "ей", "ан", "ир"], "f": ["а", "ия", "ина", "ея"], "": ["и", "о", "е"],
-                        "s": ["енко", "ук", "ян", "ых"]}}
+                        "s": ["енко", "ук", "ян", "ых"]},
+           "greek": {"m": ["ος", "ης", "ας"], "f": ["α", "η", "ια"], "": ["ι", "ο"], "s": ["ίδης", "άκης", "όπουλος"]},
+           "hebrew": {"m": ["ון", "אל"], "f": ["ה", "ית"], "": ["י"], "s": ["סון", "מן", "ני"]},
+           "arabic": {"m": ["ان", "ير"], "f": ["ة", "اء"], "": ["ي"], "s": ["اوي", "اني"]},
+           "devanagari": {"m": ["ेश", "ंत"], "f": ["ा", "िका"], "": ["ी"], "s": ["वाल", "कर"]},
+           "han": {"m": ["伟", "强", "军"], "f": ["芳", "娟", "丽"], "": ["宁", "和"], "s": ["川", "田", "村"]},
+           "kana": {"m": ["お", "と"], "f": ["こ", "み"], "": ["い"], "s": ["だ", "むら"]},
+           "hangul": {"m": ["호", "철"], "f": ["희", "숙"], "": ["아"], "s": ["남", "길"]}}
+#: first words of the Unicode names of letters, and the script whose syllables stand for them (others: latin)
+SCRIPTS = {"CYRILLIC": "cyrillic", "GREEK": "greek", "HEBREW": "hebrew", "ARABIC": "arabic", "DEVANAGARI": "devanagari",
+           "CJK": "han", "HIRAGANA": "kana", "KATAKANA": "kana", "HANGUL": "hangul"}
 # ---------------------------------------------------------------------------
 
 _SECRET = re.compile(
@@ -72,10 +96,20 @@ _EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z
 _CARD = re.compile(r"(?<![\d.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?![\d])")
 _PHONE = re.compile(r"(?<![\w.])(?:(?:\+?1[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}"
                     r"|(?:\+?1[ .-])?\d{3}([.-])\d{3}\1\d{4}|\+\d{1,3}(?:[ .-]?\(?\d{2,5}\)?){2,4})(?!\d)")
+#: numbers as written within a country: area code with its 0, or pairs of digits
+_NATIONAL = re.compile(r"(?<![\w.,/+-])(?:\(0\d{2,4}\)|0\d{2,4})[ /-]\d{3,4}(?:[ -]?\d{3,4}){0,1}(?!\d|[.,/-]\d)"
+                       r"|(?<![\w.,/+-])0\d{2,4}[ /-]\d{5,8}(?!\d|[.,/-]\d)"
+                       r"|(?<![\w.,/+-])0[1-9](?:([ .])\d{2})(?:\1\d{2}){3}(?!\d|[.,/ -]\d)")
+_MAC = re.compile(r"(?<![\w:-])[0-9A-Fa-f]{2}(?:(:|-)[0-9A-Fa-f]{2})(?:\1[0-9A-Fa-f]{2}){4}(?![\w:-])")
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4}){0,6}(?![\w:])|(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){1,6}:(?![\w:])"
+                   r"|(?<![\w:.])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})(?![\w:])")
 _IP = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)")
 _SSN = re.compile(r"(?<![\w-])(?!000|666|9\d\d)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])")
-_MARK = r"[\u0300-\u036f]"
+#: marks that are written on letters (accents, vowel signs, points)
+_MARKS = "".join(chr(c) for c in range(0x300, 0x1100) if unicodedata.category(chr(c)).startswith("M"))
+_MARK = f"[{_MARKS}]"
+_INSIDE = rf"[\w{_MARKS}]"
 _SMALL = "[" + "".join(re.escape(chr(c)) for c in range(0x10000) if chr(c).islower()) + "]"
 _LETTER = rf"[^\W\d_]{_MARK}*"
 #: a whole name: no small first letter (but d'Angelo), inner capitals, hyphens and apostrophes; no possessive or contracted ending
@@ -87,7 +121,7 @@ _INITIAL = rf"(?!{_SMALL})[^\W\d_]\.(?={_GAP}?[^\W\d_])"
 _PARTICLE = "(?:van|von|vom|zu|zur|der|den|de|del|della|di|da|das|do|dos|du|la|las|le|los|ter|ten|af|av|al|el|bin|ibn|bint)"
 _PART = rf"(?:{_PARTICLE}{_GAP}){{0,3}}(?!{_ALL_TITLES}){_NAME.pattern}"
 _PERSON = re.compile(rf"(?<![^\W\d_])(?:(?P<title>{_ALL_TITLES})|(?:{'|'.join(map(re.escape, INTRODUCTIONS))})(?![^\W\d_]))"
-                     rf"(?:{_GAP}(?P<more>{_ALL_TITLES}))*{_GAP}(?P<lead>(?:{_INITIAL}{_GAP[:-1]}*)*)"
+                     rf"(?:{_GAP}(?P<more>{_ALL_TITLES})){{0,3}}+{_GAP}(?P<lead>(?:{_INITIAL}{_GAP[:-1]}*)*)"
                      rf"(?P<names>{_PART}(?:{_GAP}(?:{_INITIAL}{_GAP[:-1]}*)*{_PART}){{0,3}})")
 #: a word with its inner apostrophes and hyphens, and the pieces between them
 _WORD = re.compile(rf"(?<![\w\u0300-\u036f])(?:{_LETTER})+(?:['’\-‐‑](?:{_LETTER})+)*(?![\w\u0300-\u036f])")
@@ -113,6 +147,21 @@ def _is_card(digits: str) -> bool:
     return known and len(set(digits)) > 1 and luhn(digits)
 
 
+def _ipv6(shown: str) -> str | None:
+    """The full lower-case form of an address; None for what is none, has no group of its own (``::``) or is a time."""
+    try:
+        address = ipaddress.IPv6Address(shown)
+    except ValueError:
+        return None
+    return None if address.is_unspecified or address.is_loopback or not re.search("[0-9]", shown) else address.exploded
+
+
+def script_of(name: str) -> str:
+    """The script whose syllables stand for a name: that of its first letter."""
+    first = next((c for c in name if c.isalpha()), "a")
+    return SCRIPTS.get(unicodedata.name(first, "").split(" ")[0].split("-")[0], "latin")
+
+
 def _iban_rest(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
@@ -140,7 +189,16 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
             d = re.sub(r"\D", "", m.group())
             if 8 <= len(d) <= 15:
                 found.append((m.start(), m.end(), "phone", d[1:] if len(d) == 11 and d[0] == "1" else d))
+        for m in _NATIONAL.finditer(text):
+            d = re.sub(r"\D", "", m.group())
+            if 9 <= len(d) <= 11:
+                found.append((m.start(), m.end(), "phone", d))
         found += [(m.start(), m.end(), "ip", m.group()) for m in _IP.finditer(text)]
+        found += [(m.start(), m.end(), "mac", re.sub(r"[:-]", "", m.group()).lower()) for m in _MAC.finditer(text)]
+        for m in _IPV6.finditer(text) if ":" in text else ():
+            address = _ipv6(m.group())
+            if address:
+                found.append((m.start(), m.end(), "ipv6", address))
         found += [(m.start(), m.end(), "ssn", m.group().replace("-", "")) for m in _SSN.finditer(text)]
         for m in _IBAN.finditer(text):
             v = m.group().replace(" ", "")
@@ -148,7 +206,7 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
                 found.append((m.start(), m.end(), "iban", v))
     if any(t in text for t in TITLES) or any(t in text for t in INTRODUCTIONS):
         found += _people(text)
-    order = {k: i for i, k in enumerate(["secret", "email", "iban", "card", "phone", "ip", "ssn"])}
+    order = {k: i for i, k in enumerate(["secret", "email", "iban", "card", "phone", "mac", "ipv6", "ip", "ssn"])}
     taken: list[tuple[int, int, str, str]] = []
     for f in sorted(found, key=lambda f: (order.get(f[2], 9), f[0])):
         at = bisect.bisect_left(taken, f)
@@ -230,11 +288,15 @@ def surrogate(kind: str, value: str, attempt: int, key: str) -> str:
         body = value[0] + "".join(str(draw.below(10)) for _ in value[1:-1])
         return next(body + str(d) for d in range(10) if luhn(body + str(d)))
     if kind == "phone":
-        keep = max(0, len(value) - 10)
+        keep = max(1 if value[0] == "0" else 0, len(value) - 10)          # a country code, or the 0 before an area code
         return value[:keep] + str(2 + draw.below(8)) + "".join(str(draw.below(10)) for _ in value[keep + 1:])
     if kind == "ip":
         first = [n for n in range(1, 224) if n not in (10, 127, 169, 172, 192)]
         return ".".join(map(str, [first[draw.below(len(first))], draw.below(256), draw.below(256), 1 + draw.below(254)]))
+    if kind == "mac":
+        return "02" + "".join("0123456789abcdef"[draw.below(16)] for _ in range(10))    # a locally administered address
+    if kind == "ipv6":
+        return "2001:0db8:" + ":".join(f"{draw.below(1 << 16):04x}" for _ in range(6))      # set aside for examples
     if kind == "ssn":
         return "9" + "".join(str(draw.below(10)) for _ in range(8))       # 9xx is never issued
     if kind == "iban":
@@ -244,7 +306,7 @@ def surrogate(kind: str, value: str, attempt: int, key: str) -> str:
         lead = _KEY_PREFIX.match(value)
         lead = lead.group() if lead else ""
         return lead + draw.like(value[len(lead):])
-    script = "cyrillic" if re.search(r"[а-яё]", value) else "latin"
+    script = script_of(value)
     parts, ends = SYLLABLES[script], ENDINGS[script]["s" if kind == "surname" else kind[5:]]
     size = 1 + draw.below(2) + attempt // 4                               # later attempts draw from longer names
     return "".join(parts[draw.below(len(parts))] for _ in range(size)) + ends[draw.below(len(ends))]
@@ -254,6 +316,13 @@ def written(kind: str, shown: str, canonical: str) -> str:
     """The canonical surrogate in the format of the occurrence that it replaces."""
     if kind == "ip":
         return canonical
+    if kind == "ipv6":
+        short = ipaddress.IPv6Address(canonical).compressed
+        text = canonical if len(shown) == 39 else short
+        return text.upper() if shown == shown.upper() and shown != shown.lower() else text
+    if kind == "mac":
+        text = canonical.upper() if shown == shown.upper() and shown != shown.lower() else canonical
+        return shown[2].join(text[i:i + 2] for i in range(0, 12, 2))
     if kind == "secret":
         return canonical.upper() if _HEX.fullmatch(shown) and shown == shown.upper() else canonical
     if kind in ("card", "phone", "ssn", "iban"):
@@ -290,34 +359,56 @@ def _draw(key: str):
     return run
 
 
-def overrides(known: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The key that the session's settings give, or one drawn for this application."""
+    given = spark.conf.get(KEY_SETTING, None) or spark.sparkContext.getConf().get(KEY_SETTING, None)
+    return given or _DRAWN_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
+
+
+_DRAWN_KEYS: dict[str, str] = {}
+
+
+def overrides(known: DataFrame, key: str | None = None) -> DataFrame:
     """(kind, value, attempt) of the entities that must draw again, from the table of all entities.
 
     Ends when no two entities of a kind share a surrogate and no surrogate is a
     real value of its kind.  Given names of either gender count as one kind.
     """
-    spark = known.sparkSession
+    key = key or session_key(known.sparkSession)
     family = F.when(F.col("kind").startswith("given"), F.lit("given")).otherwise(F.col("kind"))
-    known = staged(known, "pii-entities")
-    again = spark.createDataFrame([], "kind string, value string, attempt int")
+    me, cols = F.struct("value", "kind"), ["kind", "value", "attempt", "surrogate", "family"]
+
+    def drawn(rows: DataFrame, name: str) -> DataFrame:
+        return staged(rows.select("kind", "value", F.col("attempt").cast("int").alias("attempt"))
+                      .mapInArrow(_draw(key), "kind string, value string, attempt int, surrogate string")
+                      .withColumn("family", family), name)
+
+    def clashing(rows: DataFrame, real: DataFrame) -> DataFrame:
+        """Of these rows those that are not the first with their surrogate, or draw a real value."""
+        shared = (rows.groupBy("family", "surrogate").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("first")).where("n > 1"))
+        late = rows.join(shared, ["family", "surrogate"]).where(me != F.col("first")).select(cols)
+        return late.union(rows.join(real, ["family", "surrogate"], "left_semi").select(cols)).distinct()
+
+    first = drawn(known.withColumn("attempt", F.lit(0)), "pii-drawn")          # the whole table, drawn once
+    real = first.select("family", F.col("value").alias("surrogate")).distinct()
+    open_ = staged(clashing(first, real), "pii-clash")
+    if open_.isEmpty():
+        return open_.select("kind", "value", "attempt")
+    moved = open_.select("kind", "value")                                      # these no longer hold their first draw
+    settled = staged(open_.limit(0), "pii-settled")
     for _ in range(MAX_ROUNDS):
-        tried = (known.join(again, ["kind", "value"], "left")
-                 .select("kind", "value", F.coalesce("attempt", F.lit(0)).alias("attempt")))
-        drawn = staged(tried.mapInArrow(_draw(key), "kind string, value string, attempt int, surrogate string")
-                       .withColumn("family", family), "pii-drawn")
-        shared = (drawn.groupBy("family", "surrogate")
-                  .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("value", "kind")).alias("first"))
-                  .where("n > 1"))
-        late = drawn.join(shared, ["family", "surrogate"]).where(F.struct("value", "kind") != F.col("first"))
-        real = drawn.join(known.select(family.alias("family"), F.col("value").alias("surrogate")).distinct(),
-                          ["family", "surrogate"], "left_semi")
-        cols = ["kind", "value", F.lit(1).alias("more")]
-        clash = staged(late.select(*cols).union(real.select(*cols)).distinct(), "pii-clash")
-        if clash.isEmpty():
-            return again
-        again = staged(drawn.join(clash, ["kind", "value"], "left").where("attempt > 0 or more = 1")
-                       .select("kind", "value", (F.col("attempt") + F.coalesce("more", F.lit(0))).cast("int").alias("attempt")),
-                       "pii-again")
+        new = drawn(open_.withColumn("attempt", F.col("attempt") + 1), "pii-again")
+        # taken: what others hold of the new draws
+        of_new = new.select("family", "surrogate").distinct()
+        held = first.join(of_new, ["family", "surrogate"], "left_semi").join(moved, ["kind", "value"], "left_anti") \
+            .select("family", "surrogate").union(settled.select("family", "surrogate"))
+        free = new.join(held.distinct(), ["family", "surrogate"], "left_anti")
+        again = clashing(free.select(cols), real).union(new.join(held.distinct(), ["family", "surrogate"], "left_semi").select(cols))
+        open_ = staged(again.distinct(), "pii-clash")
+        settled = staged(settled.select(cols).union(
+            new.join(open_.select("kind", "value"), ["kind", "value"], "left_anti").select(cols)), "pii-settled")
+        if open_.isEmpty():
+            return settled.select("kind", "value", "attempt")
     raise RuntimeError(f"surrogates still collide after {MAX_ROUNDS} rounds")
 
 
@@ -346,10 +437,11 @@ def _rewrite(key: str, shared):
 _OUT = "text string, entities array<struct<kind string, start int, end int, surrogate string>>"
 
 
-def anonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = DEFAULT_KEY,
+def anonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str | None = None,
               broadcast_rows: int = BROADCAST_OVERRIDES) -> DataFrame:
     """(id_col, text, entities) of every row: the text with surrogates, and what was replaced where."""
     spark = docs.sparkSession
+    key = key or session_key(spark)
     again = overrides(entities(docs, text_col), key)
     rows = docs.select(F.col(id_col).alias("row"), F.col(text_col).cast("string").alias("text"))
     id_type = dict(rows.dtypes)["row"]
