@@ -16,6 +16,11 @@ of near copies is accepted by this smaller ball without looking at its pairs.
 Per vector only its number of links leaves a task, and links that span the
 same components, never all pairs of a group.
 
+A tree is written once, as a file in the shared folder, and never shuffled: what
+travels is names of blocks.  The pairs of blocks that can hold links are dealt in
+tiles of ``TILE`` x ``TILE`` blocks, so that a task reads 2 ``TILE`` trees for up to
+``TILE`` squared pairs; it holds no more than these.
+
 Exact copies are one vector with a multiplicity.  Vectors that are null, empty,
 zero or hold null or non-finite components link with nothing; vectors of
 different lengths do not link.  Repeated ids are separate rows; an empty table
@@ -24,6 +29,8 @@ gives an empty result.  Labels and extra columns are ignored.
 from __future__ import annotations
 
 import pickle
+import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,13 +39,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import staged
+from vigil.llm.common import scratch, staged
 from vigil.llm.components import connected_components, spanning_links
+from vigil.llm.warc import filesystem
+from vigil.sources.store import remove
 
 THRESHOLD = 0.9
 BLOCK_ROWS = 4096
 MAX_BLOCKS = 16_384        # blocks hold more rows beyond this many, so that their directory stays bounded
 MAX_PIVOTS = 1024
+TILE = 8                   # blocks on each side of a tile of pairs
 LEAF = 8
 MARGIN = 1e-9              # bounds keep this far from the threshold, so that rounding never decides them
 
@@ -241,44 +251,64 @@ def _nearest(pivots):
     return run
 
 
-def _build(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("rep", ignore_index=True)
-    tree = Tree(unit(np.stack(pdf["embedding"].to_numpy())))
-    order = np.asarray(tree.order)
-    payload = pickle.dumps((tree, pdf["rep"].to_numpy()[order], pdf["mult"].to_numpy()[order].astype(np.int64)))
-    head = pdf.iloc[0]
-    return pd.DataFrame({"dim": [head["dim"]], "block": [f"{head['dim']}.{head['cell']}.{head['sub']}"],
-                         "centre": [tree.vectors[tree.centre[0]].tolist()], "radius": [float(tree.radius[0])],
-                         "tree": [payload]})
+def _build(root: str):
+    """The tree of a block into its file; a task that is run again writes the same file."""
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep", ignore_index=True)
+        tree = Tree(unit(np.stack(pdf["embedding"].to_numpy())))
+        order = np.asarray(tree.order)
+        head = pdf.iloc[0]
+        name = f"{head['dim']}.{head['cell']}.{head['sub']}"
+        fs, base = filesystem(root)
+        fs.create_dir(base, recursive=True)
+        draft = f"{base}/.{name}-{uuid.uuid4().hex}"
+        with fs.open_output_stream(draft, compression=None) as f:
+            f.write(pickle.dumps((tree, pdf["rep"].to_numpy()[order], pdf["mult"].to_numpy()[order].astype(np.int64))))
+        fs.move(draft, f"{base}/{name}")
+        return pd.DataFrame({"dim": [head["dim"]], "block": [name], "centre": [tree.vectors[tree.centre[0]].tolist()],
+                             "radius": [float(tree.radius[0])]})
+    return build
 
 
 def _pairs(directory, reach: float):
+    """(tile, left, right): the block pairs near enough for a link; a tile joins the strips that the blocks lie in."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blocks = directory.value
         for pdf in frames:
             for name, dim, centre, radius in zip(pdf["block"], pdf["dim"], pdf["centre"], pdf["radius"]):
                 names, centres, radii = blocks[dim]
-                near = _distance(centres @ np.asarray(centre)) <= reach + radius + radii + MARGIN
-                mine = [n for n in names[near] if n >= name]
-                yield pd.DataFrame({"left": [name] * len(mine), "right": mine})
+                own = int(np.flatnonzero(names == name)[0])
+                near = np.flatnonzero(_distance(centres @ np.asarray(centre)) <= reach + radius + radii + MARGIN)
+                near = near[near >= own]
+                yield pd.DataFrame({"tile": [f"{dim}.{own // TILE}.{k // TILE}" for k in near], "left": [name] * len(near),
+                                    "right": names[near]})
     return run
 
 
-def _compare(threshold: float):
+def _compare(root: str, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = (None, None)
+        fs, base = filesystem(root)
+        held: OrderedDict = OrderedDict()                  # the trees read last, of a tile's two strips
         links_x, links_y, n = [], [], 0
 
+        def tree(name: str):
+            if name in held:
+                held.move_to_end(name)
+            else:
+                with fs.open_input_stream(f"{base}/{name}", compression=None) as f:
+                    held[name] = pickle.loads(f.read())
+                if len(held) > 2 * TILE:
+                    held.popitem(last=False)
+            return held[name]
+
         def rows(kind, a, b):
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b)],
                                               names=["kind", "a", "b"])
         for batch in batches:
             for i in range(batch.num_rows):
-                left, right = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                if held[0] != left:
-                    held = (left, pickle.loads(batch.column(2)[i].as_py()))
-                a, id_a, w_a = held[1]
-                b, id_b, w_b = held[1] if left == right else pickle.loads(batch.column(3)[i].as_py())
+                left, right = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
+                a, id_a, w_a = tree(left)
+                b, id_b, w_b = tree(right)
                 count_a, count_b, x, y = dual(a, b, w_a, w_b, threshold)
                 if a is b:
                     count_a, count_b = count_a + count_b, np.zeros(0, np.int64)
@@ -335,21 +365,22 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         # at most MAX_PIVOTS rows per vector length
         blocks = cells.join(F.broadcast(subs), ["dim", "cell"]).withColumn(
             "sub", F.pmod(F.xxhash64("rep"), F.col("subs")).cast("int"))
-        trees = staged(blocks.groupBy("dim", "cell", "sub").applyInPandas(
-            _build, "dim int, block string, centre array<double>, radius double, tree binary"), "vector-trees")
-        heads = trees.select("dim", "block", "centre", "radius")
+        root = scratch(spark, "vector-tree-files")
+        heads = staged(blocks.groupBy("dim", "cell", "sub").applyInPandas(
+            _build(root), "dim int, block string, centre array<double>, radius double"), "vector-trees")
         directory = {}
-        for dim, part in heads.toPandas().groupby("dim"):     # at most MAX_BLOCKS + MAX_PIVOTS small rows a length
+        for dim, part in heads.toPandas().sort_values("block").groupby("dim"):     # at most MAX_BLOCKS + MAX_PIVOTS small rows a length
             directory[dim] = (part["block"].to_numpy(), np.stack(part["centre"].to_numpy()), part["radius"].to_numpy())
         reach = float(np.sqrt(max(0.0, 2.0 - 2.0 * threshold)))
         pairs = staged(heads.mapInPandas(_pairs(spark.sparkContext.broadcast(directory), reach),
-                                         "left string, right string"), "vector-pairs")
-        tasks = max(1, min(20_000, pairs.count() // 4))
-        one = trees.select(F.col("block").alias("left"), F.col("tree").alias("left_tree"))
-        two = trees.select(F.col("block").alias("right"), F.col("tree").alias("right_tree"))
-        met = (pairs.join(two, "right").join(one, "left").select("left", "right", "left_tree", "right_tree")
-               .repartition(tasks, "left", "right").sortWithinPartitions("left"))
-        out = staged(met.mapInArrow(_compare(threshold), "kind int, a long, b long"), "vector-links")
+                                         "tile string, left string, right string"), "vector-pairs")
+        # small tables have few tiles: there, a pair is a task of its own
+        n_pairs, tiles = pairs.agg(F.count(F.lit(1)), F.countDistinct("tile")).first()
+        keys = ["tile"] if tiles >= 4 * spark.sparkContext.defaultParallelism else ["left", "right"]
+        met = pairs.repartition(max(1, min(20_000, tiles if len(keys) == 1 else n_pairs // 4)), *keys) \
+            .sortWithinPartitions("tile", "left", "right")
+        out = staged(met.mapInArrow(_compare(root, threshold), "kind int, a long, b long"), "vector-links")
+        remove(spark, root)
         member = connected_components(out.where("kind = 0").select(F.col("a").alias("u"), F.col("b").alias("v")))
         # per representative: links to others, and the least id of its component
         rooted = (reps.select("rep", "least").join(staged(member.withColumnRenamed("node", "rep"), "vector-member"), "rep", "left")
