@@ -7,7 +7,13 @@ reduction ranks the templates.  The winner is confirmed by its exact wording:
 words are compared one by one (matching runs of words), the words of
 the block that the template lacks and the template words that the matched
 stretch lacks are counted, and the match holds when both are few and every
-word that tells the license (name, number, or key phrase) is there.
+word that tells the license (name, number, or key phrase) is there, and no word
+that names another license stands in the stretch.
+
+An ``SPDX-License-Identifier`` line states its license by itself: its expression
+(ids with AND, OR, WITH and parentheses) is parsed, and every id on the list of
+known ones is a match of variant -1; an unknown id, or a line that is no
+expression, is none.
 
 A block that is not confirmed as a whole is tried by its sentences.  Then
 neighbouring paragraphs are tried together, up to ``WINDOW_WORDS`` words from
@@ -74,7 +80,20 @@ TEMPLATES = {
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
         "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
         "any later version."],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "LGPL-3.0": [
+        "This library is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public "
+        "License for more details."],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public "
+        "License for more details."],
     "BSD-3-Clause": [
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
@@ -83,7 +102,30 @@ TEMPLATES = {
         "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
         "distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
         "promote products derived from this software without specific prior written permission."],
-    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License."],
+    "BSD-2-Clause": [
+        "Licensed under the BSD 2-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+        "PURPOSE ARE DISCLAIMED."],
+    "Zlib": [
+        "Licensed under the zlib License.",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote "
+        "the original software. If you use this software in a product, an acknowledgment in the product documentation would "
+        "be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be "
+        "misrepresented as being the original software. 3. This notice may not be removed or altered from any source "
+        "distribution."],
+    "EPL-2.0": [
+        "Licensed under the Eclipse Public License 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0 "
+        "which is available at http://www.eclipse.org/legal/epl-2.0."],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
     "ISC": [
         "Licensed under the ISC License.",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
@@ -99,6 +141,10 @@ TEMPLATES = {
                      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.",
                      "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "CC-BY-3.0": ["Licensed under CC BY 3.0.",
+                  "This work is licensed under a Creative Commons Attribution 3.0 Unported License."],
+    "CC-BY-SA-3.0": ["Licensed under CC BY-SA 3.0.",
+                     "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."],
     "CC0-1.0": ["Released under CC0 1.0 Universal, dedicated to the public domain."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
@@ -107,6 +153,19 @@ HINTS = ("licen", "permission", "redistribut", "copyright", "warrant", "public d
 #: words that any license has; all other short-notice words tell one license from another
 COMMON = {"licensed", "released", "under", "the", "license", "licence", "this", "work", "is", "a", "project", "terms", "of",
           "library", "version", "public", "general", "international", "v", "to", "dedicated", "domain", "universal"}
+#: words that name a license: none of another one's may stand in a confirmed stretch
+NAMES = {"affero", "apache", "attribution-noncommercial", "attribution-noderivatives", "attribution-sharealike", "boost", "bsd",
+         "by-nc", "by-nd", "by-sa", "cc0", "eclipse", "epl", "isc", "lesser", "lgpl", "mit", "mozilla", "mpl", "zlib"}
+#: SPDX ids that are known, beside those of the templates
+SPDX_IDS = {"0BSD", "AFL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-1.1", "APSL-2.0", "Artistic-1.0", "Artistic-2.0",
+            "BlueOak-1.0.0", "BSD-1-Clause", "BSD-3-Clause-Clear", "BSD-4-Clause", "CC-BY-1.0", "CC-BY-2.0", "CC-BY-2.5",
+            "CC-BY-NC-3.0", "CC-BY-NC-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-3.0", "CDDL-1.0", "CDDL-1.1", "CECILL-2.1", "CPL-1.0",
+            "ECL-2.0", "EFL-2.0", "EPL-1.0", "EUPL-1.1", "EUPL-1.2", "FTL", "GFDL-1.3", "GFDL-1.3-only", "GFDL-1.3-or-later",
+            "GPL-1.0", "GPL-1.0-only", "GPL-1.0-or-later", "GPL-2.0+", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0+",
+            "GPL-3.0-only", "GPL-3.0-or-later", "HPND", "IJG", "IPL-1.0", "LGPL-2.0", "LGPL-2.0-only", "LGPL-2.0-or-later",
+            "LGPL-2.1+", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0+", "LGPL-3.0-only", "LGPL-3.0-or-later", "LPPL-1.3c",
+            "MIT-0", "MPL-1.0", "MPL-1.1", "MS-PL", "MS-RL", "NCSA", "ODbL-1.0", "OFL-1.1", "OpenSSL", "OSL-3.0", "PHP-3.01",
+            "PostgreSQL", "PSF-2.0", "Python-2.0", "Ruby", "SISSL", "TCL", "UPL-1.0", "Vim", "W3C", "WTFPL", "X11", "ZPL-2.1"}
 # -------------------------------------------------------------------------------
 
 #: words of paragraphs that are tried together: the longest template and as many again
@@ -114,7 +173,8 @@ WINDOW_WORDS = 2 * max(len(t.split()) for own in TEMPLATES.values() for t in own
 
 _WORD = re.compile(r"[0-9a-z]+(?:[.\-][0-9a-z]+)*", re.I)
 _HINT = re.compile("|".join(map(re.escape, HINTS)), re.I)
-_SPDX = re.compile(r"SPDX-License-Identifier:\s*([A-Za-z0-9.+\-]+)")
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+\-() \t]*)")
+_SPDX_PART = re.compile(r"[()]|[A-Za-z0-9.+\-]+")
 _FORMAT = zstd.FORMAT_ZSTD1_MAGICLESS if hasattr(zstd, "FORMAT_ZSTD1_MAGICLESS") else zstd.FORMAT_ZSTD1
 
 
@@ -162,6 +222,7 @@ class Compressor:
                 d = zstd.ZstdCompressionDict(raw.rjust(8), dict_type=zstd.DICT_TYPE_RAWCONTENT)
                 self.with_template.append((name, k, words(text), zstd.ZstdCompressor(dict_data=d, compression_params=params)))
         self.telling = {(name, k): self._telling(name, w) for name, k, w, _ in self.with_template}
+        self.foreign = {name: NAMES - {w for n, _, ws, _ in self.with_template if n == name for w in ws} for name in templates}
 
     def _telling(self, name: str, own: list[str]) -> set[str]:
         """Words of a template that no other license's templates have, and its version numbers."""
@@ -211,10 +272,6 @@ def _compressor(level: int) -> Compressor:
 def classify(block: str, level: int = LEVEL, min_reduction: float = MIN_REDUCTION,
              max_difference: float = MAX_DIFFERENCE) -> dict | None:
     """The license that a block's wording confirms, with the stretch that states it, or None."""
-    spdx = _SPDX.search(block)
-    if spdx:
-        return {"start": spdx.start(), "end": spdx.end(), "license": spdx.group(1), "variant": -1, "reduction": 1.0,
-                "added": 0, "missing": 0}
     places = [m.span() for m in _WORD.finditer(block)]
     own, best = [block[a:b].lower() for a, b in places], None
     tool = _compressor(level)
@@ -223,6 +280,8 @@ def classify(block: str, level: int = LEVEL, min_reduction: float = MIN_REDUCTIO
         first, end, added, missing = wording(own, template)
         telling = tool.telling[name, variant]
         lost = len(telling - set(own[first:end]))
+        if tool.foreign[name] & set(own[first:end]):
+            continue
         if added + missing <= max_difference * len(template) and lost <= (max_difference * len(telling) if len(telling) > 6 else 0):
             found = ((added + missing, -reduction, name, variant),
                      {"start": places[first][0], "end": places[end - 1][1], "license": name, "variant": variant, "reduction": float(reduction), "added": added, "missing": missing})
@@ -230,6 +289,38 @@ def classify(block: str, level: int = LEVEL, min_reduction: float = MIN_REDUCTIO
     return best[1] if best else None
 
 
+def spdx(text: str) -> list[dict]:
+    """The known ids of the text's SPDX lines, each with its place, where the line is an expression."""
+    out = []
+    for m in _SPDX.finditer(text):
+        parts = [(p.group(), m.start(1) + p.start(), m.start(1) + p.end()) for p in _SPDX_PART.finditer(m.group(1))]
+        ids, depth, want_id, exception = [], 0, True, False
+        for part, a, b in parts:
+            if part in "()":
+                if (part == "(") != want_id or exception:
+                    break
+                depth += 1 if part == "(" else -1
+                if depth < 0:
+                    break
+            elif part.upper() in ("AND", "OR", "WITH"):
+                if want_id:
+                    ids = []
+                    break
+                want_id, exception = True, part.upper() == "WITH"
+            elif not want_id:
+                break                               # the expression ends where two ids meet
+            else:
+                if not exception:
+                    ids.append((part, a, b))
+                want_id, exception = False, False
+        if depth > 0 or want_id:
+            continue
+        out += [{"start": a, "end": b, "license": _KNOWN[i.lower()], "variant": -1, "reduction": 1.0, "added": 0, "missing": 0}
+                for i, a, b in ids if i.lower() in _KNOWN]
+    return out
+
+
+_KNOWN = {i.lower(): i for i in SPDX_IDS | set(TEMPLATES)}
 _SENTENCE = re.compile(r"(?<=[.!?;:])\s+")
 
 
@@ -276,7 +367,10 @@ def windows(text: str, start: int, end: int) -> Iterator[list[tuple[int, int]]]:
 def find(text: str | None, judge) -> tuple[int, list[dict]]:
     """(number of candidates, confirmed matches) of a text; a block that is not confirmed as a whole is tried by
     runs of sentences, then by single sentences, so that a notice inside a long line is found."""
-    n, found = 0, []
+    n, found, stated = 0, [], spdx(text) if text and "SPDX" in text else []
+    if stated:                                              # their lines are read; all other places stay
+        n += len(stated)
+        text = _SPDX.sub(lambda m: " " * len(m.group()), text)
 
     def take(s: int, own: dict) -> tuple[int, int]:
         found.append({**own, "start": s + own["start"], "end": s + own["end"]})
@@ -325,7 +419,7 @@ def find(text: str | None, judge) -> tuple[int, list[dict]]:
                             found.pop()
                             done = take(head[0]["start"], both)[1]
                     break
-    return n, sorted(found, key=lambda m: m["start"])
+    return n, sorted(found + stated, key=lambda m: m["start"])
 
 
 def _scan(level: int, min_reduction: float, max_difference: float):
