@@ -1,11 +1,15 @@
 """Sharding by a hierarchical weighted hash tree (region -> rack -> shard).
 
-Every node of the tree draws an exponential variate from a hash of the
-document id and the node's name, divided by the weight of its subtree; a
-document descends into the child with the smallest draw.  A child is chosen
-with probability proportional to its weight, and a weight change moves
-documents only into (growth) or out of (shrinkage) the subtrees whose weights
-change, because all other draws stay as they are.
+Every shard draws an exponential variate from a hash of the document id and the
+shard's name, divided by its weight; a rack's draw is the least of its shards',
+a region's the least of its racks', which is again an exponential draw, by the
+weight of the whole subtree.  A document descends into the child with the
+smallest draw.  A child is chosen with probability proportional to its weight,
+and a weight change moves documents only into (growth) or out of (shrinkage) the
+subtrees whose weights change, because all other draws stay as they are.  The
+draws of a grown subtree become smaller only where the new shard's own draw is
+the least, so one more shard takes rows into itself alone, for any number of
+shards and wherever in the tree it is put.
 
 Everything is column expressions: no Python touches a row.
 
@@ -44,8 +48,7 @@ def topology(n_shards: int, shards_per_rack: int = 4, racks_per_region: int = 2,
              weights: dict[int, float] | None = None) -> Node:
     """The default tree: shards fill racks, racks fill regions, in order.
 
-    When the last region is full, one more shard opens a new region, so that
-    the only subtree whose weight changes is the new shard's own path.
+    One more shard joins the last rack or opens a rack or region: its own path is all that changes weight.
     """
     if n_shards < 1:
         raise ValueError("at least one shard is needed")
@@ -62,7 +65,10 @@ def topology(n_shards: int, shards_per_rack: int = 4, racks_per_region: int = 2,
 
 
 def draw(key: Column, node: Node) -> Column:
-    """Exponential draw of a node for a key: -ln(u) / weight, u in (0, 1)."""
+    """Exponential draw of a node for a key: -ln(u) / weight of a shard, u in (0, 1); the least of the children's above."""
+    if node.shard is None:
+        kids = [draw(key, c) for c in node.children if c.weight > 0]
+        return F.least(*kids) if len(kids) > 1 else kids[0]
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(node.name), key), 11)
     u = (bits.cast("double") + F.lit(0.5)) * F.lit(2.0 ** -53)
     return -F.log(u) / F.lit(float(node.weight))
