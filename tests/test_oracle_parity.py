@@ -14,7 +14,7 @@ KEYS = ["normalize_union", "quarantine", "dedup_latest", "feature_matrix", "labe
         "standardize", "classification_report", "confusion_matrix", "expected_severity",
         "read_cve_pages", "read_ip_min_confidence", "date_fallback", "report_count_fallback", "fill_defaults",
         "parse_date", "parse_extra", "recency_score", "write_labels_partial", "write_predictions", "rank_fallback",
-        "page_keyset", "metrics_summary"]
+        "page_keyset", "metrics_summary", "page_hot", "page_published", "upsert_delta", "logreg_certificate"]
 
 
 @pytest.fixture(scope="module")

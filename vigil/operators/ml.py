@@ -11,7 +11,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegressio
                                        RandomForestClassifier)
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil import constants as C
@@ -190,6 +190,100 @@ def feature_importance(model: PipelineModel, cols: list[str] = C.FEATURE_COLS) -
     return {c: float(x) for c, x in zip(cols, v)}
 
 
+# ------------------------------------------------- fitted trees as tables --
+BROADCAST_NODES = 2_000_000       # nodes of all trees, about 150 MB, that are broadcast at most
+
+
+def node_table(spark: SparkSession, path: str) -> DataFrame:
+    """The nodes of a saved decision tree or forest (a ``PipelineModel`` folder) as rows: where a row goes from each node,
+    and the class shares of the training rows there.  Leaves have no feature."""
+    jvm = spark._jvm
+    stages = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/stages")
+    names = [s.getPath().getName() for s in stages.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(stages)]
+    last = max(names, key=lambda n: int(n.split("_")[0]))
+    data = spark.read.parquet(f"{path.rstrip('/')}/stages/{last}/data")
+    if "nodeData" in data.columns:
+        data = data.select(F.col("treeID").alias("tree"), "nodeData.*")
+    else:
+        data = data.withColumn("tree", F.lit(0))
+    total = F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x)
+    leaf = F.col("leftChild") < 0
+    return data.select(
+        "tree", F.col("id").alias("node"), F.when(~leaf, F.col("split.featureIndex")).alias("feature"),
+        F.when(~leaf, F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"),
+        F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
+        F.transform("impurityStats", lambda x: F.when(total != 0, x / total).otherwise(F.lit(0.0))).alias("shares"))
+
+
+def walk_trees(rows: DataFrame, nodes: DataFrame, key: str, cols: list[str] = C.FEATURE_COLS) -> DataFrame:
+    """P1 as joins: every row walks every tree from its root, one join a level, and the leaves' class shares are averaged.
+
+    (key, probability, prediction).  The node table has a size that the training parameters bound; below
+    ``BROADCAST_NODES`` the levels are map-side joins of one stage, and a row's trees are summed where they were walked
+    before the one shuffle by key.
+    """
+    size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("tree").alias("t")).first()
+    tree = F.broadcast(nodes) if size["n"] <= BROADCAST_NODES else nodes
+    at = rows.select(F.col(key).alias("_key"), F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"),
+                     F.explode(F.sequence(F.lit(0), F.lit(size["t"]))).alias("tree"), F.lit(0).alias("node"))
+    for _ in range(_depth(nodes)):
+        step = tree.select("tree", "node", "feature", "threshold", "left", "right")
+        x = F.element_at("_x", F.col("feature") + 1)
+        at = at.join(step, ["tree", "node"]).select(
+            "_key", "_x", "tree", F.when(F.col("feature").isNull(), F.col("node")).when(x <= F.col("threshold"), F.col("left"))
+            .otherwise(F.col("right")).alias("node"))
+    ends = at.join(tree.select("tree", "node", "shares"), ["tree", "node"])
+    k = len(C.PRIORITY_LABELS)
+    summed = ends.groupBy("_key").agg(*[F.sum(F.get("shares", i)).alias(f"_p{i}") for i in range(k)])
+    total = sum((F.col(f"_p{i}") for i in range(1, k)), F.col("_p0"))
+    p = [F.col(f"_p{i}") / total for i in range(k)]
+    best = F.lit(k - 1)
+    for i in range(k - 2, -1, -1):                               # the first of equal ones
+        best = F.when(F.col(f"_p{i}") >= F.greatest(*[F.col(f"_p{j}") for j in range(k) if j != i]), F.lit(i)).otherwise(best)
+    return summed.select(F.col("_key").alias(key), F.array(*p).alias("probability"), best.cast("double").alias("prediction"))
+
+
+def _depth(nodes: DataFrame) -> int:
+    """Levels below the roots: joins from the roots on until no inner node is left."""
+    edges = nodes.where("feature IS NOT NULL").select("tree", "node", F.explode(F.array("left", "right")).alias("child"))
+    level, n = edges.where("node = 0"), 0
+    while not level.isEmpty():
+        n += 1
+        below = level.select("tree", F.col("child").alias("node"))
+        level = edges.join(below, ["tree", "node"])
+    return n
+
+
+# --------------------------------------------- optimality of the logistic --
+def logistic_gradient(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """M4's certificate: per class, the gradient of the weighted, regularised loss at the fitted coefficients.
+
+    (class, n, gradient): ``gradient`` is its largest absolute entry over the features and the intercept, zero at the
+    optimum.  One aggregate over the training rows; the softmax is written out from the coefficients.
+    """
+    m = model.stages[-1]
+    for stage in model.stages[:-2]:
+        rows = stage.transform(rows)
+    beta, bias = m.coefficientMatrix.toArray(), m.interceptVector.toArray()
+    reg, k = float(m.getOrDefault("regParam")), len(bias)
+    margin = [sum((F.col(c) * F.lit(float(b)) for c, b in zip(Z_COLS, beta[i])), F.lit(float(bias[i]))) for i in range(k)]
+    rows = rows.select("label", "weight", *Z_COLS, *[v.alias(f"_m{i}") for i, v in enumerate(margin)])
+    top = F.greatest(*[F.col(f"_m{i}") for i in range(k)])
+    rows = rows.select("label", "weight", *Z_COLS, *[F.exp(F.col(f"_m{i}") - top).alias(f"_e{i}") for i in range(k)])
+    total = sum((F.col(f"_e{i}") for i in range(1, k)), F.col("_e0"))
+    sums = [F.sum("weight").alias("w")]
+    for i in range(k):
+        off = F.col("weight") * (F.col(f"_e{i}") / total - F.when(F.col("label") == i, F.lit(1.0)).otherwise(F.lit(0.0)))
+        sums += [F.sum(off).alias(f"g{i}_b"), F.count_if(F.col("label") == i).alias(f"n{i}")]
+        sums += [F.sum(off * F.col(c)).alias(f"g{i}_{j}") for j, c in enumerate(Z_COLS)]
+    r = rows.agg(*sums).first()
+    out = []
+    for i, name in enumerate(C.PRIORITY_LABELS):
+        entries = [r[f"g{i}_{j}"] / r["w"] + reg * float(beta[i][j]) for j in range(len(Z_COLS))] + [r[f"g{i}_b"] / r["w"]]
+        out.append((name, r[f"n{i}"], max(map(abs, entries))))
+    return rows.sparkSession.createDataFrame(out, "class string, n bigint, gradient double")
+
+
 # ---------------------------------------------------------- band baseline --
 # A deterministic reference classifier: P(label | CVSS qualitative band), the
 # class frequencies of each severity band in the training rows.  Its outputs

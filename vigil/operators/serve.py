@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from vigil import constants as C
 from vigil.functions import rounding as R
 from vigil.functions import scoring as S
-from vigil.operators.ranking import with_position
+from vigil.operators.ranking import publish, published_rows, ranges_of, with_position
 
 # Score buckets a page is located by: width 1/1000, scores outside 0..10 share the outer ones.
 SCORE_STEPS = 1000
@@ -98,6 +98,18 @@ def rank_threats(df: DataFrame, desc: bool = True, columns: list[str] | None = N
     return with_position(narrow, rank_keys(narrow, desc)).select(*names, "position")
 
 
+def publish_ranking(store: DataFrame, path: str, desc: bool = True, num_partitions: int | None = None) -> int:
+    """V5 kept as a table: the whole filtered set in its ranking, written once (say, at a commit) and paged from there."""
+    n = num_partitions or int(store.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return publish(store, rank_keys(store, desc), path, n)
+
+
+def published_page(spark, path: str, page_no: int, size: int = C.DEFAULT_PAGE_SIZE) -> DataFrame:
+    """V6 from a published ranking: the files of the page's range, no sort and no count."""
+    b = page_bounds(sum(n for _, _, n in ranges_of(spark, path)), page_no, size)
+    return published_rows(spark, path, b["start_row"] - 1, b["end_row"])
+
+
 def page_bounds(total: int, page: int, size: int) -> dict[str, int]:
     """V6/V7 arithmetic: pages = max(1, ceil(total/size)); out-of-range page → 1."""
     pages = max(1, math.ceil(total / size))

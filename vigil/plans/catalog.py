@@ -353,6 +353,23 @@ def q_page_deep(spark, sf_dir):
                   .select(*RANK_OUT))
 
 
+_RANKINGS: dict = {}
+
+
+@query("page_published")
+def q_page_published(spark, sf_dir):
+    """V5 and V6 from a ranking kept as a sorted table with a directory of its ranges (published once per session)."""
+    import uuid
+
+    from vigil.session import shared_path
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RANKINGS:
+        path = shared_path(spark, "vigil-ranking", uuid.uuid4().hex)
+        V.publish_ranking(V.filter_threats(P.served_store(spark, sf_dir)), path)
+        _RANKINGS[key] = path
+    return finish(V.published_page(spark, _RANKINGS[key], 250, 50).select(*RANK_OUT))
+
+
 @query("page_hot")
 def q_page_hot(spark, sf_dir):
     """V6 deep in a table where nine rows in ten have one score and label: found by counting, 400 rows sorted at most."""
@@ -522,6 +539,49 @@ def q_predict_all(spark, sf_dir):
                                                    "predicted_priority_score"))
 
 
+CLOSE = 1e-9
+
+
+@query("predict_relational")
+def q_predict_relational(spark, sf_dir):
+    """P1 by joins on the saved trees' node tables, for every row: how many rows get another label or score than from the
+    fitted model (none; labels are compared where the two best classes are further apart than rounding)."""
+    import uuid
+
+    from vigil.session import scratch_scope, scratch_table, shared_path
+    out = []
+    for name in ("decision_tree", "random_forest"):
+        path = shared_path(spark, "vigil-models", uuid.uuid4().hex, name)
+        model = _model(spark, sf_dir, name)
+        model.write().overwrite().save(path)
+        with scratch_scope(spark):
+            rows = _ml_data(spark, sf_dir)["split"]
+            nodes = scratch_table(ML.node_table(spark, path), "nodes")
+            own = ML.walk_trees(rows, nodes, "seq").select(
+                "seq", "prediction", ML.expected_severity(F.col("probability")).alias("score"),
+                F.sort_array("probability", asc=False).alias("p"))
+            fitted = ML.score_all(model, rows).select("seq", F.col("prediction").alias("prediction_m"),
+                                                      F.col("predicted_priority_score").alias("score_m"))
+            out += own.join(fitted, "seq", "full_outer").agg(
+                F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"),
+                F.count_if((F.col("prediction") != F.col("prediction_m")) & (F.col("p")[0] - F.col("p")[1] > CLOSE)
+                           | F.col("prediction").isNull() | F.col("prediction_m").isNull()).alias("n_labels_differ"),
+                F.count_if(F.abs(F.col("score") - F.col("score_m")) > CLOSE).alias("n_scores_differ")).collect()
+        ST.remove(spark, path)
+    return spark.createDataFrame(out, "model string, n_rows bigint, n_labels_differ bigint, n_scores_differ bigint")
+
+
+#: largest entry of the gradient, of a loss averaged over the rows on standardised features, that counts as optimal
+OPTIMAL = 1e-4
+
+
+@query("logreg_certificate")
+def q_logreg_certificate(spark, sf_dir):
+    """M4: the fitted logistic regression is the optimum: its gradient vanishes for every class."""
+    g = ML.logistic_gradient(_model(spark, sf_dir, "logistic_regression"), _ml_data(spark, sf_dir)["train"])
+    return g.select("class", "n", (F.col("gradient") < OPTIMAL).alias("optimal"))
+
+
 def _updates(rows: DataFrame, columns: list[str], other: dict[str, Column]) -> DataFrame:
     """Updates with a position: three rows in four, every fifth again with the values
     ``other`` (which must win), and one unknown id for every seventh."""

