@@ -190,6 +190,20 @@ def test_lookup_reads_one_bucket(spark, tmpdir_path):
     assert ST.lookup(spark, root, "nobody").count() == 0 and ST.lookup(spark, tmpdir_path + "/x", "id1").count() == 0
 
 
+def test_counts_and_ranges_come_from_the_footers(spark, tmpdir_path):
+    root = tmpdir_path + "/store"
+    rows = [_row(i, f"id{i}", "x") for i in range(300)] + [_row(5, None, "x", report_count=None, seq=999)]
+    ST.commit(spark, root, spark.createDataFrame(rows, STORED))
+    U.upsert_into(spark, root, _rows(spark, [(1000, "id7"), (3, "new")], batch=2))
+    stats = ST.footer_stats(spark, root, columns=("report_count",))
+    assert stats.first().asDict() == {"n_threats": 302, "report_count_min": 0, "report_count_max": 1000, "report_count_n": 301}
+    plan = stats._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PushedAggregation: [COUNT(*), MIN(report_count), MAX(report_count), COUNT(report_count)]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    assert ST.footer_stats(spark, tmpdir_path + "/none").first()[0] == 0
+
+
 # ------------------------------------------------------------------ paging --
 def _scored(spark, rows):
     return spark.createDataFrame([_row(i, f"id{i:05d}", "x", batch=b, seq=s, predicted_priority=p, predicted_priority_score=c)

@@ -270,7 +270,8 @@ def q_scan(spark, sf_dir):
 
 @query("count_threats")
 def q_count(spark, sf_dir):
-    return ST.count(P.fixture_snapshot(spark, sf_dir))
+    st = P.fixture_store(spark, sf_dir)
+    return ST.footer_stats(spark, st["root"], st["ingested"])
 
 
 @query("upsert_threats")

@@ -163,16 +163,38 @@ def bucket_of(n_buckets: int) -> Column:
 def scan(spark: SparkSession, root: str, version: int | None = None, buckets: list[int] | None = None) -> DataFrame:
     """S6: the current (or a given) snapshot, or only some of its buckets; empty with schema when there is none."""
     rec = record(spark, root, version)
-    live = {} if rec is None else {b: v for b, v in rec.buckets.items() if buckets is None or b in set(buckets)}
-    if not live:
+    paths = _paths(root, rec, buckets)
+    if not paths:
         return empty_snapshot(spark)
-    if set(live.values()) == {rec.version} and set(live) == set(rec.written):
-        paths = [_folder(root, rec.version)]
-    else:
-        paths = [f"{_folder(root, v)}/bucket={b}" for b, v in sorted(live.items())]
     return spark.read.schema(STORED).option("basePath", root).parquet(*paths).select(*STORED_FIELDS)
 
 
+def _paths(root: str, rec: Commit | None, buckets: list[int] | None = None) -> list[str]:
+    """The folders that hold the rows of a version, or of some of its buckets."""
+    live = {} if rec is None else {b: v for b, v in rec.buckets.items() if buckets is None or b in set(buckets)}
+    if live and set(live.values()) == {rec.version} and set(live) == set(rec.written):
+        return [_folder(root, rec.version)]
+    return [f"{_folder(root, v)}/bucket={b}" for b, v in sorted(live.items())]
+
+
+def footer_stats(spark: SparkSession, root: str, version: int | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
+    """S7 from the files' footers: ``n_threats``, and ``<c>_min``, ``<c>_max`` and ``<c>_n`` (values) of flat columns.
+
+    The aggregate is pushed into the Parquet reader, which no column chunk leaves; a session of its own carries the
+    two settings that this takes, so the caller's stay as they are.
+    """
+    aggs = [F.count(F.lit(1)).alias("n_threats")]
+    for c in columns:
+        aggs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.count(c).alias(f"{c}_n")]
+    paths = _paths(root, record(spark, root, version))
+    if not paths:
+        return empty_snapshot(spark).agg(*aggs)
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.schema(STORED).option("basePath", root).parquet(*paths).agg(*aggs)
+
+
 def lookup(spark: SparkSession, root: str, threat_id: str, version: int | None = None) -> DataFrame:
     """The rows of one id: its bucket's files only, of these the row groups that its Parquet filters let pass."""
     rec = record(spark, root, version)
