@@ -45,8 +45,8 @@ def allocation(counts: dict[str, int], test_size: float = C.TEST_SIZE) -> tuple[
     n_train = n - n_test
     stratify = len(counts) > 1 and all(v >= 2 for v in counts.values())
     if not stratify:
-        warnings.warn(f"stratified split not possible, class counts {counts}; "
-                      "falling back to a plain hash split")
+        warnings.warn(f"labels {counts}: at least two labels with two rows each are needed to split by label; "
+                      "the test rows are drawn from all rows together")
         return {"*": n_test}, False
     k = len(counts)
     if n_test < k or n_train < k:
