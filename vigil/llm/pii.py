@@ -113,8 +113,8 @@ _INSIDE = rf"[\w{_MARKS}]"
 _SMALL = "[" + "".join(re.escape(chr(c)) for c in range(0x10000) if chr(c).islower()) + "]"
 _LETTER = rf"[^\W\d_]{_MARK}*"
 #: a whole name: no small first letter (but d'Angelo), inner capitals, hyphens and apostrophes; no possessive or contracted ending
-_NAME = re.compile(rf"(?<![\w\u0300-\u036f])(?:(?:[dl]|[Dd]ell)['’](?!{_SMALL}))?(?!{_SMALL}){_LETTER}"
-                   rf"(?:{_LETTER}|['’](?=[^\W\d_])(?!(?:s|d|t|m|ll|re|ve)(?!\w))|[-‐‑](?=[^\W\d_])(?!{_SMALL}))*(?![\w\u0300-\u036f])")
+_NAME = re.compile(rf"(?<!{_INSIDE})(?:(?:[dl]|[Dd]ell)['’](?!{_SMALL}))?(?!{_SMALL}){_LETTER}"
+                   rf"(?:{_LETTER}|['’](?=[^\W\d_])(?!(?:s|d|t|m|ll|re|ve)(?!\w))|[-‐‑](?=[^\W\d_])(?!{_SMALL}))*(?!{_INSIDE})")
 _ALL_TITLES = "(?:" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True)) + r")(?![^\W\d_])"
 _GAP = "[  ]+"
 _INITIAL = rf"(?!{_SMALL})[^\W\d_]\.(?={_GAP}?[^\W\d_])"
@@ -124,7 +124,7 @@ _PERSON = re.compile(rf"(?<![^\W\d_])(?:(?P<title>{_ALL_TITLES})|(?:{'|'.join(ma
                      rf"(?:{_GAP}(?P<more>{_ALL_TITLES})){{0,3}}+{_GAP}(?P<lead>(?:{_INITIAL}{_GAP[:-1]}*)*)"
                      rf"(?P<names>{_PART}(?:{_GAP}(?:{_INITIAL}{_GAP[:-1]}*)*{_PART}){{0,3}})")
 #: a word with its inner apostrophes and hyphens, and the pieces between them
-_WORD = re.compile(rf"(?<![\w\u0300-\u036f])(?:{_LETTER})+(?:['’\-‐‑](?:{_LETTER})+)*(?![\w\u0300-\u036f])")
+_WORD = re.compile(rf"(?<!{_INSIDE})(?:{_LETTER})+(?:['’\-‐‑](?:{_LETTER})+)*(?!{_INSIDE})")
 _PIECE = re.compile(rf"(?:{_LETTER})+")
 _POSSESSIVE = re.compile(r"['’](?:s|S|d|ll|re|ve|m|t)$")
 _HAS_DIGIT = re.compile(r"[0-9]")
