@@ -267,10 +267,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 .withColumnRenamed("doc_id", id_col)
         if not parts:      # several blocks: a stable row number brings the hits of one document together
             rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "decontam-docs")
-        parts.append(rows.select("row", "text").mapInArrow(
+        # block by block: the hits are written and the broadcast goes before the next one comes
+        found = rows.select("row", "text").mapInArrow(
             _scan(shared, window, True),
-            "doc_id long, n_words long, n_hit long, items array<string>, spans array<array<long>>")
-            .withColumnRenamed("doc_id", "row"))
+            "doc_id long, n_words long, n_hit long, items array<string>, spans array<array<long>>").withColumnRenamed("doc_id", "row")
+        parts.append(staged(found.where(F.lit(not parts) | (F.col("n_hit") > 0)), "decontam-hits"))
+        shared.destroy()
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.union(p)
