@@ -278,3 +278,34 @@ def test_tiles_of_blocks_give_the_same_links(sp, monkeypatch):
     monkeypatch.setattr(embeddup, "TILE", 2)
     got = {r.vec_id: r.n_links for r in embeddup.near_duplicates(df, block_rows=20).collect()}
     assert got == {i: int(n) for i, n in enumerate(links)}
+
+
+# ----------------------------------------------------------------- scratch --
+def test_a_query_leaves_only_the_tables_that_its_result_reads(spark):
+    import os
+
+    from vigil.llm.queries import REGISTRY
+    from vigil.session import shared_path
+    base = shared_path(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    out = REGISTRY["op6_simhash_tiles"](spark, "/root/testdata/sf0.001")
+    left = {d for d in set(os.listdir(base)) - before if d.startswith("llm-")}
+    read = {f.split("/llm-", 1)[1].split("/", 1)[0] for f in out.inputFiles() if "/llm-" in f}
+    assert left == {f"llm-{d}" for d in read} and out.count() == 200
+
+
+def test_threads_have_scratch_lists_of_their_own(sp):
+    import threading
+
+    from vigil.llm import common
+    mark = common.made()
+    kept = common.staged(sp.range(3).toDF("a"), "mine")
+
+    def other():
+        assert common.made() == 0
+        common.staged(sp.range(2).toDF("a"), "other")
+        common.release(sp, 0, keep=0)
+    t = threading.Thread(target=other)
+    t.start()
+    t.join()
+    assert common.made() == mark + 1 and kept.count() == 3

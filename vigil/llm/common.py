@@ -2,14 +2,21 @@
 from __future__ import annotations
 
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.session import shared_path
 from vigil.sources.store import remove
 
-#: Paths of the tables written by ``staged``, in order.
-_MADE: list[str] = []
+#: Paths of the tables written by ``staged``, in order; every thread of the driver has its own list.
+_MADE: ContextVar[list[str] | None] = ContextVar("vigil_llm_staged", default=None)
+
+
+def _made() -> list[str]:
+    if _MADE.get() is None:
+        _MADE.set([])
+    return _MADE.get()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,14 +35,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     gives the next join fresh exchanges, which AQE can split when a key is hot.
     """
     path = scratch(df.sparkSession, name)
-    _MADE.append(path)
+    _made().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def made() -> int:
-    """How many tables ``staged`` has written; a mark for ``release``."""
-    return len(_MADE)
+    """How many tables ``staged`` has written; a mark for ``release`` and ``sweep``."""
+    return len(_made())
 
 
 def release(spark: SparkSession, since: int, keep: int = 1) -> None:
@@ -44,10 +51,22 @@ def release(spark: SparkSession, since: int, keep: int = 1) -> None:
     For a caller that has written an operator's result: the scratch tables that
     the operator left (its result read them) are no longer needed.
     """
-    gone = _MADE[since:len(_MADE) - keep]
+    own = _made()
+    gone = own[since:len(own) - keep]
     for path in gone:
         remove(spark, path)
-    del _MADE[since:len(_MADE) - keep]
+    del own[since:len(own) - keep]
+
+
+def sweep(result: DataFrame, since: int) -> DataFrame:
+    """Delete the tables staged after the mark ``since`` that ``result`` does not read; the result itself."""
+    own = _made()
+    read = {f.split("/llm-", 1)[1].split("/", 1)[0] for f in result.inputFiles() if "/llm-" in f}
+    gone = [p for p in own[since:] if p.rsplit("/llm-", 1)[1] not in read]
+    for path in gone:
+        remove(result.sparkSession, path)
+    own[since:] = [p for p in own[since:] if p not in gone]
+    return result
 
 
 def ship(spark: SparkSession) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil.llm import (bpe, decontam, embeddup, hardneg, htmlmain, langid, licenses, packing, pii, sharding, simhash, warc,
                        whitening)
-from vigil.llm.common import ship, table
+from vigil.llm.common import made, ship, sweep, table
 
 #: Vocabularies of the packing and of the encoding query.
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,7 +24,8 @@ def register(name: str):
         @functools.wraps(fn)
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship(spark)
-            return fn(spark, sf_dir)
+            mark = made()
+            return sweep(fn(spark, sf_dir), mark)
         REGISTRY[name] = query
         return query
     return keep
