@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 1 << 16            # bytes of a long match that are appended at a time
-KEPT_MATCHES = 300_000     # encodings of short matches in each of the two generations that a task keeps
-KEPT_PAIRS = 500_000       # token pairs whose verdict a task keeps
+KEPT_MATCHES = 200_000     # encodings of short matches in each of the two generations that a task keeps
+KEPT_PAIRS = 250_000       # token pairs whose verdict a task keeps
 SHORT = 64                 # matches of more characters are not kept
 OUT_IDS = 1 << 20          # ids of an output batch
 
@@ -429,8 +429,7 @@ def _reencode(shared, pattern: str):
 
 def _decode(tokens):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = tokens.value.bytes_of
-        text = [known.get(i, b"") for i in range(max(known) + 1)]
+        text = tokens.value
         for b in batches:
             offsets, values = b.column(1).offsets.to_numpy(), b.column(1).values.to_numpy()
             data = [b"".join(map(text.__getitem__, values[i:j].tolist())) for i, j in zip(offsets[:-1], offsets[1:])]
@@ -463,4 +462,6 @@ def reencode(docs: DataFrame, vocabulary, pattern: str) -> DataFrame:
 
 def decode(encoded: DataFrame, vocabulary) -> DataFrame:
     """(doc_id, ids, decoded): the bytes of the ids."""
-    return encoded.select("doc_id", "ids").mapInArrow(_decode(vocabulary), "doc_id long, ids array<int>, decoded binary")
+    known = vocabulary.value.bytes_of
+    tokens = encoded.sparkSession.sparkContext.broadcast([known.get(i, b"") for i in range(max(known) + 1)])
+    return encoded.select("doc_id", "ids").mapInArrow(_decode(tokens), "doc_id long, ids array<int>, decoded binary")

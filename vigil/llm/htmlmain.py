@@ -33,6 +33,7 @@ import html as htmllib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -88,86 +89,135 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|d
 _INTO = xxhash.xxh3_64_intdigest
 
 
-class Element:
-    __slots__ = ("tag", "path", "out", "article", "link", "parent", "block", "whole", "varies", "box", "top")
+class Marks(NamedTuple):
+    """What a start tag says by itself: class names, words that mark it as no article (outside and inside one), main, hidden."""
+    names: str
+    outside: bool
+    inside: bool
+    main: bool
+    hidden: bool
 
-    def __init__(self, tag: str, marks: str, parent: "Element | None", hidden: bool):
-        self.tag, self.parent = tag, parent
-        names = ""
-        words: set[str] = set()
-        main = tag in ("article", "main")
-        for kind, a, b, c in _MARKS.findall(marks) if marks else ():
+
+_KEPT = 100_000            # start tags and paths whose reading a worker keeps
+_read: dict[tuple[str, str], Marks] = {}
+_paths: dict[tuple[int, str, str], tuple[int, int, int]] = {}
+
+
+def _marks(tag: str, attr: str) -> Marks:
+    """The marks of a start tag; pages repeat their tags, so the readings are kept."""
+    key = (tag, attr)
+    known = _read.get(key)
+    if known is None:
+        names, words, main = "", set(), tag in ("article", "main")
+        for kind, a, b, c in _MARKS.findall(attr) if attr else ():
             value = (a or b or c).lower()
             words.update(w for w in re.split(r"[^a-z0-9]+", value) if w)
             if kind.lower() == "class":
                 names = value
             elif kind.lower() == "role" and value == "main":
                 main = True
-        self.path = _INTO(f"{parent.path if parent else 0}/{tag}.{names}")
-        inside = parent.article if parent else False
-        self.article = inside or main
-        self.out = (parent.out if parent else False) or hidden or tag in NOT_TEXT or tag == "header" and not inside \
-            or not main and tag not in ("html", "body") and bool(words & (NOT_ARTICLE - ARTICLE_PARTS if inside else NOT_ARTICLE))
-        self.link = (parent.link if parent else False) or tag == "a"
+        free = main or tag in ("html", "body")
+        known = Marks(names, not free and not words.isdisjoint(NOT_ARTICLE),
+                      not free and not words.isdisjoint(NOT_ARTICLE - ARTICLE_PARTS), main, bool(attr) and bool(_HIDDEN.search(attr)))
+        if len(attr) < 500:
+            if len(_read) >= _KEPT:
+                _read.clear()
+            _read[key] = known
+    return known
+
+
+class Element:
+    __slots__ = ("tag", "path", "start", "end", "out", "article", "link", "parent", "block", "whole", "varies", "box", "top")
+
+    def __init__(self, tag: str, marks: Marks, parent: "Element | None", hidden: bool = False):
+        self.tag, self.parent = tag, parent
+        key = (parent.path if parent else 0, tag, marks.names)
+        path = _paths.get(key)
+        if path is None:
+            own = _INTO(f"{key[0]}/{tag}.{marks.names}")
+            path = own, _INTO(f"{own}<"), _INTO(f"{own}/")
+            if len(marks.names) < 500:
+                if len(_paths) >= _KEPT:
+                    _paths.clear()
+                _paths[key] = path
+        #: path, and the tokens of its start and end tag
+        self.path, self.start, self.end = path
         self.block = tag in BLOCK
-        #: the inline element with a class that this one is, or is part of
-        self.whole: "Element | None" = None if self.block or parent is None else self if names else parent.whole
         self.varies = False          # holds text that is not the template's
-        #: the container of its text: the nearest block that holds blocks
-        self.box: "Element" = self if parent is None or self.block and tag not in TEXT_BLOCKS else parent.box
-        #: the child of the page's body that it is in (its path); 0 for the body itself and what is around it
-        self.top: int = 0 if parent is None or tag in ("html", "body", "head") else parent.top or self.path
+        if parent is None:
+            self.article = self.out = self.link = False
+            #: the inline element with a class that this one is, or is part of
+            self.whole: "Element | None" = None
+            #: the container of its text: the nearest block that holds blocks
+            self.box: "Element" = self
+            #: the child of the page's body that it is in (its path); 0 for the body itself and what is around it
+            self.top = 0
+            return
+        inside = parent.article
+        self.article = inside or marks.main
+        self.out = parent.out or hidden or marks.hidden or tag in NOT_TEXT or tag == "header" and not inside \
+            or (marks.inside if inside else marks.outside)
+        self.link = parent.link or tag == "a"
+        self.whole = None if self.block else self if marks.names else parent.whole
+        self.box = self if self.block and tag not in TEXT_BLOCKS else parent.box
+        self.top = 0 if tag in ("html", "body", "head") else parent.top or self.path
 
 
 def tokens(page: str) -> Iterator[tuple[int, str, Element | None, str]]:
     """(token, kind, element, text) of a page in order; kind is ``<`` (start), ``/`` (end), ``t`` (text) or ``b`` (break)."""
-    stack = [Element("#", "", None, False)]
+    stack = [Element("#", _marks("#", ""), None)]
     places: dict[str, list[int]] = defaultdict(list)         # of the open elements, by name
+    paragraphs = places["p"]
 
     def close(at: int) -> None:
         for e in stack[at:]:
             places[e.tag].pop()
         del stack[at:]
 
-    def last(tags: set[str]) -> int:
-        return max((places[t][-1] for t in tags if places.get(t)), default=0)
-
-    def ended(tags: set[str], bounds: set[str]) -> int | None:
-        at = last(tags)
-        return at if at and at > last(bounds) else None
+    def ended(tags, bounds) -> int:
+        """The innermost open element of these tags, unless one of the bounds is further in; 0: none."""
+        at = 0
+        for t in tags:
+            if places[t] and places[t][-1] > at:
+                at = places[t][-1]
+        for t in bounds if at else ():
+            if places[t] and places[t][-1] > at:
+                return 0
+        return at
 
     for m in _TOKEN.finditer(page):
-        if m.group("text") is not None:
-            yield _INTO(f"{stack[-1].path}t{m.group('text').strip()}"), "t", stack[-1], m.group("text")
-        elif m.group("raw"):
-            e = Element(m.group("raw").lower(), m.group("rawattr"), stack[-1], True)
-            yield _INTO(f"{e.path}<"), "<", e, ""
-            yield _INTO(f"{e.path}/"), "/", e, ""
-        elif m.group("tag"):
-            tag = m.group("tag").lower()
-            if m.group("close"):
-                at = ended({tag}, set())
-                if at is not None:
-                    e = stack[at]
-                    close(at)
-                    yield _INTO(f"{e.path}/"), "/", e, ""
+        raw, _, _, closing, tag, attr, text = m.groups()
+        if text is not None:
+            here = stack[-1]
+            yield _INTO(f"{here.path}t{text.strip()}"), "t", here, text
+        elif tag:
+            tag = tag.lower()
+            if closing:
+                own = places.get(tag)
+                if own:
+                    e = stack[own[-1]]
+                    close(own[-1])
+                    yield e.end, "/", e, ""
                 elif tag in BLOCK:
                     yield 0, "b", None, ""
                 continue
-            if tag in ENDS_P:
-                at = ended({"p"}, {"table", "button", "td", "th"})
-                if at is not None:
+            if paragraphs and tag in ENDS_P:
+                at = ended(("p",), ("table", "button", "td", "th"))
+                if at:
                     close(at)
             if tag in ENDS:
                 at = ended(*ENDS[tag])
-                if at is not None:
+                if at:
                     close(at)
-            attr = m.group("attr")
-            e = Element(tag, attr, stack[-1], bool(attr) and bool(_HIDDEN.search(attr)))
-            yield _INTO(f"{e.path}<"), "<", e, ""
+            e = Element(tag, _marks(tag, attr), stack[-1])
+            yield e.start, "<", e, ""
             if tag not in VOID and not attr.endswith("/") or tag in ("p", "div", "li", "article"):
                 places[tag].append(len(stack))
                 stack.append(e)
+        elif raw:
+            e = Element(raw.lower(), _marks(raw.lower(), m.group("rawattr")), stack[-1], True)
+            yield e.start, "<", e, ""
+            yield e.end, "/", e, ""
 
 
 def _long(x: int) -> int:
