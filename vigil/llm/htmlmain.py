@@ -98,7 +98,7 @@ class Marks(NamedTuple):
     hidden: bool
 
 
-_KEPT = 100_000            # start tags and paths whose reading a worker keeps
+_KEPT = 5_000              # start tags, and paths, whose reading a worker keeps
 _read: dict[tuple[str, str], Marks] = {}
 _paths: dict[tuple[int, str, str], tuple[int, int, int]] = {}
 
@@ -119,7 +119,7 @@ def _marks(tag: str, attr: str) -> Marks:
         free = main or tag in ("html", "body")
         known = Marks(names, not free and not words.isdisjoint(NOT_ARTICLE),
                       not free and not words.isdisjoint(NOT_ARTICLE - ARTICLE_PARTS), main, bool(attr) and bool(_HIDDEN.search(attr)))
-        if len(attr) < 500:
+        if len(attr) < 200:
             if len(_read) >= _KEPT:
                 _read.clear()
             _read[key] = known
@@ -136,7 +136,7 @@ class Element:
         if path is None:
             own = _INTO(f"{key[0]}/{tag}.{marks.names}")
             path = own, _INTO(f"{own}<"), _INTO(f"{own}/")
-            if len(marks.names) < 500:
+            if len(marks.names) < 200:
                 if len(_paths) >= _KEPT:
                     _paths.clear()
                 _paths[key] = path
