@@ -277,8 +277,11 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column | None = None, id_
                     F.count_if("anchor").alias("a")).first()
     strip_rows = max(1024, min(MAX_STRIP_ROWS, strip_values // max(1, seen["d"] or 1)))
     parts = max(1, -(-seen["n"] // strip_rows), min(spark.sparkContext.defaultParallelism, -(-seen["n"] // BUCKET_ROWS)))
-    strips = staged(rows.repartitionByRange(parts, "label", F.desc("length"), "row")
-                    .select(F.spark_partition_id().alias("strip"), "row", "id", "label", "embedding", "anchor"), "hardneg-strips")
+    pieces = staged(rows.repartitionByRange(parts, "label", F.desc("length"), "row")
+                    .select(F.spark_partition_id().alias("piece"), "row", "id", "label", "embedding", "anchor"), "hardneg-strips")
+    # a session may raise the number of partitions: neighbouring ones make up a strip, so that the strips stay as many
+    last = pieces.agg(F.coalesce(F.max("piece"), F.lit(0))).first()[0]
+    strips = pieces.withColumn("strip", F.floor(F.col("piece") * F.lit(parts) / F.lit(last + 1)).cast("int")).drop("piece")
     blocks = max(1, -(-seen["a"] // block_anchors))
     anchors = strips.where("anchor").select("row", "id", "label", "embedding")
     bare = strips.drop("anchor")
@@ -296,7 +299,7 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column | None = None, id_
         .select("row", F.col("p.positive_score").alias("positives"))
     range_of = strips.groupBy("strip").agg(F.min("label").alias("least"), F.max("label").alias("most"))
     mixed = range_of.select("strip", F.when(F.col("least") == F.col("most"), F.col("least")).alias("only"))
-    asked = anchors.join(scores, "row").withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(max_strip(strips)))))
+    asked = anchors.join(scores, "row").withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     asked = asked.join(mixed, "strip").where(F.col("only").isNull() | (F.col("only") != F.col("label"))).drop("only")
     other = _meet(bare, asked.select("strip", "row", "id", "label", "embedding", "positives"), blocks, parts * blocks,
                   scale, n_negatives, (low, high))
@@ -308,7 +311,3 @@ def mine(vectors: DataFrame, is_anchor: Column, label: Column | None = None, id_
         .select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score",
                 "negative_score")
 
-
-def max_strip(strips: DataFrame) -> int:
-    """The largest strip number (a range partitioning may leave partitions empty, or a session raise their count)."""
-    return strips.agg(F.coalesce(F.max("strip"), F.lit(0)).alias("m")).first()["m"]
