@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from vigil import constants as C
 from vigil.functions import scoring as S
+from vigil.session import scratch_table
 
 LABEL_META = {"ml_attr": {"type": "nominal", "name": "label", "vals": list(C.PRIORITY_LABELS)}}
 
@@ -215,24 +216,34 @@ def node_table(spark: SparkSession, path: str) -> DataFrame:
         F.transform("impurityStats", lambda x: F.when(total != 0, x / total).otherwise(F.lit(0.0))).alias("shares"))
 
 
+BLOCK_LEVELS = 5                  # levels of a tree that one join walks
+
+
 def walk_trees(rows: DataFrame, nodes: DataFrame, key: str, cols: list[str] = C.FEATURE_COLS) -> DataFrame:
-    """P1 as joins: every row walks every tree from its root, one join a level, and the leaves' class shares are averaged.
+    """P1 as joins: every row walks every tree from its root, one join a block of ``BLOCK_LEVELS`` levels, and the leaves'
+    class shares are averaged.
 
     (key, probability, prediction).  The node table has a size that the training parameters bound; below
-    ``BROADCAST_NODES`` the levels are map-side joins of one stage, and a row's trees are summed where they were walked
-    before the one shuffle by key.
+    ``BROADCAST_NODES`` the blocks are map-side joins of one stage.  The rows are shuffled by key once, before they are
+    multiplied: evenly spread, and a row's trees are summed where they were walked.  A join a level would make one generated method of all of them, too long for the JVM
+    to compile.
     """
     size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("tree").alias("t")).first()
-    tree = F.broadcast(nodes) if size["n"] <= BROADCAST_NODES else nodes
-    at = rows.select(F.col(key).alias("_key"), F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"),
-                     F.explode(F.sequence(F.lit(0), F.lit(size["t"]))).alias("tree"), F.lit(0).alias("node"))
-    for _ in range(_depth(nodes)):
-        step = tree.select("tree", "node", "feature", "threshold", "left", "right")
-        x = F.element_at("_x", F.col("feature") + 1)
-        at = at.join(step, ["tree", "node"]).select(
-            "_key", "_x", "tree", F.when(F.col("feature").isNull(), F.col("node")).when(x <= F.col("threshold"), F.col("left"))
-            .otherwise(F.col("right")).alias("node"))
-    ends = at.join(tree.select("tree", "node", "shares"), ["tree", "node"])
+    small = size["n"] <= BROADCAST_NODES
+    spread = rows.select(F.col(key).alias("_key"), F.array(*[F.col(c).cast("double") for c in cols]).alias("_x")).repartition("_key")
+    at = spread.select("_key", "_x", F.explode(F.sequence(F.lit(0), F.lit(size["t"]))).alias("tree"), F.lit(0).alias("node"))
+    for level in tree_blocks(nodes):
+        at = at.join(F.broadcast(level) if small else level, ["tree", "node"], "left") \
+            .select("_key", "_x", "tree", "node", "_f", "_t", "_n", F.lit(0).alias("_p"))
+        for _ in range(BLOCK_LEVELS):
+            f = F.get("_f", F.col("_p"))
+            left = F.get("_x", f) <= F.get("_t", F.col("_p"))
+            at = at.select("_key", "_x", "tree", "node", "_f", "_t", "_n", F.when(f.isNull(), F.col("_p"))
+                           .when(left, F.col("_p") * 2 + 1).otherwise(F.col("_p") * 2 + 2).alias("_p"))
+        # a row whose leaf came in an earlier block stays there
+        at = at.select("_key", "_x", "tree", F.coalesce(F.get("_n", F.col("_p")), F.col("node")).alias("node"))
+    shares = nodes.select("tree", "node", "shares")
+    ends = at.join(F.broadcast(shares) if small else shares, ["tree", "node"])
     k = len(C.PRIORITY_LABELS)
     summed = ends.groupBy("_key").agg(*[F.sum(F.get("shares", i)).alias(f"_p{i}") for i in range(k)])
     total = sum((F.col(f"_p{i}") for i in range(1, k)), F.col("_p0"))
@@ -243,15 +254,35 @@ def walk_trees(rows: DataFrame, nodes: DataFrame, key: str, cols: list[str] = C.
     return summed.select(F.col("_key").alias(key), F.array(*p).alias("probability"), best.cast("double").alias("prediction"))
 
 
-def _depth(nodes: DataFrame) -> int:
-    """Levels below the roots: joins from the roots on until no inner node is left."""
-    edges = nodes.where("feature IS NOT NULL").select("tree", "node", F.explode(F.array("left", "right")).alias("child"))
-    level, n = edges.where("node = 0"), 0
-    while not level.isEmpty():
-        n += 1
-        below = level.select("tree", F.col("child").alias("node"))
-        level = edges.join(below, ["tree", "node"])
-    return n
+def tree_blocks(nodes: DataFrame) -> list[DataFrame]:
+    """The trees cut into blocks of ``BLOCK_LEVELS`` levels, a frame for each depth of blocks, from the roots down.
+
+    (tree, node, _f, _t, _n): a block's first node, and by place in it (the children of p are 2p+1 and 2p+2) the feature,
+    the threshold and the node; a leaf and the first nodes of the blocks below have no feature.
+    """
+    inner = nodes.where("feature IS NOT NULL").select("tree", F.col("node").alias("_n"), "feature", "threshold", "left", "right")
+    out, heads = [], inner.where("_n = 0").select("tree", F.col("_n").alias("node"))
+    while not heads.isEmpty():
+        places = heads.select("tree", "node", F.lit(0).alias("_p"), F.col("node").alias("_n"))
+        entries = []
+        for _ in range(BLOCK_LEVELS):
+            split = places.join(inner, ["tree", "_n"], "left")
+            entries.append(split.select("tree", "node", "_p", "_n", "feature", "threshold"))
+            places = scratch_table(split.where("feature IS NOT NULL").select(
+                "tree", "node", F.posexplode(F.array("left", "right")).alias("_side", "_c"), "_p")
+                .select("tree", "node", (F.col("_p") * 2 + 1 + F.col("_side")).alias("_p"), F.col("_c").alias("_n")), "places")
+        entries.append(places.select("tree", "node", "_p", "_n", F.lit(None).cast("int").alias("feature"),
+                                     F.lit(None).cast("double").alias("threshold")))
+        every = entries[0]
+        for e in entries[1:]:
+            every = every.unionByName(e)
+        at = F.map_from_entries(F.collect_list(F.struct("_p", F.struct("feature", "threshold", "_n"))))
+        block = every.groupBy("tree", "node").agg(at.alias("_m"))
+        spots = F.transform(F.sequence(F.lit(0), F.lit(2 ** (BLOCK_LEVELS + 1) - 2)), lambda i: F.try_element_at("_m", i))
+        out.append(scratch_table(block.select("tree", "node", spots.alias("_s")).select(
+            "tree", "node", F.col("_s.feature").alias("_f"), F.col("_s.threshold").alias("_t"), F.col("_s._n").alias("_n")), "blocks"))
+        heads = places.join(inner.select("tree", "_n"), ["tree", "_n"], "left_semi").select("tree", F.col("_n").alias("node"))
+    return out
 
 
 # --------------------------------------------- optimality of the logistic --
