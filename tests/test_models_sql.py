@@ -42,6 +42,37 @@ def test_walked_trees_equal_the_model(spark, tmpdir_path, kind):
         assert got[r.seq].prediction == r.prediction or sorted(r.p)[-1] - sorted(r.p)[-2] < 1e-12
 
 
+def test_a_join_walks_a_block_of_levels(spark, tmpdir_path):
+    train = _train(spark)
+    model = ML.fit_pipeline(train, DecisionTreeClassifier(maxDepth=9, minInstancesPerNode=1, weightCol="weight"))
+    model.write().overwrite().save(tmpdir_path + "/m")
+    nodes = ML.node_table(spark, tmpdir_path + "/m")
+    depth = model.stages[-1].depth
+    assert depth > ML.BLOCK_LEVELS and len(ML.tree_blocks(nodes)) == -(-depth // ML.BLOCK_LEVELS)
+    # values that are missing or no number go the model's way or, missing, to the right
+    odd = train.withColumn(C.FEATURE_COLS[0], F.when(F.col("seq") % 5 == 0, F.lit(None)).when(F.col("seq") % 5 == 1, F.lit(float("nan")))
+                           .otherwise(F.col(C.FEATURE_COLS[0])))
+    walk = ML.walk_trees(odd, nodes, "seq")
+    assert walk._jdf.queryExecution().optimizedPlan().toString().count("Join ") == -(-depth // ML.BLOCK_LEVELS) + 1
+    got = {r.seq: r.prediction for r in walk.collect()}
+    want = {r.seq: r.prediction for r in model.transform(odd.fillna({C.FEATURE_COLS[0]: 1e9})).collect()}
+    assert got == want
+
+
+def test_training_rows_are_spread_over_the_tasks(spark, monkeypatch):
+    class Fit:
+        def fit(self, data):
+            self.sizes = data.rdd.glom().map(len).collect()
+            return ML.assembler()
+    train, est = _train(spark).coalesce(1), Fit()
+    ML.fit_pipeline(train, est, n_train=400)
+    assert len(est.sizes) == 1                                          # few rows stay as they are
+    monkeypatch.setattr(ML, "SPREAD_ROWS", 400)
+    monkeypatch.setattr(ML, "TASK_ROWS", 10)
+    ML.fit_pipeline(train, est, n_train=400)
+    assert len(est.sizes) >= 40 and sum(est.sizes) == 400 and max(est.sizes) <= 20
+
+
 def test_nodes_beyond_the_broadcast_bound_are_joined_by_shuffle(spark, tmpdir_path, monkeypatch):
     train = _train(spark, 100)
     model = ML.fit_pipeline(train, DecisionTreeClassifier(maxDepth=3))
