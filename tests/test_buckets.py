@@ -271,3 +271,31 @@ def test_rounding_rules_in_sql(spark):
     df = spark.createDataFrame([(x,) for x in xs], "x double").select("x", R.scaled(F.col("x"), 4).alias("a"), R.exact(F.col("x"), 4).alias("b"))
     for x, a, b in df.collect():
         assert con.sql(f"SELECT round_even({x!r}::DOUBLE * 1e4, 0) / 1e4, CAST(printf('%.4f', {x!r}::DOUBLE) AS DOUBLE)").fetchall() == [(a, b)], x
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmpdir_path):
+    root, setting = tmpdir_path + "/store", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = _rows(spark, [(i, f"id{i * 7919 % 30011}") for i in range(6000)])
+    spark.conf.set(setting, "20000")
+    try:
+        ST.commit(spark, root, rows.repartition(6), n_buckets=1)
+    finally:
+        spark.conf.unset(setting)
+    assert len(_files(root)) > 1 and ST.record(spark, root).rows == 6000
+    assert sorted(r.id for r in ST.scan(spark, root).collect()) == sorted(r.id for r in rows.collect())
+    assert ST.lookup(spark, root, "id7919").count() == 1
+
+
+def test_a_first_batch_by_id_is_shuffled_once(spark):
+    from vigil.operators import dedup
+    batch = ST.to_stored(dedup.keep_latest(_rows(spark, [(i, f"id{i % 50}") for i in range(200)] + [(300, None), (301, None)])), 1)
+    first = U.upsert(ST.empty_snapshot(spark), batch, first=True)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert sorted(map(str, first.collect())) == sorted(map(str, U.upsert(ST.empty_snapshot(spark), batch).collect()))
+
+
+def test_rows_without_an_id_stay_apart_in_a_first_batch(spark):
+    batch = _rows(spark, [(i, None) for i in range(3)] + [(5, "a"), (6, "a")])
+    got = U.upsert(ST.empty_snapshot(spark), batch, first=True).collect()
+    assert sorted((r.id or "", r.seq) for r in got) == sorted([("", 0), ("", 1), ("", 2), ("a", 4)])
