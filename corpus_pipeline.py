@@ -42,14 +42,15 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One document of each SimHash component: that with the least doc_id (null last, then any one row)."""
     ship(spark)
     rows = staged(docs.withColumn(_ROW, F.monotonically_increasing_id()), "pipeline-rows")
+    n = rows.count()
     classes = simhash.near_duplicates(rows, id_col=_ROW)
     # the component's least row number names it; rows of one component may still differ in doc_id
-    named = staged(classes.select(F.col("doc_id").alias(_ROW), "component_id"), "pipeline-classes")
+    named = staged(classes.select(F.col("doc_id").alias(_ROW), "component_id"), "pipeline-classes", n)
     first = (rows.select(_ROW, "doc_id").join(named, _ROW)
              .groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", _ROW)).alias("first"))
              .select(F.col(f"first.{_ROW}").alias(_ROW)))
     # both sides are shuffled on the row number at every size: what stays is most of the table
-    kept = staged(first, "pipeline-kept")
+    kept = staged(first, "pipeline-kept", n)
     return rows.join(kept.hint("merge"), _ROW, "left_semi").select(*docs.columns)
 
 

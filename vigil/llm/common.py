@@ -2,8 +2,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.session import shared_path
@@ -19,6 +21,23 @@ def _made() -> list[str]:
     return _MADE.get()
 
 
+#: What this Python worker keeps from one task to the next: the tables of one operator, under their key.
+_HELD: dict = {}
+
+
+def held(key, make: Callable):
+    """``make()``, kept in the Python worker until another key is asked for.
+
+    Spark reuses a worker for the tasks of all operators, so what each of them
+    kept in a place of its own would add up: frozen tables, encoders, indexes.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        pa.default_memory_pool().release_unused()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -28,12 +47,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return shared_path(spark, f"llm-{name}-{uuid.uuid4().hex[:12]}")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+#: Rows that a file of a scratch table holds at least, where their number is known.
+ROWS_PER_FILE = 16_384
+
+
+def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Cuts lineage (a lost executor re-reads files, nothing is recomputed) and
     gives the next join fresh exchanges, which AQE can split when a key is hot.
+
+    ``rows``: how many rows there are at most, for narrow tables.  They are written by no more tasks than
+    that fills, however many shuffle partitions the session holds; every file costs its executor forked processes.
     """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     path = scratch(df.sparkSession, name)
     _made().append(path)
     df.write.parquet(path)

@@ -60,16 +60,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not mark[0]:
             break
+        n = 2 * mark[0]                  # both directions; a round never makes links
         # large star: every larger neighbour of u points to the least of u and its neighbours
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = staged(both.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")), "cc-least", n)
         up = (both.join(least, "u").where("v > u")
               .select(F.col("v").alias("u"), F.least("u", "m").alias("v")))
-        edges = staged(up.distinct(), "cc-large")
+        edges = staged(up.distinct(), "cc-large", n)
         # small star: u and its smaller neighbours point to the least of them
-        least = staged(edges.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
+        least = staged(edges.groupBy("u").agg(F.min("v").alias("m")), "cc-least", n)
         joined = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = staged(joined.union(least.select("u", F.col("m").alias("v"))).distinct(), "cc-small")
+        edges = staged(joined.union(least.select("u", F.col("m").alias("v"))).distinct(), "cc-small", n)
         now = _mark(edges)
         if now == mark:
             break

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import staged
+from vigil.llm.common import held, staged
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -182,16 +182,11 @@ def build(items: list[bytes | None], window: int = WINDOW) -> list[Search]:
     return out
 
 
-_BUILT: dict[int, tuple] = {}
-
-
 def _scan(shared, window: int, spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts = shared.value
-        if id(ids) not in _BUILT:
-            _BUILT.clear()
-            _BUILT[id(ids)] = (ids, build(texts, window))
-        searches = _BUILT[id(ids)][1]
+        # the items are kept beside their tables, so that their number stays theirs
+        searches = held(("decontam", id(ids)), lambda: (ids, build(texts, window)))[1]
         for batch in batches:
             col, i = batch.column(1), 0
             while i < batch.num_rows:

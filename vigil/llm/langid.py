@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.llm.common import held
+
 UNDETERMINED = "und"
 ORDER = 4
 SAMPLE_BYTES = 1_000_000
@@ -199,18 +201,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return {g: t for g, t in model.items() if len(t[0]["keys"])}
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.value
-        scorer = None
-        if tables:
-            scorer = _SCORERS.get(id(tables))
-            if scorer is None:
-                _SCORERS.clear()
-                scorer = _SCORERS[id(tables)] = Scorer(tables)
+        scorer = held(("langid", id(tables)), lambda: Scorer(tables)) if tables else None
         for b in batches:
             folded = [fold(t.as_py() or "") for t in b.column(1)]
             langs, score, bpb = [UNDETERMINED] * b.num_rows, np.zeros(b.num_rows), [None] * b.num_rows

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import staged
+from vigil.llm.common import held, staged
 
 CAPACITY = 1024
 END_ID = 2
@@ -44,9 +44,6 @@ LONG_RUN = 50_000         # characters of a run that only ``tokenizers`` encodes
 _RUNS = re.compile(r"\s+|\S+")
 
 # ------------------------------------------------------------------ tokens
-_ENCODERS: dict[str, "Encoder"] = {}
-
-
 class Encoder:
     """Ids of a byte-level BPE file of ``tokenizers``.
 
@@ -109,7 +106,7 @@ def _tokenise(path: str, capacity: int, end_id: int):
     tail = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, Encoder(path))
+        encoder = held(("packing", path), lambda: Encoder(path))
         for b in batches:
             ids, rows = [], []
             if b.num_rows:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import staged
+from vigil.llm.common import held, staged
 from vigil.llm.components import connected_components, spanning_links
 
 SHINGLE = 3
@@ -58,6 +58,7 @@ def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int
 
 def _fingerprints(width: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("simhash", dict)          # needs no tables: those of an operator before it go
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), width, seed) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
@@ -160,13 +161,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     radius: int = RADIUS, seed: int = SEED, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the least doc_id reachable over links."""
     prints = staged(fingerprints(docs, id_col, text_col, width, seed), "simhash-prints")
+    n = prints.count()          # from the footers; none of the tables below has more rows
     # one row per fingerprint: its least document
-    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
+    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct", n)
     member = connected_components(links(distinct, radius, tile_rows))
-    member = staged(member.select(F.col("node").alias("fp"), F.col("component").alias("root")), "simhash-member")
+    member = staged(member.select(F.col("node").alias("fp"), F.col("component").alias("root")), "simhash-member", n)
     classed = distinct.join(member, "fp")
     least = classed.groupBy("root").agg(F.min("rep").alias("least"))
-    moved = staged(classed.join(least, "root").select("fp", F.col("least").alias("class_id")), "simhash-classes")
+    moved = staged(classed.join(least, "root").select("fp", F.col("least").alias("class_id")), "simhash-classes", n)
     classes = staged(distinct.join(moved, "fp", "left")
-                     .select("fp", F.coalesce("class_id", "rep").alias("component_id")), "simhash-all")
+                     .select("fp", F.coalesce("class_id", "rep").alias("component_id")), "simhash-all", n)
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
