@@ -102,3 +102,20 @@ def test_scratch_tables_go_with_their_scope(spark):
         assert all(there(outer))
     assert not any(os.path.exists(p.removeprefix("file://").removeprefix("file:")) for p in files)
     assert all(there(kept)) and shared_path(spark)
+
+
+def test_folders_of_pages_are_listed_by_few_tasks(spark, tmpdir_path):
+    rows = spark.range(0, 120).select(F.col("id").alias("seq"), F.concat(F.lit('{"cve":{"id":"c'), "id", F.lit('"}}')).alias("raw"))
+    LD.write_pages(LD.envelope(rows, "vulnerabilities", lambda s: F.floor(s / 2)), tmpdir_path + "/pages")
+    sc, before = spark.sparkContext, spark.conf.get(LD.LISTING)
+    sc.setJobGroup("listed", "")
+    try:
+        pages = LD.read_pages(spark, tmpdir_path + "/pages")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    track = sc.statusTracker()
+    stages = [track.getStageInfo(s) for j in track.getJobIdsForGroup("listed") for s in track.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) <= 4 * sc.defaultParallelism < 60
+    assert spark.conf.get(LD.LISTING) == before
+    got = LD.cve_pages_to_records(pages)
+    assert sorted(got.select("page", "pos").collect()) == [(p, k) for p in range(60) for k in range(2)]
