@@ -2,6 +2,7 @@
 import random
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -73,6 +74,39 @@ def test_training_rows_are_spread_over_the_tasks(spark, monkeypatch):
     assert len(est.sizes) >= 40 and sum(est.sizes) == 400 and max(est.sizes) <= 20
 
 
+def test_a_forest_on_many_rows_grows_in_groups_of_trees(spark, tmpdir_path, monkeypatch):
+    train, sizes, fit = _train(spark), [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, data: sizes.append(self.getNumTrees()) or fit(self, data))
+    forest = RandomForestClassifier(numTrees=7, maxDepth=4, seed=3, weightCol="weight")
+    plain = ML.fit_pipeline(train, forest, n_train=400).stages[-1]
+    monkeypatch.setattr(ML, "GROUP_ROWS", 401)
+    monkeypatch.setattr(ML, "GROUP_TREES", 3)
+    below = ML.fit_pipeline(train, forest, n_train=400).stages[-1]
+    shape = lambda forest: [t.toDebugString.split("\n", 1)[1] for t in forest.trees]  # noqa: E731  (without the tree's name)
+    assert sizes == [7, 7] and shape(below) == shape(plain)
+    monkeypatch.setattr(ML, "GROUP_ROWS", 400)
+    model = ML.fit_pipeline(train, forest, n_train=400)
+    assert sizes[2:] == [2, 2, 3]
+    last = model.stages[-1]
+    assert last.getNumTrees == len(last.trees) == 7 and len(set(shape(last))) == 7
+    assert (last.numFeatures, last.numClasses, last.getMaxDepth()) == (len(C.FEATURE_COLS), 4, 4)
+    assert sum(last.featureImportances.toArray()) == pytest.approx(1.0)
+    model.write().overwrite().save(tmpdir_path + "/m")
+    want = sorted(model.transform(train).select("seq", "prediction", vector_to_array("probability").alias("p")).collect())
+    again = PipelineModel.load(tmpdir_path + "/m")
+    assert again.stages[-1].getNumTrees == 7
+    assert sorted(again.transform(train).select("seq", "prediction", vector_to_array("probability")).collect()) == want
+    walked = sorted(ML.walk_trees(train, ML.node_table(spark, tmpdir_path + "/m"), "seq").select("seq", "probability").collect())
+    assert all(a.seq == b.seq and a.probability == pytest.approx(b.p, abs=1e-12) for a, b in zip(walked, want, strict=True))
+
+
+def test_the_split_table_holds_the_columns_that_are_read(spark):
+    from vigil.plans import catalog
+    d = catalog._ml_data(spark, "/root/testdata/sf0.001")
+    assert d["split"].columns == ["id", "seq", "heuristic_label", *C.FEATURE_COLS, "is_test"]
+    assert d["split"].count() == d["n_train"] + d["test"].count()
+
+
 def test_nodes_beyond_the_broadcast_bound_are_joined_by_shuffle(spark, tmpdir_path, monkeypatch):
     train = _train(spark, 100)
     model = ML.fit_pipeline(train, DecisionTreeClassifier(maxDepth=3))
