@@ -100,6 +100,14 @@ def test_a_forest_on_many_rows_grows_in_groups_of_trees(spark, tmpdir_path, monk
     assert all(a.seq == b.seq and a.probability == pytest.approx(b.p, abs=1e-12) for a, b in zip(walked, want, strict=True))
 
 
+def test_small_rows_that_every_tree_walks_are_dealt_to_all_cores(spark):
+    n = 4 * spark.sparkContext.defaultParallelism
+    train = _train(spark)
+    spread = ML.spread_rows(train.coalesce(1), "seq")
+    assert spread.columns == ["seq", *C.FEATURE_COLS] and spread.rdd.getNumPartitions() >= n
+    assert spread.count() == 400
+
+
 def test_the_split_table_holds_the_columns_that_are_read(spark):
     from vigil.plans import catalog
     d = catalog._ml_data(spark, "/root/testdata/sf0.001")
