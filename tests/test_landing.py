@@ -119,3 +119,33 @@ def test_folders_of_pages_are_listed_by_few_tasks(spark, tmpdir_path):
     assert spark.conf.get(LD.LISTING) == before
     got = LD.cve_pages_to_records(pages)
     assert sorted(got.select("page", "pos").collect()) == [(p, k) for p in range(60) for k in range(2)]
+
+
+def test_landed_pages_are_packed_and_read_back_whole(spark, tmpdir_path):
+    rows = spark.range(0, 40).select(F.col("id").alias("seq"), F.concat(
+        F.lit('{"cve":{"id":"c'), "id", F.lit('","text":"'), F.repeat(F.lit("lorem ipsum "), F.lit(300)), F.lit('"}}')).alias("raw"))
+    LD.write_pages(LD.envelope(rows, "vulnerabilities", lambda s: F.floor(s / 20)), tmpdir_path + "/pages")
+    files = [os.path.join(d, f) for d, _, names in os.walk(tmpdir_path + "/pages") for f in names if f.startswith("part-")]
+    assert len(files) == 2 and sum(map(os.path.getsize, files)) * 10 < 40 * 3600
+    pages = LD.read_pages(spark, tmpdir_path + "/pages")
+    assert [json.loads(r.body)["vulnerabilities"] for r in pages.orderBy("order").collect()] \
+        == [[json.loads(r.raw) for r in rows.filter(f"seq div 20 = {p}").orderBy("seq").collect()] for p in range(2)]
+    # packed and plain files of one folder are read alike
+    with open(tmpdir_path + "/pages/page=1/extra.txt", "w") as f:
+        json.dump(_page("z"), f)
+    assert sorted((r.page, r.order) for r in LD.read_pages(spark, tmpdir_path + "/pages").collect()) == [(0, 0), (1, 1), (1, 2)]
+
+
+def test_file_names_are_broadcast_as_hashes_that_differ(spark, tmpdir_path, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        d = _land(tmpdir_path + "/a", {f"{n}.json": _page(f"c{n}") for n in range(7)})
+        pages = LD.read_pages(spark, d)
+        plan = pages._jdf.queryExecution().optimizedPlan().toString()
+        assert "strategy=broadcast" in plan and "xxhash64(file" in plan
+        monkeypatch.setattr(LD.F, "xxhash64", lambda *cols: F.length(*cols).cast("bigint"))      # all hashes alike
+        same = LD.read_pages(spark, d)
+        assert "strategy=broadcast" not in same._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, same.collect())) == sorted(map(tuple, pages.collect())) and same.count() == 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
